@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 from typing import NamedTuple
 
-_MODULES = ("ingest", "clinic", "operations")
+_MODULES = ("ingest", "clinic", "operations", "changes", "models", "streams", "reports")
 
 
 class Catalog(NamedTuple):

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardspark.functions import ids
+from wardspark.session import ship_package
 
 HEX = "cast(conv(substring(md5({0}), 1, 8), 16, 10) as bigint)"
 
@@ -19,6 +20,7 @@ class Domain:
     """Lazy domain tables over one folder of Parquet tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
+        ship_package(spark)
         self.spark = spark
         self.folder = folder.rstrip("/")
 

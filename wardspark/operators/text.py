@@ -30,9 +30,10 @@ def term_frequencies(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     Texts are spread by document once; the count per (document, term) then needs no further
     shuffle, because its key contains the document.
     """
-    tokens = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("body")).repartition("doc")
+    spread = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("body")).repartition("doc")
+    tokens = spread.select("doc", words(F.col("body")).alias("words"))
     return (
-        tokens.select("doc", F.explode(with_pairs(words(F.col("body")))).alias("term"))
+        tokens.select("doc", F.explode(with_pairs(F.col("words"))).alias("term"))
         .groupBy("doc", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )

@@ -34,6 +34,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop).isDirectory()
+
+
 def read_first(spark: SparkSession, candidates: list[tuple[str, str]]) -> DataFrame:
     """The first existing candidate (format, path); CSV candidates have a header."""
     for kind, path in candidates:

@@ -12,12 +12,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wardspark.functions import paths
 from wardspark.operators import arrivals as arr, validate
 from wardspark.operators.quality import threshold_severity
-from wardspark.sources.files import exists
+from wardspark.sources.files import exists, is_folder
 
 
 def stream_table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet file or folder as a stream, with the schema it has."""
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    """A Parquet folder, or a single file within its folder, as a stream with its schema."""
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    folder, name = path.rsplit("/", 1)
+    return reader.option("pathGlobFilter", name).parquet(folder)
 
 
 def run_to_parquet(stream: DataFrame, out: str, checkpoint: str) -> None:
@@ -41,8 +45,9 @@ def run_batches(
 
 def new_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """Stream of files that appear below ``root`` (path, time, length); content is not read."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
     return (
-        spark.readStream.format("binaryFile").option("recursiveFileLookup", True)
+        spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob).load(root)
         .select("path", "modificationTime", "length")
     )
