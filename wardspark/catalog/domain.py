@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wardspark.catalog.oracle import line_hash
 from wardspark.functions import ids
 from wardspark.session import ship_package
 
@@ -85,10 +86,7 @@ class Domain:
         decimal = "cast(cast({0} as decimal(11,0)) * cast(0.00001 as decimal(6,5)) as decimal(6,5))"
         return shares.selectExpr(
             # A row hash: no window over the order key is needed to number the rows.
-            "cast(conv(substring(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, "
-            "l_suppkey, cast(l_quantity as decimal(15,2)), cast(l_extendedprice as decimal(15,2)), "
-            "cast(l_discount as decimal(15,2)), cast(l_tax as decimal(15,2)), "
-            "date_format(l_shipdate, 'yyyy-MM-dd'))), 1, 15), 16, 10) as bigint) prediction_id",
+            line_hash("unix_date(cast(l_shipdate as date))") + " prediction_id",
             "concat('STU-', cast(l_orderkey as string)) study_id",
             "case when ps >= pn and ps >= pc then 'sana' when pn >= pc then 'neumonia' "
             "else 'covid' end predicted_label",

@@ -7,6 +7,25 @@ PID = "'PAT-' || lpad(cast({0} as varchar), 12, '0')"
 PH = HEX.format(PID.format("c_custkey"))
 DOC_PATH = "'data/raw/scans/' || split || '/' || folder || '/' || doc_id || '.jpg'"
 
+# Row hash of order lines: two polynomial hashes of the row's integers, 31 bits each.
+_LINE_NUMBERS = (
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cast(round(l_quantity) as bigint)",
+    "cast(round(l_extendedprice * 100) as bigint)", "cast(round(l_discount * 100) as bigint)",
+    "cast(round(l_tax * 100) as bigint)", "{day}",
+)
+
+
+def line_hash(day: str) -> str:
+    """SQL of the row hash, the same text in both engines but for the day number."""
+    halves = []
+    for step in (1000003, 998244):
+        code = "cast(7 as bigint)"
+        for number in _LINE_NUMBERS:
+            code = f"(({code} * {step} + {number.format(day=day)}) % 2147483647)"
+        halves.append(code)
+    return f"{halves[0]} * 2147483648 + {halves[1]}"
+
+
 # name -> (tables it needs, SQL)
 TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     "sites": ((), """
@@ -35,11 +54,8 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
                'CR' modality, 'chest' body_part, o_orderdate captured_at,
                o_orderdate + to_hours(cast(o_orderkey % 48 as int)) ingested_at
         from orders"""),
-    "predictions": ((), """
-        select ('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
-                   cast(l_quantity as decimal(15,2)), cast(l_extendedprice as decimal(15,2)),
-                   cast(l_discount as decimal(15,2)), cast(l_tax as decimal(15,2)),
-                   strftime(l_shipdate, '%Y-%m-%d'))), 1, 15))::BIGINT prediction_id,
+    "predictions": ((), f"""
+        select {line_hash("date_diff('day', date '1970-01-01', cast(l_shipdate as date))")} prediction_id,
                'STU-' || l_orderkey study_id,
                case when ps >= pn and ps >= pc then 'sana' when pn >= pc then 'neumonia'
                     else 'covid' end predicted_label,

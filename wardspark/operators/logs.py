@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from wardspark.functions.logs import is_blank, parse_line
+from wardspark.functions.logs import is_blank, line_fields, parse_fields
 from wardspark.functions.paths import key_value_part
 
 
 def parse_logs(lines: DataFrame, service: str = "log_sync") -> DataFrame:
     """Log documents of the lines (line, path); blank lines give none."""
-    parsed = lines.where(~is_blank(F.col("line"))).withColumn("p", parse_line(F.col("line")))
+    split = lines.where(~is_blank(F.col("line"))).withColumn("_f", line_fields(F.col("line")))
+    # A generator of one row: later filters stay above it instead of repeating the parse.
+    parsed = split.select(
+        *lines.columns, F.inline(F.array(parse_fields(F.col("_f"), F.col("line"))))
+    )
     keep = [c for c in lines.columns if c not in ("line", "path")]
     return parsed.select(
         *keep,
-        "p.format", "p.event_time", "p.level", "p.logger", "p.message",
+        "format", "event_time", "level", "logger", "message",
         F.lit(service).alias("service"),
         F.lit("file").alias("source"),
         "path",

@@ -5,19 +5,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import (
-    IDF, CountVectorizer, NGram, RegexTokenizer, SQLTransformer, VectorAssembler,
-)
+from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame, functions as F
 
 from wardspark.functions.clean import clamp_age, normal_sex, usable_symptoms
 from wardspark.operators.evaluation import class_weights
-from wardspark.operators.text import MAX_TERMS, MIN_DOCUMENTS, WORD
+from wardspark.operators.text import MAX_TERMS, MIN_DOCUMENTS, with_pairs, words
 from wardspark.schemas import DIAGNOSES, SEXES
+from wardspark.session import stage
 
 MODEL_NAME = "symptoms_logreg"
 MODEL_VERSION = "v1"
@@ -36,15 +34,18 @@ def training_set(records: DataFrame) -> DataFrame:
 
 @dataclass
 class SymptomModel:
-    text: PipelineModel
+    vocabulary: CountVectorizerModel
     idf: np.ndarray
     age_mean: float
     age_deviation: float
     labels: list[str]
     classifier: LogisticRegressionModel | None = None
 
-    def features(self, df: DataFrame) -> DataFrame:
-        """Add ``features``: unit-length text weights, scaled age, one slot per known sex."""
+    def features(self, counted: DataFrame) -> DataFrame:
+        """Add ``features``: unit-length text weights, scaled age, one slot per known sex.
+
+        ``counted`` has the term counts of ``count_terms``.
+        """
         idf = self.idf
 
         @F.udf(VectorUDT())
@@ -56,48 +57,47 @@ class SymptomModel:
 
         age = ((F.col("age") - F.lit(self.age_mean)) / F.lit(self.age_deviation)).cast("double")
         sexes = [F.coalesce(F.col("sex") == s, F.lit(False)).cast("double") for s in SEXES]
-        counted = self.text.transform(df).select(
-            *df.columns,
+        weighed = counted.select(
+            *[c for c in counted.columns if c != "counts"],
             weigh("counts").alias("text_weights"),
             array_to_vector(F.array(F.coalesce(age, F.lit(0.0)), *sexes)).alias("person"),
         )
         joined = VectorAssembler(inputCols=["text_weights", "person"], outputCol="features")
-        return joined.transform(counted).drop("text_weights", "person")
-
-
-def _text_pipeline() -> Pipeline:
-    return Pipeline(
-        stages=[
-            RegexTokenizer(inputCol="symptoms", outputCol="words", pattern=WORD, gaps=False),
-            NGram(n=2, inputCol="words", outputCol="pairs"),
-            SQLTransformer(statement="SELECT *, concat(words, pairs) AS terms FROM __THIS__"),
-            CountVectorizer(
-                inputCol="terms", outputCol="counts", vocabSize=MAX_TERMS,
-                minDF=float(MIN_DOCUMENTS),
-            ),
-        ]
-    )
+        return joined.transform(weighed).drop("text_weights", "person")
+
+
+def _terms(df: DataFrame) -> DataFrame:
+    tokens = df.withColumn("_words", words(F.col("symptoms")))
+    return tokens.withColumn("terms", with_pairs(F.col("_words"))).drop("_words")
+
+
+def count_terms(df: DataFrame, vocabulary: CountVectorizerModel) -> DataFrame:
+    return vocabulary.transform(_terms(df)).drop("terms")
 
 
 def train(training: DataFrame, diagnoses: tuple[str, ...] = DIAGNOSES, max_iter: int = 400) -> SymptomModel:
     """Fit the classifier on rows of known diagnosis.
 
     Starts the jobs of Spark ML. What reaches the driver is bounded: at most 8000 terms, the
-    class weights of the closed set of diagnoses, and the coefficients.
+    class weights of the closed set of diagnoses, and the coefficients. Texts are split into
+    words twice, for the vocabulary and for the counts; the counts are staged for the rest.
     """
-    known = training.where(F.col("diagnosis").isin(*diagnoses))
-    text = _text_pipeline().fit(known)
+    known = training.where(F.col("diagnosis").isin(*diagnoses)).repartition("record_id")
+    vocabulary = CountVectorizer(
+        inputCol="terms", outputCol="counts", vocabSize=MAX_TERMS, minDF=float(MIN_DOCUMENTS)
+    ).fit(_terms(known))
+    counted = stage(count_terms(known, vocabulary).drop("symptoms"), "term-counts")
     # Spark's idf is ln((N + 1) / (df + 1)); the features use that plus one.
-    idf = IDF(inputCol="counts", outputCol="weighted").fit(text.transform(known)).idf.toArray() + 1.0
-    stats = known.agg(F.avg("age").alias("m"), F.stddev_pop("age").alias("s")).first()
-    weights = {r["diagnosis"]: r for r in class_weights(known, "diagnosis").collect()}
+    idf = IDF(inputCol="counts", outputCol="weighted").fit(counted).idf.toArray() + 1.0
+    stats = counted.agg(F.avg("age").alias("m"), F.stddev_pop("age").alias("s")).first()
+    weights = {r["diagnosis"]: r for r in class_weights(counted, "diagnosis").collect()}
     labels = sorted(weights)
-    model = SymptomModel(text, idf, stats["m"] or 0.0, stats["s"] or 1.0, labels)
+    model = SymptomModel(vocabulary, idf, stats["m"] or 0.0, stats["s"] or 1.0, labels)
 
     pairs = [x for label in labels for x in (F.lit(label), F.lit(weights[label]["weight"]))]
     order = F.array(*[F.lit(v) for v in labels])
     ready = model.features(
-        known.withColumn("weight", F.element_at(F.create_map(*pairs), F.col("diagnosis")))
+        counted.withColumn("weight", F.element_at(F.create_map(*pairs), F.col("diagnosis")))
         .withColumn("target", (F.array_position(order, F.col("diagnosis")) - 1).cast("double"))
     )
     rows = sum(r["n"] for r in weights.values())
@@ -116,7 +116,7 @@ def score(records: DataFrame, model: SymptomModel) -> DataFrame:
         clamp_age(F.col("age")).alias("age"),
         normal_sex(F.col("sex")).alias("sex"),
     )
-    scored = model.classifier.transform(model.features(usable))
+    scored = model.classifier.transform(model.features(count_terms(usable, model.vocabulary)))
     labels = F.array(*[F.lit(v) for v in model.labels])
     probs = vector_to_array("probability")
     position = F.array_position(probs, F.array_max(probs)).cast("int")
