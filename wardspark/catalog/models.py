@@ -420,7 +420,7 @@ def report_json_flatten(d: Domain) -> DataFrame:
     """Metrics written as a nested JSON report, read with the report schema and flattened."""
     keys = ("split",)
     cells = ev.confusion_cells(_evaluated(d), MODEL_LABELS, keys)
-    report = evaluation_report(cells, "v1")
+    report = ev.evaluation_report(cells, "v1")
     path = scratch_path(d.spark, "report")
     sinks.write_report(report, path)
     read = files.read_training_report(d.spark, [f"{path}-absent", path])
@@ -430,34 +430,6 @@ def report_json_flatten(d: Domain) -> DataFrame:
     return _rounded(flat, ("precision", "recall", "f1"))
 
 
-def evaluation_report(cells: DataFrame, model_version: str) -> DataFrame:
-    """One nested row from confusion cells with key ``split``; a few dozen values in all."""
-    keys = ("split",)
-    classes = ev.class_metrics(cells, keys)
-    summary = ev.metrics_summary(classes, keys)
-    entry = F.struct("precision", "recall", "f1", "support")
-    per_class = classes.groupBy("split").agg(
-        F.map_from_entries(F.collect_list(F.struct("label", entry))).alias("per_class")
-    )
-    rows = cells.groupBy("split", "actual").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("predicted", "n"))), lambda c: c["n"]).alias("row")
-    )
-    matrix = rows.groupBy("split").agg(
-        F.array_sort(F.collect_list(F.struct("actual", "row"))).alias("m")
-    ).select(
-        "split", F.transform("m", lambda r: r["row"]).alias("confusion_matrix"),
-        F.transform("m", lambda r: r["actual"]).alias("labels"),
-    )
-    body = summary.join(per_class, "split").join(matrix, "split").select(
-        "split",
-        F.struct("n_samples", "accuracy", "precision_macro", "recall_macro", "f1_macro",
-                 "f1_weighted", "per_class", "confusion_matrix", "labels").alias("m"),
-    )
-    return body.agg(
-        F.map_from_entries(F.collect_list(F.struct("split", "m"))).alias("metrics_by_split")
-    ).select(F.lit(model_version).alias("model_version"), "metrics_by_split")
-
-
 @register("best_checkpoint", tables="predictions", sql="""
 select name, score from (
   select 'model_' || study_id || '_val' || rpad(cast(max(prob_sana) as varchar), 7, '0') || '.keras' "name",

@@ -65,11 +65,14 @@ def debounce(arrivals: DataFrame, gap: str, time: str = "ts") -> DataFrame:
     """Bursts per path: a path is ready when no event came for ``gap`` after its last one.
 
     Works on a batch and, below a watermark, on a stream. Sessions are merged on the map side
-    first (see the session defaults).
+    first (see the session defaults). Spark joins sessions that touch, but an event exactly
+    one gap later belongs to a new burst, hence the microsecond.
     """
-    return (
-        arrivals.groupBy("path", F.session_window(time, gap).alias("w"))
-        .agg(F.count(F.lit(1)).alias("events"), F.max(time).alias("last_event"))
-        .select("path", F.col("w.start").alias("first_event"), "last_event",
-                F.col("w.end").alias("ready_at"), "events")
+    window = F.session_window(time, f"{gap} -1 microseconds").alias("w")
+    bursts = arrivals.groupBy("path", window).agg(
+        F.count(F.lit(1)).alias("events"), F.max(time).alias("last_event")
+    )
+    ready = F.col("last_event") + F.expr(f"interval '{gap}'")
+    return bursts.select(
+        "path", F.col("w.start").alias("first_event"), "last_event", ready.alias("ready_at"), "events"
     )
