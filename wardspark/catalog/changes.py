@@ -11,7 +11,7 @@ from wardspark.catalog.operations import _RUNS, _runs
 from wardspark.catalog.registry import register
 from wardspark.functions import ids
 from wardspark.operators import lookup, mutate, studies as st
-from wardspark.session import scratch_path
+from wardspark.session import scratch_path, stage
 from wardspark.sources.sinks import Snapshots
 
 _STUDY_UPDATE = ["patient_id", "file_path", "split", "label", "source_dataset", "captured_at"]
@@ -174,6 +174,7 @@ where study_id not in (select study_id from lost)""")
 def delete_patients_cascade(d: Domain) -> DataFrame:
     """What is left of the three tables after the accepted deletes."""
     decided = mutate.delete_decisions(_delete_requests(d), d.patients(), d.studies())
+    decided = stage(decided, "delete-decisions")
     left = mutate.delete_patients(decided, d.patients(), d.studies(), d.predictions())
     return _remaining(*left)
 

@@ -72,6 +72,12 @@ def _inspected(d: Domain) -> DataFrame:
     return validate.inspect_files(d.manifest())
 
 
+def _classified(d: Domain) -> DataFrame:
+    """Classified files. The narrow result of the inspection is staged, since classifying uses
+    it twice: contents are read and hashed once."""
+    return validate.classify(stage(_inspected(d), "inspected"))
+
+
 @register("ingest_report", tables="classified", sql="""
 select count(*)::bigint total_scanned,
        count(*) filter (where reject_reason is null)::bigint valid_unique,
@@ -210,14 +216,14 @@ def object_keys(d: Domain) -> DataFrame:
 select file_path, content_hash, reject_reason, file_size::bigint file_size, "label", split
 from classified where reject_reason is not null""")
 def reject_reasons(d: Domain) -> DataFrame:
-    return validate.rejected(validate.classify(_inspected(d)))
+    return validate.rejected(_classified(d))
 
 
 @register("quality_issues", tables="classified", sql="""
 select 'RUN-1' run_id, reject_reason issue_type, file_path details
 from classified where reject_reason is not null""")
 def quality_issue_rows(d: Domain) -> DataFrame:
-    return quality.issue_rows(validate.rejected(validate.classify(_inspected(d))), F.lit("RUN-1"))
+    return quality.issue_rows(validate.rejected(_classified(d)), F.lit("RUN-1"))
 
 
 @register("quality_alert", tables="classified", sql="""
@@ -487,7 +493,7 @@ from classified group by all""")
 def parquet_sinks(d: Domain) -> DataFrame:
     """Accepted and rejected files written as partitioned tables and read back."""
     path = scratch_path(d.spark, "classified")
-    sinks.write_table(validate.classify(_inspected(d)), path, ("split",))
+    sinks.write_table(_classified(d), path, ("split",))
     return d.spark.read.parquet(path).groupBy(
         "split", F.coalesce("reject_reason", F.lit("kept")).alias("outcome")
     ).agg(F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("total_bytes"))

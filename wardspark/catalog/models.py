@@ -33,7 +33,7 @@ images as (
 
 def _images(d: Domain) -> DataFrame:
     """Accepted files with the hash of their content."""
-    inspected = validate.inspect_files(d.manifest())
+    inspected = stage(validate.inspect_files(d.manifest()), "inspected")
     return validate.accepted(validate.classify(inspected)).select(
         "file_path", "label", "split", "content_hash"
     )
@@ -112,8 +112,7 @@ select sample_id, file_path source_path,
 from index_rows""")
 def feature_index(d: Domain) -> DataFrame:
     """From stored files to the index: validate, drop duplicates, split, plan, name."""
-    staged = stage(_images(d), "images")
-    split = features.stratified_split(staged, STUDY_LABELS)
+    split = features.stratified_split(stage(_images(d), "images"), STUDY_LABELS)
     return features.feature_index(features.augmentation_plan(split))
 
 
@@ -444,21 +443,15 @@ def best_checkpoint(d: Domain) -> DataFrame:
 
 
 @register("training_curve", sql="""
-select run, phase, epoch, step::bigint step, step = max(step) over (partition by run, phase) is_boundary
-from (select user_id run, phase, epoch, row_number() over (partition by user_id order by phase, epoch) step
-      from (select user_id, case when event_type in ('view', 'click') then 1 else 2 end phase,
-                   row_number() over (partition by user_id, event_type in ('view', 'click') order by ts, event_id) epoch
-            from events))""")
+select conv_id run, phase, turn epoch, step::bigint step, step = max(step) over (partition by conv_id, phase) is_boundary
+from (select *, row_number() over (partition by conv_id order by phase, turn) step
+      from (select conv_id, turn, case when turn < 3 then 1 else 2 end phase from conversations))""")
 def training_curve(d: Domain) -> DataFrame:
-    """Events of a user as epochs of two phases on one axis."""
-    from pyspark.sql import Window
-
-    phase = F.when(F.col("event_type").isin("view", "click"), F.lit(1)).otherwise(F.lit(2))
-    order = Window.partitionBy("run", "phase").orderBy("ts", "event_id")
-    epochs = d.raw("events").select(F.col("user_id").alias("run"), phase.alias("phase"), "ts", "event_id").select(
-        "run", "phase", F.row_number().over(order).cast("bigint").alias("epoch")
+    """Turns of a conversation as epochs of two phases on one axis."""
+    phases = d.raw("conversations").selectExpr(
+        "conv_id run", "case when turn < 3 then 1 else 2 end phase", "turn epoch"
     )
-    return ev.training_curve(epochs)
+    return ev.training_curve(phases)
 
 
 # -- simulation ------------------------------------------------------------------------

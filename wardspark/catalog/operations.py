@@ -9,7 +9,7 @@ from wardspark.catalog.registry import register
 from wardspark.functions.logs import is_blank
 from wardspark.functions.paths import key_value_part
 from wardspark.operators import arrivals as arr, logs as log_ops, lookup, quality, summary
-from wardspark.session import scratch_path
+from wardspark.session import scratch_path, stage
 from wardspark.sources import files, sinks
 
 _RUNS = """
@@ -265,7 +265,7 @@ def integration_check(d: Domain) -> DataFrame:
 def _checks(d: Domain) -> DataFrame:
     from wardspark.operators import validate
 
-    inspected = validate.inspect_files(d.manifest())
+    inspected = stage(validate.inspect_files(d.manifest()), "inspected")
     report = validate.ingest_report(inspected).select(F.col("valid_unique").alias("n"))
     objects = validate.first_copies(inspected).agg(F.count(F.lit(1)).alias("n"))
     events = d.run_events()

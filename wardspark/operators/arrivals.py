@@ -65,9 +65,11 @@ def debounce(arrivals: DataFrame, gap: str, time: str = "ts") -> DataFrame:
     """Bursts per path: a path is ready when no event came for ``gap`` after its last one.
 
     Works on a batch and, below a watermark, on a stream. Sessions are merged on the map side
-    first (see the session defaults). Spark joins sessions that touch, but an event exactly
+    first, so a path with very many events ships few rows. Spark joins sessions that touch, but an event exactly
     one gap later belongs to a new burst, hence the microsecond.
     """
+    for scope in ("spark.sql", "spark.sql.streaming"):
+        arrivals.sparkSession.conf.set(f"{scope}.sessionWindow.merge.sessions.in.local.partition", True)
     window = F.session_window(time, f"{gap} -1 microseconds").alias("w")
     bursts = arrivals.groupBy("path", window).agg(
         F.count(F.lit(1)).alias("events"), F.max(time).alias("last_event")

@@ -74,7 +74,7 @@ def tfidf(frequencies: DataFrame, terms: DataFrame) -> DataFrame:
 
 def age_scaled(records: DataFrame, key: str, age: str = "age") -> DataFrame:
     """Age minus its mean, over its population deviation (1 when that is 0)."""
-    mean = records.agg(F.avg(age)).scalar()
-    sd = records.agg(F.stddev_pop(age)).scalar()
-    scale = F.when(sd == 0, F.lit(1.0)).otherwise(sd)
-    return records.select(key, age, ((F.col(age) - mean) / scale).alias("age_scaled"))
+    moments = F.struct(F.avg(age).alias("mean"), F.stddev_pop(age).alias("sd"))
+    stats = records.agg(moments).scalar()
+    scale = F.when(stats["sd"] == 0, F.lit(1.0)).otherwise(stats["sd"])
+    return records.select(key, age, ((F.col(age) - stats["mean"]) / scale).alias("age_scaled"))

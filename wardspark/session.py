@@ -15,8 +15,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Merge sessions on the map side first, so that a hot key ships few rows.
-    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 
