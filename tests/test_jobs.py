@@ -40,7 +40,10 @@ def tree(root):
 def test_ingest_from_tree(spark, tmp_path):
     tree(tmp_path)
     out = str(tmp_path / "out")
-    report = ingest.run(spark, str(tmp_path / "raw"), out, run_id="RUN-1").first()
+    report = ingest.run(spark, str(tmp_path / "raw"), out, run_id="RUN-1", upload=True).first()
+    stored = spark.read.parquet(f"{out}/objects")
+    assert rows(stored.select("object_key")) == rows(spark.read.parquet(f"{out}/validated").select("object_key"))
+    assert stored.where(F.concat(F.lit("raw/"), F.md5("content"), F.lit(".jpg")) != F.col("object_key")).count() == 0
     assert (report.total_scanned, report.valid_unique, report.rejected) == (4, 2, 2)
     assert (report.invalid_corrupt, report.invalid_incomplete, report.duplicates_removed) == (1, 0, 1)
     assert rows(spark.read.parquet(f"{out}/rejected").select("file_path", "reject_reason")) == [

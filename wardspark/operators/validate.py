@@ -9,27 +9,43 @@ from wardspark.functions.clean import known
 from wardspark.schemas import IMAGE_SPLITS, MIN_IMAGE_BYTES, STUDY_LABELS
 
 
-def inspect_files(
-    files: DataFrame, min_bytes: int = MIN_IMAGE_BYTES, drop_content: bool = True
-) -> DataFrame:
-    """Add size, validity, label and content hash; the content itself goes no further.
+def content_facts(min_bytes: int = MIN_IMAGE_BYTES) -> list[Column]:
+    """What is kept of a file's content: size, validity and hash. All null or false if missing."""
+    ok = fc.is_valid_jpeg(F.col("content"), min_bytes)
+    return [
+        F.octet_length("content").cast("bigint").alias("file_size"),
+        ok.alias("is_valid_jpg"),
+        F.when(ok, F.md5("content")).alias("content_hash"),
+    ]
+
+
+def judge(facts: DataFrame) -> DataFrame:
+    """Complete the facts of manifest rows: final label, and whether split and label are known.
 
-    A projection: a missing file (null content) has size 0 and is neither valid nor complete.
+    A missing file (null size) has size 0 and is neither valid nor complete.
     """
-    present = F.col("content").isNotNull()
-    ok = fc.is_valid_jpeg(F.col("content"), min_bytes)
     label = paths.label_or_folder(F.col("label"), F.col("folder"))
-    complete = known(F.col("split"), IMAGE_SPLITS) & known(label, STUDY_LABELS) & present
-    out = files.select(
-        *[c for c in files.columns if c not in ("content", "label")],
-        *([] if drop_content else ["content"]),
+    complete = (
+        known(F.col("split"), IMAGE_SPLITS) & known(label, STUDY_LABELS)
+        & F.col("file_size").isNotNull()
+    )
+    own = ("label", "file_size", "is_valid_jpg", "content_hash")
+    return facts.select(
+        *[c for c in facts.columns if c not in own],
         label.alias("label"),
-        F.coalesce(F.octet_length("content"), F.lit(0)).cast("bigint").alias("file_size"),
-        ok.alias("is_valid_jpg"),
+        F.coalesce("file_size", F.lit(0)).cast("bigint").alias("file_size"),
+        F.coalesce("is_valid_jpg", F.lit(False)).alias("is_valid_jpg"),
         complete.alias("path_ok"),
-        F.when(ok, F.md5("content")).alias("content_hash"),
+        "content_hash",
     )
-    return out
+
+
+def inspect_files(
+    files: DataFrame, min_bytes: int = MIN_IMAGE_BYTES, drop_content: bool = True
+) -> DataFrame:
+    """Add size, validity, label and content hash; the content itself goes no further."""
+    kept = [c for c in files.columns if c != "content" or not drop_content]
+    return judge(files.select(*kept, *content_facts(min_bytes)))
 
 
 def usable() -> Column:

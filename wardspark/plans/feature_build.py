@@ -42,9 +42,9 @@ def run(
         decoded = (
             spark.read.format("image").option("recursiveFileLookup", True)
             .option("pathGlobFilter", "*.{jpg,jpeg,png,JPG,JPEG,PNG}").option("dropInvalid", True)
-            .load(data_root).select("image", F.regexp_extract("image.origin", r"^(?:[a-z0-9]+:/*)?(/.*)$", 1).alias("_path"))
+            .load(data_root).select("image", files.plain_path(F.col("image.origin")).alias("_path"))
         )
-        local = F.regexp_extract(F.col("fs_path"), r"^(?:[a-z0-9]+:/*)?(/.*)$", 1)
+        local = files.plain_path(F.col("fs_path"))
         # The path is unique on both sides; its hash spreads the pixel work evenly. A missing or
         # unreadable file has no image and gives no sample.
         work = split.withColumn("_path", local).join(decoded, "_path")

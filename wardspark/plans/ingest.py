@@ -13,17 +13,19 @@ from wardspark.functions import paths
 from wardspark.operators import quality, validate
 from wardspark.operators.lookup import top_per_key
 from wardspark.plans.runs import RunLog, new_run_id
-from wardspark.schemas import MANIFEST_CSV
+from wardspark.schemas import FOLDER_LABELS, MANIFEST_CSV
 from wardspark.session import build_session
 from wardspark.sources import files, sinks
 
 
-def load_files(spark: SparkSession, root: str, manifest: str | None, data_root: str) -> DataFrame:
-    """Files to inspect with content (null where missing) and ``listed``, the times listed.
+def load_facts(spark: SparkSession, root: str, manifest: str | None, data_root: str) -> DataFrame:
+    """Facts of the listed files (null where missing) and ``listed``, the times listed.
 
-    A manifest line that repeats is read once and counted; without a manifest the tree below
+    Contents become facts before the join with the manifest, so they are never shuffled. A
+    manifest line that repeats is inspected once and counted; without a manifest the tree below
     ``root`` is the manifest.
     """
+    found = files.list_images(spark, root, glob="*", content=True)
     if manifest and files.exists(spark, manifest):
         listed = files.read_csv_text(spark, manifest, MANIFEST_CSV)
         counted = listed.groupBy(*listed.columns).agg(F.count(F.lit(1)).alias("listed"))
@@ -32,18 +34,27 @@ def load_files(spark: SparkSession, root: str, manifest: str | None, data_root:
         totals = counted.groupBy("file_path").agg(F.sum("listed").alias("listed"))
         one = top_per_key(counted.drop("listed"), ["file_path"], order).join(totals, "file_path")
         placed = one.withColumn("fs_path", paths.resolve_local(F.col("file_path"), data_root))
-        return files.attach_content(placed, root)
-    tree = files.list_images(spark, root, content=True)
-    return tree.where(F.col("folder").isin("NORMAL", "PNEUMONIA", "COVID19")).select(
+        return files.attach_files(placed, found.select("fs_path", *validate.content_facts()))
+    return found.where(F.col("folder").isin(*FOLDER_LABELS) & F.lower("filename").endswith(".jpg")).select(
         F.concat_ws("/", F.lit("data/raw/scans"), "split", "folder", "filename").alias("file_path"),
-        "fs_path", "filename", "split", "folder", F.lit("").alias("label"), "content",
-        F.lit(1).cast("long").alias("listed"),
+        "fs_path", "filename", "split", "folder", F.lit("").alias("label"),
+        *validate.content_facts(), F.lit(1).cast("long").alias("listed"),
     )
 
 
+def store_accepted(spark: SparkSession, root: str, accepted: DataFrame, path: str, limit: int = 0) -> None:
+    """Store the contents of accepted files under their keys; ``limit`` 0 stores all."""
+    if limit > 0:
+        accepted = accepted.orderBy("file_path").limit(limit)
+    contents = files.list_images(spark, root, glob="*", content=True).select("fs_path", "content")
+    keyed = accepted.select("fs_path", "object_key")
+    sinks.store_objects(files.attach_files(keyed, contents), path)
+
+
 def run(
     spark: SparkSession, root: str, out: str, manifest: str | None = None,
-    data_root: str | None = None, run_id: str | None = None,
+    data_root: str | None = None, run_id: str | None = None, upload: bool = False,
+    max_upload: int = 0,
 ) -> DataFrame:
     """Write ``classified``, ``validated``, ``rejected``, ``issues``, ``alerts`` and ``report``.
 
@@ -53,8 +64,8 @@ def run(
     log = RunLog(spark, f"{out}/log", run_id or new_run_id("IMG"), "ingest_files", "ingest")
 
     def job(log: RunLog) -> DataFrame:
-        loaded = load_files(spark, root, manifest, data_root or root)
-        sinks.write_table(validate.inspect_files(loaded), f"{out}/inspected")
+        facts = load_facts(spark, root, manifest, data_root or root)
+        sinks.write_table(validate.judge(facts), f"{out}/inspected")
         inspected = spark.read.parquet(f"{out}/inspected")
         sinks.write_table(validate.classify(inspected), f"{out}/classified")
         classified = spark.read.parquet(f"{out}/classified")
@@ -86,6 +97,9 @@ def run(
 
         accepted = validate.accepted(classified).drop("reject_reason", "is_valid_jpg", "path_ok")
         sinks.write_table(accepted, f"{out}/validated")
+        if upload:
+            stored = spark.read.parquet(f"{out}/validated")
+            store_accepted(spark, root, stored, f"{out}/objects", max_upload)
         rejected = validate.rejected(classified)
         sinks.write_table(rejected, f"{out}/rejected")
         sinks.write_table(quality.issue_rows(rejected, F.lit(log.run_id)), f"{out}/issues", mode="append")

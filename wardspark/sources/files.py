@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from wardspark.functions import paths
@@ -90,21 +90,18 @@ def scan_manifest(spark: SparkSession, root: str, logical_root: str) -> DataFram
     )
 
 
-def attach_content(manifest: DataFrame, root: str, glob: str = "*") -> DataFrame:
-    """Manifest rows with the content of their file; null where the file is missing.
+def plain_path(path: Column) -> Column:
+    """A path without scheme, so that ``file:/x``, ``file:///x`` and ``/x`` are equal."""
+    return F.regexp_extract(path, r"^(?:[a-z0-9]+:/*)?(/.*)$", 1)
 
-    Joined on the path below the data root, so that mount points and schemes do not matter.
+
+def attach_files(manifest: DataFrame, listed: DataFrame) -> DataFrame:
+    """Manifest rows with the columns of their listed file, null where it is missing.
+
+    Both sides have ``fs_path``; the listed side should carry facts, not contents.
     """
-    spark = manifest.sparkSession
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob).load(root)
-        .select(
-            F.regexp_extract("path", r"^(?:[a-z0-9]+:/*)?(/.*)$", 1).alias("_path"),
-            F.col("content"),
-        )
-    )
-    return manifest.join(files, manifest["fs_path"] == files["_path"], "left").drop("_path")
+    found = listed.withColumn("_path", plain_path(F.col("fs_path"))).drop("fs_path")
+    return manifest.join(found, plain_path(manifest["fs_path"]) == found["_path"], "left").drop("_path")
 
 
 def read_training_report(spark: SparkSession, candidates: list[str]) -> DataFrame | None:
