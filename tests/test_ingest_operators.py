@@ -129,3 +129,16 @@ def test_patient_problems(spark):
         "patient_id string, display_name string, sex string, age_range string, site_code string")
     got = [r[0] for r in df.select(patient_problems(F.col("site_code").isNotNull())).collect()]
     assert got == [[], ["display_name", "patient_id", "sex", "age_range", "site_code"], ["display_name", "patient_id", "age_range"]]
+
+
+def test_one_content_holding_a_third_of_all_files(spark):
+    """Brute force in Python against the operators, with one hot content and many rare ones."""
+    data = [(f"p/{i:05d}", "train", "NORMAL", "", JPEG if i % 3 == 0 else JPEG + str(i // 4).encode()) for i in range(3000)]
+    df = spark.createDataFrame(data, "file_path string, split string, folder string, label string, content binary")
+    first = {}
+    for path, *_, body in sorted(data):
+        first.setdefault(body, path)
+    inspected = validate.inspect_files(df.repartition(8))
+    assert rows(validate.accepted(validate.classify(inspected)).select("file_path")) == [(p,) for p in sorted(first.values())]
+    report = validate.ingest_report(inspected).first()
+    assert (report.valid_unique, report.duplicates_removed) == (len(first), 3000 - len(first))
