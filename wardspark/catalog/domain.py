@@ -22,6 +22,8 @@ class Domain:
 
     def __init__(self, spark: SparkSession, folder: str):
         ship_package(spark)
+        # The tables hold UTC times without zone; windows and epoch seconds rely on that.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark = spark
         self.folder = folder.rstrip("/")
 
