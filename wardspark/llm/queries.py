@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardspark.llm import bpe, jaccard, mixing, quality, secret_scan
+from wardspark.llm import (
+    bpe, jaccard, main_text, mixing, neighbours, preference, quality, secret_scan, sharding, toxicity,
+)
 from wardspark.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -19,16 +21,37 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign(table(spark, folder, "documents"))
+
+
 def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
+def op5_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.main_texts(table(spark, folder, "pages"))
+
+
+def op6_preference_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    return preference.against_next(table(spark, folder, "conversations"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"))
 
 
+def op8_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"))
+
+
 def op9_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -42,6 +65,9 @@ def op10_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_byte_bpe, op3_source_mixing, op7_ngram_jaccard, op9_quality_votes, op10_secret_ownership)
+    for f in (
+        op1_byte_bpe, op2_hilbert_shards, op3_source_mixing, op4_toxicity, op5_main_text, op6_preference_pairs,
+        op7_ngram_jaccard, op8_nearest_vectors, op9_quality_votes, op10_secret_ownership,
+    )
 }
 ORACLES: dict[str, str] = {}
