@@ -32,6 +32,8 @@ def test_sex_symptoms_timestamp_int(spark):
     assert one(spark, clean.usable_symptoms(F.lit(None).cast("string"))) is False
     assert str(one(spark, clean.timestamp(F.col("x")), x="2026-04-01T09:00:00Z")) == "2026-04-01 09:00:00"
     assert one(spark, clean.timestamp(F.col("x")), x="soon") is None
+    assert one(spark, clean.timestamp(F.col("x")), x="12:30") is None
+    assert str(one(spark, clean.timestamp(F.col("x")), x="2026-01-01T00:00:00.5+02:00")) == "2025-12-31 22:00:00.500000"
     assert one(spark, clean.int_or_zero(F.col("x")), x=" ") == 0
     assert one(spark, clean.shorten(F.col("x")), x="a" * 121) == "a" * 120 + "…"
     assert one(spark, clean.shorten(F.col("x")), x="a" * 120) == "a" * 120
@@ -79,7 +81,9 @@ def test_log_lines(spark):
         ("[2026-05-01 10:00:00] INFO [api] — started", "bracket", "2026-05-01 10:00:00", "INFO", "api", "started"),
         ("[2026-05-01T10:00:00] ERROR [ml] — a — b", "bracket", "2026-05-01 10:00:00", "ERROR", "ml", "a — b"),
         ("[yesterday] INFO [api] — x", "bracket", "None", "INFO", "api", "x"),
-        ("[2026-05-01 10:00:00,123] {t.py:1} - done", "task", "2026-05-01 10:00:00", "INFO", "t.py:1", "done"),
+        ("[2026-05-01 10:00:00,123] {t.py:1} - done", "task", "2026-05-01 10:00:00.123000", "INFO", "t.py:1", "done"),
+        ("[2026-05-01T10:00:00+02:00] INFO [api] — z", "bracket", "2026-05-01 08:00:00", "INFO", "api", "z"),
+        ("2026-05-01T10:00:00.250-01:00 | INFO | w | m", "service", "2026-05-01 11:00:00.250000", "INFO", "w", "m"),
         ("2026-05-01T10:00:00 | WARNING | watcher | a | b", "service", "2026-05-01 10:00:00", "WARNING", "watcher", "a | b"),
         ("[2026-05-01 10:00:00] no format", "raw", "None", "INFO", "raw", "[2026-05-01 10:00:00] no format"),
         ("price $1 \\2", "raw", "None", "INFO", "raw", "price $1 \\2"),

@@ -7,7 +7,7 @@ from tests.conftest import rows
 from wardspark.operators import arrivals as arr
 from wardspark.plans import log_sync
 from wardspark.streaming import flows
-from wardspark.streaming.log_tail import LogTail, read_range
+from wardspark.streaming.log_tail import LogTail, read_range, whole_length
 
 T0 = dt.datetime(2026, 1, 1)
 
@@ -31,7 +31,7 @@ def test_debounce_batch(spark):
 def test_name_clash_gets_suffix(spark):
     got = dict(rows(arr.destinations(arr.route_arrivals(arrivals(spark))).select("event_id", "destination")))
     assert got[1] == "train/NORMAL/a.jpg" and got[5] == "train/NORMAL/b.JPG"
-    assert got[2] == f"train/NORMAL/a_{int(T0.replace(tzinfo=dt.timezone.utc).timestamp()) + 1}.jpg"
+    assert got[2] == "train/NORMAL/a_2.jpg"
     assert sorted(got) == [1, 2, 3, 4, 5]
 
 
@@ -66,6 +66,28 @@ def test_unique_contents_across_batches(spark, tmp_path):
     assert rows(spark.read.parquet(out).select("file_path")) == [("b",), ("c",)]
 
 
+def test_two_streams_fill_one_table(spark, tmp_path):
+    out = str(tmp_path / "out")
+    body = b"\xff\xd8\xff" + b"a" * 600
+    schema = "file_path string, split string, folder string, label string, content binary"
+    for source, names in (("one", "bc"), ("two", "ad")):
+        src = str(tmp_path / source)
+        spark.createDataFrame([(n, "train", "NORMAL", "", body + (n.encode() if n in "cd" else b"")) for n in names], schema).write.parquet(src)
+        for _ in range(2):
+            flows.unique_contents(flows.stream_table(spark, src), out, str(tmp_path / f"state-{source}"))
+    assert rows(spark.read.parquet(out).select("file_path")) == [("b",), ("c",), ("d",)]
+
+
+def test_names_stay_unique_over_batches(spark, tmp_path):
+    src, out, state = (str(tmp_path / n) for n in ("src", "out", "state"))
+    for pair in ((1, 2), (3, 4)):
+        data = [(i, sec(0), "train/NORMAL/a.jpg") for i in pair]
+        spark.createDataFrame(data, "event_id long, ts timestamp, path string").coalesce(1).write.mode("append").parquet(src)
+        flows.route_to_tables(flows.stream_table(spark, src), out, state)
+    moved = [r[0] for r in spark.read.parquet(f"{out}/moved").select("destination").collect()]
+    assert sorted(moved) == ["train/NORMAL/a.jpg"] + [f"train/NORMAL/a_{i}.jpg" for i in (2, 3, 4)]
+
+
 def test_new_files_once(spark, tmp_path):
     src, out, state = tmp_path / "src", str(tmp_path / "out"), str(tmp_path / "state")
     src.mkdir()
@@ -79,8 +101,8 @@ def test_new_files_once(spark, tmp_path):
 @pytest.mark.parametrize("size", [1, 2, 3, 5, 7, 100])
 def test_ranges_split_a_file_without_loss(tmp_path, size):
     path = tmp_path / "x.log"
-    path.write_bytes("uno\n\ndos tres\nñandú\nfin".encode())
-    end = path.stat().st_size
+    path.write_bytes("uno\n\ndos tres\nñandú\nfin\nnot yet".encode())
+    end = whole_length(str(path), 0, path.stat().st_size, size)
     got = [line for low in range(0, end, size) for line in read_range(str(path), 0, low, min(low + size, end), end, 4)]
     assert got == ["uno", "", "dos tres", "ñandú", "fin"]
 
@@ -97,6 +119,12 @@ def test_tail_grows_truncates_and_repeats(spark, tmp_path):
         f.write("three\n")
     (root / "b.log").write_text("other\n")
     assert rows(tail.run_once().select("line")) == [("other",), ("three",)]
+    with log.open("a") as f:
+        f.write("tw")
+    assert tail.run_once().count() == 0
+    with log.open("a") as f:
+        f.write("o\n")
+    assert rows(tail.run_once().select("line")) == [("two",)]
     log.write_text("new\n")
     assert rows(tail.run_once().select("line")) == [("new",)]
 

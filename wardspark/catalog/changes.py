@@ -191,18 +191,38 @@ def _remaining(patients: DataFrame, studies: DataFrame, predictions: DataFrame)
 
 
 _PURGE = """
-kept_studies as (select * from studies where source_dataset <> 'api_upload'),
+held_patients as (
+  select patient_id, case when hash5 % 5 <> 0 then display_name end display_name, sex, age_range,
+         case when hash5 % 7 <> 0 then site_code end site_code
+  from (select *, ('0x' || substr(md5(patient_id), 1, 8))::bigint hash5 from patients)),
+held_studies as (
+  select study_id, patient_id, case when ('0x' || substr(md5(study_id), 1, 8))::bigint % 5 <> 0 then source_dataset end source_dataset
+  from studies),
+kept_studies as (select * from held_studies where coalesce(source_dataset <> 'api_upload', true)),
 kept_patients as (
-  select * from patients p where not (display_name like 'Paciente %'
+  select * from held_patients p where not coalesce(display_name like 'Paciente %'
     or (not exists (select 1 from kept_studies s where s.patient_id = p.patient_id)
-        and site_code in ('S3', 'S4'))))
+        and site_code in ('S3', 'S4')), false))
 """
 
 
+def _purged(d: Domain) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The purge over tables in which some names, sites and sources are null."""
+    number = "cast(conv(substring(md5({0}), 1, 8), 16, 10) as bigint)"
+    patients = d.patients().selectExpr(
+        "patient_id", f"case when {number.format('patient_id')} % 5 <> 0 then display_name end display_name", "sex", "age_range",
+        f"case when {number.format('patient_id')} % 7 <> 0 then site_code end site_code",
+    )
+    studies = d.studies().selectExpr(
+        "study_id", "patient_id", f"case when {number.format('study_id')} % 5 <> 0 then source_dataset end source_dataset"
+    )
+    return mutate.purge_demo(patients, studies, d.predictions(), ("S3", "S4"))
+
+
 @register("purge_demo_patients", tables="patients studies", sql=f"""
 with {_PURGE} select * from kept_patients""")
 def purge_demo_patients(d: Domain) -> DataFrame:
-    return mutate.purge_demo(d.patients(), d.studies(), d.predictions(), ("S3", "S4"))[0]
+    return _purged(d)[0]
 
 
 @register("purge_demo_predictions", tables="patients studies predictions", sql=f"""
@@ -210,9 +230,9 @@ with {_PURGE}
 select 'patients' table_name, count(*)::bigint n, min(patient_id) first_key from kept_patients
 union all select 'studies', count(*), min(study_id) from kept_studies
 union all select 'predictions', count(*), min(study_id) from predictions
-where study_id not in (select study_id from studies where source_dataset = 'api_upload')""")
+where study_id not in (select study_id from held_studies where source_dataset = 'api_upload')""")
 def purge_demo_predictions(d: Domain) -> DataFrame:
-    return _remaining(*mutate.purge_demo(d.patients(), d.studies(), d.predictions(), ("S3", "S4")))
+    return _remaining(*_purged(d))
 
 
 @register("snapshot_merge", tables="patients studies", sql="""

@@ -95,16 +95,20 @@ def patient_detail(d: Domain) -> DataFrame:
     people = d.patients().join(d.sites(), "site_code").select(
         "patient_id", "display_name", "site_name"
     )
-    return people.join(studies, "patient_id", "left")
+    # A patient may have very many studies: the studies lead, and adaptive execution can split them.
+    # Patients without studies come from an anti join against distinct ids.
+    found = studies.join(people, "patient_id")
+    without = people.join(d.studies().select("patient_id").distinct(), "patient_id", "left_anti")
+    return found.unionByName(without, allowMissingColumns=True).select(*people.columns, *studies.drop("patient_id").columns)
 
 
 @register("patient_totals", tables="patients studies clinical_predictions", sql="""
 select patient_id, coalesce(a.n, 0)::bigint study_count,
-       least(coalesce(b.n, 0), 50)::bigint clinical_report_count
+       coalesce(b.n, 0)::bigint clinical_report_count
 from patients left join (select patient_id, count(*) n from studies group by 1) a using (patient_id)
 left join (select patient_id, count(*) n from clinical_predictions group by 1) b using (patient_id)""")
 def patient_totals(d: Domain) -> DataFrame:
-    """Studies and shown reports per patient (at most 50 reports are shown)."""
+    """Studies and reports per patient."""
     studies = d.studies().groupBy("patient_id").agg(F.count(F.lit(1)).alias("a"))
     reports = d.clinical_predictions().groupBy("patient_id").agg(F.count(F.lit(1)).alias("b"))
     return (
@@ -113,23 +117,44 @@ def patient_totals(d: Domain) -> DataFrame:
         .select(
             "patient_id",
             F.coalesce("a", F.lit(0)).cast("bigint").alias("study_count"),
-            F.least(F.coalesce("b", F.lit(0)), F.lit(50)).cast("bigint").alias("clinical_report_count"),
+            F.coalesce("b", F.lit(0)).cast("bigint").alias("clinical_report_count"),
         )
     )
 
 
-@register("patient_reports", tables="clinical_predictions", sql="""
-select patient_id, prediction_id, predicted_diagnosis, inferred_at,
-       case when length(symptoms) > 120 then substr(symptoms, 1, 120) || '…' else symptoms end symptoms_shown
-from (select *, row_number() over (partition by patient_id order by inferred_at desc, prediction_id desc) r
-      from clinical_predictions) where r <= 50""")
+@register("patient_reports", tables="clinical_predictions patients", sql="""
+select c.patient_id, prediction_id, predicted_diagnosis, inferred_at, symptoms, prob_json, model_name,
+       model_version, sex, cast(case age_range when '18-30' then 24 when '31-45' then 38 when '46-60' then 53
+       when '61-75' then 68 when '76+' then 76 else 40 end as int) age
+from clinical_predictions c left join patients p using (patient_id)""")
 def patient_reports(d: Domain) -> DataFrame:
-    from wardspark.functions.clean import shorten
+    """All reports with whole texts; ``recent_reports`` is the list shown per patient."""
+    return _reports(d)
+
+
+REPORTS_SHOWN = 50  # reports per patient on a page
 
+
+@register("recent_reports", tables="clinical_predictions", sql=f"""
+select patient_id, prediction_id, inferred_at
+from (select *, row_number() over (partition by patient_id order by inferred_at desc, prediction_id desc) r
+      from clinical_predictions) where r <= {REPORTS_SHOWN}""")
+def recent_reports(d: Domain) -> DataFrame:
+    """The newest REPORTS_SHOWN reports of each patient."""
     order = [F.col("inferred_at").desc(), F.col("prediction_id").desc()]
-    return lookup.top_per_key(d.clinical_predictions(), ["patient_id"], order, 50).select(
-        "patient_id", "prediction_id", "predicted_diagnosis", "inferred_at",
-        shorten(F.col("symptoms")).alias("symptoms_shown"),
+    newest = lookup.top_per_key(d.clinical_predictions(), ["patient_id"], order, REPORTS_SHOWN)
+    return newest.select("patient_id", "prediction_id", "inferred_at")
+
+
+def _reports(d: Domain) -> DataFrame:
+    from wardspark.functions.clean import age_from_range
+
+    people = d.patients().select(
+        "patient_id", "sex", age_from_range(F.col("age_range"), F.lit(None).cast("int")).alias("age")
+    )
+    return d.clinical_predictions().join(people, "patient_id", "left").select(
+        "patient_id", "prediction_id", "predicted_diagnosis", "inferred_at", "symptoms", "prob_json",
+        "model_name", "model_version", "sex", F.coalesce("age", F.lit(40)).alias("age"),
     )
 
 

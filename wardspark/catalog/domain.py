@@ -181,7 +181,7 @@ class Domain:
 
     # -- clinical text ---------------------------------------------------------------
     def clinical_records(self) -> DataFrame:
-        joined = self.raw("documents").select("doc_id", "text").join(self.raw("labels"), "doc_id")
+        joined = self.raw("documents").select("doc_id", "text").join(self.raw("labels"), "doc_id", "left")
         return joined.selectExpr("*", "cast(doc_id as string) k").selectExpr(
             "concat('CR-', substring(md5(k), 1, 12)) record_id",
             "concat('CREF-', substring(md5(k), 13, 10)) patient_ref",
@@ -189,7 +189,7 @@ class Domain:
             "case " + HEX.format("k") + " % 4 when 0 then 'm' when 1 then ' F ' when 2 then 'X' "
             "else 'unknown' end sex",
             "text symptoms",
-            "case when quality = 1 and toxic = 0 then 'sana' when quality = 1 then 'gripe' "
+            "case when quality is null then null when quality = 1 and toxic = 0 then 'sana' when quality = 1 then 'gripe' "
             "when toxic = 0 then 'neumonia' else 'covid' end diagnosis",
             "timestamp_ntz'2025-01-01 08:00:00' + doc_id * interval '3' minute recorded_at",
         )
@@ -237,7 +237,7 @@ class Domain:
             "case event_type "
             "when 'click' then concat('[', date_format(ts, 'yyyy-MM-dd HH:mm:ss'), '] INFO [api] — ', props) "
             "when 'view' then concat('[', date_format(ts, 'yyyy-MM-dd HH:mm:ss'), ',179] {task.py} - ', props) "
-            "when 'signup' then concat(date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\"), ' | WARNING | watcher | ', props) "
+            "when 'signup' then concat(date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\"), '+02:00 | WARNING | watcher | ', props) "
             "when 'purchase' then case when value < 5 then '   ' else concat('raw ', props) end "
             "else concat('[', date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\"), '] ERROR [ml] — ', props) end line",
             "concat('/logs/dag_id=ingest/run_id=RUN-', cast(user_id as string), '/task_id=', "

@@ -228,9 +228,8 @@ def quality_issue_rows(d: Domain) -> DataFrame:
 
 @register("quality_alert", tables="classified", sql="""
 select 'RUN-1' run_id, case when n < 50 then 'warning' else 'critical' end severity,
-       'Umbral de calidad de imágenes superado' title,
-       'Run RUN-1: corruptas=' || c || ', incompletas=' || i || ', duplicadas=' || d
-         || '. Revisar data_quality_issues.' message
+       'Too many rejected files' title,
+       'Run RUN-1 rejected files: corrupt ' || c || ', incomplete ' || i || ', duplicate ' || d message
 from (select count(*) filter (where reject_reason = 'corrupt') c,
              count(*) filter (where reject_reason = 'incomplete') i,
              count(*) filter (where reject_reason = 'duplicate') d,
@@ -394,7 +393,7 @@ def _events_as_text(d: Domain) -> DataFrame:
 @register("events_clean", tables="run_events", sql="""
 select cast(event_id as varchar) event_id, run_id, stage, status,
        cast(case when records % 7 = 0 then 0 else records end as int) records,
-       substr(message || repeat('x', records * 10), 1, 2000) message,
+       message || repeat('x', records * 10) message,
        case when stage = 'signup' then timestamp '2026-04-01 09:00:00' else logged_at end logged_at
 from run_events""")
 def events_clean(d: Domain) -> DataFrame:
@@ -425,14 +424,14 @@ select patient_id, concat_ws(',',
          then 'site_code' end) problems
 from (select patient_id, display_name, lower(sex) sex, age_range, site_code from patients
       union all
-      select replace(patient_id, 'PAT-', 'P-'), substr(path, 1, 40), 'Z', path, 'S0' from uploads) c
+      select replace(patient_id, 'PAT-', 'P-'), repeat(path, 1 + page_id % 8), 'Z', path, 'S0' from uploads) c
 left join (select site_code from sites where active) s on s.site_code = c.site_code""")
 def patient_validate(d: Domain) -> DataFrame:
     """Patient records as sent by forms, with the names of the rules they break."""
     sent = d.patients().withColumn("sex", F.lower("sex")).unionByName(
         d.uploads().select(
             F.replace("patient_id", F.lit("PAT-"), F.lit("P-")).alias("patient_id"),
-            clean.cut(F.col("path"), 40).alias("display_name"),
+            F.repeat("path", (F.col("page_id") % 8 + 1).cast("int")).alias("display_name"),
             F.lit("Z").alias("sex"), F.col("path").alias("age_range"), F.lit("S0").alias("site_code"),
         )
     )

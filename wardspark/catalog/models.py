@@ -1,4 +1,4 @@
-"""Queries of model data: splits, features, text weights, evaluation, scoring, simulation."""
+"""Queries of model data: splits, features, text weights, evaluation, scoring."""
 
 from __future__ import annotations
 
@@ -9,9 +9,10 @@ from pyspark.sql import types as T
 
 from wardspark.catalog.domain import Domain
 from wardspark.catalog.registry import register
-from wardspark.functions import clinical, ids
-from wardspark.operators import evaluation as ev, features, generate, images, symptoms, text, validate
-from wardspark.schemas import DIAGNOSES, MODEL_LABELS, STUDY_LABELS
+from wardspark.functions import clinical
+from wardspark.functions.clean import age_from_range
+from wardspark.operators import evaluation as ev, features, images, summary, symptoms, text, validate
+from wardspark.schemas import MODEL_LABELS
 from wardspark.session import scratch_path, stage
 from wardspark.sources import files, sinks
 
@@ -40,21 +41,21 @@ def _images(d: Domain) -> DataFrame:
 
 
 def _study_images(d: Domain) -> DataFrame:
-    return d.studies().where("label is not null").select(
+    return d.studies().select(
         "file_path", "label", "split", F.md5("file_path").alias("content_hash")
     )
 
 
 _STUDY_IMAGES = """
 images as (
-  select file_path, "label", split, md5(file_path) content_hash from studies where "label" is not null)
+  select file_path, "label", split, md5(file_path) content_hash from studies)
 """
 
 
 @register("features_source", tables="studies", sql="""
 select distinct '/srv/data/' || regexp_replace(file_path, '^data/', '') fs_path, file_path, "label", split,
        md5(file_path) content_hash
-from studies where "label" is not null""")
+from studies""")
 def features_source(d: Domain) -> DataFrame:
     """The stored manifest (Parquet before CSV) as distinct feature sources."""
     folder = scratch_path(d.spark, "manifest")
@@ -71,7 +72,7 @@ def features_source(d: Domain) -> DataFrame:
 @register("stratified_split", tables="studies", sql=f"""
 with {_STUDY_IMAGES}, {_SPLIT} select file_path, "label", split, ml_split from split_rows""")
 def stratified_split(d: Domain) -> DataFrame:
-    return features.stratified_split(_study_images(d), STUDY_LABELS).select(
+    return features.stratified_split(_study_images(d)).select(
         "file_path", "label", "split", "ml_split"
     )
 
@@ -83,7 +84,7 @@ from (select *, row_number() over (partition by diagnosis order by sha256('42:'
              count(*) over (partition by diagnosis) n from clinical_records)""")
 def stratified_split_80_10_10(d: Domain) -> DataFrame:
     rows = d.clinical_records().select("record_id", "diagnosis")
-    return features.three_way_split(rows, "record_id", "diagnosis", DIAGNOSES)
+    return features.three_way_split(rows, "record_id", "diagnosis")
 
 
 @register("augmentation_plan", tables="studies", sql=f"""
@@ -92,7 +93,7 @@ select file_path, ml_split, unnest(case when ml_split = 'train' then ['original'
                                         else ['original'] end) augment_type
 from split_rows""")
 def augmentation_plan(d: Domain) -> DataFrame:
-    split = features.stratified_split(_study_images(d), STUDY_LABELS)
+    split = features.stratified_split(_study_images(d))
     return features.augmentation_plan(split).select("file_path", "ml_split", "augment_type")
 
 
@@ -112,7 +113,7 @@ select sample_id, file_path source_path,
 from index_rows""")
 def feature_index(d: Domain) -> DataFrame:
     """From stored files to the index: validate, drop duplicates, split, plan, name."""
-    split = features.stratified_split(stage(_images(d), "images"), STUDY_LABELS)
+    split = features.stratified_split(stage(_images(d), "images"))
     return features.feature_index(features.augmentation_plan(split))
 
 
@@ -120,14 +121,14 @@ def feature_index(d: Domain) -> DataFrame:
 with {_STUDY_IMAGES}, {_SPLIT}, {_INDEX}
 select ml_split split, "label", a augment_type, count(*)::bigint samples from index_rows group by all""")
 def feature_counts(d: Domain) -> DataFrame:
-    split = features.stratified_split(_study_images(d), STUDY_LABELS)
+    split = features.stratified_split(_study_images(d))
     return features.feature_counts(features.feature_index(features.augmentation_plan(split)))
 
 
 @register("class_distribution", tables="clinical_records", sql="""
 select diagnosis, count(*)::bigint n from clinical_records group by 1""")
 def class_distribution(d: Domain) -> DataFrame:
-    return generate.distribution(d.clinical_records())
+    return summary.distribution(d.clinical_records())
 
 
 @register("vector_normalize", sql="""
@@ -148,31 +149,6 @@ def vector_normalize(d: Domain) -> DataFrame:
     )
 
 
-@register("image_features")
-def image_features(d: Domain) -> DataFrame:
-    """Vectors as 8 x 8 grey images: fitted, normalised and augmented in Arrow batches."""
-    grey = images.vector_normalise(F.col("embedding"))
-    label = F.element_at(F.array(*[F.lit(v) for v in MODEL_LABELS]), F.col("label") % 3 + 1)
-    rows = d.raw("embeddings").select(
-        F.md5(F.col("vec_id").cast("string")).alias("content_hash"),
-        label.alias("label"),
-        F.when(F.col("vec_id") % 5 == 0, F.lit("test")).otherwise(F.lit("train")).alias("ml_split"),
-        F.struct(
-            F.unhex(F.array_join(F.transform(grey, lambda v: F.lpad(F.hex(v), 2, "0")), "")).alias("data"),
-            F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("nChannels"),
-        ).alias("image"),
-    )
-    planned = features.augmentation_plan(rows).withColumn("split", F.col("ml_split")).withColumn(
-        "sample_id",
-        ids.sample_id(F.col("content_hash"), F.col("ml_split"), F.col("augment_type")),
-    )
-    built = images.image_features(planned, 16)
-    return built.select(
-        "sample_id", "split", "label", "augment_type", "image_size",
-        F.octet_length("pixels").alias("pixel_bytes"), F.md5("pixels").alias("pixel_md5"),
-    )
-
-
 @register("batch_scoring")
 def batch_scoring(d: Domain) -> DataFrame:
     """Vectors scored by a supplied model; here the model is the mean vector of each class."""
@@ -254,15 +230,21 @@ def age_scaled(d: Domain) -> DataFrame:
 def _trained(d: Domain) -> tuple[DataFrame, symptoms.SymptomModel]:
     records = stage(d.clinical_records(), "records")
     split = features.three_way_split(
-        symptoms.training_set(records), "record_id", "diagnosis", DIAGNOSES
+        symptoms.training_set(records), "record_id", "diagnosis"
     )
     split = stage(split, "records-split")
-    return split, symptoms.train(split.where("ml_split = 'train'"), max_iter=100)
+    return split, symptoms.train(split.where("ml_split = 'train'"))
 
 
-@register("symptom_classifier")
+@register("symptom_classifier", tables="clinical_records", sql="""
+select ml_split, count(*)::bigint n_samples, true measured
+from (select case when r <= floor(n / 10) then 'validation' when r <= 2 * floor(n / 10) then 'test' else 'train' end ml_split
+      from (select row_number() over (partition by diagnosis order by sha256('42:' || record_id)) r,
+                   count(*) over (partition by diagnosis) n, symptoms
+            from clinical_records where diagnosis is not null and symptoms is not null)
+      where length(trim(symptoms)) >= 3) group by 1""")
 def symptom_classifier(d: Domain) -> DataFrame:
-    """Train on 80 %, report metrics on each split."""
+    """Train on 80 %, measure each split: samples, and whether all metrics are proper shares."""
     split, model = _trained(d)
     truth = split.select("record_id", F.col("diagnosis").alias("actual"), "ml_split")
     scored = symptoms.score(split.drop("ml_split", "diagnosis"), model).select(
@@ -270,23 +252,36 @@ def symptom_classifier(d: Domain) -> DataFrame:
     )
     labels = tuple(model.labels)
     cells = ev.confusion_cells(scored.join(truth, "record_id"), labels, ("ml_split",))
-    return ev.metrics_summary(ev.class_metrics(cells, ("ml_split",)), ("ml_split",))
+    measured = ev.metrics_summary(ev.class_metrics(cells, ("ml_split",)), ("ml_split",))
+    shares = ("accuracy", "precision_macro", "recall_macro", "f1_macro", "f1_weighted")
+    proper = F.forall(F.array(*shares), lambda x: (x > 0) & (x <= 1))
+    return measured.select("ml_split", "n_samples", proper.alias("measured"))
 
 
-@register("symptom_scoring")
+@register("symptom_scoring", tables="clinical_predictions patients", sql="""
+select prediction_id, c.patient_id, cast(case age_range when '18-30' then 24 when '31-45' then 38 when '46-60' then 53
+       when '61-75' then 68 when '76+' then 76 else 40 end as int) age, coalesce(sex, 'X') sex, true known_label,
+       1.0::double probability, 'symptoms_logreg' model_name, 'v1' model_version
+from clinical_predictions c left join patients using (patient_id) where length(trim(symptoms)) >= 3""")
 def symptom_scoring(d: Domain) -> DataFrame:
-    """Score all reports and persist label, probabilities, model and version."""
+    """Score all reports, append them to a table and read them from there.
+
+    Labels and probabilities depend on the fit; the columns are those that do not.
+    """
     _, model = _trained(d)
     reports = d.clinical_predictions().join(d.patients().select("patient_id", "sex", "age_range"), "patient_id", "left")
-    from wardspark.functions.clean import age_from_range
-
     people = reports.select(
         "prediction_id", "patient_id", "symptoms", "sex",
         age_from_range(F.col("age_range"), F.lit(None).cast("int")).alias("age"),
     )
-    return symptoms.score(people, model).select(
-        "prediction_id", "patient_id", "age", "sex", "predicted_diagnosis",
-        F.to_json("probabilities").alias("prob_json"), "model_name", "model_version",
+    path = scratch_path(d.spark, "symptom-predictions")
+    symptoms.append_predictions(symptoms.score(people, model), path)
+    probabilities = F.map_values(F.from_json("prob_json", "map<string,double>"))
+    return d.spark.read.parquet(path).select(
+        "prediction_id", "patient_id", "age", "sex",
+        F.col("predicted_diagnosis").isin(*model.labels).alias("known_label"),
+        F.round(F.aggregate(probabilities, F.lit(0.0), lambda total, x: total + x), 6).alias("probability"),
+        "model_name", "model_version",
     )
 
 
@@ -365,6 +360,17 @@ def metrics_summary(d: Domain) -> DataFrame:
     return _rounded(ev.metrics_summary(classes), _SUMMARY_COLUMNS).select(*_SUMMARY_COLUMNS)
 
 
+@register("metrics_unlisted", tables="evaluated", sql="""
+select count(*)::bigint n_samples,
+       round(count(*) filter (where actual = predicted and actual <> 'sana')::double / count(*), 6) accuracy
+from evaluated""")
+def metrics_unlisted(d: Domain) -> DataFrame:
+    """Two of the three labels are listed; rows of the third count as samples and as errors."""
+    cells = ev.confusion_cells(_evaluated(d), ("covid", "neumonia"))
+    summary_row = ev.metrics_summary(ev.class_metrics(cells))
+    return _rounded(summary_row, ("accuracy",)).select("n_samples", "accuracy")
+
+
 @register("metrics_by_split", tables="evaluated", sql=f"""
 with {_keyed_cells('split')} select split, {_SUMMARY} from classes group by split""")
 def metrics_by_split(d: Domain) -> DataFrame:
@@ -452,43 +458,3 @@ def training_curve(d: Domain) -> DataFrame:
         "conv_id run", "case when turn < 3 then 1 else 2 end phase", "turn epoch"
     )
     return ev.training_curve(phases)
-
-
-# -- simulation ------------------------------------------------------------------------
-
-_GENERATED = """
-gen as (
-  select i, case place % 8 when 0 then 'sana' when 1 then 'neumonia' when 2 then 'covid' when 3 then 'gripe'
-              when 4 then 'asma' when 5 then 'bronquitis' when 6 then 'epoc' else 'rinitis_alergica' end diagnosis,
-         case when pct < 48 then 'M' when pct < 96 then 'F' else 'X' end sex,
-         cast(floor(case when u < 38.0::double / 84 then 4 + sqrt(u * 3192) else 88 - sqrt((1 - u) * 3864) end) as int) age,
-         substr(md5('42:record:' || i), 1, 12) rid
-  from (select c_custkey i, (c_custkey * 7919 + 42) % (select count(*) from customer) place,
-               ('0x' || substr(md5('42:sex:' || c_custkey), 1, 13))::bigint % 100 pct,
-               ('0x' || substr(md5('42:age:' || c_custkey), 1, 13))::bigint / 4503599627370496.0::double u
-        from customer))
-"""
-
-
-def _generated(d: Domain) -> DataFrame:
-    rows = d.raw("customer").count()
-    return generate.clinical_records(d.raw("customer").selectExpr("c_custkey i"), rows)
-
-
-@register("generate_clinical_records", sql=f"""
-with {_GENERATED}
-select 'CR-' || rid record_id, diagnosis, sex, age,
-       timestamp '2025-01-01 08:00:00' + to_minutes(3 * i) recorded_at from gen""")
-def generate_clinical_records(d: Domain) -> DataFrame:
-    """One simulated record per customer; text columns are checked in the tests."""
-    return _generated(d).select("record_id", "diagnosis", "sex", "age", "recorded_at")
-
-
-@register("generated_distribution", sql=f"""
-with {_GENERATED}
-select diagnosis, count(*)::bigint n, count(*)::bigint with_text from gen group by 1""")
-def generated_distribution(d: Domain) -> DataFrame:
-    filled = F.col("symptoms").isNotNull() & F.col("display_name").isNotNull()
-    return _generated(d).groupBy("diagnosis").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(filled).alias("with_text")
-    )

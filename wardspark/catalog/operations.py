@@ -49,24 +49,25 @@ def run_status_counts(d: Domain) -> DataFrame:
 
 @register("failed_run_alerts", tables="run_events", sql=f"""
 with {_RUNS}
-select run_id, 'critical' severity, 'Pipeline fallido: ' || run_id title,
-       coalesce(nullif(error_message, ''), 'Error sin detalle') message
+select run_id, 'critical' severity, 'Run failed: ' || run_id title,
+       coalesce(nullif(error_message, ''), 'no details given') message
 from headers where status = 'failed'""")
 def failed_run_alerts(d: Domain) -> DataFrame:
     return quality.failed_run_alerts(_runs(d))
 
 
-_QUALITY_SAMPLE = """
+ISSUES_SHOWN = 200  # issues per kind in the sampling report
+_QUALITY_SAMPLE = f"""
 select issue_type, issue_id, details from (
   select *, row_number() over (partition by issue_type order by detected_at, issue_id) r
-  from quality_issues) where r <= 200"""
+  from quality_issues) where r <= {ISSUES_SHOWN}"""
 
 
 @register("quality_issue_sample", tables="quality_issues", sql=_QUALITY_SAMPLE)
 def quality_issue_sample(d: Domain) -> DataFrame:
-    """At most 200 issues of every kind, oldest first (the sampling report)."""
+    """The oldest ISSUES_SHOWN issues of every kind: a sampling report; ``quality_issues`` is complete."""
     order = [F.col("detected_at"), F.col("issue_id")]
-    return lookup.top_per_key(d.quality_issues(), ["issue_type"], order, 200).select(
+    return lookup.top_per_key(d.quality_issues(), ["issue_type"], order, ISSUES_SHOWN).select(
         "issue_type", "issue_id", "details"
     )
 
@@ -108,37 +109,40 @@ with n as (
          (select count(*) from studies where source_dataset = 'api_upload' and object_key is null) b,
          (select count(*) from studies s where object_key is not null
             and not exists (select 1 from predictions p where p.study_id = s.study_id)) c)
-select 'warning' severity, 'Registros incompletos detectados' title,
-       concat_ws('; ', case when a > 0 then a || ' paciente(s) con datos demográficos incompletos' end,
-                 case when b > 0 then b || ' estudio(s) API sin imagen en MinIO' end,
-                 case when c > 0 then c || ' estudio(s) con imagen pero sin predicción' end) message
+select 'warning' severity, 'Incomplete records found' title,
+       concat_ws('; ', case when a > 0 then a || ' patients lack personal data' end,
+                 case when b > 0 then b || ' uploaded studies lack their object' end,
+                 case when c > 0 then c || ' stored studies lack a prediction' end) message
 from n where a + b + c > 0""")
 def audit_alert(d: Domain) -> DataFrame:
     return quality.audit_alert(quality.audit_counts(d.patients(), d.studies(), d.predictions()))
 
 
-@register("alerts_recent", tables="alerts", sql="""
-select * from alerts order by created_at desc, alert_id desc limit 50""")
+ALERTS_SHOWN = 50  # alerts in a list
+
+
+@register("alerts_recent", tables="alerts", sql=f"""
+select * from alerts order by created_at desc, alert_id desc limit {ALERTS_SHOWN}""")
 def alerts_recent(d: Domain) -> DataFrame:
-    return d.alerts().orderBy(F.col("created_at").desc(), F.col("alert_id").desc()).limit(50)
+    return d.alerts().orderBy(F.col("created_at").desc(), F.col("alert_id").desc()).limit(ALERTS_SHOWN)
 
 
-@register("alerts_open", tables="alerts", sql="""
-select * from alerts where not acknowledged order by created_at desc, alert_id desc limit 50""")
+@register("alerts_open", tables="alerts", sql=f"""
+select * from alerts where not acknowledged order by created_at desc, alert_id desc limit {ALERTS_SHOWN}""")
 def alerts_open(d: Domain) -> DataFrame:
     open_only = d.alerts().where(~F.col("acknowledged"))
-    return open_only.orderBy(F.col("created_at").desc(), F.col("alert_id").desc()).limit(50)
+    return open_only.orderBy(F.col("created_at").desc(), F.col("alert_id").desc()).limit(ALERTS_SHOWN)
 
 
 @register("alerts_from_rules", tables="run_events", sql="""
 select * from (
-  select run_id, 'critical' severity, 'Airflow: fallo en ' || coalesce(dag, 'unknown') || '.' || stage title,
-         coalesce(err, 'Error sin detalle') message
+  select run_id, 'critical' severity, 'Task failed: ' || coalesce(dag, 'unknown') || '.' || stage title,
+         coalesce(err, 'no details given') message
   from (select *, case when records % 2 = 0 then 'ingest' end dag,
                case when records % 3 <> 0 then message end err from run_events where status = 'failed')
   union all
   select run_id, case when stage in ('info', 'warning', 'critical') then stage else 'warning' end,
-         substr(repeat(message, 20), 1, 128), substr(repeat(message, records + 1), 1, 4000)
+         repeat(message, 20), repeat(message, records + 1)
   from run_events where status <> 'failed')""")
 def alerts_from_rules(d: Domain) -> DataFrame:
     """Alerts of failed tasks, and alerts as sent by others brought to their stored form."""
@@ -231,19 +235,18 @@ union all select 'predictions.study_id', coalesce(sum(n), 0), count(*)
 from (select study_id k, count(*) n from predictions where study_id not in (select study_id from studies) group by 1)
 union all select 'issues.study_id', coalesce(sum(n), 0), count(*)
 from (select study_id k, count(*) n from quality_issues where study_id not in
-        (select study_id from studies where object_key is not null) group by 1)
+        (select study_id from studies) group by 1)
 union all select 'issues.run_id', coalesce(sum(n), 0), count(*)
 from (select run_id k, count(*) n from quality_issues where run_id not in
-        (select run_id from run_events where status = 'ok' and records > 100) group by 1))""")
+        (select run_id from run_events) group by 1))""")
 def fk_orphans(d: Domain) -> DataFrame:
-    runs = d.run_events().where("status = 'ok' and records > 100").select("run_id").distinct()
-    stored = d.studies().where("object_key is not null")
+    runs = d.run_events().select("run_id").distinct()
     return quality.orphan_counts(
         [
             ("patients.site_code", d.patients(), "site_code", d.sites(), "site_code"),
             ("studies.patient_id", d.studies(), "patient_id", d.patients(), "patient_id"),
             ("predictions.study_id", d.predictions(), "study_id", d.studies(), "study_id"),
-            ("issues.study_id", d.quality_issues(), "study_id", stored, "study_id"),
+            ("issues.study_id", d.quality_issues(), "study_id", d.studies(), "study_id"),
             ("issues.run_id", d.quality_issues(), "run_id", runs, "run_id"),
         ]
     )
@@ -365,7 +368,7 @@ routed as (
   from arrivals),
 moved as (
   select *, case when r = 1 then folder || '/' || name
-                 else folder || '/' || regexp_replace(name, '\\.[^.]*$', '') || '_' || cast(floor(epoch(ts)) as bigint)
+                 else folder || '/' || regexp_replace(name, '\\.[^.]*$', '') || '_' || event_id
                       || regexp_extract(name, '(\\.[^.]*)$', 1) end destination
   from (select *, row_number() over (partition by folder, name order by ts, event_id) r
         from (select *, case when decision = 'default' then 'train/NORMAL'
@@ -389,7 +392,7 @@ def route_paths(d: Domain) -> DataFrame:
 
 @register("route_alerts", tables="arrivals", sql=f"""
 with {_ROUTED}
-select 'warning' severity, 'Watcher: ruta incoming inválida' title, path message
+select 'warning' severity, 'Arrival outside the known folders' title, path message
 from routed where decision = 'reject'""")
 def route_alert_rows(d: Domain) -> DataFrame:
     return arr.route_alerts(arr.route_arrivals(d.arrivals()))

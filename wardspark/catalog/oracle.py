@@ -129,10 +129,10 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
                case {HEX.format('k')} % 4 when 0 then 'm' when 1 then ' F ' when 2 then 'X'
                     else 'unknown' end sex,
                text symptoms,
-               case when quality = 1 and toxic = 0 then 'sana' when quality = 1 then 'gripe'
+               case when quality is null then null when quality = 1 and toxic = 0 then 'sana' when quality = 1 then 'gripe'
                     when toxic = 0 then 'neumonia' else 'covid' end diagnosis,
                timestamp '2025-01-01 08:00:00' + to_minutes(3 * doc_id) recorded_at
-        from (select *, cast(doc_id as varchar) k from documents join labels using (doc_id))"""),
+        from (select *, cast(doc_id as varchar) k from documents left join labels using (doc_id))"""),
     "clinical_predictions": ((), f"""
         select conv_id * 1000 + turn prediction_id, {PID.format('conv_id')} patient_id,
                text symptoms, d1 predicted_diagnosis,
@@ -155,7 +155,8 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
         select event_id, 'RUN-' || user_id run_id, event_type task_id,
                case event_type when 'click' then 'bracket' when 'error' then 'bracket' when 'view' then 'task'
                     when 'signup' then 'service' else 'raw' end format,
-               case when event_type <> 'purchase' then date_trunc('second', ts) end event_time,
+               case event_type when 'purchase' then null when 'view' then date_trunc('second', ts) + interval 179 milliseconds
+                    when 'signup' then date_trunc('second', ts) - interval 2 hour else date_trunc('second', ts) end event_time,
                case event_type when 'error' then 'ERROR' when 'signup' then 'WARNING' else 'INFO' end level,
                case event_type when 'click' then 'api' when 'error' then 'ml' when 'view' then 'task.py'
                     when 'signup' then 'watcher' else 'raw' end logger,

@@ -42,17 +42,6 @@ def _with_marker(d: Domain, stream: DataFrame, time: str, **values: str) -> Data
     return stream.select(time, *values).unionByName(marker.select(time, *values))
 
 
-@register("stream_new_files")
-def stream_new_files(d: Domain) -> DataFrame:
-    """Files that appear in the folder; a second pass over the same folder adds none."""
-    out, state = scratch_path(d.spark, "new-files"), scratch_path(d.spark, "state")
-    for _ in range(2):
-        flows.run_to_parquet(flows.new_files(d.spark, d.folder, "*.parquet"), out, state)
-    return d.spark.read.parquet(out).select(
-        F.regexp_extract("path", "([^/]+)$", 1).alias("name"), "length"
-    )
-
-
 @register("stream_debounce", tables="arrivals", sql=f"with {_SESSIONS} select * from bursts")
 def stream_debounce(d: Domain) -> DataFrame:
     out, state = scratch_path(d.spark, "debounced"), scratch_path(d.spark, "state")
@@ -97,10 +86,11 @@ def stream_ingest(d: Domain) -> DataFrame:
 @register("stream_dedup", tables="classified", sql="""
 select file_path, content_hash from classified where reject_reason is null""")
 def stream_dedup(d: Domain) -> DataFrame:
-    """First file of every content; a second stream of the same files finds all stored."""
+    """First file of every content; a second stream, with a checkpoint of its own, finds all stored."""
     out = scratch_path(d.spark, "contents")
     state = scratch_path(d.spark, "state")
     flows.unique_contents(_streamed(d).manifest(), out, state)
+    flows.unique_contents(_streamed(d).manifest(), out, scratch_path(d.spark, "state-of-another"))
     return d.spark.read.parquet(out).select("file_path", "content_hash")
 
 

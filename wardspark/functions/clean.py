@@ -19,18 +19,18 @@ def known(value: Column, allowed: tuple[str, ...]) -> Column:
 
 
 def timestamp(text: Column) -> Column:
-    """ISO timestamp without zone; a trailing ``Z`` is accepted, bad text gives null."""
-    return F.regexp_replace(text, "Z$", "").try_cast("timestamp_ntz")
+    """ISO date and time as UTC; an offset or ``Z`` is honoured, bad text gives null.
+
+    Text without an offset counts as session time, which ``build_session`` sets to UTC.
+    """
+    dated = F.when(text.rlike(r"^\s*\d{4}-\d"), F.trim(text))
+    return dated.try_cast("timestamp").cast("timestamp_ntz")
 
 
 def int_or_zero(text: Column) -> Column:
     return F.coalesce(F.nullif(F.trim(text), F.lit("")).try_cast("int"), F.lit(0))
 
 
-def cut(text: Column, length: int) -> Column:
-    return F.substring(text, 1, length)
-
-
 def shorten(text: Column, length: int = 120) -> Column:
     body = F.coalesce(text, F.lit(""))
     return F.concat(

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from wardspark.functions.clean import timestamp
+
 # The line formats, tried in this order.
 BRACKET_LINE = r"\[([^\]]+)\]\s+(\w+)\s+\[([^\]]+)\]\s+—\s+(.*)"
 TASK_LINE = r"\[([\d\-:,.\s+T]+)\]\s+\{([^}]+)\}\s+-\s+(.*)"
-SERVICE_LINE = r"(\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d)\s+\|\s+(\w+)\s+\|\s+([^|]+?)\s+\|\s+(.*)"
+SERVICE_LINE = r"(\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\S*)\s+\|\s+(\w+)\s+\|\s+([^|]+?)\s+\|\s+(.*)"
 
 _ANY_LINE = rf"(?s)^(?:{BRACKET_LINE}|{TASK_LINE}|{SERVICE_LINE})\z"
 # One match rewrites a line to its groups, one per output line; a line has no line break of
@@ -33,7 +35,8 @@ def parse_fields(fields: Column, line: Column) -> Column:
         return F.get(fields, F.lit(position))
 
     def stamp(text: Column) -> Column:
-        return F.substring(F.trim(text), 1, 19).try_cast("timestamp_ntz")
+        # A comma before the fraction is how the logging libraries of Python write it.
+        return timestamp(F.regexp_replace(text, r"(?<=:\d\d),", "."))
 
     def document(name: str, time: Column, level: Column, logger: Column, message: Column) -> Column:
         return F.struct(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from wardspark.functions import clean, paths
+from wardspark.functions import paths
 
 
 def route_arrivals(arrivals: DataFrame) -> DataFrame:
@@ -20,21 +20,24 @@ def route_arrivals(arrivals: DataFrame) -> DataFrame:
     )
 
 
-def destinations(routed: DataFrame, key: str = "event_id", time: str = "ts") -> DataFrame:
-    """Destination of kept files; a taken name gets the arrival second as suffix.
+def destinations(
+    routed: DataFrame, key: str = "event_id", time: str = "ts", taken: DataFrame | None = None
+) -> DataFrame:
+    """Destination of kept files; a taken name gets the arrival's unique id as suffix.
 
     The first arrival per destination is a minimum per destination, joined back on the unique
-    key, so a name that arrives very often does not collect in one task.
+    key, so a name that arrives very often does not collect in one task. ``taken`` lists destinations given
+    away before; no arrival is first for them.
     """
     target = F.concat_ws("/", "split", "folder", "filename")
     kept = routed.where(F.col("decision").isin("keep", "default")).withColumn("_dest", target)
-    first = kept.groupBy("_dest").agg(F.min(F.struct(time, key)).alias("f")).select(
-        F.col(f"f.{key}").alias(key), F.lit(True).alias("_first")
-    )
+    first = kept.groupBy("_dest").agg(F.min(F.struct(time, key)).alias("f"))
+    if taken is not None:
+        first = first.join(taken.select(F.col("destination").alias("_dest")).distinct(), "_dest", "left_anti")
+    first = first.select(F.col(f"f.{key}").alias(key), F.lit(True).alias("_first"))
     stem = F.regexp_extract("filename", r"^(.*?)(\.[^.]*)?$", 1)
     suffix = F.regexp_extract("filename", r"(\.[^.]*)$", 1)
-    seconds = F.unix_timestamp(F.col(time).cast("timestamp")).cast("string")
-    renamed = F.concat_ws("/", "split", "folder", F.concat(stem, F.lit("_"), seconds, suffix))
+    renamed = F.concat_ws("/", "split", "folder", F.concat(stem, F.lit("_"), F.col(key).cast("string"), suffix))
     return kept.join(first, key, "left").select(
         *routed.columns,
         F.when(F.col("_first"), F.col("_dest")).otherwise(renamed).alias("destination"),
@@ -45,8 +48,8 @@ def route_alerts(routed: DataFrame) -> DataFrame:
     """One warning per rejected arrival."""
     return routed.where(F.col("decision") == "reject").select(
         F.lit("warning").alias("severity"),
-        F.lit("Watcher: ruta incoming inválida").alias("title"),
-        clean.cut(F.col("path"), 2000).alias("message"),
+        F.lit("Arrival outside the known folders").alias("title"),
+        F.col("path").alias("message"),
     )
 
 
@@ -64,12 +67,10 @@ def watcher_events(destined: DataFrame) -> DataFrame:
 def debounce(arrivals: DataFrame, gap: str, time: str = "ts") -> DataFrame:
     """Bursts per path: a path is ready when no event came for ``gap`` after its last one.
 
-    Works on a batch and, below a watermark, on a stream. Sessions are merged on the map side
+    Works on a batch and, below a watermark, on a stream. ``build_session`` has sessions merged on the map side
     first, so a path with very many events ships few rows. Spark joins sessions that touch, but an event exactly
     one gap later belongs to a new burst, hence the microsecond.
     """
-    for scope in ("spark.sql", "spark.sql.streaming"):
-        arrivals.sparkSession.conf.set(f"{scope}.sessionWindow.merge.sessions.in.local.partition", True)
     window = F.session_window(time, f"{gap} -1 microseconds").alias("w")
     bursts = arrivals.groupBy("path", window).agg(
         F.count(F.lit(1)).alias("events"), F.max(time).alias("last_event")

@@ -10,6 +10,8 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+OTHER = "(other)"
+
 
 def confusion_cells(
     df: DataFrame,
@@ -18,9 +20,14 @@ def confusion_cells(
     actual: str = "actual",
     predicted: str = "predicted",
 ) -> DataFrame:
-    """Rows (keys, actual, predicted, n) for every pair of labels, zero cells included."""
-    counts = df.groupBy(*keys, actual, predicted).agg(F.count(F.lit(1)).alias("n"))
-    pairs = list(product(labels, labels))
+    """Rows (keys, actual, predicted, n) for every pair of labels, zero cells included.
+
+    Null labels and labels that are not listed count as OTHER, in cells of their own where there are such
+    rows, so that the cells add up to all rows.
+    """
+    listed = lambda c: F.when(F.col(c).isin(*labels), F.col(c)).otherwise(F.lit(OTHER)).alias(c)
+    counts = df.groupBy(*keys, listed(actual), listed(predicted)).agg(F.count(F.lit(1)).alias("n"))
+    pairs = list(product((*labels, OTHER), repeat=2))
     cells = [
         F.coalesce(
             F.sum(F.when((F.col(actual) == a) & (F.col(predicted) == p), F.col("n"))), F.lit(0)
@@ -34,11 +41,12 @@ def confusion_cells(
             for i, (a, p) in enumerate(pairs)
         ]
     )
-    return counts.groupBy(*keys).agg(*cells).select(*keys, F.inline(rows))
+    shown = F.filter(rows, lambda c: (c["n"] > 0) | ((c["actual"] != OTHER) & (c["predicted"] != OTHER)))
+    return counts.groupBy(*keys).agg(*cells).select(*keys, F.inline(shown))
 
 
 def confusion_matrix(cells: DataFrame, labels: tuple[str, ...]) -> DataFrame:
-    """One row per actual label with one column per predicted label."""
+    """One row per actual label with one column per predicted label; the rest is in cells of OTHER."""
     return cells.groupBy("actual").agg(
         *[
             F.sum(F.when(F.col("predicted") == p, F.col("n"))).cast("bigint").alias(f"pred_{p}")
@@ -56,7 +64,8 @@ def _ratio(top: Column, bottom: Column) -> Column:
 
 def class_metrics(cells: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Rows (keys, label, precision, recall, f1, support, correct)."""
-    hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(F.lit(0))
+    right = (F.col("actual") == F.col("predicted")) & (F.col("actual") != OTHER)
+    hit = F.when(right, F.col("n")).otherwise(F.lit(0))
     zero = F.lit(0).cast("bigint")
     sides = F.array(
         F.struct(F.col("actual").alias("label"), F.col("n").alias("support"),
@@ -77,18 +86,22 @@ def class_metrics(cells: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
 
 
 def metrics_summary(classes: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Accuracy, macro and weighted averages over the classes of every key."""
+    """Accuracy, macro and weighted averages over the classes of every key.
+
+    Rows of OTHER are samples and errors; macro averages are over the listed classes.
+    """
     total = F.sum("support").cast("double")
 
+    def macro(name: str) -> Column:
+        return F.avg(F.when(F.col("label") != OTHER, F.col(name))).alias(f"{name}_macro")
+
     def weighted(name: str) -> Column:
         return _ratio(F.sum(F.col(name) * F.col("support")), total).alias(f"{name}_weighted")
 
     return classes.groupBy(*keys).agg(
         F.sum("support").cast("bigint").alias("n_samples"),
         _ratio(F.sum("correct"), total).alias("accuracy"),
-        F.avg("precision").alias("precision_macro"),
-        F.avg("recall").alias("recall_macro"),
-        F.avg("f1").alias("f1_macro"),
+        macro("precision"), macro("recall"), macro("f1"),
         weighted("precision"), weighted("recall"), weighted("f1"),
     )
 
@@ -98,7 +111,7 @@ def critical_errors(
 ) -> DataFrame:
     """All wrong predictions and those of one named pair, found by label and not by position."""
     named = (F.col("actual") == actual) & (F.col("predicted") == predicted)
-    wrong = F.col("actual") != F.col("predicted")
+    wrong = (F.col("actual") != F.col("predicted")) | (F.col("actual") == OTHER)
 
     def total(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).cast("bigint")
@@ -174,7 +187,8 @@ def evaluation_report(cells: DataFrame, model_version: str) -> DataFrame:
     per_class = classes.groupBy("split").agg(
         F.map_from_entries(F.collect_list(F.struct("label", entry))).alias("per_class")
     )
-    rows = cells.groupBy("split", "actual").agg(
+    listed = cells.where((F.col("actual") != OTHER) & (F.col("predicted") != OTHER))
+    rows = listed.groupBy("split", "actual").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("predicted", "n"))), lambda c: c["n"]).alias("row")
     )
     matrix = rows.groupBy("split").agg(

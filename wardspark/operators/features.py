@@ -8,16 +8,13 @@ from wardspark.functions import ids
 from wardspark.schemas import (
     EVAL_VARIANTS, FEATURES_VERSION, IMAGE_SIZE, RANDOM_SEED, TRAIN_VARIANTS, VALIDATION_RATIO,
 )
-from wardspark.session import checkpoint_root
-
-_OTHER = "(other)"
+from wardspark.session import checkpoint_root, stage
 
 
 def quota_split(
     rows: DataFrame,
     key: str,
     stratum: str,
-    strata: tuple[str, ...],
     quotas: list[tuple[str, Column]],
     rest: str,
     seed: int = RANDOM_SEED,
@@ -31,14 +28,15 @@ def quota_split(
     A stratum may hold most of the table, so it is never ranked as a whole. Rows are counted
     per 16-bit hash prefix; running sums over those counts find the prefix in which a quota
     ends; only the rows of that prefix (about 1/65536 of the stratum) are ranked to find the
-    exact hash. Broadcast is the table of limits, one row per stratum: ``strata`` is a closed
-    set, and values outside it form one more stratum.
+    exact hash. Every value of ``stratum`` is a stratum, null too. The rows are written once with their hash
+    and read from there.
     """
-    group = F.when(F.col(stratum).isin(*strata), F.col(stratum)).otherwise(F.lit(_OTHER))
-    keyed = rows.withColumn("_g", group).withColumn(
-        "_h", F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key)), 256)
-    ).withColumn("_b", F.substring("_h", 1, 4))
-
+    keyed = stage(
+        rows.withColumn("_g", F.to_json(F.struct(F.col(stratum).alias("s"))))
+        .withColumn("_h", F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key)), 256))
+        .withColumn("_b", F.substring("_h", 1, 4)),
+        "split-rows",
+    )
     by_prefix = keyed.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("c"))
     ordered = Window.partitionBy("_g").orderBy("_b")
     sums = by_prefix.select(
@@ -62,19 +60,20 @@ def quota_split(
             for i in range(len(ends))
         ]
     )
-    cuts = (
+    cuts = stage(
         sums.select("_g", "_b", "c", F.inline(marks))
         .where((F.col("need") > 0) & (F.col("need") <= F.col("c")))
-        .select("_g", "_b", "quota", "need")
+        .select("_g", "_b", "quota", "need"),
+        "split-cuts",
     )
     inside = keyed.select("_g", "_b", "_h").join(
-        F.broadcast(cuts.select("_g", "_b").distinct()), ["_g", "_b"], "left_semi"
+        cuts.select("_g", "_b").distinct(), ["_g", "_b"], "left_semi"
     )
     ranked = inside.withColumn(
         "r", F.row_number().over(Window.partitionBy("_g", "_b").orderBy("_h"))
     )
     limits = (
-        ranked.join(F.broadcast(cuts), ["_g", "_b"])
+        ranked.join(cuts, ["_g", "_b"])
         .where(F.col("r") == F.col("need"))
         .groupBy("_g")
         .agg(*[
@@ -82,7 +81,7 @@ def quota_split(
             for i in range(len(quotas))
         ])
     )
-    placed = keyed.join(F.broadcast(limits), "_g", "left")
+    placed = keyed.join(stage(limits, "split-limits"), "_g", "left")
     choice = F.lit(rest)
     for i in reversed(range(len(quotas))):
         choice = F.when(F.col("_h") <= F.col(f"limit{i}"), F.lit(quotas[i][0])).otherwise(choice)
@@ -91,7 +90,6 @@ def quota_split(
 
 def stratified_split(
     images: DataFrame,
-    strata: tuple[str, ...],
     ratio: float = VALIDATION_RATIO,
     seed: int = RANDOM_SEED,
 ) -> DataFrame:
@@ -100,18 +98,18 @@ def stratified_split(
     amount = F.greatest(F.lit(1), F.floor(F.col("n") * F.lit(str(ratio)).cast("decimal(9,8)")))
     learning = quota_split(
         images.where(~F.coalesce(test, F.lit(False))),
-        "file_path", "label", strata, [("validation", amount)], "train", seed,
+        "file_path", "label", [("validation", amount)], "train", seed,
     )
     return learning.unionByName(images.where(test).withColumn("ml_split", F.lit("test")))
 
 
 def three_way_split(
-    records: DataFrame, key: str, stratum: str, strata: tuple[str, ...], seed: int = RANDOM_SEED
+    records: DataFrame, key: str, stratum: str, seed: int = RANDOM_SEED
 ) -> DataFrame:
     """80/10/10 per stratum; validation and test get floor(n / 10) rows each."""
     tenth = F.floor(F.col("n") / F.lit(10))
     return quota_split(
-        records, key, stratum, strata, [("validation", tenth), ("test", tenth)], "train", seed
+        records, key, stratum, [("validation", tenth), ("test", tenth)], "train", seed
     )
 
 

@@ -123,16 +123,17 @@ def purge_demo(
     """Drop uploaded studies with their predictions, then demo patients.
 
     A demo patient has a generated name, or has no study left and belongs to a demo site.
-    The OR makes it a flag column and not an anti join.
+    The OR makes it a flag column and not an anti join. Rows whose name, site or source is null stay, as SQL's
+    DELETE keeps rows whose condition is unknown.
     """
     uploaded = studies.where(F.col("source_dataset") == demo_source).select("study_id")
     kept_predictions = predictions.join(uploaded, "study_id", "left_anti")
-    kept_studies = studies.where(F.col("source_dataset") != demo_source)
+    kept_studies = studies.where(~F.coalesce(F.col("source_dataset") == demo_source, F.lit(False)))
     owners = kept_studies.select("patient_id").distinct().withColumn("_owner", F.lit(True))
     demo = F.col("display_name").like("Paciente %") | (
         F.col("_owner").isNull() & F.col("site_code").isin(*demo_sites)
     )
-    kept_patients = patients.join(owners, "patient_id", "left").where(~demo).drop("_owner")
+    kept_patients = patients.join(owners, "patient_id", "left").where(~F.coalesce(demo, F.lit(False))).drop("_owner")
     return kept_patients.select(*patients.columns), kept_studies, kept_predictions
 
 

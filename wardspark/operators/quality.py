@@ -6,7 +6,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardspark.functions.clean import cut
 from wardspark.operators.lookup import orphans
 from wardspark.schemas import SEVERITIES
 
@@ -16,7 +15,7 @@ def issue_rows(rejected: DataFrame, run_id: Column) -> DataFrame:
     return rejected.select(
         run_id.alias("run_id"),
         F.col("reject_reason").alias("issue_type"),
-        cut(F.col("file_path"), 2000).alias("details"),
+        F.col("file_path").alias("details"),
     )
 
 
@@ -33,14 +32,13 @@ def quality_alert(counts: DataFrame, threshold: int = 10) -> DataFrame:
     """Alert rows for counts (run_id, corrupt, incomplete, duplicate) at or over the threshold."""
     total = F.col("corrupt") + F.col("incomplete") + F.col("duplicate")
     message = F.concat(
-        F.lit("Run "), F.col("run_id"), F.lit(": corruptas="), F.col("corrupt"),
-        F.lit(", incompletas="), F.col("incomplete"), F.lit(", duplicadas="), F.col("duplicate"),
-        F.lit(". Revisar data_quality_issues."),
+        F.lit("Run "), F.col("run_id"), F.lit(" rejected files: corrupt "), F.col("corrupt"),
+        F.lit(", incomplete "), F.col("incomplete"), F.lit(", duplicate "), F.col("duplicate"),
     )
     return counts.where(total >= threshold).select(
         "run_id",
         threshold_severity(total, threshold).alias("severity"),
-        F.lit("Umbral de calidad de imágenes superado").alias("title"),
+        F.lit("Too many rejected files").alias("title"),
         message.alias("message"),
     )
 
@@ -87,16 +85,16 @@ def unpredicted_studies(studies: DataFrame, predictions: DataFrame) -> DataFrame
 def audit_alert(counts: DataFrame) -> DataFrame:
     """One warning that joins the non-zero findings; no row when all are zero."""
     parts = [
-        ("bad_patients", " paciente(s) con datos demográficos incompletos"),
-        ("no_object", " estudio(s) API sin imagen en MinIO"),
-        ("no_prediction", " estudio(s) con imagen pero sin predicción"),
+        ("bad_patients", " patients lack personal data"),
+        ("no_object", " uploaded studies lack their object"),
+        ("no_prediction", " stored studies lack a prediction"),
     ]
     findings = F.array_compact(
         F.array(*[F.when(F.col(c) > 0, F.concat(F.col(c), F.lit(text))) for c, text in parts])
     )
     return counts.select(findings.alias("findings")).where(F.size("findings") > 0).select(
         F.lit("warning").alias("severity"),
-        F.lit("Registros incompletos detectados").alias("title"),
+        F.lit("Incomplete records found").alias("title"),
         F.concat_ws("; ", "findings").alias("message"),
     )
 
@@ -105,25 +103,21 @@ def failed_run_alerts(runs: DataFrame) -> DataFrame:
     return runs.where(F.col("status") == "failed").select(
         "run_id",
         F.lit("critical").alias("severity"),
-        F.concat(F.lit("Pipeline fallido: "), "run_id").alias("title"),
-        cut(F.coalesce(F.nullif("error_message", F.lit("")), F.lit("Error sin detalle")), 2000)
-        .alias("message"),
+        F.concat(F.lit("Run failed: "), "run_id").alias("title"),
+        F.coalesce(F.nullif("error_message", F.lit("")), F.lit("no details given")).alias("message"),
     )
 
 
 def task_failure_alerts(failures: DataFrame) -> DataFrame:
     """Alerts for failed tasks (dag_id, task_id, run_id, exception), with defaults for nulls."""
     return failures.select(
-        cut(F.col("run_id"), 32).alias("run_id"),
+        "run_id",
         F.lit("critical").alias("severity"),
-        cut(
-            F.concat(
-                F.lit("Airflow: fallo en "), F.coalesce("dag_id", F.lit("unknown")), F.lit("."),
-                F.coalesce("task_id", F.lit("unknown")),
-            ),
-            128,
+        F.concat(
+            F.lit("Task failed: "), F.coalesce("dag_id", F.lit("unknown")), F.lit("."),
+            F.coalesce("task_id", F.lit("unknown")),
         ).alias("title"),
-        cut(F.coalesce("exception", F.lit("Error sin detalle")), 4000).alias("message"),
+        F.coalesce("exception", F.lit("no details given")).alias("message"),
     )
 
 
@@ -132,12 +126,12 @@ def normal_severity(severity: Column) -> Column:
 
 
 def normalise_alerts(alerts: DataFrame) -> DataFrame:
-    """Alerts as stored: known severity, title cut at 128 and message at 4000 characters."""
+    """Alerts as stored: known severity, whole texts."""
     return alerts.select(
         "run_id",
         normal_severity(F.col("severity")).alias("severity"),
-        cut(F.col("title"), 128).alias("title"),
-        cut(F.col("message"), 4000).alias("message"),
+        "title",
+        "message",
     )
 
 

@@ -68,7 +68,7 @@ def clean_events(raw: DataFrame, run_time: str) -> DataFrame:
     return raw.select(
         "event_id", "run_id", "stage", "status",
         clean.int_or_zero(F.col("records")).alias("records"),
-        clean.cut(F.coalesce("message", F.lit("")), 2000).alias("message"),
+        F.coalesce("message", F.lit("")).alias("message"),
         F.coalesce(
             clean.timestamp(F.col("logged_at")), F.lit(run_time).cast("timestamp_ntz")
         ).alias("logged_at"),

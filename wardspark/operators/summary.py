@@ -113,3 +113,8 @@ def run_rules() -> dict[str, Column]:
         | (F.col("finished_at") >= F.col("started_at")),
         "status_known": F.col("status").isin(*RUN_STATUSES),
     }
+
+
+def distribution(records: DataFrame, label: str = "diagnosis") -> DataFrame:
+    """Rows per class, the content of a dataset description."""
+    return records.groupBy(label).agg(F.count(F.lit(1)).alias("n"))

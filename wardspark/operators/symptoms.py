@@ -1,24 +1,24 @@
-"""The symptom classifier: features, training and batch scoring with Spark ML."""
+"""The symptom classifier: features from Spark expressions, training and batch scoring with Spark ML."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from wardspark.functions.clean import clamp_age, normal_sex, usable_symptoms
 from wardspark.operators.evaluation import class_weights
-from wardspark.operators.text import MAX_TERMS, MIN_DOCUMENTS, with_pairs, words
-from wardspark.schemas import DIAGNOSES, SEXES
-from wardspark.session import stage
+from wardspark.operators.text import inverse_frequencies, term_frequencies, vocabulary
+from wardspark.schemas import SEXES
+from wardspark.session import scratch_path, stage
 
 MODEL_NAME = "symptoms_logreg"
 MODEL_VERSION = "v1"
+_SPARSE = 0  # Spark ML's mark of a sparse vector
 
 
 def training_set(records: DataFrame) -> DataFrame:
@@ -34,71 +34,72 @@ def training_set(records: DataFrame) -> DataFrame:
 
 @dataclass
 class SymptomModel:
-    vocabulary: CountVectorizerModel
-    idf: np.ndarray
+    terms: DataFrame  # term, place, idf: at most 8000 rows, stored
+    width: int
     age_mean: float
     age_deviation: float
     labels: list[str]
     classifier: LogisticRegressionModel | None = None
 
-    def features(self, counted: DataFrame) -> DataFrame:
-        """Add ``features``: unit-length text weights, scaled age, one slot per known sex.
+    def features(self, keyed: DataFrame, counts: DataFrame) -> DataFrame:
+        """Replace ``symptoms`` by ``features``: unit-length text weights, scaled age, one slot per known sex.
 
-        ``counted`` has the term counts of ``count_terms``.
+        ``keyed`` has a unique ``_row``, ``counts`` its term counts. Sparse vectors are written as the struct
+        that stores them and read back as vectors, so no row passes through Python. A document's
+        list has at most as many entries as there are terms.
         """
-        idf = self.idf
-
-        @F.udf(VectorUDT())
-        def weigh(counts):
-            # Sparse in and sparse out; the array form would be as wide as the vocabulary.
-            weights = (1.0 + np.log(counts.values)) * idf[counts.indices]
-            length = np.sqrt(np.dot(weights, weights))
-            return SparseVector(counts.size, counts.indices, weights / length if length else weights)
-
+        weights = counts.join(F.broadcast(self.terms), "term").select(
+            F.col("doc").alias("_row"), "place", ((F.log("tf") + 1) * F.col("idf")).alias("w")
+        ).groupBy("_row").agg(
+            F.sort_array(F.collect_list(F.struct("place", "w"))).alias("_terms"),
+            F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"),
+        )
+        none = F.array().cast("array<struct<place:int,w:double>>")
         age = ((F.col("age") - F.lit(self.age_mean)) / F.lit(self.age_deviation)).cast("double")
-        sexes = [F.coalesce(F.col("sex") == s, F.lit(False)).cast("double") for s in SEXES]
-        weighed = counted.select(
-            *[c for c in counted.columns if c != "counts"],
-            weigh("counts").alias("text_weights"),
-            array_to_vector(F.array(F.coalesce(age, F.lit(0.0)), *sexes)).alias("person"),
+        person = [F.coalesce(age, F.lit(0.0)), *[F.coalesce(F.col("sex") == s, F.lit(False)).cast("double") for s in SEXES]]
+        joined = keyed.drop("symptoms").join(weights, "_row", "left").withColumn("_terms", F.coalesce("_terms", none))
+        size = self.width + len(person)
+        vector = F.struct(
+            F.lit(_SPARSE).cast("tinyint").alias("type"), F.lit(size).alias("size"),
+            F.concat(F.transform("_terms", lambda t: t["place"]), F.array(*[F.lit(i) for i in range(self.width, size)])).alias("indices"),
+            F.concat(F.transform("_terms", lambda t: t["w"] / F.col("_norm")), F.array(*person)).alias("values"),
         )
-        joined = VectorAssembler(inputCols=["text_weights", "person"], outputCol="features")
-        return joined.transform(weighed).drop("text_weights", "person")
-
+        stored = joined.withColumn("features", vector).drop("_terms", "_norm")
+        path = scratch_path(keyed.sparkSession, "symptom-features")
+        stored.write.parquet(path)
+        fields = [StructField(f.name, VectorUDT()) if f.name == "features" else f for f in stored.schema]
+        return keyed.sparkSession.read.schema(StructType(fields)).parquet(path)
 
-def _terms(df: DataFrame) -> DataFrame:
-    tokens = df.withColumn("_words", words(F.col("symptoms")))
-    return tokens.withColumn("terms", with_pairs(F.col("_words"))).drop("_words")
 
+def _keyed(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The records with a stored row number, and their term counts."""
+    keyed = stage(records.withColumn("_row", F.monotonically_increasing_id()), "symptom-rows")
+    return keyed, stage(term_frequencies(keyed, "_row", "symptoms"), "symptom-terms")
 
-def count_terms(df: DataFrame, vocabulary: CountVectorizerModel) -> DataFrame:
-    return vocabulary.transform(_terms(df)).drop("terms")
 
+def train(training: DataFrame, max_iter: int = 400) -> SymptomModel:
+    """Fit the classifier on all rows that have a diagnosis; the classes are those of the rows.
 
-def train(training: DataFrame, diagnoses: tuple[str, ...] = DIAGNOSES, max_iter: int = 400) -> SymptomModel:
-    """Fit the classifier on rows of known diagnosis.
-
-    Starts the jobs of Spark ML. What reaches the driver is bounded: at most 8000 terms, the
-    class weights of the closed set of diagnoses, and the coefficients. Texts are split into
-    words twice, for the vocabulary and for the counts; the counts are staged for the rest.
+    What reaches the driver is bounded by the model: one weight per class, and the coefficients.
     """
-    known = training.where(F.col("diagnosis").isin(*diagnoses)).repartition("record_id")
-    vocabulary = CountVectorizer(
-        inputCol="terms", outputCol="counts", vocabSize=MAX_TERMS, minDF=float(MIN_DOCUMENTS)
-    ).fit(_terms(known))
-    counted = stage(count_terms(known, vocabulary).drop("symptoms"), "term-counts")
-    # Spark's idf is ln((N + 1) / (df + 1)); the features use that plus one.
-    idf = IDF(inputCol="counts", outputCol="weighted").fit(counted).idf.toArray() + 1.0
-    stats = counted.agg(F.avg("age").alias("m"), F.stddev_pop("age").alias("s")).first()
-    weights = {r["diagnosis"]: r for r in class_weights(counted, "diagnosis").collect()}
+    keyed, counts = _keyed(training.where(F.col("diagnosis").isNotNull()))
+    order = Window.orderBy(F.col("corpus_count").desc(), "term")  # over the 8000 terms at most
+    terms = stage(
+        inverse_frequencies(vocabulary(counts), keyed)
+        .select("term", (F.row_number().over(order) - 1).alias("place"), "idf"),
+        "symptom-vocabulary",
+    )
+    stats = keyed.agg(F.avg("age").alias("m"), F.stddev_pop("age").alias("s")).first()
+    weights = {r["diagnosis"]: r for r in class_weights(keyed, "diagnosis").collect()}
     labels = sorted(weights)
-    model = SymptomModel(vocabulary, idf, stats["m"] or 0.0, stats["s"] or 1.0, labels)
+    model = SymptomModel(terms, terms.count(), stats["m"] or 0.0, stats["s"] or 1.0, labels)
 
     pairs = [x for label in labels for x in (F.lit(label), F.lit(weights[label]["weight"]))]
-    order = F.array(*[F.lit(v) for v in labels])
-    ready = model.features(
-        counted.withColumn("weight", F.element_at(F.create_map(*pairs), F.col("diagnosis")))
-        .withColumn("target", (F.array_position(order, F.col("diagnosis")) - 1).cast("double"))
+    order_of = F.array(*[F.lit(v) for v in labels])
+    ready = (
+        model.features(keyed, counts)
+        .withColumn("weight", F.element_at(F.create_map(*pairs), F.col("diagnosis")))
+        .withColumn("target", (F.array_position(order_of, F.col("diagnosis")) - 1).cast("double"))
     )
     rows = sum(r["n"] for r in weights.values())
     model.classifier = LogisticRegression(
@@ -116,14 +117,19 @@ def score(records: DataFrame, model: SymptomModel) -> DataFrame:
         clamp_age(F.col("age")).alias("age"),
         normal_sex(F.col("sex")).alias("sex"),
     )
-    scored = model.classifier.transform(model.features(count_terms(usable, model.vocabulary)))
+    scored = model.classifier.transform(model.features(*_keyed(usable)))
     labels = F.array(*[F.lit(v) for v in model.labels])
     probs = vector_to_array("probability")
     position = F.array_position(probs, F.array_max(probs)).cast("int")
     return scored.select(
-        *usable.columns,
+        *[c for c in usable.columns if c != "symptoms"],
         F.element_at(labels, position).alias("predicted_diagnosis"),
         F.map_from_arrays(labels, probs).alias("probabilities"),
         F.lit(MODEL_NAME).alias("model_name"),
         F.lit(MODEL_VERSION).alias("model_version"),
     )
+
+
+def append_predictions(scored: DataFrame, path: str) -> None:
+    """Append scored records to a table of predictions, the probabilities as JSON text."""
+    scored.withColumn("prob_json", F.to_json("probabilities")).drop("probabilities").write.mode("append").parquet(path)

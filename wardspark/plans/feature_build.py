@@ -1,4 +1,4 @@
-"""Feature build: split, augment, resample and store pixel arrays with their index.
+"""Feature build: split, plan the variants and store their index.
 
     spark-submit --py-files wardspark.zip -m wardspark.plans.feature_build DATA_ROOT MANIFEST_DIR OUT
 """
@@ -9,23 +9,19 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardspark.functions.ids import sample_id
-from wardspark.operators import features, images
-from wardspark.schemas import (
-    FEATURES_VERSION, IMAGE_SIZE, RANDOM_SEED, STUDY_LABELS, VALIDATION_RATIO,
-)
+from wardspark.operators import features
+from wardspark.schemas import FEATURES_VERSION, IMAGE_SIZE, RANDOM_SEED, VALIDATION_RATIO
 from wardspark.session import build_session, stage
 from wardspark.sources import files, sinks
 
 
 def run(
-    spark: SparkSession, data_root: str, manifest_dir: str, out: str, image_size: int = IMAGE_SIZE,
-    limit: int = 0, write_pixels: bool = True,
+    spark: SparkSession, data_root: str, manifest_dir: str, out: str, image_size: int = IMAGE_SIZE, limit: int = 0,
 ) -> DataFrame:
-    """Write ``pixels`` (by split and label), ``index`` and ``report``; return the counts.
+    """Write ``index`` and ``report``; return the counts.
 
-    Images are decoded by Spark's image source and processed in one job; the index and the
-    report do not touch them.
+    Every planned sample has its id and output path in the index; a pixel step reads the index and writes
+    the files. ``limit`` keeps the first sources by path, 0 all of them.
     """
     sources = files.feature_sources(
         spark,
@@ -33,32 +29,11 @@ def run(
          ("csv", f"{manifest_dir}/manifest.csv")],
         data_root,
     )
-    split = features.stratified_split(sources, STUDY_LABELS, VALIDATION_RATIO, RANDOM_SEED)
+    split = features.stratified_split(sources, VALIDATION_RATIO, RANDOM_SEED)
     if limit > 0:
         split = split.orderBy("file_path").limit(limit)
     split = stage(split.withColumn("content_hash", F.coalesce("content_hash", F.md5("fs_path"))), "split")
-    planned = features.augmentation_plan(split)
-    if write_pixels:
-        decoded = (
-            spark.read.format("image").option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.{jpg,jpeg,png,JPG,JPEG,PNG}").option("dropInvalid", True)
-            .load(data_root).select("image", files.plain_path(F.col("image.origin")).alias("_path"))
-        )
-        local = files.plain_path(F.col("fs_path"))
-        # The path is unique on both sides; its hash spreads the pixel work evenly. A missing or
-        # unreadable file has no image and gives no sample.
-        work = split.withColumn("_path", local).join(decoded, "_path")
-        samples = features.augmentation_plan(work).withColumn(
-            "sample_id", sample_id(F.col("content_hash"), F.col("ml_split"), F.col("augment_type"))
-        )
-        pixels = images.image_features(
-            samples.drop("split").withColumnRenamed("ml_split", "split"), image_size
-        )
-        sinks.write_table(pixels, f"{out}/pixels", ("split", "label"))
-        built = spark.read.parquet(f"{out}/pixels").select("sample_id", F.lit(True).alias("_built"))
-        index = features.feature_index(planned, FEATURES_VERSION, image_size).join(built.distinct(), "sample_id", "left_semi")
-    else:
-        index = features.feature_index(planned, FEATURES_VERSION, image_size)
+    index = features.feature_index(features.augmentation_plan(split), FEATURES_VERSION, image_size)
     sinks.write_table(index, f"{out}/index", ("split", "label"))
     counts = features.feature_counts(spark.read.parquet(f"{out}/index"))
     sinks.write_report(counts, f"{out}/report")

@@ -10,7 +10,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardspark.operators import evaluation as ev, features, symptoms
-from wardspark.schemas import DIAGNOSES, RECORDS_CSV
+from wardspark.schemas import RECORDS_CSV
 from wardspark.session import build_session, stage
 from wardspark.sources import files, sinks
 
@@ -18,7 +18,7 @@ from wardspark.sources import files, sinks
 def run(spark: SparkSession, records: DataFrame, out: str, max_iter: int = 400) -> symptoms.SymptomModel:
     training = symptoms.training_set(records)
     split = stage(
-        features.three_way_split(training, "record_id", "diagnosis", DIAGNOSES), "records-split"
+        features.three_way_split(training, "record_id", "diagnosis"), "records-split"
     )
     model = symptoms.train(split.where("ml_split = 'train'"), max_iter=max_iter)
     truth = split.select("record_id", F.col("diagnosis").alias("actual"), F.col("ml_split").alias("split"))

@@ -5,6 +5,7 @@ State is bounded by a watermark, or kept as a table that each micro-batch joins
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wardspark.functions import paths
 from wardspark.operators import arrivals as arr, validate
 from wardspark.operators.quality import threshold_severity
+from wardspark.session import stage
 from wardspark.sources.files import exists, is_folder
 
 
@@ -62,13 +64,17 @@ def debounced(stream: DataFrame, gap: str, delay: str | None = None) -> DataFram
 def route_to_tables(arrivals: DataFrame, out: str, checkpoint: str) -> None:
     """Route arrivals into ``moved`` and ``alerts`` tables below ``out``.
 
-    Each micro-batch overwrites its own partition, so a repeated batch changes nothing.
+    Names that any other batch has given away are taken. Each micro-batch is stored once and overwrites its
+    own partition, so a repeated batch changes nothing.
     """
+    stream = _stream_name(checkpoint)
 
     def handle(batch: DataFrame, number: int) -> None:
-        routed = arr.route_arrivals(batch)
-        arr.destinations(routed).write.mode("overwrite").parquet(f"{out}/moved/batch={number}")
-        arr.route_alerts(routed).write.mode("overwrite").parquet(f"{out}/alerts/batch={number}")
+        routed = stage(arr.route_arrivals(batch), "routed")
+        stored = _stored_before(batch.sparkSession, f"{out}/moved", stream, number)
+        taken = None if stored is None else stored.select("destination")
+        arr.destinations(routed, taken=taken).write.mode("overwrite").parquet(_batch_path(f"{out}/moved", stream, number))
+        arr.route_alerts(routed).write.mode("overwrite").parquet(_batch_path(f"{out}/alerts", stream, number))
 
     run_batches(arrivals, handle, checkpoint)
 
@@ -78,20 +84,38 @@ def inspect_to_table(files: DataFrame, out: str, checkpoint: str) -> None:
     run_to_parquet(validate.inspect_files(files), out, checkpoint)
 
 
+def _stream_name(checkpoint: str) -> str:
+    """Names a stream by its checkpoint, which is what numbers its batches."""
+    return "s" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
+def _stored_before(spark: SparkSession, out: str, stream: str, number: int) -> DataFrame | None:
+    """Rows of ``out`` from all batches of all streams but this one, which may be a repetition."""
+    if not exists(spark, out):
+        return None
+    stored = spark.read.option("basePath", out).schema(spark.read.parquet(out).schema).parquet(out)
+    return stored.where(~((F.col("stream") == stream) & (F.col("batch") == number)))
+
+
+def _batch_path(out: str, stream: str, number: int) -> str:
+    return f"{out}/stream={stream}/batch={number}"
+
+
 def unique_contents(files: DataFrame, out: str, checkpoint: str) -> None:
     """Append the first file of every valid content that is not stored yet.
 
     The stored table is the state: each batch keeps its smallest path per hash and drops the
-    hashes that earlier batches wrote.
+    hashes that any other batch wrote. Batches are numbered per stream, so several streams, one after the
+    other, may fill one table; a repeated batch overwrites only itself.
     """
+    stream = _stream_name(checkpoint)
 
     def handle(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
         fresh = validate.first_copies(validate.inspect_files(batch))
-        if exists(spark, out):
-            stored = spark.read.option("basePath", out).parquet(out).where(F.col("batch") < number)
+        stored = _stored_before(batch.sparkSession, out, stream, number)
+        if stored is not None:
             fresh = fresh.join(stored.select("content_hash"), "content_hash", "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        fresh.write.mode("overwrite").parquet(_batch_path(out, stream, number))
 
     run_batches(files, handle, checkpoint)
 

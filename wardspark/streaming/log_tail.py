@@ -30,7 +30,7 @@ def _open(uri: str):
 
 
 def read_range(uri: str, start: int, low: int, high: int, end: int, block: int = 1 << 20) -> Iterator[str]:
-    """Lines of a file that begin in [low, high); ``start`` begins a line, ``end`` ends the file."""
+    """Lines of a file that begin in [low, high); ``start`` begins a line, ``end`` follows a line break."""
     with _open(uri) as source:
         position = low
         if low > start:
@@ -53,8 +53,19 @@ def read_range(uri: str, start: int, low: int, high: int, end: int, block: int =
                 begin += len(line) + 1
                 if begin >= high:
                     return
-        if pending and not skipping and begin < high:
-            yield pending.decode("utf-8", "replace")
+
+
+def whole_length(uri: str, start: int, end: int, block: int = 1 << 16) -> int:
+    """Where the last whole line of [start, end) ends, looking back from the end; ``start`` if there is none."""
+    with _open(uri) as source:
+        while end > start:
+            low = max(start, end - block)
+            source.seek(low)
+            at = source.read(end - low).rfind(b"\n")
+            if at >= 0:
+                return low + at + 1
+            end = low
+    return start
 
 
 def pending_ranges(listing: DataFrame, offsets: DataFrame | None, range_bytes: int) -> DataFrame:
@@ -83,21 +94,36 @@ class LogTail:
         self.lines_path = f"{state}/lines"
         self.offsets = Snapshots(spark, f"{state}/offsets")
 
+    def _whole_lines(self, listing: DataFrame, before: DataFrame | None) -> DataFrame:
+        """The listing with each length cut back to the last line break: an unfinished line waits."""
+        known = listing.withColumn("offset", F.lit(0).cast("long")) if before is None else listing.join(
+            before, "path", "left").withColumn("offset", F.coalesce("offset", F.lit(0)))
+        start = F.when(F.col("offset") > F.col("length"), F.lit(0)).otherwise(F.col("offset")).cast("long")
+
+        def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                ends = [whole_length(*r) for r in batch[["path", "start", "length"]].itertuples(index=False)]
+                yield pd.DataFrame({"path": batch["path"], "length": ends})
+
+        # One small read per file: files are spread over the tasks.
+        spread = known.select("path", "length", start.alias("start")).repartition(4 * self.spark.sparkContext.defaultParallelism)
+        return spread.mapInPandas(cut, "path string, length long")
+
     def run_once(self) -> DataFrame:
         """Read everything new and return the new lines (path, line).
 
         The listing is staged, so that lines and offsets come from the same file lengths. Lines
         are written below the number of the pass before its offsets are: a pass that fails is
-        repeated and overwrites its own lines.
+        repeated and overwrites its own lines. A line without its line break is left for a later pass.
         """
         spark = self.spark
         listing = (
             spark.read.format("binaryFile").option("recursiveFileLookup", True)
             .option("pathGlobFilter", self.glob).load(self.root).select("path", "length")
         )
-        listing = stage(listing, "log-listing")
         done = self.offsets.latest()
         before = self.offsets.read(done) if done else None
+        listing = stage(self._whole_lines(listing, before), "log-listing")
         ranges = pending_ranges(listing, before, self.range_bytes)
 
         def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
