@@ -39,7 +39,7 @@ VOTES = (-1, 0, 1)
 ROUNDS = 25
 PRIOR = 0.8  # share of good texts before the first round
 #: Before the first round: probability of each vote on bad (0) and good (1) texts.
-FIRST = {0: {-1: 0.4, 0: 0.2, 1: 0.4}, 1: {-1: 0.01, 0: 0.09, 1: 0.9}}
+FIRST = {0: {-1: 0.3, 0: 0.2, 1: 0.5}, 1: {-1: 0.05, 0: 0.15, 1: 0.8}}
 SMOOTH = 0.5
 SETTLED = 1e-6  # the rounds end when no probability moves further
 LEAST_WORDS = 50

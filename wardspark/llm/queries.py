@@ -70,4 +70,58 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_ngram_jaccard, op8_nearest_vectors, op9_quality_votes, op10_secret_ownership,
     )
 }
-ORACLES: dict[str, str] = {}
+#: The mix as running sums over all rows of a source in hash order, which the histograms avoid.
+MIX_SQL = r"""
+with d as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint size,
+         ('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 15))::bigint h
+  from documents),
+s as (
+  select *, case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 5 when 1 then 2 else 1 end w
+  from (select source, sum(size)::bigint source_size from d group by source)),
+f as (
+  select *, coalesce(sum(3 * source_size) over before, 0)::bigint fixed, coalesce(sum(w) over before, 0)::bigint gone,
+         sum(source_size) over ()::bigint total, sum(w) over ()::bigint weight
+  from s window before as (order by source_size / w, source nulls last rows between unbounded preceding and 1 preceding)),
+l as (
+  select coalesce(max((total - fixed) / (weight - gone)), 0) level
+  from f where (total - fixed) / (weight - gone) * w <= 3 * source_size),
+t as (select *, least(level * w, 3.0::double * source_size) target from s, l),
+r as (
+  select *, case when source_size > 0 then floor(target / source_size)::bigint else 0 end repeats from t),
+q as (select *, target - repeats * source_size rest from r),
+g as (
+  select *, sum(size) over (partition by source order by h)::bigint upto
+  from (select source, h, sum(size)::bigint size from d group by source, h)),
+b as (
+  select g.source, h, min(rest) rest, min(upto) upto, min(g.size) size,
+         row_number() over (partition by g.source order by h) place
+  from g join q on g.source is not distinct from q.source
+  where upto > rest and rest > 0 and g.size > 0 group by g.source, h),
+k as (
+  select source, case when upto - rest < rest - (upto - size) then h + 1 else h end bound from b where place = 1)
+select doc_id, d.size, source_size, target, (d.size * (repeats + (h < coalesce(bound, 0))::int))::bigint taken
+from d join q on d.source is not distinct from q.source left join k on d.source is not distinct from k.source"""
+
+PREFERENCE_SQL = """
+with t as (
+  select conv_id, list({'role': role, 'text': text} order by turn, role, text) turns
+  from (select conv_id, turn, coalesce(role, 'user') role, coalesce(text, '') text from conversations where conv_id is not null)
+  group by conv_id),
+a as (select *, coalesce(list_max(list_transform(range(1, len(turns) + 1), lambda i: case when turns[i].role = 'assistant' then i else 0 end)), 0) last_turn from t),
+p as (
+  select a.conv_id pair_id, case when a.last_turn > 0 then a.turns[1:a.last_turn] else a.turns end c, a.last_turn last_turn,
+         case when n.last_turn > 0 then n.turns[n.last_turn].text end other, n.last_turn > 0 has_other
+  from a left join a n on n.conv_id = a.conv_id + 1),
+k as (
+  select *, case when last_turn > 0 and not coalesce(has_other and other = c[last_turn].text, false) then last_turn - 1 else len(c) end k from p)
+select pair_id, k::int prompt_turns,
+       coalesce(list_aggregate(list_transform(c[1:k], lambda x: '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), 'string_agg', ''), '') prompt,
+       case when k < len(c) then '<|assistant|>' || chr(10) || c[last_turn].text || '<|end|>' || chr(10) else '' end chosen,
+       case when k < len(c) then '14:' || (14 + length(c[last_turn].text) + 7) else '' end chosen_mask,
+       case when k < len(c) and has_other then '<|assistant|>' || chr(10) || other || '<|end|>' || chr(10) else '' end rejected,
+       case when k < len(c) and has_other then '14:' || (14 + length(other) + 7) else '' end rejected_mask,
+       k < len(c) differs
+from k"""
+
+ORACLES: dict[str, str] = {"op3_source_mixing": MIX_SQL, "op6_preference_pairs": PREFERENCE_SQL}
