@@ -179,6 +179,16 @@ def delete_patients_cascade(d: Domain) -> DataFrame:
     return _remaining(*left)
 
 
+@register("delete_objects", tables="patients studies", sql=f"""
+with {_DECIDED}
+select object_key from studies left join (select patient_id, true gone from decided where outcome = 'deleted') using (patient_id)
+where object_key is not null group by object_key having bool_and(coalesce(gone, false))""")
+def delete_objects(d: Domain) -> DataFrame:
+    """Objects to remove from the store after the accepted deletes."""
+    decided = mutate.delete_decisions(_delete_requests(d), d.patients(), d.studies())
+    return mutate.deleted_objects(decided, d.studies())
+
+
 def _remaining(patients: DataFrame, studies: DataFrame, predictions: DataFrame) -> DataFrame:
     parts = [("patients", patients, "patient_id"), ("studies", studies, "study_id"),
              ("predictions", predictions, "study_id")]

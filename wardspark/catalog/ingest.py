@@ -504,13 +504,16 @@ from classified where reject_reason is null group by content_hash""")
 def object_store(d: Domain) -> DataFrame:
     """Contents stored under their hash; storing the same files again adds nothing."""
     path = scratch_path(d.spark, "objects")
-    inspected = validate.inspect_files(d.manifest(), drop_content=False).where(validate.usable())
-    # One content per hash: which copy is taken does not matter, their bytes are equal.
-    objects = inspected.groupBy("content_hash").agg(F.any_value("content").alias("content")).select(
-        ids.raw_object_key(F.col("content_hash")).alias("object_key"), "content"
+    # The first file of each content is found among narrow rows; contents are only read for those.
+    first = stage(
+        validate.inspect_files(d.manifest()).where(validate.usable()).groupBy("content_hash")
+        .agg(F.min("file_path").alias("file_path")).select(
+            "file_path", ids.raw_object_key(F.col("content_hash")).alias("object_key")),
+        "first-files",
     )
-    sinks.store_objects(objects, path)
-    sinks.store_objects(objects, path)
+    contents = d.manifest().select("file_path", "content")
+    for _ in range(2):
+        sinks.store_objects(first, path, contents, "file_path")
     return d.spark.read.parquet(path).select(
         "object_key", F.octet_length("content").cast("bigint").alias("size_bytes")
     )

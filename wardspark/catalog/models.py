@@ -149,7 +149,17 @@ def vector_normalize(d: Domain) -> DataFrame:
     )
 
 
-@register("batch_scoring")
+@register("batch_scoring", sql="""
+with v as (
+  select vec_id, case label % 3 when 0 then 'covid' when 1 then 'neumonia' else 'sana' end class,
+         unnest(range(1, len(embedding) + 1)) i, embedding from embeddings),
+e as (select vec_id, class, i, embedding[i]::double x from v),
+m as (select class, i, avg(x) c from e group by all),
+s as (select vec_id, m.class, 10 * sum(x * c) z from e join m using (i) group by all),
+o as (select vec_id, class, exp(z - max(z) over (partition by vec_id)) o from s),
+p as (select vec_id, class, o / sum(o) over (partition by vec_id) p from o)
+select vec_id, class predicted_label, round(p, 6) confidence
+from (select *, row_number() over (partition by vec_id order by p desc, class) r from p) where r = 1""")
 def batch_scoring(d: Domain) -> DataFrame:
     """Vectors scored by a supplied model; here the model is the mean vector of each class."""
     labelled = d.raw("embeddings").withColumn(

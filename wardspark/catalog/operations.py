@@ -296,11 +296,14 @@ from (select run_id, count(*) filter (where severity = 'critical' and not acknow
       from alerts group by 1)""")
 def health_rollup(d: Domain) -> DataFrame:
     """A run is healthy without open critical alerts; the platform when all runs are."""
+    return quality.health(run_checks(d))
+
+
+def run_checks(d: Domain) -> DataFrame:
     open_critical = (F.col("severity") == "critical") & ~F.col("acknowledged")
-    checks = d.alerts().groupBy(F.col("run_id").alias("name")).agg(
+    return d.alerts().groupBy(F.col("run_id").alias("name")).agg(
         (F.count_if(open_critical) == 0).alias("ok")
     )
-    return quality.health(checks)
 
 
 @register("log_path_meta", tables="parsed_logs", sql="""

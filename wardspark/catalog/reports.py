@@ -6,18 +6,21 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wardspark.catalog.clinic import _LATEST, _RECENT_STUDIES
 from wardspark.catalog.domain import Domain
-from wardspark.catalog.models import _evaluated
-from wardspark.catalog.operations import _RUNS, _runs
+from wardspark.catalog.models import _PLAIN_CELLS, _SUMMARY, _evaluated
+from wardspark.catalog.operations import ALERTS_SHOWN, _RUNS, _runs, run_checks
 from wardspark.catalog.registry import register
 from wardspark.operators import dashboard
 from wardspark.session import stage
 
 
-@register("dashboard_payload", tables="patients studies predictions run_events evaluated", sql=f"""
-with {_RUNS}, {_LATEST},
+@register("dashboard_payload", tables="patients studies predictions run_events evaluated alerts", sql=f"""
+with {_RUNS}, {_LATEST}, {_PLAIN_CELLS},
+measured as (select {_SUMMARY} from classes),
+checks as (select run_id, count(*) filter (where severity = 'critical' and not acknowledged) = 0 ok from alerts group by 1),
 recent as ({_RECENT_STUDIES}),
 uploads_recent as (
-  select p.prediction_id from predictions p join studies s using (study_id) join patients pt using (patient_id)
+  select p.prediction_id, p.study_id, p.predicted_label, pt.display_name, pt.patient_id
+  from predictions p join studies s using (study_id) join patients pt using (patient_id)
   where s.source_dataset = 'api_upload' order by p.inferred_at desc, p.prediction_id desc limit 100)
 select 'metrics' section, 'predictions_total' item, cast((select count(*) from predictions) as varchar) "value"
 union all select 'metrics', 'api_uploads', cast((select count(*) from studies where source_dataset = 'api_upload') as varchar)
@@ -28,14 +31,21 @@ union all select 'percent', predicted_label,
 union all select 'runs', 'ok', cast(count(*) filter (where status = 'ok') as varchar) from headers
 union all select 'runs', 'running', cast(count(*) filter (where status = 'running') as varchar) from headers
 union all select 'runs', 'failed', cast(count(*) filter (where status = 'failed') as varchar) from headers
-union all select 'recent_studies', study_id, coalesce(predicted_label, '-') from recent
-union all select 'recent_predictions', cast(prediction_id as varchar), '' from uploads_recent
+union all select 'recent_studies', study_id, concat_ws('|', coalesce(predicted_label, '-'), source_dataset, object_key, coalesce(patient_name, '-')) from recent
+union all select 'recent_predictions', cast(prediction_id as varchar), concat_ws('|', study_id, predicted_label, display_name, patient_id) from uploads_recent
+union all (select 'alerts', cast(alert_id as varchar), concat_ws('|', severity, title, message, run_id) from alerts
+           order by created_at desc, alert_id desc limit {ALERTS_SHOWN})
+union all select 'health', 'status', case when bool_and(ok) then 'ok' else 'degraded' end from checks
+union all select 'health', 'failing', cast(count(*) filter (where not ok) as varchar) from checks
+union all select 'evaluation', 'n_samples', cast(n_samples as varchar) from measured
+union all select 'evaluation', 'accuracy', cast(accuracy::decimal(9,6) as varchar) from measured
+union all select 'evaluation', 'f1_macro', cast(f1_macro::decimal(9,6) as varchar) from measured
 union all select 'errors', 'misclassified_total', cast(count(*) as varchar) from evaluated where actual <> predicted
 union all select 'errors', 'fn_neumonia_to_sana', cast(count(*) as varchar) from evaluated
     where actual = 'neumonia' and predicted = 'sana'""")
 def dashboard_payload(d: Domain) -> DataFrame:
     document = dashboard.payload(
-        d.patients(), d.studies(), d.predictions(), _runs(d), _evaluated(d)
+        d.patients(), d.studies(), d.predictions(), _runs(d), _evaluated(d), d.alerts(), run_checks(d), ALERTS_SHOWN
     )
     one = stage(document, "dashboard")
 
@@ -46,6 +56,9 @@ def dashboard_payload(d: Domain) -> DataFrame:
         *[row("metrics", n, F.col(f"metrics.{n}")) for n in ("predictions_total", "api_uploads", "patients_total")],
         *[row("runs", n, F.col(f"run_summary.{n}")) for n in ("ok", "running", "failed")],
         *[row("errors", n, F.col(f"evaluation.errors.{n}")) for n in ("misclassified_total", "fn_neumonia_to_sana")],
+        *[row("health", n, F.col(f"health.{n}")) for n in ("status", "failing")],
+        row("evaluation", "n_samples", F.col("evaluation.summary.n_samples")),
+        *[row("evaluation", n, F.round(F.col(f"evaluation.summary.{n}"), 6).cast("decimal(9,6)")) for n in ("accuracy", "f1_macro")],
     )
     def many(section: str, array: str, item, value):
         return F.transform(array, lambda e: F.struct(
@@ -57,7 +70,11 @@ def dashboard_payload(d: Domain) -> DataFrame:
         many("percent", "predictions_by_class", lambda e: e["predicted_label"],
              lambda e: e["percent"].cast("decimal(5,1)")),
         many("recent_studies", "recent_studies", lambda e: e["study_id"],
-             lambda e: F.coalesce(e["predicted_label"], F.lit("-"))),
-        many("recent_predictions", "recent_predictions", lambda e: e["prediction_id"], lambda e: F.lit("")),
+             lambda e: F.concat_ws("|", F.coalesce(e["predicted_label"], F.lit("-")), e["source_dataset"],
+                                   e["object_key"], F.coalesce(e["patient_name"], F.lit("-")))),
+        many("recent_predictions", "recent_predictions", lambda e: e["prediction_id"],
+             lambda e: F.concat_ws("|", e["study_id"], e["predicted_label"], e["patient_name"], e["patient_id"])),
+        many("alerts", "alerts", lambda e: e["alert_id"],
+             lambda e: F.concat_ws("|", e["severity"], e["title"], e["message"], e["run_id"])),
     )
     return one.select(F.inline(lists))

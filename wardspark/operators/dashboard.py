@@ -1,11 +1,12 @@
-"""The dashboard document: totals, percentages, run summary, recent rows, evaluation."""
+"""The dashboard document: totals, percentages, run summary, recent rows, alerts, health, evaluation."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from wardspark.operators import evaluation as ev, lookup, summary
+from wardspark.operators import evaluation as ev, lookup, quality, summary
 from wardspark.schemas import MODEL_LABELS
+from wardspark.session import stage
 
 
 def _as_array(df: DataFrame, name: str, order: list) -> DataFrame:
@@ -22,9 +23,13 @@ def payload(
     predictions: DataFrame,
     runs: DataFrame,
     evaluated: DataFrame,
+    alerts: DataFrame,
+    checks: DataFrame,
+    alert_limit: int = 50,
 ) -> DataFrame:
     """One nested row. Every array in it is bounded: labels, or a fixed number of recent rows.
 
+    ``alerts`` are shown newest first, ``alert_limit`` of them; ``checks`` (name, ok) give the health.
     The parts are single rows, looked up as scalar subqueries.
     """
     percent = _as_array(
@@ -40,7 +45,13 @@ def payload(
         [(-F.unix_micros(F.col("inferred_at").cast("timestamp"))).alias("k"),
          (-F.col("prediction_id")).alias("l")],
     )
-    cells = ev.confusion_cells(evaluated, MODEL_LABELS)
+    newest = alerts.orderBy(F.col("created_at").desc(), F.col("alert_id").desc()).limit(alert_limit)
+    recent_alerts = _as_array(
+        newest, "v",
+        [(-F.unix_micros(F.col("created_at").cast("timestamp"))).alias("k"), (-F.col("alert_id")).alias("l")],
+    )
+    health = quality.health(checks).select(F.struct("*").alias("v"))
+    cells = stage(ev.confusion_cells(evaluated, MODEL_LABELS), "dashboard-cells")
     metrics = ev.metrics_summary(ev.class_metrics(cells)).select(
         F.struct("accuracy", "f1_macro", "n_samples").alias("v")
     )
@@ -53,5 +64,7 @@ def payload(
         status.scalar().alias("run_summary"),
         recent_studies.scalar().alias("recent_studies"),
         recent_predictions.scalar().alias("recent_predictions"),
+        recent_alerts.scalar().alias("alerts"),
+        health.scalar().alias("health"),
         F.struct(metrics.scalar().alias("summary"), errors.scalar().alias("errors")).alias("evaluation"),
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from wardspark.session import stage
+
 
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
     """The first n rows of every key.
@@ -55,14 +57,17 @@ def recent_studies(
 ) -> DataFrame:
     """Newest studies with a stored object, their newest prediction and patient name.
 
-    Both left joins keep one row per study, so the limit is taken first: at most ``limit``
-    keys are broadcast and the large tables are only filtered.
+    Both left joins keep one row per study, so the limit is taken first and its rows are written once:
+    at most ``limit`` keys (checked) are broadcast and the large tables are only filtered.
     """
-    newest = (
+    if not 0 < limit <= 10_000:
+        raise ValueError("limit must be between 1 and 10000")
+    newest = stage(
         studies.where(F.col("object_key").isNotNull())
         .select("study_id", "patient_id", "source_dataset", "ingested_at", "object_key")
         .orderBy(F.col("ingested_at").desc(), "study_id")
-        .limit(limit)
+        .limit(limit),
+        "recent-studies",
     )
     wanted = F.broadcast(newest.select("study_id"))
     latest = latest_predictions(predictions.join(wanted, "study_id", "left_semi")).select(

@@ -113,6 +113,17 @@ def delete_patients(
     )
 
 
+def deleted_objects(decisions: DataFrame, studies: DataFrame) -> DataFrame:
+    """Stored objects that a cascade leaves without a study: (object_key), each once.
+
+    A key that a remaining study shares stays.
+    """
+    gone = decisions.where(F.col("outcome") == "deleted").select("patient_id", F.lit(True).alias("_gone"))
+    held = studies.where(F.col("object_key").isNotNull()).join(gone, "patient_id", "left")
+    use = held.groupBy("object_key").agg(F.bool_and(F.col("_gone").isNotNull()).alias("_all"))
+    return use.where("_all").select("object_key")
+
+
 def purge_demo(
     patients: DataFrame,
     studies: DataFrame,

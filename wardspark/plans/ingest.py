@@ -111,7 +111,7 @@ def run(
             )
         )
         sinks.write_table(alert, f"{out}/alerts", mode="append")
-        log.event("EVT-ING01", "ingest", "ok", counts["valid_unique"], str(counts.asDict())[:500])
+        log.event("EVT-ING01", "ingest", "ok", counts["valid_unique"], str(counts.asDict()))
         return report
 
     return log.run(job)

@@ -28,6 +28,19 @@ def read_csv_text(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return header.select(*schema.fieldNames())
 
 
+CORRUPT = "_corrupt_record"
+
+
+def malformed_csv_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with more or fewer cells than the header, whole, as ``_corrupt_record``; the reader pads or cuts them."""
+    names = spark.read.option("header", True).csv(path).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
+    read = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+    # Every column is read: a scan of the corrupt column alone would parse nothing.
+    parsed = read.option("columnNameOfCorruptRecord", CORRUPT).option("spark.sql.csv.parser.columnPruning.enabled", False).csv(path)
+    return parsed.select(F.struct(*names).alias("row"), CORRUPT).where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     hadoop = jvm.org.apache.hadoop.fs.Path(path)

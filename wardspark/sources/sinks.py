@@ -41,13 +41,20 @@ def append_events(events: DataFrame, path: str) -> None:
     stamped.write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
 
 
-def store_objects(files: DataFrame, path: str) -> None:
-    """Content-addressed objects (object_key, content): only keys not stored yet are added."""
+def store_objects(files: DataFrame, path: str, contents: DataFrame | None = None, on: str = "fs_path") -> None:
+    """Content-addressed objects: only keys not stored yet are added.
+
+    ``files`` holds object_key and content, or object_key and the unique ``on`` that finds it in ``contents``.
+    Stored keys are left out before contents are read, so contents meet the wanted keys in one join.
+    """
     spark = files.sparkSession
-    wanted = files.where(F.col("content").isNotNull()).select("object_key", "content")
+    wanted = files
     if exists(spark, path):
         stored = spark.read.parquet(path).select("object_key")
         wanted = wanted.join(stored, "object_key", "left_anti")
+    if contents is not None:
+        wanted = contents.join(wanted.select(on, "object_key"), on)
+    wanted = wanted.where(F.col("content").isNotNull()).select("object_key", "content")
     wanted.write.mode("append").parquet(path)
 
 
@@ -98,6 +105,15 @@ class Snapshots:
         return self.spark.read.parquet(self._path(version or self.latest()))
 
     def commit(self, df: DataFrame) -> int:
-        version = self.latest() + 1
-        df.write.mode("overwrite").parquet(self._path(version))
+        """Write the next version. Of two writers that took the same number one fails and must merge anew.
+
+        A number left behind by a broken write is passed over, never overwritten.
+        """
+        version = self._last_number() + 1
+        df.write.mode("errorifexists").parquet(self._path(version))
         return version
+
+    def _last_number(self) -> int:
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/version=*")
+        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
+        return max((int(f.getPath().getName().split("=")[1]) for f in found or []), default=0)
