@@ -17,6 +17,7 @@ from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
@@ -24,11 +25,11 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from wardspark.llm.common import text_of
 from wardspark.session import ship_package
 
-BLOCK_CHARS = 16 << 20   # characters of text whose words are merged together
-KEPT_WORDS = 600_000     # words remembered between blocks of a partition
+BLOCK_BYTES = 6 << 20    # bytes of text whose words are merged together
+KEPT_WORDS = 250_000     # words remembered between blocks of a partition
 LONG_TEXT = 4 << 20      # longer texts are cut into words in pieces of PIECE_WORDS words
 PIECE_WORDS = 1 << 18
-NONE = np.int64(1 << 40)  # rank of a pair that no merge joins
+NONE = np.int32((1 << 31) - 1)  # rank of a pair that no merge joins
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -49,8 +50,8 @@ class Merges:
                 if left is not None and right is not None:
                     found[left * self.width + right] = rank
         self.pairs = np.array(sorted(found), dtype=np.int64)
-        self.joined = np.array([found[k] for k in self.pairs.tolist()], dtype=np.int64)
-        self.bytes = np.array([ranks.get(bytes([b]), -1) for b in range(256)], dtype=np.int64)
+        self.joined = np.array([found[k] for k in self.pairs.tolist()], dtype=np.int32)
+        self.bytes = np.array([ranks.get(bytes([b]), -1) for b in range(256)], dtype=np.int32)
         if (self.bytes < 0).any():
             raise ValueError("the vocabulary lacks single bytes")
         self.tokens = {rank: token for token, rank in ranks.items()}
@@ -59,8 +60,8 @@ class Merges:
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, or NONE."""
         if not len(self.pairs):
-            return np.full(len(left), NONE)
-        keys = left * self.width + right
+            return np.full(len(left), NONE, dtype=np.int32)
+        keys = left.astype(np.int64) * self.width + right
         at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
         return np.where(self.pairs[at] == keys, self.joined[at], NONE)
 
@@ -106,13 +107,13 @@ def replay(words: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
     size = len(token)
     if not size:
         return token, starts
-    after = np.arange(1, size + 1)
+    after = np.arange(1, size + 1, dtype=np.int32)
     after[starts[1:][lengths > 0] - 1] = -1
-    before = np.arange(-1, size - 1)
+    before = np.arange(-1, size - 1, dtype=np.int32)
     before[starts[:-1][lengths > 0]] = -1
     word = None if merges.in_order else np.repeat(np.arange(len(words)), lengths)
-    pair = np.full(size, NONE)
-    first = np.flatnonzero(after >= 0)
+    pair = np.full(size, NONE, dtype=np.int32)
+    first = np.flatnonzero(after >= 0).astype(np.int32)
     pair[first] = merges.rank(token[first], token[first + 1])
     index: dict[int, list[np.ndarray]] = defaultdict(list)
     first = first[pair[first] != NONE]
@@ -220,20 +221,16 @@ def _merges(path: str, in_order: bool | None = None) -> Merges:
     return Merges(read_ranks(path), in_order)
 
 
-def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordBatch], list[str]]]:
-    held, texts, chars = [], [], 0
+def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in order, in runs of about BLOCK_BYTES of text or one longer text; views, not copies."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        new = batch.column(0).to_pylist()
-        texts += new
-        chars += sum(map(len, new))
-        if chars >= BLOCK_CHARS:
-            yield held, texts
-            held, texts, chars = [], [], 0
-    if held:
-        yield held, texts
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + BLOCK_BYTES, side="right")))
+            yield batch.slice(at, stop - at)
+            at = stop
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -250,17 +247,14 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
 
     def run(batches):
         encoder = Encoder(ranks_path, pattern, in_order)
-        for held, texts in _blocks(batches):
+        for block in _blocks(batches):
+            texts = block.column(0).to_pylist()
             short = encoder.encode([t if len(t) <= LONG_TEXT else "" for t in texts])
             ids = [encoder.encode_long(t) if len(t) > LONG_TEXT else s for t, s in zip(texts, short, strict=True)]
-            at = 0
-            for batch in held:
-                own = ids[at:at + batch.num_rows]
-                at += batch.num_rows
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[1:], pa.array([len(x) // 4 for x in own], pa.int64()), pa.array(own, pa.binary())],
-                    names=schema.names,
-                )
+            yield pa.RecordBatch.from_arrays(
+                [*block.columns[1:], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                names=schema.names,
+            )
 
     return source.mapInArrow(run, schema)
 
@@ -273,7 +267,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", keep: tupl
 
     def run(batches):
         tokens = {rank: token for token, rank in read_ranks(ranks_path).items()}
-        for batch in batches:
+        for batch in _blocks(batches):
             texts = [
                 None if x is None else b"".join(map(tokens.__getitem__, np.frombuffer(x, dtype="<u4").tolist()))
                 for x in batch.column(0).to_pylist()
