@@ -138,6 +138,16 @@ def test_log_sync_job(spark, tmp_path):
     assert rows(got.select("level", "message", "run_id", "task_id")) == [("ERROR", "bad", "r", "t"), ("INFO", "plain", "r", "t")]
 
 
+def test_late_rows_are_counted(spark, tmp_path):
+    src, out, state = (str(tmp_path / n) for n in ("src", "out", "state"))
+    schema = "event_id long, ts timestamp, path string"
+    dropped = []
+    for data in ([(1, sec(1000), "a.jpg")], [(2, sec(2000), "b.jpg")], [(3, sec(1), "late.jpg"), (4, sec(3000), "c.jpg")]):
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(src)
+        dropped.append(flows.run_to_parquet(flows.debounced(flows.stream_table(spark, src), "2 seconds"), out, state))
+    assert dropped == [0, 0, 1]
+
+
 def test_windowed_alerts_threshold(spark, tmp_path):
     src, out, state = (str(tmp_path / n) for n in ("src", "out", "state"))
     data = [(sec(i), "corrupt") for i in range(9)] + [(sec(100 + i), "duplicate") for i in range(10)] + [(sec(99999), "-")]

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from wardspark.operators import lookup, mutate, summary
+from wardspark.sources import files
+from wardspark.sources.sinks import Snapshots
 
 
 def at(day):
@@ -103,3 +105,32 @@ def test_orphans_ignore_null_keys(spark):
     child = spark.createDataFrame([("x",), ("x",), (None,), ("y",)], "fk string")
     parent = spark.createDataFrame([("y",)], "id string")
     assert rows(lookup.orphans(child, "fk", parent, "id")) == [("x", 2)]
+
+
+def test_purge_keeps_rows_with_unknown_values(spark):
+    patients = spark.createDataFrame([("P1", None, "S3"), ("P2", "Ana", None), ("P3", "Paciente 3", "S1"), ("P4", "Eva", "S3")],
+                                     "patient_id string, display_name string, site_code string")
+    studies = spark.createDataFrame([("s1", "P1", None), ("s2", "P4", "api_upload")], "study_id string, patient_id string, source_dataset string")
+    predictions = spark.createDataFrame([("s1",), ("s2",)], "study_id string")
+    left = mutate.purge_demo(patients, studies, predictions, ("S3",))
+    assert [rows(x.select(x.columns[0])) for x in left] == [[("P1",), ("P2",)], [("s1",)], [("s1",)]]
+
+
+def test_objects_of_deleted_studies(spark):
+    decisions = spark.createDataFrame([("P1", "deleted"), ("P2", "refused")], "patient_id string, outcome string")
+    studies = spark.createDataFrame([("P1", "a"), ("P1", "b"), ("P2", "b"), ("P1", None), ("P3", "c")], "patient_id string, object_key string")
+    assert rows(mutate.deleted_objects(decisions, studies)) == [("a",)]
+
+
+def test_versions_are_never_overwritten(spark, tmp_path):
+    table = Snapshots(spark, str(tmp_path / "t"))
+    assert table.commit(spark.range(1)) == 1
+    (tmp_path / "t" / "version=000002").mkdir()  # a write that broke off
+    assert table.latest() == 1 and table.commit(spark.range(3)) == 3
+    assert table.latest() == 3 and table.read().count() == 3
+
+
+def test_malformed_csv_lines(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text("a,b\n1,2\n1,2,3\n4\n")
+    assert rows(files.malformed_csv_lines(spark, str(path))) == [("1,2,3",), ("4",)]

@@ -327,6 +327,20 @@ def derive_studies(d: Domain) -> DataFrame:
     return _derived_studies(d)
 
 
+@register("derive_run_events", tables="manifest", sql="""
+with f as (select coalesce(nullif("label", ''), case folder when 'NORMAL' then 'sana' when 'PNEUMONIA' then 'neumonia'
+                    when 'COVID19' then 'covid' end) l from manifest),
+c as (select count(*)::bigint n, count(distinct l) k, string_agg(distinct l, ', ' order by l) names from f where l is not null)
+select 'EVT-001' event_id, 'RUN-1' run_id, 'ingesta' stage, 'ok' status, n records, 'manifest built' message,
+       timestamp '2026-04-01 09:00:00' logged_at from c
+union all select 'EVT-002', 'RUN-1', 'validacion', 'ok', n, n || ' images in ' || k || ' classes: ' || names,
+       timestamp '2026-04-01 09:05:00' from c""")
+def derive_run_events(d: Domain) -> DataFrame:
+    """Run events of the manifest build."""
+    labelled = d.manifest().select(paths.label_or_folder(F.col("label"), F.col("folder")).alias("label"))
+    return st.manifest_events(labelled.where("label is not null"), "RUN-1", "2026-04-01 09:00:00")
+
+
 @register("captured_at_sequence", tables="manifest", sql="""
 select file_path, (row_number() over (order by file_path) - 1)::bigint "position",
        timestamp '2026-04-01 08:00:00'

@@ -240,16 +240,16 @@ union all select 'issues.run_id', coalesce(sum(n), 0), count(*)
 from (select run_id k, count(*) n from quality_issues where run_id not in
         (select run_id from run_events) group by 1))""")
 def fk_orphans(d: Domain) -> DataFrame:
-    runs = d.run_events().select("run_id").distinct()
-    return quality.orphan_counts(
-        [
-            ("patients.site_code", d.patients(), "site_code", d.sites(), "site_code"),
-            ("studies.patient_id", d.studies(), "patient_id", d.patients(), "patient_id"),
-            ("predictions.study_id", d.predictions(), "study_id", d.studies(), "study_id"),
-            ("issues.study_id", d.quality_issues(), "study_id", d.studies(), "study_id"),
-            ("issues.run_id", d.quality_issues(), "run_id", runs, "run_id"),
-        ]
-    )
+    role = quality.Role
+    return quality.orphan_counts([
+        (d.patients(), [role("patients.site_code", "site_code"), role("studies.patient_id", "patient_id", True)]),
+        (d.sites(), [role("patients.site_code", "site_code", True)]),
+        (d.studies(), [role("studies.patient_id", "patient_id"), role("predictions.study_id", "study_id", True),
+                       role("issues.study_id", "study_id", True)]),
+        (d.predictions(), [role("predictions.study_id", "study_id")]),
+        (d.quality_issues(), [role("issues.study_id", "study_id"), role("issues.run_id", "run_id")]),
+        (d.run_events(), [role("issues.run_id", "run_id", True)]),
+    ])
 
 
 @register("integration_check", tables="classified run_events quality_issues", sql="""

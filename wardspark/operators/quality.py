@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardspark.operators.lookup import orphans
 from wardspark.schemas import SEVERITIES
 
 
@@ -174,21 +174,41 @@ def recent_issues(issues: DataFrame, as_of: str, days: int = 7) -> DataFrame:
     return issues.where(F.col("detected_at") > since)
 
 
-def orphan_counts(children: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
-    """Rows (fk, orphan_rows, orphan_keys) for (name, child, child key, parent, parent key)."""
-    parts = []
-    for name, child, child_key, parent, parent_key in children:
-        lost = orphans(child, child_key, parent, parent_key)
-        parts.append(
-            lost.agg(
-                F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphan_rows"),
-                F.count(F.lit(1)).alias("orphan_keys"),
-            ).select(F.lit(name).alias("fk"), "orphan_rows", "orphan_keys")
-        )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+class Role(NamedTuple):
+    """A column of a table that refers to another (``parent`` false) or is referred to, under the link's name."""
+
+    link: str
+    column: str
+    parent: bool = False
+
+
+def orphan_counts(tables: list[tuple[DataFrame, list[Role]]]) -> DataFrame:
+    """Rows (fk, orphan_rows, orphan_keys) for every link named by the roles.
+
+    Each table is read once, whatever its roles are, and counted per link and key before the one shuffle.
+    """
+    frames = []
+    for df, roles in tables:
+        uses = F.array(*[
+            F.struct(F.lit(r.link).alias("fk"), F.col(r.column).cast("string").alias("key"),
+                     F.lit(int(not r.parent)).cast("bigint").alias("n"), F.lit(r.parent).alias("found"))
+            for r in roles
+        ])
+        frames.append(df.select(F.inline(uses)))
+    links = sorted({r.link for _, roles in tables for r in roles})
+    # One row per link, so that links of empty tables are reported too.
+    frames.append(tables[0][0].sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(x) for x in links])).alias("fk"), F.lit(None).cast("string").alias("key"),
+        F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("found")))
+    rows = frames[0]
+    for frame in frames[1:]:
+        rows = rows.unionByName(frame)
+    keys = rows.groupBy("fk", "key").agg(F.sum("n").alias("n"), F.bool_or("found").alias("found"))
+    lost = ~F.col("found") & F.col("key").isNotNull()
+    return keys.groupBy("fk").agg(
+        F.coalesce(F.sum(F.when(lost, F.col("n"))), F.lit(0)).cast("bigint").alias("orphan_rows"),
+        F.count_if(lost).alias("orphan_keys"),
+    )
 
 
 def health(checks: DataFrame) -> DataFrame:

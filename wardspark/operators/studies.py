@@ -63,8 +63,25 @@ def derive_studies(files: DataFrame, captured_at: Column, source: str) -> DataFr
     )
 
 
+def manifest_events(files: DataFrame, run_id: str, at: str) -> DataFrame:
+    """The two run events of a manifest build over image files (label): built, then checked by class."""
+    begun = F.lit(at).cast("timestamp_ntz")
+    counted = files.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("label").alias("classes"),
+                        F.array_join(F.sort_array(F.collect_set("label")), ", ").alias("names"))
+    built = F.struct(F.lit("EVT-001").alias("event_id"), F.lit("ingesta").alias("stage"), F.lit("manifest built").alias("message"),
+                     begun.alias("logged_at"))
+    checked = F.struct(
+        F.lit("EVT-002").alias("event_id"), F.lit("validacion").alias("stage"),
+        F.concat(F.col("n"), F.lit(" images in "), F.col("classes"), F.lit(" classes: "), F.col("names")).alias("message"),
+        (begun + F.expr("interval '5' minute")).alias("logged_at"))
+    return counted.select("n", F.inline(F.array(built, checked))).select(
+        "event_id", F.lit(run_id).alias("run_id"), "stage", F.lit("ok").alias("status"),
+        F.col("n").alias("records"), "message", "logged_at",
+    )
+
+
 def clean_events(raw: DataFrame, run_time: str) -> DataFrame:
-    """Run events with parsed time (``run_time`` where unreadable), count and cut message."""
+    """Run events with parsed time (``run_time`` where unreadable), count and message."""
     return raw.select(
         "event_id", "run_id", "stage", "status",
         clean.int_or_zero(F.col("records")).alias("records"),

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from wardspark.functions import paths
 from wardspark.schemas import FOLDER_LABELS, TRAINING_REPORT, WATCHER_EVENT
+from wardspark.session import stage
 
 
 def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
@@ -36,9 +37,9 @@ def malformed_csv_lines(spark: SparkSession, path: str) -> DataFrame:
     names = spark.read.option("header", True).csv(path).columns
     schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
     read = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-    # Every column is read: a scan of the corrupt column alone would parse nothing.
-    parsed = read.option("columnNameOfCorruptRecord", CORRUPT).option("spark.sql.csv.parser.columnPruning.enabled", False).csv(path)
-    return parsed.select(F.struct(*names).alias("row"), CORRUPT).where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    parsed = read.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    # Spark gives the corrupt column only beside the parsed ones, so the rows are stored before it is asked for.
+    return stage(parsed, "csv-rows").where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -11,10 +11,14 @@ from wardspark.sources.files import exists
 
 
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), mode: str = "overwrite") -> None:
-    writer = df.write.mode(mode)
+    """Write a table. Rows are gathered by the partition columns first, so a partition gets few files.
+
+    The rebalancing is adaptive: large partitions are split over tasks, small ones share a task.
+    """
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:

@@ -26,13 +26,19 @@ def stream_table(spark: SparkSession, path: str) -> DataFrame:
     return reader.option("pathGlobFilter", name).parquet(folder)
 
 
-def run_to_parquet(stream: DataFrame, out: str, checkpoint: str) -> None:
+def run_to_parquet(stream: DataFrame, out: str, checkpoint: str) -> int:
+    """Run until all data is read; the number of rows dropped because they came after the watermark.
+
+    Spark counts them behind its map-side merge, so rows of one key and window that came together count once. Its
+    progress list holds as many batches as ``build_session`` allows.
+    """
     query = (
         stream.writeStream.format("parquet").outputMode("append")
         .option("path", out).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
 
 
 def run_batches(
@@ -56,7 +62,8 @@ def new_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
 
 
 def debounced(stream: DataFrame, gap: str, delay: str | None = None) -> DataFrame:
-    """Ready JPEG paths of a stream of arrivals; late events beyond ``delay`` are dropped."""
+    """Ready JPEG paths of a stream of arrivals; late events beyond ``delay`` are
+    dropped and counted by ``run_to_parquet``."""
     named = stream.where(F.coalesce(paths.is_jpeg_name(F.col("path")), F.lit(False)))
     return arr.debounce(named.withWatermark("ts", delay or gap), gap)
 
