@@ -8,15 +8,16 @@ below zero, the step goes the other way.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from wardspark.llm.common import hash60, text_of
-from wardspark.session import ship_package
+from wardspark.session import ship_package, stage
 
 FOLDS = 5
 POSITIVES = 2_000    # confirmed toxic texts to train on, at most
@@ -56,26 +57,21 @@ def train(toxic: list[str], unlabelled: list[str], prior: float) -> Model:
     prior = min(max(prior, 1e-3), 0.5)
     if not toxic or not unlabelled:
         return Model({}, float(np.log(prior / (1 - prior))))
-    sets = [sorted(words(t)) for t in toxic], [sorted(words(t)) for t in unlabelled]
-    seen = [Counter(w for s in group for w in s) for group in sets]
-    gaps = {}
-    for word in sorted(seen[0].keys() | seen[1].keys()):
-        a, b = seen[0][word], seen[1][word]
-        if a + b < LEAST_TEXTS:
-            continue
-        p, q, both = a / len(toxic), b / len(unlabelled), (a + b) / (len(toxic) + len(unlabelled))
-        error = np.sqrt(both * (1 - both) * (1 / len(toxic) + 1 / len(unlabelled))) or 1.0
-        if abs(p - q) >= SEPARATION * error:
-            gaps[word] = abs(p - q) / error
-    chosen = sorted(gaps, key=lambda w: (-gaps[w], w))[:VOCABULARY]
-    place = {w: i for i, w in enumerate(chosen)}
-    rows, cols = [], []
-    for r, s in enumerate(sets[0] + sets[1]):
-        known = [place[w] for w in s if w in place]
-        rows += [r] * len(known)
-        cols += known
-    rows, cols = np.array(rows, dtype=np.int64), np.array(cols, dtype=np.int64)
-    n, m = len(toxic), len(toxic) + len(unlabelled)
+    codes: dict[str, int] = defaultdict(count().__next__)
+    texts = [np.fromiter((codes[w] for w in words(t)), dtype=np.int32) for t in (*toxic, *unlabelled)]
+    n, m = len(toxic), len(texts)
+    seen = [np.bincount(np.concatenate(group), minlength=len(codes)) for group in (texts[:n], texts[n:])]
+    share = (seen[0] + seen[1]) / m
+    error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n + 1 / (m - n)))
+    gap = np.abs(seen[0] / n - seen[1] / (m - n)) / error
+    known = (seen[0] + seen[1] >= LEAST_TEXTS) & (gap >= SEPARATION)
+    names = list(codes)
+    chosen = sorted(np.flatnonzero(known).tolist(), key=lambda k: (-gap[k], names[k]))[:VOCABULARY]
+    place = np.full(len(codes), -1)
+    place[chosen] = np.arange(len(chosen))
+    found = [place[t][place[t] >= 0] for t in texts]
+    rows = np.repeat(np.arange(m), [len(f) for f in found])
+    cols = np.concatenate(found)
     weights, bias = np.zeros(len(chosen)), float(np.log(prior / (1 - prior)))
     first, second = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
     for step in range(1, STEPS + 1):
@@ -94,7 +90,7 @@ def train(toxic: list[str], unlabelled: list[str], prior: float) -> Model:
         second = 0.999 * second + 0.001 * grad * grad
         move = RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
         weights, bias = weights - move[:-1], bias - move[-1]
-    return Model(dict(zip(chosen, weights.tolist(), strict=True)), float(bias))
+    return Model(dict(zip([names[k] for k in chosen], weights.tolist(), strict=True)), float(bias))
 
 
 def held_out(id_col: str = "doc_id"):
@@ -110,10 +106,22 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     marked = labels.where(F.col("toxic").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     row = marked.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()
     prior = row[0] or 0.0
-    texts = docs.where(~held_out()).select("doc_id", text_of("text").alias("text"), hash60(F.col("doc_id")).alias("h"))
-    confirmed = texts.join(marked.where("toxic = 1"), "doc_id")
-    first = lambda df, n: [r[0] for r in df.orderBy("h", "text").limit(n).select("text").collect()]
-    return train(first(confirmed, POSITIVES), first(texts, UNLABELLED), prior)
+    texts = docs.where(~held_out()).select(
+        "doc_id", text_of("text").alias("text"), hash60(F.col("doc_id"), F.md5(text_of("text"))).alias("h")
+    )
+    narrow = texts.select("doc_id", "h").distinct()
+    confirmed = narrow.join(marked.where("toxic = 1"), "doc_id")
+    return train(_sample(texts, confirmed, POSITIVES), _sample(texts, narrow, UNLABELLED), prior)
+
+
+def _sample(texts: DataFrame, among: DataFrame, most: int) -> list[str]:
+    """The texts of least hash: chosen among narrow rows first, so that no task sends more than those.
+
+    The chosen hashes are ``most`` rows at most and are broadcast.
+    """
+    chosen = stage(among.select("h").distinct().orderBy("h").limit(most), "toxicity-sample")
+    found = texts.join(F.broadcast(chosen), "h").groupBy("h").agg(F.first("text").alias("text"))
+    return [r["text"] for r in sorted(found.collect(), key=lambda r: r["h"])]
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
