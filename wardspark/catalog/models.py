@@ -210,7 +210,7 @@ with {_TERMS} select term, corpus_count, df, round(idf, 9) idf from idf""")
 def tfidf_top_terms(d: Domain) -> DataFrame:
     """Vocabulary of all whole texts with its inverse document frequencies."""
     records = d.clinical_records().select("record_id", "symptoms")
-    vocab = text.vocabulary(text.term_frequencies(records, "record_id", "symptoms"))
+    vocab = text.corpus_vocabulary(records, "symptoms")
     terms = text.inverse_frequencies(vocab, records)
     return terms.withColumn("idf", F.round("idf", 9))
 

@@ -39,6 +39,25 @@ def term_frequencies(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
+def corpus_vocabulary(
+    docs: DataFrame, text: str, max_terms: int = MAX_TERMS, min_documents: int = MIN_DOCUMENTS
+) -> DataFrame:
+    """``vocabulary`` without the counts per document: texts are not shuffled, only sums per term are."""
+    terms = docs.select(words(F.col(text)).alias("words")).select(with_pairs(F.col("words")).alias("terms"))
+
+    def marked(array: Column, uses: int, documents: int) -> Column:
+        return F.transform(array, lambda t: F.struct(
+            t.alias("term"), F.lit(uses).cast("bigint").alias("uses"), F.lit(documents).cast("bigint").alias("documents")))
+
+    each = terms.select(F.inline(F.concat(marked(F.col("terms"), 1, 0), marked(F.array_distinct("terms"), 0, 1))))
+    return (
+        each.groupBy("term").agg(F.sum("uses").alias("corpus_count"), F.sum("documents").alias("df"))
+        .where(F.col("df") >= min_documents)
+        .orderBy(F.col("corpus_count").desc(), "term")
+        .limit(max_terms)
+    )
+
+
 def vocabulary(
     frequencies: DataFrame, max_terms: int = MAX_TERMS, min_documents: int = MIN_DOCUMENTS
 ) -> DataFrame:
