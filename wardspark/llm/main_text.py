@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from wardspark.llm.common import hash60, text_of
-from wardspark.session import ship_package
+from wardspark.session import ship_package, stage
 
 LABELLED = 2_000  # labelled pages that the weights are estimated from, at most
 
@@ -174,12 +174,16 @@ def count(html: str) -> Counter:
 def fit(pages: DataFrame) -> Weights:
     """Log-odds of words and tags inside the article element against outside, over labelled pages.
 
-    Labelled pages are those with an article element; LABELLED of them, those of least url hash, are
-    enough for two dozen numbers. Words stay positive, words in links and tags negative.
+    Labelled pages are those with an article element; LABELLED of them, those of least hash, are
+    enough for two dozen numbers (copies of a chosen page count as often as they occur). Words stay positive, words in links and tags negative.
     """
     ship_package(pages.sparkSession)
-    labelled = pages.where(F.col("html").rlike(r"(?i)<article[\s>]")).select("html", hash60(F.col("url")).alias("h"))
-    sample = labelled.orderBy("h", "html").limit(LABELLED).select("html")
+    labelled = pages.where(F.col("html").rlike(r"(?i)<article[\s>]")).select(
+        "html", hash60(F.col("url"), F.md5("html")).alias("h")
+    )
+    # The hashes are chosen among narrow rows and broadcast: LABELLED rows at most, however many pages there are.
+    chosen = stage(labelled.select("h").distinct().orderBy("h").limit(LABELLED), "labelled-pages")
+    sample = labelled.join(F.broadcast(chosen), "h").select("html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
