@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from wardspark.session import ship_package, stage
 
 PROJECTIONS = 8
-CONFIDENCE = 0.98     # probability with which a true neighbour isn't passed over
-LEAF = 64             # vectors in a leaf of the kd-tree
+CONFIDENCE = 0.95     # probability with which a true neighbour isn't passed over
+LEAF = 256            # vectors in a leaf of the kd-tree
 STEP = 4              # leaves that are verified between two stopping tests
 BLOCK = 16_384        # vectors in a block, with a kd-tree of their own
 QUERY_BLOCK = 4_096   # queries that meet a block in one task
@@ -73,30 +73,27 @@ class Index:
         away = (away * away).sum(axis=1)
         order = np.argsort(away, kind="stable")
         norm = float(query @ query)
-        rows, scores, at = [], [], 0
-        worst = -np.inf
-        while at < len(order):
+        held, scores, worst = np.empty(0, dtype=np.int64), np.empty(0), -np.inf
+        for at in range(0, len(order), STEP):
             # A vector at the distance of the worst so far would be nearer than this in projection.
-            distance = max(norm + self.bound - 2 * worst, 0.0)
-            if away[order[at]] > self.stop * distance:
+            if away[order[at]] > self.stop * max(norm + self.bound - 2 * worst, 0.0):
                 break
-            for leaf in order[at:at + STEP]:
-                rows.append(np.arange(self.starts[leaf], self.starts[leaf + 1]))
-            at += STEP
-            new = np.concatenate(rows[len(scores):]) if len(rows) > len(scores) else np.empty(0, int)
-            rows[len(scores):] = [new]
-            found = self.vectors[new] @ query
-            scores.append(np.where(self.ids[new] == own, -np.inf, found))
-            if len(scores) > 1:
-                # Keep what may still be among the best, with room for rounding in equal scores.
-                rows, scores = [np.concatenate(rows)], [np.concatenate(scores)]
-            if len(scores[0]) > k:
-                worst = float(np.partition(scores[0], -k)[-k])
-                near = scores[0] >= worst - 1e-9
-                rows, scores = [rows[0][near]], [scores[0][near]]
-        if not rows:
+            spans = [(self.starts[leaf], self.starts[leaf + 1]) for leaf in order[at:at + STEP]]
+            found = np.concatenate([self.vectors[a:b] @ query for a, b in spans])
+            # What may still be among the best, with room for rounding in equal scores.
+            new = np.flatnonzero(found >= worst - 1e-9)
+            if not len(new):
+                continue
+            rows = np.concatenate([np.arange(a, b) for a, b in spans])[new]
+            others = self.ids[rows] != own
+            held = np.concatenate((held, rows[others]))
+            scores = np.concatenate((scores, found[new][others]))
+            if len(scores) > k:
+                worst = float(np.partition(scores, -k)[-k])
+                near = scores >= worst - 1e-9
+                held, scores = held[near], scores[near]
+        if not len(held):
             return np.empty(0, np.int64), np.empty(0)
-        held = rows[0][np.isfinite(scores[0])]
         exact = (self.vectors[held] * query).sum(axis=1)
         best = np.lexsort((self.ids[held], -exact))[:k]
         return self.ids[held][best], exact[best]
