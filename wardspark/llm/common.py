@@ -19,6 +19,11 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def packed(docs: DataFrame) -> Column:
+    """The whole row as one struct column, ``_row``: its columns can't clash with those of a step; ``_row.*`` restores them."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+
+
 def hash60(*columns: Column) -> Column:
     """A uniform number below 2^60 that SQL engines compute alike: the first 15 hex digits of an md5."""
     joined = F.concat_ws(":", *[F.coalesce(c.cast("string"), F.lit("")) for c in columns])

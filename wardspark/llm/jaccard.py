@@ -16,7 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wardspark.llm.common import text_of
+from wardspark.llm.common import packed
 from wardspark.llm.components import components
 from wardspark.session import ship_package, stage
 
@@ -246,9 +246,10 @@ def distinct_documents(docs: DataFrame) -> DataFrame:
     _, texts = classes(docs)
     first = F.min(F.struct(F.col("first_id").isNull().alias("none"), "first_id", "hash")).alias("first")
     kept = stage(texts.groupBy("root").agg(first).select("first.first_id", F.col("first.hash").alias("_hash")), "jaccard-kept")
-    keyed = docs.where("text is not null").withColumn("_text_hash", F.md5("text"))
-    names = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.where("text is not null").select(
+        packed(docs), F.col("doc_id").alias("_id"), F.md5("text").alias("_text_hash")
+    )
     found = keyed.join(
-        kept, (F.col("_text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
-    ).dropDuplicates(["_hash", "first_id"]).select(*names)
-    return found.unionByName(docs.where("text is null"))
+        kept, (F.col("_text_hash") == F.col("_hash")) & F.col("_id").eqNullSafe(F.col("first_id"))
+    ).dropDuplicates(["_hash", "first_id"]).select("_row.*")
+    return found.union(docs.where("text is null"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wardspark.llm.common import WORD, hash60, numbered, text_of
+from wardspark.llm.common import WORD, hash60, numbered, packed, text_of
 from wardspark.session import stage
 
 BITS = 60
@@ -149,9 +149,10 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap:
     goals = budgets(measured, weights, cap).select(
         F.col("source").alias("_source"), F.col("repeats").alias("_repeats"), F.col("bound").alias("_bound")
     )
-    copies = F.col("_repeats") + (hash60(F.col("doc_id")) < F.col("_bound")).cast("long")
+    rows = docs.select(packed(docs), F.col("source").alias("_own"), hash60(F.col("doc_id")).alias("_h"))
+    copies = F.col("_repeats") + (F.col("_h") < F.col("_bound")).cast("long")
     return (
-        docs.join(goals, docs["source"].eqNullSafe(goals["_source"]))
-        .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        rows.join(goals, F.col("_own").eqNullSafe(F.col("_source")))
+        .select("_row", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))).alias("_copy"))
+        .select("_row.*")
     )

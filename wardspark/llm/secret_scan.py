@@ -10,7 +10,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wardspark.llm.common import text_of
+from wardspark.llm.common import packed, text_of
 from wardspark.session import stage
 
 
@@ -170,13 +170,14 @@ def redacted_documents(docs: DataFrame) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("_spans")),
         "secret-spans",
     )
-    hit = docs.join(
+    rows = docs.select(packed(docs), F.col("doc_id").alias("_own_id"), F.col("source").alias("_own_part"), F.col("text").alias("_text"))
+    hit = rows.join(
         per_text,
-        docs["doc_id"].eqNullSafe(per_text["_id"]) & (F.md5(docs["text"]) == per_text["_hash"])
-        & docs["source"].eqNullSafe(per_text["part"]),
+        F.col("_own_id").eqNullSafe(F.col("_id")) & (F.md5("_text") == F.col("_hash"))
+        & F.col("_own_part").eqNullSafe(F.col("part")),
         "left",
     )
-    text = F.col("text")
+    text = F.col("_text")
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
     masked = F.aggregate(
         "_spans", start,
@@ -186,7 +187,9 @@ def redacted_documents(docs: DataFrame) -> DataFrame:
         )).otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], x["end"]).alias("at"))),
         lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))),
     )
-    changed = hit.withColumn("text", F.coalesce(masked, text))
+    row = hit.select("_row", masked.alias("_masked"))
+    changed = F.col("_row").withField("text", F.col("_masked"))
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return changed.select(*[F.col(f"`{c}`") for c in docs.columns])
+        changed = changed.withField("n_chars", F.length("_masked").cast(docs.schema["n_chars"].dataType))
+    kept = F.when(F.col("_masked").isNull(), F.col("_row")).otherwise(changed)
+    return row.select(kept.alias("_row")).select("_row.*")
