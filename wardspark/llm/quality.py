@@ -11,7 +11,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardspark.llm.common import WORD, text_of
+from wardspark.llm.common import WORD, packed, text_of
 from wardspark.session import stage
 
 
@@ -112,7 +112,9 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
         _kept(rest, r"[\p{L}\p{N}]+").alias("n_marks"),
         _kept(rest, r"[^0-9]+").alias("n_digits"),
     )
-    return step.withColumn("_m", counts).drop("_text", "_words", "_lines", "_rest", "_windows", "_ranked")
+    # A generator of one row: filters on the counts stay above it instead of repeating the work below.
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    return step.select(*kept, F.explode(F.array(counts)).alias("_m"))
 
 
 def _votes() -> list[Column]:
@@ -224,6 +226,6 @@ def good_documents(docs: DataFrame, least: float = 0.5) -> DataFrame:
     The texts are read twice, once for the estimate and once to judge, rather than stored a second time.
     """
     model = fit(stage(patterns(measure(docs.select("text"))), "quality-patterns"))
-    measured = measure(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "_m.*")
+    measured = measure(docs.select(packed(docs), "text")).select("_row", "_m.*")
     judged = _verdicts(measured, model, least)
     return judged.where("kept").select("_row.*")
