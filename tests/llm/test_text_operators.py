@@ -29,6 +29,8 @@ def test_round_trip_equals_tiktoken(spark):
         expected.add((r.doc_id, hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
                       hashlib.sha256((r.text or "").encode()).hexdigest(), len(ids)))
     assert own == expected
+    apart = bpe.decode(bpe.encode(docs, PATH, P.PATTERN), PATH)
+    assert sorted(bytes(r.decoded).decode() for r in apart.collect()) == sorted(r.text or "" for r in docs.collect())
     assert bpe.round_trip(empty(spark), PATH, P.PATTERN).count() == 0
 
 

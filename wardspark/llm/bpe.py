@@ -233,16 +233,22 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = stop
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def encode(
+    docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
+    keep: tuple[str, ...] = ("doc_id",), decoded: bool = False,
+) -> DataFrame:
     """Encode every whole text; each match of ``pattern`` is merged by itself, without special tokens.
 
-    Returns the ``keep`` columns, n_tokens (long) and ids (binary: unsigned 32-bit integers, little-endian).
+    Returns the ``keep`` columns, n_tokens (long) and ids (binary: unsigned 32-bit integers, little-endian);
+    with ``decoded`` also the bytes that the ids stand for, decoded in the same process.
     Null and empty texts have no ids; repeated rows give repeated rows; an empty table gives no rows.
     ``ranks_path`` is a file of base64 tokens and ranks on every machine (it comes with an installed package).
     """
     ship_package(docs.sparkSession)
     source = docs.select(text_of(text_col).alias("_text"), *[F.col(c) for c in keep])
     schema = StructType([docs.schema[c] for c in keep] + [StructField("n_tokens", LongType()), StructField("ids", BinaryType())])
+    if decoded:
+        schema.add("decoded", BinaryType())
     in_order = _merges(ranks_path).in_order  # found once, on the driver
 
     def run(batches):
@@ -251,14 +257,18 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
             texts = block.column(0).to_pylist()
             short = encoder.encode([t if len(t) <= LONG_TEXT else "" for t in texts])
             ids = [encoder.encode_long(t) if len(t) > LONG_TEXT else s for t, s in zip(texts, short, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*block.columns[1:], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                names=schema.names,
-            )
+            columns = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+            if decoded:
+                columns.append(pa.array([_decoded(x, encoder.merges.tokens) for x in ids], pa.binary()))
+            yield pa.RecordBatch.from_arrays([*block.columns[1:], *columns], names=schema.names)
 
     return source.mapInArrow(run, schema)
 
 
+def _decoded(ids: bytes, tokens: dict[int, bytes]) -> bytes:
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+
+
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The bytes of each row's ids: the ``keep`` columns and decoded (binary). Null ids give null, no ids give b""."""
     ship_package(encoded.sparkSession)
@@ -268,10 +278,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", keep: tupl
     def run(batches):
         tokens = {rank: token for token, rank in read_ranks(ranks_path).items()}
         for batch in _blocks(batches):
-            texts = [
-                None if x is None else b"".join(map(tokens.__getitem__, np.frombuffer(x, dtype="<u4").tolist()))
-                for x in batch.column(0).to_pylist()
-            ]
+            texts = [None if x is None else _decoded(x, tokens) for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(texts, pa.binary())], names=schema.names)
 
     return source.mapInArrow(run, schema)
@@ -279,8 +286,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", keep: tupl
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row: encode, then decode the ids."""
-    encoded = encode(docs, ranks_path, pattern)
-    decoded = decode(encoded, ranks_path, keep=("doc_id", "n_tokens", "ids"))
-    return decoded.select(
+    both = encode(docs, ranks_path, pattern, decoded=True)
+    return both.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
