@@ -184,6 +184,32 @@ def test_main_text_of_pages(spark):
     assert len(got) == 15 and main_text.main_texts(spark.createDataFrame([], schema)).count() == 0
 
 
+BODY = "<h1>Title line</h1><p>{0}</p><p>{0}</p>".format("plain words of the text that run on " * 8)
+
+
+@pytest.mark.parametrize("name", ["site-content has-sidebar", "layout no-sidebar", "container header-fixed", "legal", "alert"])
+@pytest.mark.parametrize("body", [BODY, f"<article>{BODY}</article>"])
+def test_wrappers_that_sound_like_boilerplate(name, body):
+    weights = main_text.Weights({}, {})
+    side = '<div class="sidebar"><p>side words</p></div><div id="comments"><p>a reader says words</p></div>'
+    plain = main_text.extract(f"<body><div>{body}</div></body>", weights)
+    assert plain.startswith("Title line") and len(plain.split()) == 2 + 2 * 8 * 8
+    assert main_text.extract(f'<body><div class="{name}">{body}{side}</div></body>', weights) == plain
+    assert main_text.extract(f'<body><form id="aspnet">{body}{side}</form></body>', weights) == plain
+
+
+def test_widgets_headings_and_notes_stay_and_adverts_go():
+    weights = main_text.Weights({}, {})
+    widget = '<div class="elementor-widget elementor-widget-{}">{}</div>'
+    parts = [("heading", "<h1>Title of more than a few words</h1>"), *[("text", f"<p>part {i} {'has words ' * 10}</p>") for i in range(5)]]
+    got = main_text.extract("<body>" + "".join(widget.format(*p) for p in parts) + "</body>", weights).split("\n")
+    assert [x.split()[:2] for x in got] == [["Title", "of"]] + [["part", str(i)] for i in range(5)]
+    inside = '<div class="entry-header"><h1>Title of five plain words</h1></div><p>' + "words here " * 9 + '</p><div class="alert">Note this</div><div class="ad">Buy now</div>'
+    for page in (f"<article>{inside}</article>", f'<div class="post"><div class="x-entry-header"><h1>Title of five plain words</h1></div><p>{"words here " * 9}</p></div>'):
+        got = main_text.extract(f"<body>{page}<div id='comments'><p>{'talk ' * 90}</p></div></body>" if "article" in page else page, weights)
+        assert got.startswith("Title of five plain words\nwords here") and "Buy" not in got and "talk" not in got and ("Note this" in got) == ("alert" in page)
+
+
 def test_best_run():
     assert main_text.best_run([-1, 2, -1, 3, -5, 4]) == (1, 3)
     assert main_text.best_run([-1, -2]) == (0, -1) and main_text.best_run([]) == (0, -1)

@@ -2,6 +2,7 @@
 
 Words score positive and tags negative, by weights estimated from labelled pages; one scan finds the
 contiguous region of greatest sum, which is widened to whole blocks and to the article element around it.
+Elements whose class or id only sounds like boilerplate are judged by what they hold: see ``_spared``.
 """
 
 from __future__ import annotations
@@ -30,10 +31,10 @@ BLOCK = frozenset(
     "tfoot th thead tr ul".split()
 )
 BOILERPLATE = frozenset(
-    "head nav aside footer form button select dialog menu script style noscript template textarea title iframe svg math "
+    "head nav aside footer button select dialog menu script style noscript template textarea title iframe svg math "
     "object canvas audio video".split()
 )
-ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
+ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 MAIN = frozenset(("article", "main"))
 HINT = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor|sponsored|promo|promotion|banner|sidebar|side|menu|nav|"
@@ -42,6 +43,11 @@ HINT = re.compile(
     r"disqus|replies|reply|respond|login|search|pagination|pager|toolbar|widget|skip|copyright|legal)(?:$|[\s_-])",
     re.I,
 )
+#: Names that tell of a hinted part elsewhere on the page (has-sidebar), and headings of a text (entry-header).
+NO_HINT = re.compile(r"(?:has|no|with|without|hide|show)[_-].*|(?:.*[_-])?(?:entry|post|article|story|content|page)[_-]+header(?:[_-].*)?", re.I)
+#: Words for a place or a look: inside an article they name parts of the text too.
+PLACE = frozenset("alert banner header legal notice notices side sidebar social widget".split())
+COMMENT = re.compile(r"(?:^|[_-])(?:comments?|disqus|replies|reply|respond)(?:$|[_-])", re.I)
 #: Elements that a start tag ends, when they are open without an end tag.
 IMPLIED = {"p": frozenset(("p",)), "li": frozenset(("li", "p")), "dt": frozenset(("dt", "dd", "p")), "dd": frozenset(("dt", "dd", "p")),
            "tr": frozenset(("tr", "td", "th", "p")), "td": frozenset(("td", "th", "p")), "th": frozenset(("td", "th", "p")),
@@ -58,43 +64,96 @@ class Piece(NamedTuple):
     block: int
     main: int
     context: str
+    hinted: bool = False  # in an element that sounds like boilerplate and holds no main text
 
 
-def _boilerplate(name: str, attributes: str, inside_main: bool) -> bool:
+class Hinted:
+    """An open or closed element whose names sound like boilerplate, with the words it holds."""
+
+    def __init__(self, names: frozenset[str], inside_main: bool):
+        found = {w for n in names for w in re.split("[_-]+", n) if HINT.search(w)}
+        self.names, self.placed = names, inside_main and "<form>" not in names and found <= PLACE
+        self.words, self.linked = 0, 0
+
+
+def _boilerplate(name: str, attributes: str, inside_main: bool) -> bool | frozenset[str]:
+    """Whether an element is boilerplate for certain; else its names that sound like it, if any."""
     if name in BOILERPLATE:
         return True
     if name == "header" and not inside_main:
         return True
+    own = frozenset(("<form>",)) if name == "form" else frozenset()
     if not attributes.strip() or name in ("html", "body", "main"):
-        return False
+        return own
     found = {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)}
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
         return True
     if re.search(r"display\s*:\s*none", found.get("style", ""), re.I):
         return True
-    if found.get("role", "").lower() in ROLES:
+    role = found.get("role", "").lower()
+    if role in ROLES:
         return True
     named = f"{found.get('class', '')} {found.get('id', '')}"
     if name == "article":
         return bool(re.search(r"(?:^|[\s_-])(?:comments?|reply|replies|ads?|related|promo)(?:$|[\s_-])", named, re.I))
-    return bool(HINT.search(named))
+    if role == "form":
+        own = frozenset(("<form>",))
+    if HINT.search(named):
+        own |= {n.lower() for n in named.split() if HINT.search(n) and not NO_HINT.fullmatch(n)}
+    return own
+
+
+def _spared(out: list[Piece], around: list[tuple[Hinted, ...]], hinted: list[Hinted]) -> set[int]:
+    """The hinted elements that are no boilerplate, by id().
+
+    A name is no hint on a page where its elements hold most of the words, or half of the words of article and
+    main elements; an element is spared if one of its names is. Where an article lies elsewhere, words count only if they
+    are ten times as many as the article's, and comments not at all. Inside an article, an element named after a place or a look is spared unless most of its words are links.
+    """
+    words: Counter = Counter()
+    marked: Counter = Counter()
+    everything = inside = 0
+    for piece, held in zip(out, around):
+        if not piece.context:
+            continue
+        n = len(piece.text.split())
+        everything += n
+        inside += n if piece.main else 0
+        for element in held:
+            element.words += n
+            element.linked += n if piece.context == "a" else 0
+        for name in {x for element in held for x in element.names}:
+            words[name] += n
+            marked[name] += n if piece.main else 0
+    good = {
+        x for x in words
+        if inside and 2 * marked[x] >= inside or 2 * words[x] > everything and (not inside or words[x] > 10 * inside and not COMMENT.search(x))
+    }
+    return {id(e) for e in hinted if e.names & good or e.placed and 2 * e.linked < e.words}
 
 
 def pieces(html: str) -> list[Piece]:
-    """The page's tags and texts in order, without what boilerplate elements hold."""
+    """The page's tags and texts in order, without what boilerplate elements hold; hinted ones are marked."""
     out: list[Piece] = []
-    open_: list[tuple[str, int]] = []  # name, article number around it
+    around: list[tuple[Hinted, ...]] = []  # hinted elements around each piece
+    hinted: list[Hinted] = []
+    hints: tuple[Hinted, ...] = ()
+    open_: list[tuple[str, int, tuple[Hinted, ...]]] = []  # name, article number and hinted elements around it
     dropped = 0                        # depth of open elements inside a boilerplate element, 0 outside
     block, mains, main, at, raw = 0, 0, 0, 0, ""
 
+    def add(piece: Piece) -> None:
+        out.append(piece)
+        around.append(hints)
+
     def text(until: int) -> None:
         if not dropped and until > at and not raw:
             run = html[at:until]
             if run.strip():
-                context = "a" if any(n == "a" for n, _ in open_) else next((n for n, _ in reversed(open_) if n in BLOCK), "body")
-                out.append(Piece("", entities.unescape(run), block, main, context))
+                context = "a" if any(n == "a" for n, *_ in open_) else next((n for n, *_ in reversed(open_) if n in BLOCK), "body")
+                add(Piece("", entities.unescape(run), block, main, context))
             elif run:
-                out.append(Piece("", " ", block, main, ""))
+                add(Piece("", " ", block, main, ""))
 
     for token in _TOKEN.finditer(html):
         name = (token[2] or "").lower()
@@ -113,41 +172,49 @@ def pieces(html: str) -> list[Piece]:
         if not token[1]:
             ended = IMPLIED.get(name)
             while ended and open_ and open_[-1][0] in ended:
-                _, main = open_.pop()
+                _, main, hints = open_.pop()
                 dropped = max(0, dropped - 1)
             if name in BLOCK and open_ and open_[-1][0] == "p":
-                _, main = open_.pop()
+                _, main, hints = open_.pop()
                 dropped = max(0, dropped - 1)
             if name in BLOCK:
                 block += 1
-            unwanted = not dropped and _boilerplate(name, token[3], main > 0)
+            judged = not dropped and _boilerplate(name, token[3], main > 0)
+            unwanted = judged is True
             if not dropped and not unwanted:
-                out.append(Piece(name, " " if name == "br" else "", block, main, ""))
+                add(Piece(name, " " if name == "br" else "", block, main, ""))
             if name in VOID or token[3].rstrip().endswith("/") and name not in BLOCK:
                 continue
-            open_.append((name, main))
+            open_.append((name, main, hints))
             if dropped:
                 dropped += 1
             elif unwanted:
                 dropped = 1
-            elif name in MAIN:
-                mains += 1
-                main = mains
+            else:
+                if judged:
+                    hinted.append(Hinted(judged, main > 0))
+                    hints = (*hints, hinted[-1])
+                if name in MAIN:
+                    mains += 1
+                    main = mains
             if name in RAW:
                 raw = name
-        elif any(n == name for n, _ in open_):
+        elif any(n == name for n, *_ in open_):
             hidden = dropped > 0
             while open_:
-                last, main = open_.pop()
+                last, main, hints = open_.pop()
                 dropped = max(0, dropped - 1)
                 if last == name:
                     break
             if name in BLOCK:
                 block += 1
             if not dropped and not hidden:
-                out.append(Piece("/" + name, "", block, main, ""))
+                add(Piece("/" + name, "", block, main, ""))
     text(len(html))
-    return out
+    if not hinted:
+        return out
+    spared = _spared(out, around, hinted)
+    return [p._replace(hinted=True) if any(id(e) not in spared for e in held) else p for p, held in zip(out, around)]
 
 
 class Weights(NamedTuple):
@@ -156,13 +223,15 @@ class Weights(NamedTuple):
 
 
 #: Used where a corpus has no labelled pages, and for names that they lack.
-WORD, TAG = 0.5, -0.3
+WORD, TAG, HINTED = 0.5, -0.3, -0.5
 
 
 def count(html: str) -> Counter:
     """(kind, name, inside) of a labelled page: one that marks its article with an element of its own."""
     found: Counter = Counter()
     for piece in pieces(html):
+        if piece.hinted:  # scored by HINTED
+            continue
         inside = piece.main > 0
         if piece.tag:
             found["tag", piece.tag.lstrip("/"), inside and piece.tag.lstrip("/") not in MAIN] += 1
@@ -227,7 +296,7 @@ def extract(html: str, weights: Weights) -> str:
     parts = pieces(html)
     scores = [
         weights.tags.get(p.tag.lstrip("/"), TAG) if p.tag
-        else len(p.text.split()) * weights.words.get(p.context, WORD) if p.context else 0.0
+        else len(p.text.split()) * (HINTED if p.hinted else weights.words.get(p.context, WORD)) if p.context else 0.0
         for p in parts
     ]
     first, last = best_run(scores)
@@ -238,7 +307,7 @@ def extract(html: str, weights: Weights) -> str:
     blocks: dict[int, list[str]] = {}
     for p in parts:
         inside = low <= p.block <= high or p.main in around
-        if inside and p.text:
+        if inside and p.text and not p.hinted:
             blocks.setdefault(p.block, []).append(p.text)
     lines = (" ".join("".join(x).split()) for _, x in sorted(blocks.items()))
     return "\n".join(line for line in lines if line)
