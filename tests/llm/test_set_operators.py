@@ -3,6 +3,7 @@
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tests.conftest import rows
@@ -55,6 +56,31 @@ def test_join_equals_brute_force(spark, monkeypatch, cell):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({r.class_id for r in got.values()})
 
 
+@pytest.mark.parametrize("split", [False, True])
+def test_block_compares_pairs_without_a_common_node(split):
+    texts = near_family(3, 60) + near_family(5, 9) + [prose(k, 60) for k in range(30, 40)]
+    forest = jaccard.Forest(jaccard.TREES, jaccard.depth_for())
+    nodes = [forest.nodes(jaccard.shingles(t)) if i % 3 else np.full(jaccard.TREES, i, np.uint64) for i, t in enumerate(texts)]
+    names = [f"h{i:03}" for i in range(len(texts))]
+    block = pd.DataFrame({"hash": names, "text": texts, "copies": 1, "nodes": nodes, "side": [i % 2 for i in range(len(texts))], "split": split})
+    links = {i: {j for j in held if not split or (i - j) % 2} for i, held in brute(texts).items()}
+    for i, (name, n, other) in enumerate(jaccard._verify(block)):
+        seen, todo = {i}, [i]
+        while todo:
+            for j in links.get(todo.pop(), set()) - seen:
+                seen.add(j)
+                todo.append(j)
+        assert (name, n, other) == (names[i], len(links.get(i, ())), names[min(seen)])
+
+
+def test_shared_counts_of_rare_and_common_shingles():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 3000 if i % 2 else 300, 200)).astype(np.uint64) for i in range(40)]
+    every = np.arange(40)
+    got = jaccard._shared(sets, every, every)
+    assert got.tolist() == [[len(np.intersect1d(a, b)) if i != j else got[i, i] for j, b in enumerate(sets)] for i, a in enumerate(sets)]
+
+
 def test_join_of_awkward_rows(spark):
     assert jaccard.near_duplicates(empty(spark)).count() == 0
     assert jaccard.distinct_documents(empty(spark)).count() == 0

@@ -4,7 +4,7 @@ Texts are sets of runs of WIDTH words. Each of TREES tries holds the texts' mini
 node at the working depth proposes its members. The depth starts at DEPTH hashes and is shortened until the
 tries together find a pair at the threshold with the target recall. Members of a node are joined to
 its first member only to form candidate groups, in a number of rows linear in the members; inside a
-group all pairs that share a node are then compared exactly.
+group all pairs are then compared exactly.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ RECALL = 0.999
 CELL = 512        # members of a group that are compared in one block; larger groups are a grid of blocks
 PACK = 1500       # members of small groups handled together
 _CHUNK = 1 << 15  # shingles whose hashes are computed at once
+_RARE = 6         # shingles of up to so many texts of a block are counted pair by pair
+_COLUMNS = 4096   # shingles in one product of matrices
 
 
 def depth_for(threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
@@ -96,47 +98,66 @@ def _keys(docs: DataFrame, depth: int) -> DataFrame:
     return source.mapInArrow(run, "doc_id bigint, hash string, nodes array<bigint>")
 
 
-def _overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Whether each pair of sets reaches the threshold, exactly."""
-    sizes = np.array([len(s) for s in sets])
-    small, large = np.minimum(sizes[left], sizes[right]), np.maximum(sizes[left], sizes[right])
-    good = small >= THRESHOLD * large - 1e-9
-    for k in np.flatnonzero(good):
-        shared = len(np.intersect1d(sets[left[k]], sets[right[k]], assume_unique=True))
-        good[k] = shared >= THRESHOLD * (sizes[left[k]] + sizes[right[k]] - shared) - 1e-9
-    return good
+def _shared(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Number of common shingles of every set of ``left`` with every set of ``right``, exactly.
+
+    Shingles of many sets are counted by products of 0/1 matrices, the others pair by pair of their holders.
+    """
+    n, shared = len(sets), np.zeros((len(sets), len(sets)), dtype=np.int64)
+    held = np.concatenate(sets)
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
+    order = np.argsort(held, kind="stable")
+    held, owner = held[order], owner[order]
+    starts = np.flatnonzero(np.r_[True, held[1:] != held[:-1]])
+    sizes = np.diff(np.r_[starts, len(held)])
+    many = np.flatnonzero(sizes > _RARE)
+    for at in range(0, len(many), _COLUMNS):
+        part = many[at:at + _COLUMNS]
+        places = np.concatenate([np.arange(a, a + k) for a, k in zip(starts[part].tolist(), sizes[part].tolist())])
+        has = np.zeros((n, len(part)), dtype=np.float32)
+        has[owner[places], np.repeat(np.arange(len(part)), sizes[part])] = 1
+        shared[np.ix_(left, right)] += (has[left] @ has[right].T).astype(np.int64)
+    for k in range(2, _RARE + 1):
+        first = starts[sizes == k]
+        for i in range(k):
+            for j in range(i):
+                # Holders of a shingle come in order, as the sort is stable.
+                for at in range(0, len(first), 1 << 20):
+                    own = first[at:at + (1 << 20)]
+                    pairs = np.bincount(owner[own + j] * n + owner[own + i], minlength=n * n).reshape(n, n)
+                    shared += pairs + pairs.T
+    return shared[np.ix_(left, right)]
 
 
 def _verify(group: pd.DataFrame) -> Iterator[tuple[str, int, str]]:
-    """Links of one block of a group: (text hash, linked rows, a linked text of lower place) per member."""
+    """Links of one block of a group: (text hash, linked rows, a linked text of lower place) per member.
+
+    All pairs of the block are compared, whether they share a node or not.
+    """
     group = group.drop_duplicates("hash").sort_values("hash", ignore_index=True)
+    n = len(group)
     sets = [shingles(t) for t in group["text"]]
-    nodes = np.stack([np.asarray(n) for n in group["nodes"]])
     copies, names = group["copies"].to_numpy(), group["hash"].tolist()
-    side, split = group["side"].to_numpy(), bool(group["split"].iloc[0])
-    linked, parent = np.zeros(len(group), dtype=np.int64), np.arange(len(group))
-    for i in range(len(group) - 1):
-        later = np.arange(i + 1, len(group))
-        if split:  # off the grid's diagonal only pairs across the two sides
-            later = later[side[later] != side[i]]
-        later = later[(nodes[later] == nodes[i]).any(axis=1)]
-        if not len(later):
+    left = right = np.arange(n)
+    if group["split"].iloc[0]:  # off the grid's diagonal only pairs across the two sides
+        side = group["side"].to_numpy()
+        left, right = np.flatnonzero(side == side[0]), np.flatnonzero(side != side[0])
+    lengths = np.array([len(s) for s in sets])
+    shared = _shared(sets, left, right)
+    near = np.zeros((n, n), dtype=bool)
+    near[np.ix_(left, right)] = shared >= THRESHOLD * (lengths[left][:, None] + lengths[right] - shared) - 1e-9
+    near |= near.T
+    np.fill_diagonal(near, False)
+    linked, least = near @ copies, np.full(n, -1)
+    for i in range(n):
+        if least[i] >= 0:
             continue
-        true = later[_overlaps(sets, np.full(len(later), i), later)]
-        linked[i] += copies[true].sum()
-        linked[true] += copies[i]
-        for j in true.tolist():
-            a, b = _find(parent, i), _find(parent, j)
-            parent[max(a, b)] = min(a, b)
+        least[i], todo = i, np.array([i])
+        while len(todo):
+            todo = np.flatnonzero(near[todo].any(axis=0) & (least < 0))
+            least[todo] = i
     for i, name in enumerate(names):
-        yield name, int(linked[i]), names[_find(parent, i)]
-
-
-def _find(parent: np.ndarray, x: int) -> int:
-    while parent[x] != x:
-        parent[x] = parent[parent[x]]
-        x = parent[x]
-    return x
+        yield name, int(linked[i]), names[least[i]]
 
 
 def _blocks(frame: pd.DataFrame) -> pd.DataFrame:
@@ -174,7 +195,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sizes = groups.groupBy("root").agg(F.count("*").alias("size"))
     members = stage(
         groups.join(stage(sizes, "jaccard-sizes"), "root").join(
-            texts.withColumnRenamed("hash", "vertex"), "vertex"
+            texts.drop("nodes").withColumnRenamed("hash", "vertex"), "vertex"
         ),
         "jaccard-members",
     )
@@ -189,7 +210,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         )
     )
     wanted = members.select(
-        "vertex", "first_id", "copies", "nodes", "root", (parts > 1).alias("grid"), part.alias("side"), grid.alias("cells")
+        "vertex", "first_id", "copies", "root", (parts > 1).alias("grid"), part.alias("side"), grid.alias("cells")
     )
     held = docs.select("doc_id", "text").withColumn("vertex", F.md5("text"))
     with_text = held.join(
@@ -198,9 +219,9 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     packs = max(1, -(-total // PACK))
     cells = with_text.select(
-        F.col("vertex").alias("hash"), "text", "copies", "nodes", "root", "grid", "side", F.explode("cells").alias("cell")
+        F.col("vertex").alias("hash"), "text", "copies", "root", "grid", "side", F.explode("cells").alias("cell")
     ).select(
-        "hash", "text", "copies", "nodes", "side",
+        "hash", "text", "copies", "side",
         (F.col("grid") & (F.col("cell.low") != F.col("cell.high"))).alias("split"),
         F.concat_ws(":", "root", "cell.low", "cell.high").alias("block"),
         F.when(F.col("grid"), F.xxhash64("root", "cell.low", "cell.high"))
