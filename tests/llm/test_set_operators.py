@@ -265,3 +265,17 @@ def test_pairs_from_conversations(spark):
     assert got[1].chosen == "<|assistant|>\na<|end|>\n" and got[1].rejected == "<|assistant|>\nother<|end|>\n" and got[1].prompt_turns == 1
     assert got[2].rejected == "" and got[2].differs and not got[3].differs and got[3].prompt == "<|user|>\n<|end|>\n"
     assert preference.against_next(table.limit(0)).count() == 0
+
+
+def test_pairs_hold_every_turn_and_the_next_answer_there_is(spark):
+    turns = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", "more"), (1, 3, "system", None), (3, 0, "user", None),
+             (7, 0, "user", "q"), (7, 1, "assistant", "b"), (90, 0, None, "x"), (90, 1, "assistant", "c"), (None, 0, "user", "lost")]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = {r.pair_id: r for r in preference.against_next_answer(table).collect()}
+    assert sorted(got) == [1, 3, 7, 90]
+    assert [got[i].rejected for i in (1, 3, 7, 90)] == ["<|assistant|>\nb<|end|>\n", "", "<|assistant|>\nc<|end|>\n", ""]
+    assert [got[i].after_turns for i in (1, 3, 7, 90)] == [2, 0, 0, 0]
+    for i, r in got.items():
+        whole = "".join(f"<|{role or 'user'}|>\n{text or ''}<|end|>\n" for c, _, role, text in turns if c == i)
+        assert r.prompt + r.chosen + r.after == whole
+    assert preference.against_next_answer(table.limit(0)).count() == 0

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from wardspark.llm.common import numbered
+
+
 def _turns(side: str) -> Column:
     """Turns in order; the numbers serve the order only."""
     items = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
@@ -93,3 +96,31 @@ def against_next(turns: DataFrame) -> DataFrame:
     )
     joined = own.join(other, "conv_id", "left")
     return format_pairs(joined.select(F.col("conv_id").alias("pair_id"), "chosen", F.concat(before, foreign).alias("rejected")))
+
+
+def against_next_answer(turns: DataFrame) -> DataFrame:
+    """Preference pairs as above, but with every turn, and against the next answer there is.
+
+    The rejected answer is that of the least greater id among the conversations that have an assistant turn, whatever
+    gaps the ids have; only the last of them has none. Turns after the last answer are in ``after``, of which
+    nothing is trained on, with their number in ``after_turns``; prompt, chosen and after are the whole conversation.
+    """
+    last = F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i).otherwise(-1)))
+    held = conversations(turns).withColumn("at", last)
+    answered = held.where("at >= 0").select("conv_id", F.get("turns", F.col("at")).alias("answer"))
+    placed = numbered(answered, [F.col("conv_id")], "place")
+    other = placed.select("conv_id", "place").join(placed.select((F.col("place") - 1).alias("place"), "answer"), "place").drop("place")
+    none = F.array().cast("array<struct<role:string,text:string>>")
+    ends = F.when(F.col("at") >= 0, F.col("at") + 1).otherwise(F.size("turns"))
+    after = F.slice("turns", ends + 1, F.size("turns"))
+    before = F.when(F.col("at") >= 0, F.slice("turns", F.lit(1), F.col("at"))).otherwise(F.col("turns"))
+    foreign = F.when(F.col("answer").isNotNull(), F.array("answer")).otherwise(none)
+    pairs = held.join(other, "conv_id", "left").select(
+        F.struct("conv_id", F.size(after).alias("after_turns"), _rendered(after).alias("after")).alias("pair_id"),
+        F.slice("turns", F.lit(1), ends).alias("chosen"), F.concat(before, foreign).alias("rejected"),
+    )
+    formatted = format_pairs(pairs)
+    return formatted.select(
+        F.col("pair_id.conv_id").alias("pair_id"), *[c for c in formatted.columns if c != "pair_id"],
+        "pair_id.after_turns", "pair_id.after",
+    )

@@ -44,6 +44,10 @@ def op6_preference_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return preference.against_next(table(spark, folder, "conversations"))
 
 
+def op6_preference_pairs_whole(spark: SparkSession, folder: str) -> DataFrame:
+    return preference.against_next_answer(table(spark, folder, "conversations"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"))
 
@@ -67,7 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_byte_bpe, op2_hilbert_shards, op3_source_mixing, op4_toxicity, op5_main_text, op6_preference_pairs,
-        op7_ngram_jaccard, op8_nearest_vectors, op9_quality_votes, op10_secret_ownership,
+        op6_preference_pairs_whole, op7_ngram_jaccard, op8_nearest_vectors, op9_quality_votes, op10_secret_ownership,
     )
 }
 #: The mix as running sums over all rows of a source in hash order, which the histograms avoid.
