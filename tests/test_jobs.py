@@ -133,3 +133,16 @@ def test_sources_fall_back(spark, tmp_path):
     assert [tuple(r) for r in got] == [("/srv/x.jpg", "data/x.jpg", "covid", "train", None)]
     with pytest.raises(FileNotFoundError):
         files.read_first(spark, [("parquet", str(tmp_path / "none"))])
+
+
+def test_run_messages_and_errors_are_kept_whole(spark, tmp_path):
+    log, long = RunLog(spark, str(tmp_path), "L", "job", "stage"), "x" * 5000
+
+    def job(own):
+        own.event("e", "stage", "ok", 1, long)
+        raise ValueError(long)
+
+    with pytest.raises(ValueError):
+        log.run(job)
+    assert run_events(spark, str(tmp_path)).first().message == long
+    assert run_headers(spark, str(tmp_path)).first().error_message == long

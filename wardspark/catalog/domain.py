@@ -195,6 +195,7 @@ class Domain:
         )
 
     def clinical_predictions(self) -> DataFrame:
+        """A prediction for each user turn; turns of other roles, or of none, are no symptoms and give none."""
         names = "array('sana','neumonia','covid','gripe','asma','bronquitis','epoc','rinitis_alergica')"
         turns = self.raw("conversations").where("role = 'user'").selectExpr(
             "*", HEX.format("text") + " h"

@@ -43,7 +43,7 @@ class RunLog:
         self._append("runs", _RUN, row)
 
     def event(self, event_id: str, stage: str, status: str, records: int, message: str) -> None:
-        row = (event_id, self.run_id, stage, status, records, message[:2000], datetime.now(timezone.utc))
+        row = (event_id, self.run_id, stage, status, records, message, datetime.now(timezone.utc))
         self._append("events", _EVENT, row)
 
     def run(self, job: Callable[[RunLog], DataFrame]) -> DataFrame:
@@ -52,7 +52,7 @@ class RunLog:
         try:
             result = job(self)
         except Exception as error:
-            self.state("failed", str(error)[:2000])
+            self.state("failed", str(error))
             raise
         self.state("ok")
         return result
