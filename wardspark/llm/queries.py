@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardspark.llm import (
-    bpe, jaccard, main_text, mixing, neighbours, preference, quality, secret_scan, sharding, toxicity,
+    bpe, centroids, collocations, dedup, jaccard, main_text, mixing, neighbours, preference, quality, secret_scan, sharding,
+    toxicity,
 )
 from wardspark.llm.common import table
+from wardspark.llm.oracles import COLLOCATION_SQL, DEDUP_SQL, cluster_sql
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -67,11 +69,24 @@ def op10_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan(table(spark, folder, "documents"))
 
 
+def op11_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(table(spark, folder, "embeddings"))
+
+
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup.dedup(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_byte_bpe, op2_hilbert_shards, op3_source_mixing, op4_toxicity, op5_main_text, op6_preference_pairs,
         op6_preference_pairs_whole, op7_ngram_jaccard, op8_nearest_vectors, op9_quality_votes, op10_secret_ownership,
+        op11_centroid_clusters, op12_collocations, op13_exact_dedup,
     )
 }
 #: The mix as running sums over all rows of a source in hash order, which the histograms avoid.
@@ -128,4 +143,7 @@ select pair_id, k::int prompt_turns,
        k < len(c) differs
 from k"""
 
-ORACLES: dict[str, str] = {"op3_source_mixing": MIX_SQL, "op6_preference_pairs": PREFERENCE_SQL}
+ORACLES: dict[str, str] = {
+    "op3_source_mixing": MIX_SQL, "op6_preference_pairs": PREFERENCE_SQL, "op11_centroid_clusters": cluster_sql(),
+    "op12_collocations": COLLOCATION_SQL, "op13_exact_dedup": DEDUP_SQL,
+}
