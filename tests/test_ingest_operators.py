@@ -73,7 +73,7 @@ def test_events(spark):
             ("3", None, "s", "ok", None, "x", "bad")]
     got = st.clean_events(spark.createDataFrame(data, RUN_EVENTS_CSV), "2026-02-02 00:00:00").collect()
     assert [(r.records, len(r.message), str(r.logged_at)) for r in got] == [
-        (3, 2000, "2026-01-01 00:00:00"), (0, 0, "2026-02-02 00:00:00"), (0, 1, "2026-02-02 00:00:00")]
+        (3, 2100, "2026-01-01 00:00:00"), (0, 0, "2026-02-02 00:00:00"), (0, 1, "2026-02-02 00:00:00")]
     stubs = st.run_stubs(spark.createDataFrame(data, RUN_EVENTS_CSV), "2026-02-02 00:00:00")
     assert [r.run_id for r in stubs.collect()] == ["R"]
 
@@ -95,7 +95,7 @@ def test_quality_thresholds(spark, total, severity):
     got = quality.quality_alert(counts).collect()
     assert [r.severity for r in got] == ([severity] if severity else [])
     if got:
-        assert got[0].message == f"Run R: corruptas={total - 3}, incompletas=2, duplicadas=1. Revisar data_quality_issues."
+        assert got[0].message == f"Run R rejected files: corrupt {total - 3}, incomplete 2, duplicate 1"
 
 
 def test_probability_rules(spark):
@@ -110,7 +110,7 @@ def test_probability_rules(spark):
 def test_audit_alert_joins_findings(spark):
     counts = spark.createDataFrame([(2, 0, 3)], "bad_patients long, no_object long, no_prediction long")
     assert quality.audit_alert(counts).first().message == (
-        "2 paciente(s) con datos demográficos incompletos; 3 estudio(s) con imagen pero sin predicción")
+        "2 patients lack personal data; 3 stored studies lack a prediction")
     assert quality.audit_alert(spark.createDataFrame([(0, 0, 0)], counts.schema)).count() == 0
 
 
@@ -120,7 +120,7 @@ def test_health_and_severity(spark):
     assert quality.health(checks.where("ok")).first().status == "ok"
     got = quality.normalise_alerts(spark.createDataFrame(
         [("r", "loud", "t" * 200, "m" * 5000), ("r", None, "t", "m")], "run_id string, severity string, title string, message string"))
-    assert [(r.severity, len(r.title), len(r.message)) for r in got.collect()] == [("warning", 128, 4000), ("warning", 1, 1)]
+    assert [(r.severity, len(r.title), len(r.message)) for r in got.collect()] == [("warning", 200, 5000), ("warning", 1, 1)]
 
 
 def test_patient_problems(spark):

@@ -148,6 +148,60 @@ def test_late_rows_are_counted(spark, tmp_path):
     assert dropped == [0, 0, 1]
 
 
+def test_a_batch_reads_only_the_partitions_it_touches(spark, tmp_path):
+    out = str(tmp_path / "out")
+    hashes = spark.range(400).select(F.md5(F.col("id").cast("string")).alias("content_hash"))
+    flows.write_batch(hashes.withColumn("prefix", flows.hash_prefix(F.col("content_hash"))), out, "s1", 0)
+    mine = hashes.limit(2).withColumn("prefix", flows.hash_prefix(F.col("content_hash")))
+    stored = flows.stored_before(spark, out, "s2", 0, mine.select("prefix"))
+    plan = stored._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PartitionFilters" in plan and "prefix" in plan.split("PartitionFilters")[1].splitlines()[0]
+    assert 2 <= stored.count() < 20
+    assert flows.stored_before(spark, out, "s1", 0, mine.select("prefix")).count() == 0  # a repeated batch does not see itself
+
+
+def test_repeated_batch_replaces_itself(spark, tmp_path):
+    out = str(tmp_path / "out")
+    one = spark.createDataFrame([("aa", 1), ("bb", 2)], "prefix string, v int")
+    for rows_ in (one, one):
+        flows.write_batch(rows_, out, "s", 0)
+    flows.write_batch(one, out, "s", 1)
+    assert spark.read.parquet(out).count() == 4
+
+
+def test_contents_within_the_watermark(spark, tmp_path):
+    src, out, state = (str(tmp_path / n) for n in ("src", "out", "state"))
+    schema = "file_path string, split string, folder string, label string, content binary, ts timestamp"
+    body = b"\xff\xd8\xff" + b"a" * 600
+    for name, at in (("a", 0), ("b", 5), ("c", 1000), ("d", 5000)):
+        spark.createDataFrame([(name, "train", "NORMAL", "", body, sec(at))], schema).write.mode("append").parquet(src)
+        flows.recent_contents(flows.stream_table(spark, src), out, state, "ts", "60 seconds")
+    # The watermark passes the first copy with the batch of c, so d is the first of a new time.
+    assert rows(spark.read.parquet(out).select("file_path")) == [("a",), ("d",)]
+    assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_late_rows_are_kept(spark, tmp_path):
+    src, out, state, ready = (str(tmp_path / n) for n in ("src", "out", "state", "ready"))
+    schema = "event_id long, ts timestamp, path string"
+    parts = ([(1, sec(1000), "a.jpg"), (2, None, "n.jpg")], [(3, sec(2000), "b.jpg")],
+             [(4, sec(1), "late.jpg"), (5, sec(1999), "b.jpg"), (6, sec(3000), "c.jpg")], [(7, sec(9000), "z.jpg")])
+    closes = F.col("ts") + F.expr("interval '2 seconds'")
+    for data in parts:
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(src)
+        for _ in range(2):
+            tables = flows.split_late(flows.stream_table(spark, src), out, state, "ts", "2 seconds", closes)
+    late = spark.read.parquet(tables.late)
+    assert rows(late.select("event_id", "mark")) == [(2, None), (4, sec(1998))]
+    dropped = flows.run_to_parquet(flows.debounced(flows.stream_table(spark, tables.rows).drop("batch"), "2 seconds"), ready, f"{ready}-state")
+    assert dropped == 0
+    # Closed bursts and late rows together are what a batch over all rows finds, but for the open one.
+    everything = spark.createDataFrame([r for part in parts for r in part], schema).where("ts is not null and path <> 'z.jpg'")
+    together = rows(spark.read.parquet(ready).select("path", "events").union(
+        late.where("ts is not null").groupBy("path").agg(F.count("*"))))
+    assert together == rows(arr.debounce(everything, "2 seconds").select("path", "events"))
+
+
 def test_windowed_alerts_threshold(spark, tmp_path):
     src, out, state = (str(tmp_path / n) for n in ("src", "out", "state"))
     data = [(sec(i), "corrupt") for i in range(9)] + [(sec(100 + i), "duplicate") for i in range(10)] + [(sec(99999), "-")]

@@ -12,11 +12,12 @@ from wardspark.catalog.domain import Domain
 from wardspark.catalog.operations import _ROUTED, _SESSIONS
 from wardspark.catalog.registry import register
 from wardspark.operators import logs as log_ops
-from wardspark.session import scratch_path
+from wardspark.session import scratch_path, stage
 from wardspark.streaming import flows
 from wardspark.streaming.log_tail import LogTail
 
 _MARKER = "(end of input)"
+ARRIVALS = 3  # batches in which files come
 
 
 class Streamed(Domain):
@@ -86,14 +87,66 @@ def stream_ingest(d: Domain) -> DataFrame:
 @register("stream_dedup", tables="classified", sql="""
 select file_path, content_hash from classified where reject_reason is null""")
 def stream_dedup(d: Domain) -> DataFrame:
-    """First file of every content; a second stream, with a checkpoint of its own, finds all stored."""
-    out = scratch_path(d.spark, "contents")
-    state = scratch_path(d.spark, "state")
-    flows.unique_contents(_streamed(d).manifest(), out, state)
+    """First file of every content, arriving in three batches in the order of paths.
+
+    A second stream, with a checkpoint of its own, finds all stored.
+    """
+    out, source, state = (scratch_path(d.spark, name) for name in ("contents", "arriving", "state"))
+    ranged = d.manifest().repartitionByRange(ARRIVALS, "file_path").withColumn("_part", F.spark_partition_id())
+    parts = stage(ranged, "arriving")
+    for number in range(ARRIVALS):
+        parts.where(F.col("_part") == number).drop("_part").write.mode("append").parquet(source)
+        flows.unique_contents(flows.stream_table(d.spark, source), out, state)
     flows.unique_contents(_streamed(d).manifest(), out, scratch_path(d.spark, "state-of-another"))
     return d.spark.read.parquet(out).select("file_path", "content_hash")
 
 
+# Issues arrive in the order of their times, but every fifth a quarter of the span after it: later than its
+# window closes, unless the stream ends first.
+_ARRIVED = """
+spans as (select *, least(3, floor((epoch(detected_at) - low) * 4 / greatest(high - low, 1)))::int + (issue_id % 5 = 0)::int part
+          from (select *, min(epoch(detected_at)) over () low, max(epoch(detected_at)) over () high from quality_issues)),
+marks as (select part, max(t) over (order by part rows between unbounded preceding and 1 preceding) - interval 1 hour mark
+          from (select part, max(detected_at) t from spans group by part)),
+placed as (select s.*, time_bucket(interval 1 day, detected_at, timestamp '2024-01-01') window_start, mark
+           from spans s join marks using (part)),
+judged as (select *, coalesce(window_start + interval 1 day <= mark, false) late from placed)
+"""
+
+
+@register("stream_late_issues", tables="quality_issues", sql=f"""
+with {_ARRIVED}
+select window_start, issue_type, count(*) filter (where not late)::bigint counted, count(*) filter (where late)::bigint late
+from judged group by all""")
+def stream_late_issues(d: Domain) -> DataFrame:
+    """Issues per day and kind from closed windows, beside those that came after their window had closed.
+
+    Both together are all issues; which of them are late depends on the order in which they arrive.
+    """
+    source, out, closed = (scratch_path(d.spark, name) for name in ("issues", "split", "closed"))
+    issues = d.quality_issues().withColumn("detected_at", F.col("detected_at").cast("timestamp"))
+    seconds = F.unix_micros("detected_at") / F.lit(1_000_000)
+    span = issues.agg(F.min(seconds).alias("low"), F.max(seconds).alias("high"))
+    share = F.floor((seconds - F.col("low")) * 4 / F.greatest(F.col("high") - F.col("low"), F.lit(1.0)))
+    part = F.least(F.lit(3), share).cast("int") + (F.col("issue_id") % 5 == 0).cast("int")
+    parts = stage(issues.crossJoin(F.broadcast(span)).withColumn("_part", part).drop("low", "high"), "issues")
+    day = F.window("detected_at", "1 day")["end"]
+    for number in range(5):
+        parts.where(F.col("_part") == number).drop("_part").coalesce(1).write.mode("append").parquet(source)
+        tables = flows.split_late(flows.stream_table(d.spark, source), out, f"{out}/state", "detected_at", "1 hour", day)
+    rows = flows.stream_table(d.spark, tables.rows).select("detected_at", "issue_type")
+    counted = _with_marker(d, rows, "detected_at", issue_type=_MARKER).withWatermark("detected_at", "1 hour").groupBy(
+        F.window("detected_at", "1 day").alias("w"), "issue_type").agg(F.count(F.lit(1)).alias("counted"))
+    flows.run_to_parquet(counted.select(F.col("w.start").alias("window_start"), "issue_type", "counted"), closed, f"{closed}-state")
+    late = d.spark.read.parquet(tables.late).groupBy(
+        F.window("detected_at", "1 day")["start"].alias("window_start"), "issue_type").agg(F.count(F.lit(1)).alias("late"))
+    both = d.spark.read.parquet(closed).where(F.col("issue_type") != _MARKER).join(late, ["window_start", "issue_type"], "full")
+    return both.select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "issue_type",
+        F.coalesce("counted", F.lit(0)).alias("counted"), F.coalesce("late", F.lit(0)).alias("late"),
+    )
+
+
 @register("stream_quality_alert", tables="quality_issues", sql="""
 select window_start, corrupt, incomplete, duplicate,
        case when corrupt + incomplete + duplicate < 50 then 'warning' else 'critical' end severity

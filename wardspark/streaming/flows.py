@@ -7,8 +7,9 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wardspark.functions import paths
 from wardspark.operators import arrivals as arr, validate
@@ -17,6 +18,9 @@ from wardspark.session import stage
 from wardspark.sources.files import exists, is_folder
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def stream_table(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet folder, or a single file within its folder, as a stream with its schema."""
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
@@ -71,17 +75,21 @@ def debounced(stream: DataFrame, gap: str, delay: str | None = None) -> DataFram
 def route_to_tables(arrivals: DataFrame, out: str, checkpoint: str) -> None:
     """Route arrivals into ``moved`` and ``alerts`` tables below ``out``.
 
-    Names that any other batch has given away are taken. Each micro-batch is stored once and overwrites its
-    own partition, so a repeated batch changes nothing.
+    Names that any other batch has given away are taken. ``moved`` is partitioned by a prefix of the name's
+    hash, and a micro-batch reads only the partitions its own names fall into. Each micro-batch is stored once and
+    overwrites its own partitions, so a repeated batch changes nothing.
     """
     stream = _stream_name(checkpoint)
+    prefix = hash_prefix(F.md5("destination"))
 
     def handle(batch: DataFrame, number: int) -> None:
         routed = stage(arr.route_arrivals(batch), "routed")
-        stored = _stored_before(batch.sparkSession, f"{out}/moved", stream, number)
+        names = routed.select(F.concat_ws("/", "split", "folder", "filename").alias("destination"))
+        stored = stored_before(batch.sparkSession, f"{out}/moved", stream, number, names.select(prefix.alias("prefix")))
         taken = None if stored is None else stored.select("destination")
-        arr.destinations(routed, taken=taken).write.mode("overwrite").parquet(_batch_path(f"{out}/moved", stream, number))
-        arr.route_alerts(routed).write.mode("overwrite").parquet(_batch_path(f"{out}/alerts", stream, number))
+        given = arr.destinations(routed, taken=taken)
+        write_batch(given.withColumn("prefix", prefix), f"{out}/moved", stream, number)
+        arr.route_alerts(routed).write.mode("overwrite").parquet(f"{out}/alerts/stream={stream}/batch={number}")
 
     run_batches(arrivals, handle, checkpoint)
 
@@ -96,37 +104,109 @@ def _stream_name(checkpoint: str) -> str:
     return "s" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
 
-def _stored_before(spark: SparkSession, out: str, stream: str, number: int) -> DataFrame | None:
-    """Rows of ``out`` from all batches of all streams but this one, which may be a repetition."""
+def hash_prefix(digest: Column, characters: int = 2) -> Column:
+    """Partition of a hexadecimal hash, 256 of them for two characters; with a letter, as folder names of digits become numbers."""
+    return F.concat(F.lit("h"), F.substring(digest, 1, characters))
+
+
+def stored_before(
+    spark: SparkSession, out: str, stream: str, number: int, prefixes: DataFrame
+) -> DataFrame | None:
+    """Rows of ``out`` in the given partitions, from all batches of all streams but this one, which may be a repetition.
+
+    The prefixes of a batch are listed on the driver, one per partition at most, so that the scan opens
+    no other partition: a small batch costs the same however long the history is.
+    """
     if not exists(spark, out):
         return None
-    stored = spark.read.option("basePath", out).schema(spark.read.parquet(out).schema).parquet(out)
-    return stored.where(~((F.col("stream") == stream) & (F.col("batch") == number)))
+    touched = [r[0] for r in prefixes.distinct().collect()]
+    kept = spark.read.schema(spark.read.parquet(out).schema).parquet(out)
+    return kept.where(F.col("prefix").isin(touched) & ~((F.col("stream") == stream) & (F.col("batch") == number)))
 
 
-def _batch_path(out: str, stream: str, number: int) -> str:
-    return f"{out}/stream={stream}/batch={number}"
+def write_batch(rows: DataFrame, out: str, stream: str, number: int) -> None:
+    """Store a micro-batch in its own partitions of every prefix; they alone are replaced when it is repeated."""
+    tagged = rows.withColumns({"stream": F.lit(stream), "batch": F.lit(number)})
+    tagged.hint("rebalance", "prefix").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "prefix", "stream", "batch").parquet(out)
 
 
 def unique_contents(files: DataFrame, out: str, checkpoint: str) -> None:
     """Append the first file of every valid content that is not stored yet.
 
-    The stored table is the state: each batch keeps its smallest path per hash and drops the
-    hashes that any other batch wrote. Batches are numbered per stream, so several streams, one after the
-    other, may fill one table; a repeated batch overwrites only itself.
+    The stored table is the state, partitioned by a prefix of the content hash: each batch keeps its smallest path per
+    hash and looks up its hashes in the partitions they fall into, not in the history. Batches are numbered per
+    stream, so several streams, one after the other, may fill one table; a repeated batch overwrites only itself.
     """
     stream = _stream_name(checkpoint)
 
     def handle(batch: DataFrame, number: int) -> None:
-        fresh = validate.first_copies(validate.inspect_files(batch))
-        stored = _stored_before(batch.sparkSession, out, stream, number)
-        if stored is not None:
-            fresh = fresh.join(stored.select("content_hash"), "content_hash", "left_anti")
-        fresh.write.mode("overwrite").parquet(_batch_path(out, stream, number))
+        first = validate.first_copies(validate.inspect_files(batch))
+        fresh = stage(first.withColumn("prefix", hash_prefix(F.col("content_hash"))), "contents")
+        stored = stored_before(batch.sparkSession, out, stream, number, fresh.select("prefix"))
+        new = fresh if stored is None else fresh.join(stored.select("prefix", "content_hash"), ["prefix", "content_hash"], "left_anti")
+        write_batch(new, out, stream, number)
 
     run_batches(files, handle, checkpoint)
 
 
+def recent_contents(files: DataFrame, out: str, checkpoint: str, time: str, delay: str) -> int:
+    """Append one file of every valid content that was not seen within ``delay`` of event time.
+
+    Copies within ``delay`` are dropped for certain; later ones too until the watermark has passed the first. Returns the
+    number of rows that came after the watermark. For endless streams in which copies come close together: the state holds only hashes that are younger than
+    the watermark, in RocksDB on the executors' disks with its changes in the checkpoint, and no table is read.
+    """
+    spark = files.sparkSession
+    inspected = validate.inspect_files(files).where(validate.usable()).withWatermark(time, delay)
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, ROCKSDB)
+    try:
+        return run_to_parquet(inspected.dropDuplicatesWithinWatermark(["content_hash"]), out, checkpoint)
+    finally:
+        spark.conf.set(setting, before)
+
+
+# -- late rows -------------------------------------------------------------------------------------------------
+
+class OnTime(NamedTuple):
+    """Tables that ``split_late`` fills, each by stream batch."""
+
+    rows: str
+    late: str
+    marks: str
+
+
+def split_late(events: DataFrame, out: str, checkpoint: str, time: str, delay: str, closes: Column) -> OnTime:
+    """Part a stream into rows that still reach their window and rows that come too late, and keep both.
+
+    ``closes``: end of the earliest window of a row. The high-water mark of a micro-batch is the greatest event time of the
+    batches before it less ``delay``; a row is late when its window closed at or before that. Rows, late rows (with the mark that
+    passed them) and the batch's own greatest time are written by the same micro-batch, in partitions of its number,
+    so a repeated batch overwrites itself and sees the same mark. Windows over the ``rows`` as a stream with the same
+    delay then drop nothing: its watermark is never ahead of the mark. A row without a time is late.
+    """
+    tables = OnTime(f"{out}/rows", f"{out}/late", f"{out}/marks")
+
+    def handle(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        held = stage(batch.withColumn("_closes", closes), "arrived")
+        mark = None
+        if exists(spark, tables.marks):
+            earlier = spark.read.schema("greatest timestamp, batch long").parquet(tables.marks).where(F.col("batch") < number)
+            mark = earlier.agg(F.max("greatest") - F.expr(f"interval '{delay}'")).first()[0]
+        late = F.col("_closes").isNull() if mark is None else F.coalesce(F.col("_closes") <= F.lit(mark), F.lit(True))
+        parts = held.withColumn("_late", late)
+        parts.where("not _late").drop("_late", "_closes").write.mode("overwrite").parquet(f"{tables.rows}/batch={number}")
+        passed = F.lit(mark).cast("timestamp").alias("mark")
+        parts.where("_late").drop("_late", "_closes").select("*", passed).write.mode("overwrite").parquet(f"{tables.late}/batch={number}")
+        held.agg(F.max(time).cast("timestamp").alias("greatest")).write.mode("overwrite").parquet(f"{tables.marks}/batch={number}")
+
+    run_batches(events, handle, checkpoint)
+    return tables
+
+
 def windowed_quality_alerts(
     issues: DataFrame, window: str, delay: str, threshold: int = 10, time: str = "detected_at"
 ) -> DataFrame:
