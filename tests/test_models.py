@@ -150,6 +150,12 @@ def test_classifier_on_template_text(spark, tmp_path):
                               "id int, symptoms string, age int, sex string"), model).collect()
     assert [(r.id, r.age, r.sex, r.predicted_diagnosis) for r in scored] == [(1, 120, "X", "covid")]
     assert math.isclose(sum(scored[0].probabilities.values()), 1.0)
+    # The stored model scores as the one in memory did.
+    stored = symptoms.SymptomModel.load(spark, f"{tmp_path}/models")
+    assert stored.labels == model.labels and symptoms.SymptomModel.load(spark, f"{tmp_path}/models", "v9") is None
+    some = records.select("record_id", "symptoms", "age", "sex")
+    of = lambda m: {r.record_id: (r.predicted_diagnosis, r.probabilities) for r in symptoms.score(some, m).collect()}
+    assert of(stored) == of(model)
 
 
 def test_broken_report_gives_nulls(spark, tmp_path):

@@ -12,6 +12,7 @@ from wardspark.catalog.registry import register
 from wardspark.functions import ids
 from wardspark.operators import lookup, mutate, studies as st
 from wardspark.session import scratch_path, stage
+from wardspark.sources.keyed import KeyedTable
 from wardspark.sources.sinks import Snapshots
 
 _STUDY_UPDATE = ["patient_id", "file_path", "split", "label", "source_dataset", "captured_at"]
@@ -44,7 +45,7 @@ def upsert_patients(d: Domain) -> DataFrame:
     return mutate.upsert(d.patients(), incoming, "patient_id", update)
 
 
-@register("upsert_studies", tables="studies manifest predictions", sql=f"""
+_UPSERT_STUDIES = f"""
 with {_LATEST},
 incoming as (
   select study_id, patient_id, file_path, split, "label", source_dataset, captured_at, modality, body_part
@@ -58,12 +59,11 @@ select study_id, coalesce(n.patient_id, o.patient_id) patient_id, coalesce(n.fil
        coalesce(n.source_dataset, o.source_dataset) source_dataset,
        coalesce(o.modality, n.modality) modality, coalesce(o.body_part, n.body_part) body_part,
        coalesce(n.captured_at, o.captured_at) captured_at, o.ingested_at
-from studies o full join incoming n using (study_id)""")
-def upsert_studies(d: Domain) -> DataFrame:
-    """Studies merged with a batch of new ones and of relabelled known ones.
+from studies o full join incoming n using (study_id)"""
 
-    Only the listed columns change on known studies: modality and object key stay.
-    """
+
+def _study_batch(d: Domain) -> DataFrame:
+    """A batch of new studies and of relabelled known ones."""
     latest = lookup.latest_predictions(d.predictions())
     again = d.studies().select("study_id", "patient_id", "file_path").join(latest, "study_id").select(
         "study_id", "patient_id", "file_path", F.lit("train").alias("split"),
@@ -71,8 +71,24 @@ def upsert_studies(d: Domain) -> DataFrame:
         F.lit("DX").alias("modality"), F.lit("chest").alias("body_part"),
         F.col("inferred_at").alias("captured_at"),
     )
-    incoming = _derived_studies(d).unionByName(again)
-    return mutate.upsert(d.studies(), incoming, "study_id", _STUDY_UPDATE)
+    return _derived_studies(d).unionByName(again)
+
+
+@register("upsert_studies", tables="studies manifest predictions", sql=_UPSERT_STUDIES)
+def upsert_studies(d: Domain) -> DataFrame:
+    """Studies merged with a batch of new ones and of relabelled known ones.
+
+    Only the listed columns change on known studies: modality and object key stay.
+    """
+    return mutate.upsert(d.studies(), _study_batch(d), "study_id", _STUDY_UPDATE)
+
+
+@register("upsert_stored_studies", tables="studies manifest predictions", sql=_UPSERT_STUDIES)
+def upsert_stored_studies(d: Domain) -> DataFrame:
+    """The same merge into a stored table, in place: known studies first, then the batch, in the partitions it touches."""
+    table = KeyedTable.create(d.studies(), scratch_path(d.spark, "studies"), "study_id")
+    table.upsert(_study_batch(d), _STUDY_UPDATE)
+    return table.detached()
 
 
 @register("upsert_uploads", tables="studies predictions uploads", sql="""
@@ -163,14 +179,17 @@ def delete_decisions(d: Domain) -> DataFrame:
     return mutate.delete_decisions(_delete_requests(d), d.patients(), d.studies())
 
 
-@register("delete_patients_cascade", tables="patients studies predictions", sql=f"""
+_CASCADE = f"""
 with {_DECIDED}, gone as (select patient_id from decided where outcome = 'deleted'),
 lost as (select study_id from studies where patient_id in (select patient_id from gone))
 select 'patients' table_name, count(*)::bigint n, min(patient_id) first_key
 from patients where patient_id not in (select patient_id from gone)
 union all select 'studies', count(*), min(study_id) from studies where patient_id not in (select patient_id from gone)
 union all select 'predictions', count(*), min(study_id) from predictions
-where study_id not in (select study_id from lost)""")
+where study_id not in (select study_id from lost)"""
+
+
+@register("delete_patients_cascade", tables="patients studies predictions", sql=_CASCADE)
 def delete_patients_cascade(d: Domain) -> DataFrame:
     """What is left of the three tables after the accepted deletes."""
     decided = mutate.delete_decisions(_delete_requests(d), d.patients(), d.studies())
@@ -179,6 +198,24 @@ def delete_patients_cascade(d: Domain) -> DataFrame:
     return _remaining(*left)
 
 
+@register("delete_stored_cascade", tables="patients studies predictions", sql=_CASCADE)
+def delete_stored_cascade(d: Domain) -> DataFrame:
+    """The same deletes from three stored tables, in place. Studies are stored by patient and predictions by study, so that
+    each cascade is a delete by the key of its table."""
+    tables = [
+        KeyedTable.create(df, scratch_path(d.spark, "stored"), key)
+        for df, key in ((d.patients(), "patient_id"), (d.studies(), "patient_id"), (d.predictions(), "study_id"))
+    ]
+    patients, studies, predictions = tables
+    decided = stage(mutate.delete_decisions(_delete_requests(d), patients.read(), studies.read()), "delete-decisions")
+    gone = decided.where("outcome = 'deleted'").select("patient_id")
+    lost = stage(studies.read(studies.touched(gone)).join(gone, "patient_id", "left_semi").select("study_id"), "lost-studies")
+    predictions.delete(lost)
+    studies.delete(gone)
+    patients.delete(gone)
+    return _remaining(*[t.detached() for t in tables])
+
+
 @register("delete_objects", tables="patients studies", sql=f"""
 with {_DECIDED}
 select object_key from studies left join (select patient_id, true gone from decided where outcome = 'deleted') using (patient_id)

@@ -180,8 +180,11 @@ class Domain:
         )
 
     # -- clinical text ---------------------------------------------------------------
-    def clinical_records(self) -> DataFrame:
-        joined = self.raw("documents").select("doc_id", "text").join(self.raw("labels"), "doc_id", "left")
+    def clinical_records(self, diagnosed: bool = True) -> DataFrame:
+        """Records with text and person; their diagnosis comes from a second table, which is read only for it."""
+        texts = self.raw("documents").select("doc_id", "text")
+        joined = texts.join(self.raw("labels"), "doc_id", "left") if diagnosed else texts.selectExpr(
+            "*", "cast(null as int) quality", "cast(null as int) toxic")
         return joined.selectExpr("*", "cast(doc_id as string) k").selectExpr(
             "concat('CR-', substring(md5(k), 1, 12)) record_id",
             "concat('CREF-', substring(md5(k), 13, 10)) patient_ref",

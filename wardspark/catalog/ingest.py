@@ -482,7 +482,7 @@ select source, usable, count(*)::bigint n from (
   select 'record' source, length(trim(symptoms)) >= 3 usable from clinical_records
   union all select 'report', length(trim(symptoms)) >= 3 from clinical_predictions) group by all""")
 def symptom_filter(d: Domain) -> DataFrame:
-    rows = d.clinical_records().select(F.lit("record").alias("source"), "symptoms").unionByName(
+    rows = d.clinical_records(diagnosed=False).select(F.lit("record").alias("source"), "symptoms").unionByName(
         d.clinical_predictions().select(F.lit("report").alias("source"), "symptoms")
     )
     return rows.groupBy(

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.ml.functions import predict_batch_udf
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql import types as T
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wardspark.catalog.domain import Domain
 from wardspark.catalog.registry import register
 from wardspark.functions import clinical
-from wardspark.functions.clean import age_from_range
+from wardspark.functions.clean import age_from_range, usable_symptoms
 from wardspark.operators import evaluation as ev, features, images, summary, symptoms, text, validate
 from wardspark.schemas import MODEL_LABELS
-from wardspark.session import scratch_path, stage
+from wardspark.session import checkpoint_root, scratch_path, stage
 from wardspark.sources import files, sinks
 
 # -- splits and features ---------------------------------------------------------------
@@ -165,27 +164,25 @@ def batch_scoring(d: Domain) -> DataFrame:
     labelled = d.raw("embeddings").withColumn(
         "class", F.element_at(F.array(*[F.lit(v) for v in MODEL_LABELS]), F.col("label") % 3 + 1)
     )
-    width = 64
-    means = labelled.groupBy("class").agg(*[F.avg(F.get("embedding", F.lit(i))) for i in range(width)])
-    centres = {r[0]: np.array(r[1:], dtype=np.float64) for r in means.collect()}
-    weights = np.stack([centres.get(name, np.zeros(width)) for name in MODEL_LABELS])
-
-    def load_model():
-        def predict(vectors: np.ndarray) -> np.ndarray:
-            scores = vectors @ weights.T * 10.0
-            scores -= scores.max(axis=1, keepdims=True)
-            odds = np.exp(scores)
-            return odds / odds.sum(axis=1, keepdims=True)
-
-        return predict
-
-    score = predict_batch_udf(
-        load_model, return_type=T.ArrayType(T.DoubleType()), batch_size=1024, input_tensor_shapes=[[width]]
+    # The model: one vector per class, as wide as the data. It is one value, looked up as a scalar subquery.
+    means = (
+        labelled.select("class", F.posexplode("embedding").alias("i", "x"))
+        .groupBy("class", "i").agg(F.avg(F.col("x").cast("double")).alias("mean"))
+        .groupBy("class").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "mean"))), lambda e: e["mean"]).alias("mean"))
     )
-    probs = F.col("probs")
-    return labelled.select("vec_id", score("embedding").alias("probs")).select(
-        "vec_id", clinical.argmax_label(probs, MODEL_LABELS).alias("predicted_label"),
-        F.round(F.array_max(probs), 6).alias("confidence"),
+    held = means.agg(F.map_from_entries(F.collect_list(F.struct("class", "mean"))).alias("model")).scalar()
+    zero = F.lit(0.0)
+
+    def dot(name: str) -> Column:
+        products = F.zip_with("embedding", F.element_at("model", F.lit(name)), lambda x, m: x.cast("double") * m)
+        return F.coalesce(F.aggregate(products, zero, lambda total, x: total + F.coalesce(x, zero)), zero) * 10
+
+    scored = labelled.withColumn("model", held).select("vec_id", F.array(*[dot(n) for n in MODEL_LABELS]).alias("scores"))
+    odds = scored.select("vec_id", F.transform("scores", lambda z: F.exp(z - F.array_max("scores"))).alias("odds"))
+    probs = F.transform("odds", lambda o: o / F.aggregate("odds", zero, lambda total, x: total + x))
+    return odds.select("vec_id", probs.alias("probs")).select(
+        "vec_id", clinical.argmax_label(F.col("probs"), MODEL_LABELS).alias("predicted_label"),
+        F.round(F.array_max("probs"), 6).alias("confidence"),
     )
 
 
@@ -209,7 +206,7 @@ idf as (select *, ln((1 + (select count(*) from clinical_records)) / (1 + df)) +
 with {_TERMS} select term, corpus_count, df, round(idf, 9) idf from idf""")
 def tfidf_top_terms(d: Domain) -> DataFrame:
     """Vocabulary of all whole texts with its inverse document frequencies."""
-    records = d.clinical_records().select("record_id", "symptoms")
+    records = d.clinical_records(diagnosed=False).select("record_id", "symptoms")
     vocab = text.corpus_vocabulary(records, "symptoms")
     terms = text.inverse_frequencies(vocab, records)
     return terms.withColumn("idf", F.round("idf", 9))
@@ -220,7 +217,7 @@ with {_TERMS}, raw as (select doc, term, (1 + ln(tf)) * idf w from tf join idf u
 select doc, count(*)::bigint terms, round(sum(weight), 6) weight_sum, round(max(weight), 6) weight_max
 from (select doc, term, w / sqrt(sum(w * w) over (partition by doc)) weight from raw) group by doc""")
 def tfidf_weights(d: Domain) -> DataFrame:
-    records = d.clinical_records().select("record_id", "symptoms")
+    records = d.clinical_records(diagnosed=False).select("record_id", "symptoms")
     counts = stage(text.term_frequencies(records, "record_id", "symptoms"), "term-counts")
     terms = text.inverse_frequencies(text.vocabulary(counts), records)
     return text.tfidf(counts, terms).groupBy("doc").agg(
@@ -233,17 +230,90 @@ def tfidf_weights(d: Domain) -> DataFrame:
 select record_id, age, round((age - (select avg(age) from clinical_records))
        / (select stddev_pop(age) from clinical_records), 6) age_scaled from clinical_records""")
 def age_scaled(d: Domain) -> DataFrame:
-    scaled = text.age_scaled(d.clinical_records().select("record_id", "age"), "record_id")
+    scaled = text.age_scaled(d.clinical_records(diagnosed=False).select("record_id", "age"), "record_id")
     return scaled.withColumn("age_scaled", F.round("age_scaled", 6))
 
 
 def _trained(d: Domain) -> tuple[DataFrame, symptoms.SymptomModel]:
-    records = stage(d.clinical_records(), "records")
+    """The split records, and the model of their training part: the stored one, trained where there is none.
+
+    A stored model belongs to the state of the tables it was trained on, so it is as good as a new one.
+    """
     split = features.three_way_split(
-        symptoms.training_set(records), "record_id", "diagnosis"
+        symptoms.training_set(stage(d.clinical_records(), "records")), "record_id", "diagnosis"
     )
     split = stage(split, "records-split")
-    return split, symptoms.train(split.where("ml_split = 'train'"))
+    return split, _stored_model(d, lambda: symptoms.train(split.where("ml_split = 'train'")))
+
+
+def _stored_model(d: Domain, train: Callable[[], symptoms.SymptomModel] | None = None) -> symptoms.SymptomModel:
+    path = f"{checkpoint_root(d.spark)}/models/symptoms"
+    version = files.fingerprint(d.spark, [d.path("documents"), d.path("labels")])
+    model = symptoms.SymptomModel.load(d.spark, path, version)
+    if model is None:
+        (train() if train else _trained(d)[1]).save(path, version)
+        model = symptoms.SymptomModel.load(d.spark, path, version)
+    return model
+
+
+@register("symptom_person_slots", tables="clinical_records", sql="""
+with known as (
+  select record_id, age, left(upper(sex), 1) letter, row_number() over (partition by diagnosis order by sha256('42:' || record_id)) r,
+         count(*) over (partition by diagnosis) n
+  from clinical_records where diagnosis is not null and symptoms is not null),
+learnt as (select avg(age) mean, stddev_pop(age) deviation from known where r > 2 * floor(n / 10))
+select record_id, round((age - mean) / deviation, 6) age_scaled, (letter = 'M')::int male, (letter = 'F')::int female,
+       (letter = 'X')::int other
+from known, learnt""")
+def symptom_person_slots(d: Domain) -> DataFrame:
+    """The features that are not text, of every record with a diagnosis: scaled age, and a slot per sex."""
+    split, model = _trained(d)
+    age, male, female, other = model.person()
+    return split.select(
+        "record_id", F.round(age, 6).alias("age_scaled"),
+        *[c.cast("int").alias(n) for c, n in ((male, "male"), (female, "female"), (other, "other"))],
+    )
+
+
+@register("symptom_fit", tables="clinical_records", sql="""
+with learnt as (
+  select * from (select diagnosis, row_number() over (partition by diagnosis order by sha256('42:' || record_id)) r,
+                        count(*) over (partition by diagnosis) n, symptoms
+                 from clinical_records where diagnosis is not null and symptoms is not null)
+  where r > 2 * floor(n / 10) and length(trim(symptoms)) >= 3)
+select diagnosis, count(*)::bigint n, round(1.0::double / (select count(distinct diagnosis) from learnt), 2) share
+from learnt group by diagnosis""")
+def symptom_fit(d: Domain) -> DataFrame:
+    """Weighted mean probability of each class over the training rows: at the optimum it is the weighted share of its rows.
+
+    That is the condition that the likelihood's slope by the class's intercept is zero; with balanced weights every
+    share is one over the number of classes. A fit that stopped early, wrong weights or mixed up labels break it.
+    """
+    split, model = _trained(d)
+    learnt = split.where("ml_split = 'train'")
+    weights = ev.class_weights(learnt, "diagnosis").select("diagnosis", "weight")
+    # As trained: the letter of the sex, not the form in which requests are scored.
+    scored = symptoms.probabilities_of(learnt.where(usable_symptoms(F.col("symptoms"))), model)
+    held = stage(scored.select("diagnosis", "probabilities").join(F.broadcast(weights), "diagnosis"), "fit")
+    total = held.agg(F.sum("weight")).first()[0]
+    each = held.select("weight", F.explode("probabilities").alias("diagnosis", "p"))
+    share = each.groupBy("diagnosis").agg(F.round(F.sum(F.col("weight") * F.col("p")) / F.lit(total), 2).alias("share"))
+    return held.groupBy("diagnosis").agg(F.count(F.lit(1)).alias("n")).join(share, "diagnosis")
+
+
+@register("symptom_separable", sql="""
+select doc_id, case lang when 'en' then 'sana' when 'de' then 'asma' when 'fr' then 'gripe' else 'covid' end predicted
+from documents""")
+def symptom_separable(d: Domain) -> DataFrame:
+    """Reports whose words tell their class, half of them learnt: every one of the others must be told right."""
+    reports = d.raw("documents").selectExpr(
+        "doc_id record_id", "concat('signs ', case lang when 'en' then 'control visit' when 'de' then 'wheezing' "
+        "when 'fr' then 'chills' else 'anosmia' end, ' day', cast(doc_id % 7 as string)) symptoms",
+        "cast(doc_id % 90 as int) age", "'M' sex",
+        "case lang when 'en' then 'sana' when 'de' then 'asma' when 'fr' then 'gripe' else 'covid' end diagnosis",
+    )
+    model = symptoms.train(reports.where("record_id % 2 = 0"), max_iter=50)
+    return symptoms.score(reports.drop("diagnosis"), model).selectExpr("record_id doc_id", "predicted_diagnosis predicted")
 
 
 @register("symptom_classifier", tables="clinical_records", sql="""
@@ -274,11 +344,11 @@ select prediction_id, c.patient_id, cast(case age_range when '18-30' then 24 whe
        1.0::double probability, 'symptoms_logreg' model_name, 'v1' model_version
 from clinical_predictions c left join patients using (patient_id) where length(trim(symptoms)) >= 3""")
 def symptom_scoring(d: Domain) -> DataFrame:
-    """Score all reports, append them to a table and read them from there.
+    """Score all reports by the stored model, append them to a table and read them from there.
 
     Labels and probabilities depend on the fit; the columns are those that do not.
     """
-    _, model = _trained(d)
+    model = _stored_model(d)
     reports = d.clinical_predictions().join(d.patients().select("patient_id", "sex", "age_range"), "patient_id", "left")
     people = reports.select(
         "prediction_id", "patient_id", "symptoms", "sex",

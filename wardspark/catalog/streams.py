@@ -126,10 +126,10 @@ def stream_late_issues(d: Domain) -> DataFrame:
     source, out, closed = (scratch_path(d.spark, name) for name in ("issues", "split", "closed"))
     issues = d.quality_issues().withColumn("detected_at", F.col("detected_at").cast("timestamp"))
     seconds = F.unix_micros("detected_at") / F.lit(1_000_000)
-    span = issues.agg(F.min(seconds).alias("low"), F.max(seconds).alias("high"))
-    share = F.floor((seconds - F.col("low")) * 4 / F.greatest(F.col("high") - F.col("low"), F.lit(1.0)))
+    span = issues.agg(F.struct(F.min(seconds).alias("low"), F.max(seconds).alias("high"))).scalar()
+    share = F.floor((seconds - span["low"]) * 4 / F.greatest(span["high"] - span["low"], F.lit(1.0)))
     part = F.least(F.lit(3), share).cast("int") + (F.col("issue_id") % 5 == 0).cast("int")
-    parts = stage(issues.crossJoin(F.broadcast(span)).withColumn("_part", part).drop("low", "high"), "issues")
+    parts = stage(issues.withColumn("_part", part), "issues")
     day = F.window("detected_at", "1 day")["end"]
     for number in range(5):
         parts.where(F.col("_part") == number).drop("_part").coalesce(1).write.mode("append").parquet(source)

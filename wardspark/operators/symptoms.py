@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from wardspark.functions.clean import clamp_age, normal_sex, usable_symptoms
@@ -15,6 +15,7 @@ from wardspark.operators.evaluation import class_weights
 from wardspark.operators.text import inverse_frequencies, term_frequencies, vocabulary
 from wardspark.schemas import SEXES
 from wardspark.session import scratch_path, stage
+from wardspark.sources.files import exists
 
 MODEL_NAME = "symptoms_logreg"
 MODEL_VERSION = "v1"
@@ -41,6 +42,31 @@ class SymptomModel:
     labels: list[str]
     classifier: LogisticRegressionModel | None = None
 
+    def person(self) -> list[Column]:
+        """Scaled age (the mean where unknown) and one slot per known sex, all zero for any other."""
+        age = ((F.col("age") - F.lit(self.age_mean)) / F.lit(self.age_deviation)).cast("double")
+        return [F.coalesce(age, F.lit(0.0)), *[F.coalesce(F.col("sex") == s, F.lit(False)).cast("double") for s in SEXES]]
+
+    def save(self, path: str, version: str = MODEL_VERSION) -> None:
+        """Write vocabulary, classifier and scaling below ``path``; a version is complete when its last part is."""
+        folder = f"{path}/version={version}"
+        self.terms.write.mode("overwrite").parquet(f"{folder}/terms")
+        self.classifier.write().overwrite().save(f"{folder}/classifier")
+        facts = [(self.width, float(self.age_mean), float(self.age_deviation), self.labels)]
+        schema = "width int, age_mean double, age_deviation double, labels array<string>"
+        self.terms.sparkSession.createDataFrame(facts, schema).coalesce(1).write.mode("overwrite").parquet(f"{folder}/facts")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, version: str = MODEL_VERSION) -> SymptomModel | None:
+        """A stored model, or None where this version is not complete."""
+        folder = f"{path}/version={version}"
+        if not exists(spark, f"{folder}/facts/_SUCCESS"):
+            return None
+        facts = spark.read.parquet(f"{folder}/facts").first()
+        terms = spark.read.schema("term string, place int, idf double").parquet(f"{folder}/terms")
+        return cls(terms, facts.width, facts.age_mean, facts.age_deviation, list(facts.labels),
+                   LogisticRegressionModel.load(f"{folder}/classifier"))
+
     def features(self, keyed: DataFrame, counts: DataFrame) -> DataFrame:
         """Replace ``symptoms`` by ``features``: unit-length text weights, scaled age, one slot per known sex.
 
@@ -55,8 +81,7 @@ class SymptomModel:
             F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"),
         )
         none = F.array().cast("array<struct<place:int,w:double>>")
-        age = ((F.col("age") - F.lit(self.age_mean)) / F.lit(self.age_deviation)).cast("double")
-        person = [F.coalesce(age, F.lit(0.0)), *[F.coalesce(F.col("sex") == s, F.lit(False)).cast("double") for s in SEXES]]
+        person = self.person()
         joined = keyed.drop("symptoms").join(weights, "_row", "left").withColumn("_terms", F.coalesce("_terms", none))
         size = self.width + len(person)
         vector = F.struct(
@@ -86,7 +111,7 @@ def train(training: DataFrame, max_iter: int = 400) -> SymptomModel:
     order = Window.orderBy(F.col("corpus_count").desc(), "term")  # over the 8000 terms at most
     terms = stage(
         inverse_frequencies(vocabulary(counts), keyed)
-        .select("term", (F.row_number().over(order) - 1).alias("place"), "idf"),
+        .select("term", (F.row_number().over(order) - 1).cast("int").alias("place"), "idf"),
         "symptom-vocabulary",
     )
     stats = keyed.agg(F.avg("age").alias("m"), F.stddev_pop("age").alias("s")).first()
@@ -109,6 +134,16 @@ def train(training: DataFrame, max_iter: int = 400) -> SymptomModel:
     return model
 
 
+def probabilities_of(records: DataFrame, model: SymptomModel) -> DataFrame:
+    """The rows without their text, with the label -> probability map, for ages and sexes as they stand."""
+    scored = model.classifier.transform(model.features(*_keyed(records)))
+    labels = F.array(*[F.lit(v) for v in model.labels])
+    return scored.select(
+        *[c for c in records.columns if c != "symptoms"],
+        F.map_from_arrays(labels, vector_to_array("probability")).alias("probabilities"),
+    )
+
+
 def score(records: DataFrame, model: SymptomModel) -> DataFrame:
     """Predicted diagnosis and the label -> probability map of every usable record."""
     usable = records.where(usable_symptoms(F.col("symptoms"))).select(
@@ -117,14 +152,13 @@ def score(records: DataFrame, model: SymptomModel) -> DataFrame:
         clamp_age(F.col("age")).alias("age"),
         normal_sex(F.col("sex")).alias("sex"),
     )
-    scored = model.classifier.transform(model.features(*_keyed(usable)))
     labels = F.array(*[F.lit(v) for v in model.labels])
-    probs = vector_to_array("probability")
-    position = F.array_position(probs, F.array_max(probs)).cast("int")
+    scored = probabilities_of(usable, model)
+    most = F.array_max(F.map_values("probabilities"))
     return scored.select(
         *[c for c in usable.columns if c != "symptoms"],
-        F.element_at(labels, position).alias("predicted_diagnosis"),
-        F.map_from_arrays(labels, probs).alias("probabilities"),
+        F.element_at(labels, F.array_position(F.map_values("probabilities"), most).cast("int")).alias("predicted_diagnosis"),
+        "probabilities",
         F.lit(MODEL_NAME).alias("model_name"),
         F.lit(MODEL_VERSION).alias("model_version"),
     )

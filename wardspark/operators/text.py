@@ -4,24 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from wardspark.session import spread_small, stage
+
 # Runs of at least two word characters, and the vocabulary limits.
 WORD = r"[\p{L}\p{N}_]{2,}"
 MAX_TERMS = 8000
 MIN_DOCUMENTS = 2
+SKETCH_WIDTH = 1 << 20
+SKETCH_DEPTH = 2
 
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def with_pairs(tokens: Column) -> Column:
-    """The words followed by all pairs of neighbouring words."""
-    pairs = F.zip_with(
+def pairs_of(tokens: Column) -> Column:
+    """All pairs of neighbouring words."""
+    return F.zip_with(
         F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - 1, F.lit(0))),
         F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0))),
         lambda a, b: F.concat(a, F.lit(" "), b),
     )
-    return F.concat(tokens, pairs)
+
+
+def with_pairs(tokens: Column) -> Column:
+    """The words followed by all pairs of neighbouring words."""
+    return F.concat(tokens, pairs_of(tokens))
 
 
 def term_frequencies(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -39,23 +47,62 @@ def term_frequencies(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
+def _occurrences(tokens: DataFrame, terms: Column) -> DataFrame:
+    """One row (term, first) per occurrence; ``first`` marks one of each term of a text.
+
+    Terms are sorted inside their text and each is set beside the one before it.
+    """
+    ordered = F.sort_array(terms)
+    before = F.concat(F.array(F.lit(None).cast("string")), ordered)
+    marked = F.zip_with(ordered, before, lambda t, b: F.struct(t.alias("term"), (~t.eqNullSafe(b)).alias("first")))
+    return tokens.select(F.inline(marked)).where(F.col("term").isNotNull())
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("term").agg(
+        F.count(F.lit(1)).alias("corpus_count"), F.count_if("first").alias("df")
+    )
+
+
 def corpus_vocabulary(
-    docs: DataFrame, text: str, max_terms: int = MAX_TERMS, min_documents: int = MIN_DOCUMENTS
+    docs: DataFrame, text: str, max_terms: int = MAX_TERMS, min_documents: int = MIN_DOCUMENTS,
+    width: int = SKETCH_WIDTH, depth: int = SKETCH_DEPTH,
 ) -> DataFrame:
-    """``vocabulary`` without the counts per document: texts are not shuffled, only sums per term are."""
-    terms = docs.select(words(F.col(text)).alias("words")).select(with_pairs(F.col("words")).alias("terms"))
-
-    def marked(array: Column, uses: int, documents: int) -> Column:
-        return F.transform(array, lambda t: F.struct(
-            t.alias("term"), F.lit(uses).cast("bigint").alias("uses"), F.lit(documents).cast("bigint").alias("documents")))
+    """``vocabulary`` without the counts per document, exact, and without moving rare pairs.
 
-    each = terms.select(F.inline(F.concat(marked(F.col("terms"), 1, 0), marked(F.array_distinct("terms"), 0, 1))))
-    return (
-        each.groupBy("term").agg(F.sum("uses").alias("corpus_count"), F.sum("documents").alias("df"))
-        .where(F.col("df") >= min_documents)
-        .orderBy(F.col("corpus_count").desc(), "term")
-        .limit(max_terms)
+    Words, of which there are far fewer kinds than pairs, are counted first. The count of the last word that would fit into the
+    vocabulary is the cut: no term below it can be in. Pairs go into a count-min sketch, ``depth`` rows of ``width``
+    sums, whose least sum bounds a pair's count from above; only pairs whose bound reaches the cut are
+    counted by name. The sketch is a table of depth * width numbers at most, so it is broadcast.
+    """
+    if not 0 < width * depth <= 1 << 23:
+        raise ValueError("a sketch of more than 2^23 sums is not broadcast")
+    spread = spread_small(docs.select(F.col(text).alias("body")))
+    tokens = stage(spread.select(words(F.col("body")).alias("words")).where(F.size("words") > 0), "tokens")
+    single = stage(_counted(_occurrences(tokens, F.col("words"))).where(F.col("df") >= min_documents), "words")
+    top = single.select("corpus_count").orderBy(F.desc("corpus_count")).limit(max_terms)
+    last = top.agg(F.count(F.lit(1)).alias("n"), F.min("corpus_count").alias("least")).first()
+    cut = last["least"] if last["n"] == max_terms else 1
+    pairs = tokens.select(pairs_of(F.col("words")).alias("pairs"))
+    sums = (
+        pairs.select(F.explode("pairs").alias("term"))
+        .select(F.explode(_cells(width, depth)).alias("cell"))
+        .groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= cut).select("cell")
     )
+    heavy = stage(sums, "heavy-cells")
+    rows = _occurrences(pairs, F.col("pairs"))
+    for row in range(depth):
+        cell = F.element_at(_cells(width, depth), row + 1)
+        rows = rows.withColumn("cell", cell).join(F.broadcast(heavy), "cell", "left_semi").drop("cell")
+    both = single.unionByName(_counted(rows).where(F.col("df") >= min_documents))
+    return both.orderBy(F.col("corpus_count").desc(), "term").limit(max_terms)
+
+
+def _cells(width: int, depth: int) -> Column:
+    """The cells of ``term`` in every row of the sketch, numbered throughout."""
+    return F.array(*[
+        (F.pmod(F.xxhash64(F.lit(row), F.col("term")), F.lit(width)) + row * width).cast("int") for row in range(depth)
+    ])
 
 
 def vocabulary(

@@ -1,4 +1,4 @@
-"""Symptom classifier: split, train, evaluate on each split, report.
+"""Symptom classifier: split, train, store the model, evaluate on each split, report.
 
     spark-submit --py-files wardspark.zip -m wardspark.plans.symptom_training RECORDS_CSV OUT
 """
@@ -21,6 +21,7 @@ def run(spark: SparkSession, records: DataFrame, out: str, max_iter: int = 400)
         features.three_way_split(training, "record_id", "diagnosis"), "records-split"
     )
     model = symptoms.train(split.where("ml_split = 'train'"), max_iter=max_iter)
+    model.save(f"{out}/models")
     truth = split.select("record_id", F.col("diagnosis").alias("actual"), F.col("ml_split").alias("split"))
     scored = symptoms.score(split.drop("ml_split", "diagnosis"), model).select(
         "record_id", F.col("predicted_diagnosis").alias("predicted")

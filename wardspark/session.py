@@ -68,6 +68,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread an input that has fewer partitions than the session has cores; a larger one stays where it is.
+
+    A table in one small file would otherwise be worked on by one task. What is moved is at most one
+    partition's worth for each core.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 _shipped: set[str] = set()
 
 

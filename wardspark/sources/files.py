@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +55,19 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop).isDirectory()
 
 
+def fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    """A name for the present state of some files or folders: it changes with any file's name, size or time.
+
+    The listing is a Spark job that reads no contents.
+    """
+    state = []
+    for path in paths:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        one = F.xxhash64("path", F.unix_micros("modificationTime"), "length")
+        state += listed.agg(F.count(F.lit(1)), F.bit_xor(one)).first()
+    return hashlib.sha256(repr((paths, [str(x) for x in state])).encode()).hexdigest()[:20]
+
+
 def read_first(spark: SparkSession, candidates: list[tuple[str, str]]) -> DataFrame:
     """The first existing candidate (format, path); CSV candidates have a header."""
     for kind, path in candidates:
