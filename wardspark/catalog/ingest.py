@@ -78,19 +78,30 @@ def _classified(d: Domain) -> DataFrame:
     return validate.classify(stage(_inspected(d), "inspected"))
 
 
-@register("ingest_report", tables="classified", sql="""
+_REPORT = """
 select count(*)::bigint total_scanned,
        count(*) filter (where reject_reason is null)::bigint valid_unique,
        count(*) filter (where reject_reason is not null)::bigint rejected,
        count(*) filter (where reject_reason = 'corrupt')::bigint invalid_corrupt,
        count(*) filter (where reject_reason = 'incomplete')::bigint invalid_incomplete,
        count(*) filter (where reject_reason = 'duplicate')::bigint duplicates_removed
-from classified""")
+from classified"""
+
+
+@register("ingest_report", tables="classified", sql=_REPORT)
 def ingest_report(d: Domain) -> DataFrame:
     """Scan, validate, hash and count all files in one pass."""
     return validate.ingest_report(_inspected(d))
 
 
+@register("ingest_report_on_write", tables="classified", sql=_REPORT)
+def ingest_report_on_write(d: Domain) -> DataFrame:
+    """The same report from the job that stores the classified files, which counts them as it writes."""
+    watched, seen = validate.watched(_classified(d))
+    sinks.write_table(watched, scratch_path(d.spark, "classified"))
+    return validate.seen_report(d.spark, seen)
+
+
 @register("scan_csv_studies", tables="studies", sql=f"""
 with {_STUDIES_TEXT}
 select study_id, patient_id, file_path, split, "label", source_dataset, modality, body_part, captured_at

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wardspark.catalog.domain import Domain
-from wardspark.catalog.registry import register
+from wardspark.catalog.registry import ORACLES, register
 from wardspark.functions.logs import is_blank
 from wardspark.functions.paths import key_value_part
 from wardspark.operators import arrivals as arr, logs as log_ops, lookup, quality, summary
+from wardspark.schemas import DIAGNOSES, SEXES
 from wardspark.session import scratch_path, stage
 from wardspark.sources import files, sinks
 
@@ -184,18 +185,33 @@ union all select 'clinical_records', 'diagnosis',
        count(*) filter (where not diagnosis in ('sana', 'neumonia', 'covid', 'gripe', 'asma', 'bronquitis',
                                                 'epoc', 'rinitis_alergica')) from clinical_records""")
 def constraint_violations(d: Domain) -> DataFrame:
-    from wardspark.schemas import DIAGNOSES, SEXES
+    frames = [quality.violations(df, table, rules) for table, df, rules in _ruled(d)]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
+
+def _ruled(d: Domain) -> list[tuple[str, DataFrame, dict[str, Column]]]:
+    """Tables with the conditions their rows must meet."""
     record_rules = {
         "age": F.col("age").between(0, 120),
         "sex": F.col("sex").isin(*SEXES),
         "diagnosis": F.col("diagnosis").isin(*DIAGNOSES),
     }
-    return (
-        quality.violations(d.predictions(), "predictions", quality.prediction_rules())
-        .unionByName(quality.violations(_runs(d), "runs", summary.run_rules()))
-        .unionByName(quality.violations(d.clinical_records(), "clinical_records", record_rules))
-    )
+    return [
+        ("predictions", d.predictions(), quality.prediction_rules()),
+        ("runs", _runs(d), summary.run_rules()),
+        ("clinical_records", d.clinical_records(), record_rules),
+    ]
+
+
+@register("constraints_on_write", sql=ORACLES["constraint_violations"])
+def constraints_on_write(d: Domain) -> DataFrame:
+    """The same counts from the jobs that store the tables, without a scan of their own."""
+    frames = []
+    for table, df, rules in _ruled(d):
+        watched, seen = quality.watched(df, rules)
+        sinks.write_table(watched, scratch_path(d.spark, table))
+        frames.append(quality.seen_violations(d.spark, table, seen))
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
 @register("unique_violations", tables="studies patients", sql="""
@@ -330,13 +346,24 @@ def log_parse(d: Domain) -> DataFrame:
 select event_id, event_time, level, logger, message from parsed_logs
 where level = 'ERROR' order by event_time desc nulls last, event_id limit 500""")
 def log_query(d: Domain) -> DataFrame:
-    """Newest errors; the requested limit of 9999 is clamped to 500."""
+    """Newest errors, as many as one answer may hold."""
     parsed = log_ops.parse_logs(d.log_lines())
-    return log_ops.query_logs(parsed, service="log_sync", level="error", limit=9999).select(
+    return log_ops.query_logs(parsed, service="log_sync", level="error", limit=log_ops.MOST_LOGS).select(
         "event_id", "event_time", "level", "logger", "message"
     )
 
 
+@register("log_query_stored", tables="parsed_logs", sql="""
+select event_id, event_time, level, logger, message from parsed_logs
+where level = 'ERROR' order by event_time desc nulls last, event_id limit 500""")
+def log_query_stored(d: Domain) -> DataFrame:
+    """The same from a stored log sorted by time, of which only the newest hours are read."""
+    folder = scratch_path(d.spark, "stored-logs")
+    log_ops.store_logs(log_ops.parse_logs(d.log_lines()), folder)
+    found = log_ops.query_stored(d.spark, folder, service="log_sync", level="error", limit=log_ops.MOST_LOGS)
+    return found.select("event_id", "event_time", "level", "logger", "message")
+
+
 @register("log_scan", tables="parsed_logs", sql="""
 select format, level, count(*)::bigint n from parsed_logs group by all""")
 def log_scan(d: Domain) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardspark.catalog.clinic import _LATEST, _RECENT_STUDIES
@@ -10,7 +12,31 @@ from wardspark.catalog.models import _PLAIN_CELLS, _SUMMARY, _evaluated
 from wardspark.catalog.operations import ALERTS_SHOWN, _RUNS, _runs, run_checks
 from wardspark.catalog.registry import register
 from wardspark.operators import dashboard
-from wardspark.session import stage
+from wardspark.operators.totals import Partials
+from wardspark.session import checkpoint_root, stage
+from wardspark.sources import files
+
+
+class _Files(Domain):
+    """The domain with the predictions of some files only."""
+
+    def __init__(self, d: Domain, names: list[str]):
+        super().__init__(d.spark, d.folder)
+        self.names = names
+
+    def raw(self, name: str) -> DataFrame:
+        rows = super().raw(name)
+        return self.spark.read.schema(rows.schema).parquet(*self.names) if name == "lineitem" else rows
+
+
+def _prediction_parts(d: Domain) -> Partials:
+    """Kept totals of the predictions. They hold what studies and patients say, so they belong to the state of those tables."""
+    state = files.fingerprint(d.spark, [d.path("orders"), d.path("customer")])
+    source = d.path("lineitem")
+    place = hashlib.sha256(source.encode()).hexdigest()[:12]
+    parts = Partials(d.spark, f"{checkpoint_root(d.spark)}/totals/{place}-{state}", source)
+    parts.refresh(lambda names: dashboard.load_parts(_Files(d, names).predictions(), d.studies(), d.patients()))
+    return parts
 
 
 @register("dashboard_payload", tables="patients studies predictions run_events evaluated alerts", sql=f"""
@@ -44,8 +70,9 @@ union all select 'errors', 'misclassified_total', cast(count(*) as varchar) from
 union all select 'errors', 'fn_neumonia_to_sana', cast(count(*) as varchar) from evaluated
     where actual = 'neumonia' and predicted = 'sana'""")
 def dashboard_payload(d: Domain) -> DataFrame:
-    document = dashboard.payload(
-        d.patients(), d.studies(), d.predictions(), _runs(d), _evaluated(d), d.alerts(), run_checks(d), ALERTS_SHOWN
+    """The document from kept totals; predictions are read once, when their files are new."""
+    document = dashboard.payload_from_parts(
+        _prediction_parts(d), d.patients(), d.studies(), _runs(d), d.alerts(), run_checks(d), ALERTS_SHOWN
     )
     one = stage(document, "dashboard")
 

@@ -19,14 +19,15 @@ def confusion_cells(
     keys: tuple[str, ...] = (),
     actual: str = "actual",
     predicted: str = "predicted",
+    n: Column | None = None,
 ) -> DataFrame:
-    """Rows (keys, actual, predicted, n) for every pair of labels, zero cells included.
+    """Rows (keys, actual, predicted, n) for every pair of labels, zero cells included; ``n``: rows that a row stands for.
 
     Null labels and labels that are not listed count as OTHER, in cells of their own where there are such
     rows, so that the cells add up to all rows.
     """
     listed = lambda c: F.when(F.col(c).isin(*labels), F.col(c)).otherwise(F.lit(OTHER)).alias(c)
-    counts = df.groupBy(*keys, listed(actual), listed(predicted)).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(*keys, listed(actual), listed(predicted)).agg(F.sum(F.lit(1) if n is None else n).alias("n"))
     pairs = list(product((*labels, OTHER), repeat=2))
     cells = [
         F.coalesce(

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wardspark.session import stage
+from wardspark.sources.skipping import rows_with
+
+
+RECENT_PREDICTIONS = 100  # rows of the list
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
@@ -53,12 +57,13 @@ def studies_with_latest(studies: DataFrame, predictions: DataFrame) -> DataFrame
 
 
 def recent_studies(
-    studies: DataFrame, patients: DataFrame, predictions: DataFrame, limit: int = 24
+    studies: DataFrame, patients: DataFrame, predictions: DataFrame, limit: int = 24, indexed: bool = False,
 ) -> DataFrame:
     """Newest studies with a stored object, their newest prediction and patient name.
 
     Both left joins keep one row per study, so the limit is taken first and its rows are written once:
-    at most ``limit`` keys (checked) are broadcast and the large tables are only filtered.
+    at most ``limit`` keys (checked) are broadcast and the large tables are only filtered. ``indexed``: the predictions are
+    stored sorted by study, so that the keys go into their scan.
     """
     if not 0 < limit <= 10_000:
         raise ValueError("limit must be between 1 and 10000")
@@ -70,7 +75,8 @@ def recent_studies(
         "recent-studies",
     )
     wanted = F.broadcast(newest.select("study_id"))
-    latest = latest_predictions(predictions.join(wanted, "study_id", "left_semi")).select(
+    near = rows_with(predictions, "study_id", newest.select("study_id")) if indexed else predictions
+    latest = latest_predictions(near.join(wanted, "study_id", "left_semi")).select(
         "study_id", "predicted_label", confidence().alias("confidence")
     )
     names = patients.join(
@@ -85,7 +91,7 @@ def recent_studies(
 
 
 def recent_predictions(
-    predictions: DataFrame, studies: DataFrame, patients: DataFrame, limit: int = 100
+    predictions: DataFrame, studies: DataFrame, patients: DataFrame, limit: int = RECENT_PREDICTIONS
 ) -> DataFrame:
     """Newest predictions of uploaded studies with their patient.
 
@@ -118,6 +124,11 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
     return used.join(parent.select(F.col(parent_key).alias("key")), "key", "left_anti")
 
 
+def existing_stored(requests: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``existing`` for a table stored sorted by the key or with a Bloom filter on it: few requests read few row groups."""
+    return existing(requests, rows_with(table.select(key), key, requests.select(key)), key)
+
+
 def existing(requests: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Requests with a flag whether their key exists; ``key`` is unique in the table."""
     keys = table.select(key, F.lit(True).alias("_hit"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from wardspark.schemas import SEVERITIES
 
@@ -149,6 +149,21 @@ def violations(df: DataFrame, table: str, rules: Mapping[str, Column]) -> DataFr
     )
 
 
+def watched(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """The rows, and what will have been seen of the rules when a job has read them all.
+
+    The counts ride on whatever job writes the rows, so checking them costs no scan.
+    """
+    seen = Observation()
+    return df.observe(seen, *[F.count_if(~rule).alias(name) for name, rule in rules.items()]), seen
+
+
+def seen_violations(spark: SparkSession, table: str, seen: Observation) -> DataFrame:
+    """``violations`` from counts that were observed; waits for the job that does so."""
+    counts = [(table, rule, n) for rule, n in seen.get.items()]
+    return spark.createDataFrame(counts, "table_name string, rule string, violations bigint")
+
+
 def prediction_rules() -> dict[str, Column]:
     probs = ("prob_sana", "prob_neumonia", "prob_covid")
     total = F.col(probs[0]) + F.col(probs[1]) + F.col(probs[2])

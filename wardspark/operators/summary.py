@@ -22,13 +22,18 @@ def table_counts(parts: dict[str, DataFrame]) -> DataFrame:
 
 def platform_totals(predictions: DataFrame, studies: DataFrame, patients: DataFrame) -> DataFrame:
     """One row with the three totals; the tables are counted independently."""
-    rows = _stack_totals(
+    return totals_row(predictions.agg(F.count(F.lit(1)).alias("n")), studies, patients)
+
+
+def totals_row(predictions: DataFrame, studies: DataFrame, patients: DataFrame) -> DataFrame:
+    """``platform_totals`` where the number of predictions (n) is known."""
+    counted = predictions.select(F.lit("predictions_total").alias("name"), "n")
+    rows = counted.unionByName(_stack_totals(
         {
-            "predictions_total": predictions,
             "api_uploads": studies.where(F.col("source_dataset") == "api_upload"),
             "patients_total": patients,
         }
-    )
+    ))
     names = ("predictions_total", "api_uploads", "patients_total")
     return rows.agg(*[F.max(F.when(F.col("name") == n, F.col("n"))).alias(n) for n in names])
 
@@ -38,11 +43,15 @@ def predictions_by_label(predictions: DataFrame) -> DataFrame:
 
 
 def predictions_percent(predictions: DataFrame) -> DataFrame:
-    """Count and percent of all predictions per label, one decimal.
+    """Count and percent of all predictions per label, one decimal."""
+    return percent_of(predictions_by_label(predictions))
+
+
+def percent_of(counts: DataFrame) -> DataFrame:
+    """``predictions_percent`` of counts per label (predicted_label, total).
 
     The window runs over the aggregated labels (a closed set), not over the predictions.
     """
-    counts = predictions_by_label(predictions)
     everything = F.sum("total").over(Window.partitionBy(F.lit(1)))
     share = F.round(F.col("total") * F.lit(100).cast("decimal(3,0)") / everything, 1)
     return counts.select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from wardspark.functions import content as fc, ids, paths
 from wardspark.functions.clean import known
@@ -90,19 +90,41 @@ def rejected(classified: DataFrame) -> DataFrame:
     )
 
 
-def report_columns() -> list[Column]:
-    """Counts of the ingest report; also usable as observed metrics."""
-    reason = F.col("reject_reason")
+def report_columns(times: Column | None = None) -> list[Column]:
+    """Counts of the ingest report over classified files; also usable as observed metrics.
+
+    ``times``: how often a file's line is listed. Lines that repeat a path are duplicates of it when it is kept, or
+    repeat its fault.
+    """
+    reason, n = F.col("reject_reason"), F.lit(1) if times is None else times
+
+    def total(condition: Column, value: Column = n) -> Column:
+        return F.coalesce(F.sum(F.when(condition, value)), F.lit(0)).cast("bigint")
+
+    kept = total(reason.isNull(), F.lit(1))
     return [
-        F.count(F.lit(1)).alias("total_scanned"),
-        F.count_if(reason.isNull()).alias("valid_unique"),
-        F.count_if(reason.isNotNull()).alias("rejected"),
-        F.count_if(reason == "corrupt").alias("invalid_corrupt"),
-        F.count_if(reason == "incomplete").alias("invalid_incomplete"),
-        F.count_if(reason == "duplicate").alias("duplicates_removed"),
+        total(F.lit(True)).alias("total_scanned"),
+        kept.alias("valid_unique"),
+        (total(F.lit(True)) - kept).alias("rejected"),
+        total(reason == "corrupt").alias("invalid_corrupt"),
+        total(reason == "incomplete").alias("invalid_incomplete"),
+        (total(reason == "duplicate") + total(reason.isNull(), n - 1)).alias("duplicates_removed"),
     ]
 
 
+def watched(classified: DataFrame, times: Column | None = None) -> tuple[DataFrame, Observation]:
+    """The rows, and the ingest report that the job that writes them will have made."""
+    seen = Observation()
+    return classified.observe(seen, *report_columns(times)), seen
+
+
+def seen_report(spark: SparkSession, seen: Observation) -> DataFrame:
+    """The observed report as one row; waits for the job that makes it."""
+    names = ("total_scanned", "valid_unique", "rejected", "invalid_corrupt", "invalid_incomplete", "duplicates_removed")
+    counts = seen.get
+    return spark.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+
+
 def ingest_report(inspected: DataFrame) -> DataFrame:
     """The six counts without the per-row join.
 

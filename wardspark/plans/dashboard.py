@@ -9,18 +9,26 @@ import sys
 
 from pyspark.sql import SparkSession, functions as F
 
-from wardspark.operators.dashboard import payload
+from wardspark.operators import dashboard
+from wardspark.operators.totals import Partials
 from wardspark.session import build_session
-from wardspark.sources import sinks
+from wardspark.sources import files, sinks
 
 
 def run(spark: SparkSession, tables: str, out: str) -> None:
-    patients, studies, predictions, runs = (
-        spark.read.parquet(f"{tables}/{name}") for name in ("patients", "studies", "predictions", "runs")
+    """Refresh the kept totals below ``out`` with the prediction files that are new, then write the document.
+
+    The totals belong to the present studies and patients; when those change they are built anew.
+    """
+    patients, studies, runs, alerts = (
+        spark.read.parquet(f"{tables}/{name}") for name in ("patients", "studies", "runs", "alerts")
     )
-    truth = studies.where("label is not null").select("study_id", F.col("label").alias("actual"))
-    evaluated = predictions.select("study_id", F.col("predicted_label").alias("predicted")).join(truth, "study_id")
-    sinks.write_report(payload(patients, studies, predictions, runs, evaluated), out)
+    state = files.fingerprint(spark, [f"{tables}/studies", f"{tables}/patients"])
+    parts = Partials(spark, f"{out}/totals/{state}", f"{tables}/predictions")
+    parts.refresh(lambda names: dashboard.load_parts(spark.read.parquet(*names), studies, patients))
+    checks = runs.select(F.col("run_id").alias("name"), (F.col("status") != "failed").alias("ok"))
+    document = dashboard.payload_from_parts(parts, patients, studies, runs, alerts, checks)
+    sinks.write_report(document, f"{out}/document")
 
 
 if __name__ == "__main__":

@@ -67,25 +67,12 @@ def run(
         facts = load_facts(spark, root, manifest, data_root or root)
         sinks.write_table(validate.judge(facts), f"{out}/inspected")
         inspected = spark.read.parquet(f"{out}/inspected")
-        sinks.write_table(validate.classify(inspected), f"{out}/classified")
+        # The report is counted by the job that writes the rows it is about.
+        watched, seen = validate.watched(validate.classify(inspected), F.col("listed"))
+        sinks.write_table(watched, f"{out}/classified")
         classified = spark.read.parquet(f"{out}/classified")
-
-        # Lines that repeat a path are duplicates of it when it is kept, or repeat its fault.
-        reason, n = F.col("reject_reason"), F.col("listed")
-
-        def total(condition, value=n):
-            return F.coalesce(F.sum(F.when(condition, value)), F.lit(0)).cast("long")
-
-        kept = total(reason.isNull(), F.lit(1))
-        duplicates = total(reason == "duplicate") + total(reason.isNull(), n - 1)
-        report = classified.agg(
-            total(F.lit(True)).alias("total_scanned"),
-            kept.alias("valid_unique"),
-            (total(F.lit(True)) - kept).alias("rejected"),
-            total(reason == "corrupt").alias("invalid_corrupt"),
-            total(reason == "incomplete").alias("invalid_incomplete"),
-            duplicates.alias("duplicates_removed"),
-        ).withColumn("run_id", F.lit(log.run_id)).withColumn("processed_at", F.current_timestamp())
+        report = validate.seen_report(spark, seen).withColumn("run_id", F.lit(log.run_id)).withColumn(
+            "processed_at", F.current_timestamp())
         sinks.write_report(report, f"{out}/report")
         report = spark.read.json(f"{out}/report")
         counts = report.first()

@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from wardspark.operators import mutate
 from wardspark.session import stage
+from wardspark.sources.files import remove
 
 PARTITION = "key_part"
 PARTS = 32  # partitions; a change of few keys rewrites few of them
@@ -86,7 +87,7 @@ class KeyedTable:
             self._write(left)
             for number in set(parts) - kept:
                 self.spark.sql(f"alter table {self.name} drop if exists partition ({PARTITION} = {number})")
-                _remove(self.spark, f"{self.path}/{PARTITION}={number}")
+                remove(self.spark, f"{self.path}/{PARTITION}={number}")
         return parts
 
     def drop_name(self) -> None:
@@ -109,7 +110,3 @@ class KeyedTable:
         finally:
             self.spark.conf.set(setting, before)
 
-
-def _remove(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
