@@ -26,12 +26,16 @@ class Domain:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """The table; its schema is looked up once for a query."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(self.path(name))
+        return self._tables[name]
 
     # -- relational core -------------------------------------------------------------
     def sites(self) -> DataFrame:

@@ -27,19 +27,22 @@ class Partials:
 
     def __init__(self, spark: SparkSession, folder: str, source: str):
         self.spark, self.folder, self.source = spark, folder.rstrip("/"), source
+        self._known: dict[tuple, str] | None = None
 
     def _present(self) -> set[tuple]:
         listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(self.source)
         return {tuple(r) for r in listed.select("path", "modificationTime", "length").collect()}
 
     def _loaded(self) -> dict[tuple, str]:
-        if not exists(self.spark, f"{self.folder}/files"):
-            return {}
-        rows = self.spark.read.schema(f"{_FILES}, load string").parquet(f"{self.folder}/files").collect()
-        return {(r.path, r.modified, r.length): r.load for r in rows}
+        if self._known is None:
+            found = exists(self.spark, f"{self.folder}/files")
+            rows = self.spark.read.schema(f"{_FILES}, load string").parquet(f"{self.folder}/files").collect() if found else []
+            self._known = {(r.path, r.modified, r.length): r.load for r in rows}
+        return self._known
 
     def refresh(self, build: Callable[[list[str]], dict[str, DataFrame]]) -> int:
         """Load the files that are new; ``build`` gives the partial aggregates of a list of files by kind. The number of files."""
+        self._known = None
         present, loaded = self._present(), set(self._loaded())
         if loaded - present:
             remove(self.spark, self.folder)
@@ -49,6 +52,7 @@ class Partials:
             load = "l" + hashlib.sha256(repr(new).encode()).hexdigest()[:20]
             for kind, rows in build([f[0] for f in new]).items():
                 rows.write.mode("overwrite").parquet(f"{self.folder}/{kind}/load={load}")
+            self._known = None
             self.spark.createDataFrame(new, _FILES).coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/files/load={load}")
         return len(new)
 

@@ -66,12 +66,10 @@ def fingerprint(spark: SparkSession, paths: list[str]) -> str:
 
     The listing is a Spark job that reads no contents.
     """
-    state = []
-    for path in paths:
-        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-        one = F.xxhash64("path", F.unix_micros("modificationTime"), "length")
-        state += listed.agg(F.count(F.lit(1)), F.bit_xor(one)).first()
-    return hashlib.sha256(repr((paths, [str(x) for x in state])).encode()).hexdigest()[:20]
+    one = F.xxhash64("path", F.unix_micros("modificationTime"), "length")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    count, state = listed.agg(F.count(F.lit(1)), F.bit_xor(one)).first()
+    return hashlib.sha256(f"{paths} {count} {state}".encode()).hexdigest()[:20]
 
 
 def read_first(spark: SparkSession, candidates: list[tuple[str, str]]) -> DataFrame:
