@@ -8,6 +8,8 @@ import pytest
 
 from tests.conftest import rows
 from tests.llm.cases import documents, empty, prose
+from pyspark.sql import functions as F
+
 from wardspark.llm import jaccard, main_text, neighbours, preference, sharding, toxicity
 from wardspark.llm.components import components
 
@@ -256,22 +258,11 @@ def test_preference_pairs(spark):
     assert got[5].prompt_turns == 2 and got[5].chosen == "<|user|>\nhi<|end|>\n" and got[5].chosen_mask == ""
 
 
-def test_pairs_from_conversations(spark):
-    turns = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", "more"), (2, 0, "user", "q"), (2, 1, "assistant", "other"),
-             (3, 0, "user", None), (5, 0, None, "x"), (5, 1, "assistant", "a"), (None, 0, "user", "lost")]
-    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
-    got = {r.pair_id: r for r in preference.against_next(table).collect()}
-    assert sorted(got) == [1, 2, 3, 5]
-    assert got[1].chosen == "<|assistant|>\na<|end|>\n" and got[1].rejected == "<|assistant|>\nother<|end|>\n" and got[1].prompt_turns == 1
-    assert got[2].rejected == "" and got[2].differs and not got[3].differs and got[3].prompt == "<|user|>\n<|end|>\n"
-    assert preference.against_next(table.limit(0)).count() == 0
-
-
 def test_pairs_hold_every_turn_and_the_next_answer_there_is(spark):
     turns = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", "more"), (1, 3, "system", None), (3, 0, "user", None),
              (7, 0, "user", "q"), (7, 1, "assistant", "b"), (90, 0, None, "x"), (90, 1, "assistant", "c"), (None, 0, "user", "lost")]
-    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
-    got = {r.pair_id: r for r in preference.against_next_answer(table).collect()}
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumns({"answer": F.lit(1), "place": F.lit("x")})
+    got = {r.pair_id: r for r in preference.against_next_answer(table.unionAll(table.where("false"))).collect()}
     assert sorted(got) == [1, 3, 7, 90]
     assert [got[i].rejected for i in (1, 3, 7, 90)] == ["<|assistant|>\nb<|end|>\n", "", "<|assistant|>\nc<|end|>\n", ""]
     assert [got[i].after_turns for i in (1, 3, 7, 90)] == [2, 0, 0, 0]
@@ -279,3 +270,5 @@ def test_pairs_hold_every_turn_and_the_next_answer_there_is(spark):
         whole = "".join(f"<|{role or 'user'}|>\n{text or ''}<|end|>\n" for c, _, role, text in turns if c == i)
         assert r.prompt + r.chosen + r.after == whole
     assert preference.against_next_answer(table.limit(0)).count() == 0
+    twice = {r.pair_id: r for r in preference.against_next_answer(table.unionAll(table)).collect()}
+    assert twice[7].prompt == "<|user|>\nq<|end|>\n" * 2 + "<|assistant|>\nb<|end|>\n"  # repeated turns stay

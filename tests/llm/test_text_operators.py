@@ -116,6 +116,21 @@ def test_secret_base_spans(spark):
     assert secret_scan.scan(empty(spark)).count() == 0
 
 
+def test_many_repositories_of_one_owner_make_an_example(spark):
+    key = "token = 'abcDEF123456ghiJKL'"
+    for copies, expected in ((24, (1, 0)), (25, (0, 1))):
+        rows = [(i, f"intro {key} end", "hot") for i in range(copies)]
+        got = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+        assert {(r.n_live, r.n_example) for r in got} == {expected}
+        assert {(r.n_owners, r.n_repositories) for r in got} == {(1, copies)}
+
+
+def test_rows_without_an_id_are_mixed_one_by_one(spark):
+    rows = [(None, prose(i, 4 + i % 12), "a") for i in range(300)] + [(i, prose(i, 9), s) for i, s in enumerate("bc" * 300)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).where("source = 'a'").collect()
+    assert abs(sum(r.taken for r in got) - got[0].target) <= 8 and max(r.taken for r in got) <= 3 * 16
+
+
 def test_ownership_tells_examples_from_live_secrets(spark):
     shared, own = "token = 'abcDEF123456ghiJKL'", "token = 'zyxWVU987654tsrQPO'"
     rows = [(i, f"intro {shared} end", f"o{i % 5}", 9) for i in range(10)] + [(20, f"mine {own} and {shared}", "o1", 9), (20, f"mine {own} and {shared}", "o1", 9)]

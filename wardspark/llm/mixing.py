@@ -16,10 +16,15 @@ def _measured(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> D
         F.col(id_col).alias("doc_id"),
         F.col(source_col).alias("source"),
         F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size"),
-        hash60(F.col(id_col)).alias("h"),
+        _place(id_col, text_col).alias("h"),
     )
 
 
+def _place(id_col: str, text_col: str) -> Column:
+    """Where a row stands in the order in which a source is used up: only rows equal in id and text share a place."""
+    return hash60(F.col(id_col), F.md5(text_of(text_col)))
+
+
 def _level(sources: DataFrame, total: int, cap: int) -> float:
     """Words per unit of weight once no target is above ``cap`` times its source's size.
 
@@ -131,8 +136,8 @@ def mix(
     """How many words the mix takes of each document, as whole copies of it.
 
     Returns doc_id, source, size, source_size, target, copies and taken, one row per input row. Null and
-    empty texts have size 0 and take nothing; a null source is a source of its own; rows that share a
-    doc_id share its hash, so they are taken or left together; an empty table gives no rows.
+    empty texts have size 0 and take nothing; a null source is a source of its own; rows that are
+    equal in doc_id and text share a hash, so they are taken or left together; an empty table gives no rows.
     """
     measured = stage(_measured(docs, id_col, text_col, source_col), "mix-measured")
     goals = budgets(measured, weights, cap).withColumnRenamed("source", "_source")
@@ -149,7 +154,7 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap:
     goals = budgets(measured, weights, cap).select(
         F.col("source").alias("_source"), F.col("repeats").alias("_repeats"), F.col("bound").alias("_bound")
     )
-    rows = docs.select(packed(docs), F.col("source").alias("_own"), hash60(F.col("doc_id")).alias("_h"))
+    rows = docs.select(packed(docs), F.col("source").alias("_own"), _place("doc_id", "text").alias("_h"))
     copies = F.col("_repeats") + (F.col("_h") < F.col("_bound")).cast("long")
     return (
         rows.join(goals, F.col("_own").eqNullSafe(F.col("_source")))

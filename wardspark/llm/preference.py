@@ -76,30 +76,8 @@ def format_pairs(pairs: DataFrame) -> DataFrame:
     )
 
 
-def against_next(turns: DataFrame) -> DataFrame:
-    """Preference pairs from plain conversations: each is preferred to itself with a foreign answer.
-
-    The rejected side has the conversation's turns before its last assistant turn and, instead of that turn, the
-    last assistant turn of the conversation with the next id, where there is one. Both sides end there, so
-    turns after the last answer take no part; a conversation without an assistant turn is all prompt.
-    """
-    held = conversations(turns)
-    last = F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i).otherwise(-1)))
-    cut = held.withColumn("at", last)
-    chosen = F.when(F.col("at") >= 0, F.slice("turns", F.lit(1), F.col("at") + 1)).otherwise(F.col("turns"))
-    answer = F.when(F.col("at") >= 0, F.get("turns", F.col("at")))
-    own = cut.select("conv_id", "at", chosen.alias("chosen"))
-    other = cut.select((F.col("conv_id") - 1).alias("conv_id"), answer.alias("answer"))
-    before = F.when(F.col("at") >= 0, F.slice("chosen", F.lit(1), F.col("at"))).otherwise(F.col("chosen"))
-    foreign = F.when((F.col("at") >= 0) & F.col("answer").isNotNull(), F.array("answer")).otherwise(
-        F.array().cast("array<struct<role:string,text:string>>")
-    )
-    joined = own.join(other, "conv_id", "left")
-    return format_pairs(joined.select(F.col("conv_id").alias("pair_id"), "chosen", F.concat(before, foreign).alias("rejected")))
-
-
 def against_next_answer(turns: DataFrame) -> DataFrame:
-    """Preference pairs as above, but with every turn, and against the next answer there is.
+    """Preference pairs from plain conversations: each is preferred to itself with a foreign answer in place of its last.
 
     The rejected answer is that of the least greater id among the conversations that have an assistant turn, whatever
     gaps the ids have; only the last of them has none. Turns after the last answer are in ``after``, of which

@@ -43,10 +43,6 @@ def op5_main_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_preference_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return preference.against_next(table(spark, folder, "conversations"))
-
-
-def op6_preference_pairs_whole(spark: SparkSession, folder: str) -> DataFrame:
     return preference.against_next_answer(table(spark, folder, "conversations"))
 
 
@@ -85,7 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_byte_bpe, op2_hilbert_shards, op3_source_mixing, op4_toxicity, op5_main_text, op6_preference_pairs,
-        op6_preference_pairs_whole, op7_ngram_jaccard, op8_nearest_vectors, op9_quality_votes, op10_secret_ownership,
+        op7_ngram_jaccard, op8_nearest_vectors, op9_quality_votes, op10_secret_ownership,
         op11_centroid_clusters, op12_collocations, op13_exact_dedup,
     )
 }
@@ -93,7 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 MIX_SQL = r"""
 with d as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint size,
-         ('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 15))::bigint h
+         ('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || ':' || md5(coalesce(text, ''))), 1, 15))::bigint h
   from documents),
 s as (
   select *, case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 5 when 1 then 2 else 1 end w
@@ -127,11 +123,15 @@ with t as (
   select conv_id, list({'role': role, 'text': text} order by turn, role, text) turns
   from (select conv_id, turn, coalesce(role, 'user') role, coalesce(text, '') text from conversations where conv_id is not null)
   group by conv_id),
-a as (select *, coalesce(list_max(list_transform(range(1, len(turns) + 1), lambda i: case when turns[i].role = 'assistant' then i else 0 end)), 0) last_turn from t),
+a as (
+  select *, coalesce(list_max(list_transform(range(1, len(turns) + 1), lambda i: case when turns[i].role = 'assistant' then i else 0 end)), 0) last_turn
+  from t),
+o as (select conv_id, lead(turns[last_turn].text) over (order by conv_id) other, lead(true) over (order by conv_id) has_other
+      from a where last_turn > 0),
 p as (
-  select a.conv_id pair_id, case when a.last_turn > 0 then a.turns[1:a.last_turn] else a.turns end c, a.last_turn last_turn,
-         case when n.last_turn > 0 then n.turns[n.last_turn].text end other, n.last_turn > 0 has_other
-  from a left join a n on n.conv_id = a.conv_id + 1),
+  select a.conv_id pair_id, case when last_turn > 0 then turns[1:last_turn] else turns end c,
+         case when last_turn > 0 then turns[last_turn + 1:] else [] end rest, last_turn, other, coalesce(has_other, false) has_other
+  from a left join o using (conv_id)),
 k as (
   select *, case when last_turn > 0 and not coalesce(has_other and other = c[last_turn].text, false) then last_turn - 1 else len(c) end k from p)
 select pair_id, k::int prompt_turns,
@@ -140,7 +140,8 @@ select pair_id, k::int prompt_turns,
        case when k < len(c) then '14:' || (14 + length(c[last_turn].text) + 7) else '' end chosen_mask,
        case when k < len(c) and has_other then '<|assistant|>' || chr(10) || other || '<|end|>' || chr(10) else '' end rejected,
        case when k < len(c) and has_other then '14:' || (14 + length(other) + 7) else '' end rejected_mask,
-       k < len(c) differs
+       k < len(c) differs, len(rest)::int after_turns,
+       coalesce(list_aggregate(list_transform(rest, lambda x: '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), 'string_agg', ''), '') "after"
 from k"""
 
 ORACLES: dict[str, str] = {

@@ -1,7 +1,8 @@
 """Secret scans weighed by corpus-wide ownership (DataFrame functions only).
 
 Every candidate's value is hashed and counted over the whole corpus by distinct repositories and owners. Values
-that many owners carry are copied examples; values of few owners that look like keys are live credentials.
+that many owners carry, or many repositories of whatever owners, are copied examples; values of few owners in few
+repositories that look like keys are live credentials.
 """
 
 from __future__ import annotations
@@ -33,7 +34,8 @@ KINDS = (
          r"|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 16, False),
     Kind("mixed", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}+", 0, 24, False),
 )
-WIDE_OWNERS = 3      # values of so many owners are copied examples
+WIDE_OWNERS = 3          # values of so many owners are copied examples,
+WIDE_REPOSITORIES = 25   # and so are those in so many repositories, be it of one owner
 LEAST_DISTINCT = 8   # different characters of a live-looking value
 PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|your|xxxx|\*\*\*\*|(.)\1{5}"
 MASK = "[SECRET]"
@@ -98,8 +100,9 @@ def ownership(candidates: DataFrame) -> DataFrame:
 def _judged(candidates: DataFrame) -> DataFrame:
     held = stage(candidates, "secret-candidates")
     wide = stage(ownership(held), "secret-owners")
-    live = F.col("live_looking") & (F.col("n_owners") < WIDE_OWNERS)
-    return held.join(wide, "value_hash").withColumn("live", live)
+    counted = held.join(wide, "value_hash").withColumn(
+        "copied", (F.col("n_owners") >= WIDE_OWNERS) | (F.col("n_repositories") >= WIDE_REPOSITORIES))
+    return counted.withColumn("live", F.col("live_looking") & ~F.col("copied"))
 
 
 def _is_base(kind: Column) -> Column:
@@ -122,7 +125,8 @@ def scan(
     """Spans of secrets in every whole text, with the corpus's verdict on them.
 
     Returns doc_id, n_assign, n_access, n_hex, base_sha256, spans (base and added ones), n_live and n_example
-    (candidates judged live, or copied by WIDE_OWNERS owners), one row per input row. Null and empty texts have no
+    (spans judged live; and those whose value WIDE_OWNERS owners or WIDE_REPOSITORIES repositories hold), n_owners and n_repositories
+    (of the most widely held value among the spans), one row per input row. Null and empty texts have no
     spans. A null owner or repository counts as one of its own. Repeated rows share owner and
     repository, so they don't make a value look copied. An empty table gives no rows.
     """
@@ -138,7 +142,8 @@ def scan(
     per_row = judged.groupBy("row").agg(
         F.sort_array(F.collect_list(F.struct("begin", "kind", "end"))).alias("all"),
         F.sum(F.col("live").cast("long")).alias("live"),
-        F.sum((F.col("n_owners") >= WIDE_OWNERS).cast("long")).alias("wide"),
+        F.sum(F.col("copied").cast("long")).alias("wide"),
+        F.max("n_owners").alias("owners"), F.max("n_repositories").alias("repositories"),
     )
     spans = F.coalesce("all", F.array().cast("array<struct<begin:bigint,kind:int,end:bigint>>"))
     joined = found.select("row", "doc_id").join(per_row, "row", "left").withColumn("all", spans)
@@ -149,6 +154,7 @@ def scan(
     return joined.select(
         "doc_id", *counts, F.sha2(_shown(base), 256).alias("base_sha256"), _shown(F.col("all")).alias("spans"),
         F.coalesce("live", F.lit(0)).alias("n_live"), F.coalesce("wide", F.lit(0)).alias("n_example"),
+        F.coalesce("owners", F.lit(0)).alias("n_owners"), F.coalesce("repositories", F.lit(0)).alias("n_repositories"),
     )
 
 
