@@ -122,7 +122,7 @@ def test_phrases_of_awkward_and_empty_tables(spark):
 
 def test_scores_pass_64_bits(spark):
     big = 5_000_000_000_000_000
-    row = spark.createDataFrame([(big, big, 2 * big)], "a long, left_a long, right_a long").select(C._best_cut(2).alias("c")).first().c
+    row = spark.createDataFrame([(big, big, 2 * big)], "a long, left_a long, right_a long").select(C._cut(1, "left_a", "right_a").alias("c")).first().c
     assert (row.score, row.k) == (2_000_000 * big // (3 * big), 1)
 
 
