@@ -16,7 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wardspark.llm.common import packed
+from wardspark.llm.common import Sieve, packed
 from wardspark.llm.components import components
 from wardspark.session import ship_package, stage
 
@@ -27,6 +27,7 @@ DEPTH = 10
 RECALL = 0.999
 CELL = 512        # members of a group that are compared in one block; larger groups are a grid of blocks
 PACK = 1500       # members of small groups handled together
+PACK_BYTES = 24 << 20  # and their bytes of text; also those of a block's members
 _CHUNK = 1 << 15  # shingles whose hashes are computed at once
 _RARE = 6         # shingles of up to so many texts of a block are counted pair by pair
 _COLUMNS = 4096   # shingles in one product of matrices
@@ -81,8 +82,8 @@ class Forest:
 
 
 def _keys(docs: DataFrame, depth: int) -> DataFrame:
-    """doc_id, text hash and the trie nodes (array of longs, empty for texts without words) of every row."""
-    source = docs.select("text", "doc_id", F.md5("text").alias("hash"))
+    """doc_id, text hash, bytes and the trie nodes (array of longs, empty for texts without words) of every row."""
+    source = docs.select("text", "doc_id", F.md5("text").alias("hash"), F.octet_length("text").cast("long").alias("bytes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = Forest(TREES, depth)
@@ -92,10 +93,11 @@ def _keys(docs: DataFrame, depth: int) -> DataFrame:
                 runs = shingles(text.as_py() or "")
                 nodes.append(forest.nodes(runs).view(np.int64) if len(runs) else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), pa.array(nodes, pa.list_(pa.int64()))], names=["doc_id", "hash", "nodes"]
+                [batch.column(1), batch.column(2), batch.column(3), pa.array(nodes, pa.list_(pa.int64()))],
+                names=["doc_id", "hash", "bytes", "nodes"],
             )
 
-    return source.mapInArrow(run, "doc_id bigint, hash string, nodes array<bigint>")
+    return source.mapInArrow(run, "doc_id bigint, hash string, bytes bigint, nodes array<bigint>")
 
 
 def _shared(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -178,7 +180,8 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = stage(_keys(docs, depth), "jaccard-rows")
     texts = stage(
         rows.where("hash is not null").groupBy("hash").agg(
-            F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("nodes").alias("nodes")
+            F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("bytes").alias("bytes"),
+            F.first("nodes").alias("nodes"),
         ),
         "jaccard-texts",
     )
@@ -192,16 +195,14 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "jaccard-star",
     )
     groups = components(star)
-    sizes = groups.groupBy("root").agg(F.count("*").alias("size"))
-    members = stage(
-        groups.join(stage(sizes, "jaccard-sizes"), "root").join(
-            texts.drop("nodes").withColumnRenamed("hash", "vertex"), "vertex"
-        ),
-        "jaccard-members",
+    held = groups.join(texts.drop("nodes").withColumnRenamed("hash", "vertex"), "vertex")
+    sizes = groups.join(texts.select(F.col("hash").alias("vertex"), "bytes"), "vertex").groupBy("root").agg(
+        F.count("*").alias("size"), F.sum("bytes").alias("group_bytes")
     )
-    total = members.count()
+    members = stage(held.join(stage(sizes, "jaccard-sizes"), "root"), "jaccard-members")
+    total, weight = members.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     # Blocks: small groups are one block; a larger one is cut into parts, and each two parts are one block.
-    parts = F.ceil(F.col("size") / CELL).cast("int")
+    parts = F.greatest(F.ceil(F.col("size") / CELL), F.ceil(F.col("group_bytes") / PACK_BYTES)).cast("int")
     part = F.pmod(F.xxhash64("vertex"), parts).cast("int")
     grid = F.when(parts <= 1, F.array(F.struct(F.lit(0).alias("low"), F.lit(0).alias("high")))).otherwise(
         F.transform(
@@ -212,12 +213,14 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     wanted = members.select(
         "vertex", "first_id", "copies", "root", (parts > 1).alias("grid"), part.alias("side"), grid.alias("cells")
     )
-    held = docs.select("doc_id", "text").withColumn("vertex", F.md5("text"))
-    with_text = held.join(
+    # Only texts of members take part in the join by which they meet their group.
+    rows_of = docs.select("doc_id", "text").withColumn("vertex", F.md5("text"))
+    rows_of = Sieve(wanted, "vertex", "jaccard-members").mark(rows_of, F.col("vertex")).where("_maybe").drop("_maybe")
+    with_text = rows_of.join(
         wanted.withColumnRenamed("vertex", "_vertex"),
         (F.col("vertex") == F.col("_vertex")) & F.col("doc_id").eqNullSafe(F.col("first_id")),
     )
-    packs = max(1, -(-total // PACK))
+    packs = max(1, -(-total // PACK), -(-weight // PACK_BYTES))
     cells = with_text.select(
         F.col("vertex").alias("hash"), "text", "copies", "root", "grid", "side", F.explode("cells").alias("cell")
     ).select(
@@ -266,11 +269,17 @@ def distinct_documents(docs: DataFrame) -> DataFrame:
     """
     _, texts = classes(docs)
     first = F.min(F.struct(F.col("first_id").isNull().alias("none"), "first_id", "hash")).alias("first")
-    kept = stage(texts.groupBy("root").agg(first).select("first.first_id", F.col("first.hash").alias("_hash")), "jaccard-kept")
-    keyed = docs.where("text is not null").select(
-        packed(docs), F.col("doc_id").alias("_id"), F.md5("text").alias("_text_hash")
+    several = texts.groupBy("root").agg(first, F.sum("copies").alias("rows")).where("rows > 1")
+    # Of these texts one row stays per class; all other rows are alone and stay as they are.
+    judged = stage(
+        texts.join(stage(several, "jaccard-several"), "root").select(
+            F.col("hash").alias("_hash"), (F.col("hash") == F.col("first.hash")).alias("_leads"), F.col("first.first_id").alias("_first"),
+        ),
+        "jaccard-judged",
     )
-    found = keyed.join(
-        kept, (F.col("_text_hash") == F.col("_hash")) & F.col("_id").eqNullSafe(F.col("first_id"))
-    ).dropDuplicates(["_hash", "first_id"]).select("_row.*")
-    return found.union(docs.where("text is null"))
+    keyed = docs.select(packed(docs), F.col("doc_id").alias("_id"), F.md5("text").alias("_text_hash"))
+    marked = Sieve(judged, "_hash", "jaccard-judged").mark(keyed, F.col("_text_hash"))
+    met = marked.where("_maybe").join(judged, F.col("_text_hash") == F.col("_hash"), "left")
+    alone = marked.where("not _maybe").select("_row").union(met.where("_hash is null").select("_row"))
+    kept = met.where(F.col("_leads") & F.col("_id").eqNullSafe(F.col("_first"))).dropDuplicates(["_hash"])
+    return alone.union(kept.select("_row")).select("_row.*")
