@@ -22,7 +22,8 @@ HEADLINE = (
     "constraint_violations", "fk_orphans", "upsert_patients", "upsert_studies",
     "delete_patients_cascade", "studies_clean", "stratified_split", "feature_index",
     "metrics_by_split", "tfidf_top_terms", "log_parse", "debounce_paths",
-    "object_store", "dashboard_payload", "stratified_split_80_10_10", "patient_reports",
+    "object_store", "dashboard_payload", "stratified_split_80_10_10", "patient_reports", "batch_scoring",
+    "upsert_stored_studies", "delete_stored_cascade", "fk_exists_stored", "ingest_report_on_write",
 )
 
 

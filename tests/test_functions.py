@@ -1,7 +1,10 @@
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from wardspark.functions import clean, clinical, content, ids, paths
 from wardspark.operators.logs import parse_logs
+from wardspark.plans.runs import new_run_id
 
 
 def one(spark, column, **values):
@@ -100,3 +103,9 @@ def test_probabilities_and_names(spark):
     assert one(spark, clinical.diagnosis_name(F.lit("otra_cosa"))) == "otra cosa"
     assert one(spark, clinical.iso_text(F.lit("2026-01-02 03:04:05.000600").cast("timestamp_ntz"))) == "2026-01-02T03:04:05.000600"
     assert one(spark, clinical.iso_text(F.lit("2026-01-02 03:04:05").cast("timestamp_ntz"))) == "2026-01-02T03:04:05"
+
+
+def test_run_ids_of_driver_and_columns_agree(spark):
+    at = dt.datetime(2026, 3, 4, 5, 6, 7)
+    row = spark.createDataFrame([(at, "IMG")], "at timestamp_ntz, kind string").select(ids.run_id(F.col("at"), F.col("kind"))).first()
+    assert row[0] == new_run_id("IMG", at) == "RUN-20260304-050607-IMG"

@@ -165,7 +165,7 @@ class Domain:
         )
 
     def uploads(self) -> DataFrame:
-        """Pages as uploaded files: name and first bytes follow the form of the address."""
+        """Pages as uploaded files: name and first bytes follow the form of the address; the sides are made up from it."""
         kinds = self.raw("pages").selectExpr(
             "*",
             "case when url like '%.html' then '.JPEG' when url like '%#top' then '.png' "
@@ -178,8 +178,8 @@ class Domain:
             "cast(page_id as string), ext) end path",
             "concat(case when h % 5 = 0 then unhex('') when ext = '.png' "
             "then unhex('89504E470D0A1A0A') else unhex('FFD8FF') end, encode(html, 'UTF-8')) content",
-            "cast(h % 300 as int) width",
-            "cast(h % 200 as int) + 30 height",
+            "cast(h % 300 as int) made_up_width",
+            "cast(h % 200 as int) + 30 made_up_height",
             "concat('PAT-', lpad(cast(page_id as string), 12, '0')) patient_id",
         )
 

@@ -8,6 +8,7 @@ from wardspark.catalog.domain import Domain
 from wardspark.catalog.registry import register
 from wardspark.functions import clean, content as fc, ids, paths
 from wardspark.operators import features, quality, studies as st, validate
+from wardspark.plans.ingest import first_accepted
 from wardspark.schemas import RUN_EVENTS_CSV, STUDIES_CSV
 from wardspark.session import scratch_path, stage
 from wardspark.sources import files, sinks
@@ -282,7 +283,7 @@ select page_id, filename, ext,
             when ext not in ('.jpg', '.jpeg', '.png') then 'bad_extension' when size = 0 then 'empty'
             when size > 10485760 then 'too_large'
             when hex(content[1:3]) <> 'FFD8FF' and hex(content[1:8]) <> '89504E470D0A1A0A' then 'bad_format'
-            when width < 64 or height < 64 then 'too_small' else 'ok' end outcome,
+            when made_up_width < 64 or made_up_height < 64 then 'too_small' else 'ok' end outcome,
        'uploads/STU-' || upper(substr(md5(content), 1, 12)) ||
            case when ext = '.png' then '.png' else '.jpg' end object_key
 from (select *, octet_length(content) size,
@@ -291,7 +292,7 @@ from (select *, octet_length(content) size,
 def upload_validate(d: Domain) -> DataFrame:
     named = d.uploads().withColumn("filename", paths.base_name(F.col("path")))
     named = named.withColumn("ext", paths.extension(F.col("filename")))
-    problem = fc.upload_problem(*[F.col(c) for c in ("filename", "ext", "content", "width", "height")])
+    problem = fc.upload_problem(*[F.col(c) for c in ("filename", "ext", "content", "made_up_width", "made_up_height")])
     study = ids.study_id_from_content(F.col("content"))
     return named.select(
         "page_id", "filename", "ext", F.coalesce(problem, F.lit("ok")).alias("outcome"),
@@ -542,3 +543,17 @@ def object_store(d: Domain) -> DataFrame:
     return d.spark.read.parquet(path).select(
         "object_key", F.octet_length("content").cast("bigint").alias("size_bytes")
     )
+
+
+OBJECTS_FIRST = 50  # cap of a store run
+
+
+@register("object_store_first", tables="classified", sql=f"""
+select 'raw/' || content_hash || '.jpg' object_key, file_size::bigint size_bytes
+from classified where reject_reason is null order by file_path limit {OBJECTS_FIRST}""")
+def object_store_first(d: Domain) -> DataFrame:
+    """A store run with a cap: the contents of the first accepted files by path."""
+    path = scratch_path(d.spark, "objects")
+    keyed = validate.accepted(_classified(d)).select("file_path", "object_key")
+    sinks.store_objects(first_accepted(keyed, OBJECTS_FIRST), path, d.manifest().select("file_path", "content"), "file_path")
+    return d.spark.read.parquet(path).select("object_key", F.octet_length("content").cast("bigint").alias("size_bytes"))

@@ -11,6 +11,7 @@ from wardspark.catalog.registry import register
 from wardspark.functions import clinical
 from wardspark.functions.clean import age_from_range, usable_symptoms
 from wardspark.operators import evaluation as ev, features, images, summary, symptoms, text, validate
+from wardspark.plans import feature_build
 from wardspark.schemas import MODEL_LABELS
 from wardspark.session import checkpoint_root, scratch_path, stage
 from wardspark.sources import files, sinks
@@ -116,9 +117,21 @@ def feature_index(d: Domain) -> DataFrame:
     return features.feature_index(features.augmentation_plan(split))
 
 
-@register("feature_counts", tables="studies", sql=f"""
+_FEATURE_COUNTS = f"""
 with {_STUDY_IMAGES}, {_SPLIT}, {_INDEX}
-select ml_split split, "label", a augment_type, count(*)::bigint samples from index_rows group by all""")
+select ml_split split, "label", a augment_type, count(*)::bigint samples from index_rows group by all"""
+
+
+@register("feature_job", tables="studies", sql=_FEATURE_COUNTS)
+def feature_job(d: Domain) -> DataFrame:
+    """The counts that the feature build reports of the index it has stored, from a stored manifest."""
+    folder = scratch_path(d.spark, "feature-job")
+    sinks.write_table(_study_images(d), f"{folder}/manifest/validated")
+    counts = feature_build.run(d.spark, "/srv/data", f"{folder}/manifest", f"{folder}/out")
+    return counts.select("split", "label", "augment_type", "samples")
+
+
+@register("feature_counts", tables="studies", sql=_FEATURE_COUNTS)
 def feature_counts(d: Domain) -> DataFrame:
     split = features.stratified_split(_study_images(d))
     return features.feature_counts(features.feature_index(features.augmentation_plan(split)))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wardspark.catalog.domain import Domain
 from wardspark.catalog.registry import ORACLES, register
+from wardspark.functions import ids
 from wardspark.functions.logs import is_blank
 from wardspark.functions.paths import key_value_part
 from wardspark.operators import arrivals as arr, logs as log_ops, lookup, quality, summary
@@ -39,6 +40,13 @@ def run_status(d: Domain) -> DataFrame:
     return _runs(d)
 
 
+@register("run_ids", sql="""
+select event_id, 'RUN-' || strftime(ts, '%Y%m%d-%H%M%S') || '-' || upper(event_type) run_id from events""")
+def run_ids(d: Domain) -> DataFrame:
+    """Names of runs that start with the events."""
+    return d.raw("events").select("event_id", ids.run_id(F.col("ts"), F.upper("event_type")).alias("run_id"))
+
+
 @register("run_status_counts", tables="run_events", sql=f"""
 with {_RUNS}
 select count(*) filter (where status = 'ok')::bigint ok,

@@ -118,7 +118,7 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
                              else 'C:\\scans/' || 'img' || page_id || ext end path,
                (case when h % 5 = 0 then unhex('') when ext = '.png' then unhex('89504E470D0A1A0A')
                      else unhex('FFD8FF') end) || encode(html) content,
-               cast(h % 300 as int) width, cast(h % 200 as int) + 30 height,
+               cast(h % 300 as int) made_up_width, cast(h % 200 as int) + 30 made_up_height,
                {PID.format('page_id')} patient_id
         from (select *, case when url like '%.html' then '.JPEG' when url like '%#top' then '.png'
                              when url like '%/' then '.gif' when url like '%=%' then '.jpg'

@@ -51,3 +51,8 @@ def upload_object_key(study_id: Column, extension: Column, prefix: str = "upload
     """``uploads/<study><ext>``; ``.jpeg`` and unknown extensions are stored as ``.jpg``."""
     ext = F.when(extension == ".png", F.lit(".png")).otherwise(F.lit(".jpg"))
     return F.concat(F.lit(prefix + "/"), study_id, ext)
+
+
+def run_id(at: Column, kind: Column) -> Column:
+    """Name of a run by its start, to the second, and its kind."""
+    return F.concat(F.lit("RUN-"), F.date_format(at, "yyyyMMdd-HHmmss"), F.lit("-"), kind)

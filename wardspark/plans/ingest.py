@@ -42,10 +42,14 @@ def load_facts(spark: SparkSession, root: str, manifest: str | None, data_root:
     )
 
 
+def first_accepted(accepted: DataFrame, limit: int = 0) -> DataFrame:
+    """The first ``limit`` accepted files by path, all of them for 0."""
+    return accepted.orderBy("file_path").limit(limit) if limit > 0 else accepted
+
+
 def store_accepted(spark: SparkSession, root: str, accepted: DataFrame, path: str, limit: int = 0) -> None:
     """Store the contents of accepted files under their keys; ``limit`` 0 stores all."""
-    if limit > 0:
-        accepted = accepted.orderBy("file_path").limit(limit)
+    accepted = first_accepted(accepted, limit)
     contents = files.list_images(spark, root, glob="*", content=True).select("fs_path", "content")
     keyed = accepted.select("fs_path", "object_key")
     sinks.store_objects(files.attach_files(keyed, contents), path)

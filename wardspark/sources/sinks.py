@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wardspark.operators.sieve import Sieve
+from wardspark.session import stage
 from wardspark.sources.files import exists
 
 
@@ -34,9 +36,9 @@ def write_report(report: DataFrame, path: str) -> None:
 
 
 def append_log(df: DataFrame, path: str, time: str = "event_time") -> None:
-    """Append log documents, partitioned by service and day so that queries prune."""
+    """Append log documents, partitioned by service and day so that queries prune; a day gets few files."""
     dated = df.withColumn("day", F.to_date(F.coalesce(F.col(time), F.col("ingested_at"))))
-    dated.write.mode("append").partitionBy("service", "day").parquet(path)
+    write_table(dated, path, ("service", "day"), mode="append")
 
 
 def append_events(events: DataFrame, path: str) -> None:
@@ -49,7 +51,8 @@ def store_objects(files: DataFrame, path: str, contents: DataFrame | None = None
     """Content-addressed objects: only keys not stored yet are added.
 
     ``files`` holds object_key and content, or object_key and the unique ``on`` that finds it in ``contents``.
-    Stored keys are left out before contents are read, so contents meet the wanted keys in one join.
+    Stored keys are left out before contents are read, so contents meet the wanted keys in one join; a bitmap of
+    the wanted ones goes before it, so that the other contents are not moved.
     """
     spark = files.sparkSession
     wanted = files
@@ -57,7 +60,9 @@ def store_objects(files: DataFrame, path: str, contents: DataFrame | None = None
         stored = spark.read.parquet(path).select("object_key")
         wanted = wanted.join(stored, "object_key", "left_anti")
     if contents is not None:
-        wanted = contents.join(wanted.select(on, "object_key"), on)
+        wanted = stage(wanted.select(on, "object_key"), "wanted-objects")
+        near = Sieve(wanted, on, "wanted-objects").mark(contents, F.col(on)).where("_maybe").drop("_maybe")
+        wanted = near.join(wanted, on)
     wanted = wanted.where(F.col("content").isNotNull()).select("object_key", "content")
     wanted.write.mode("append").parquet(path)
 
