@@ -272,3 +272,35 @@ def test_pairs_hold_every_turn_and_the_next_answer_there_is(spark):
     assert preference.against_next_answer(table.limit(0)).count() == 0
     twice = {r.pair_id: r for r in preference.against_next_answer(table.unionAll(table)).collect()}
     assert twice[7].prompt == "<|user|>\nq<|end|>\n" * 2 + "<|assistant|>\nb<|end|>\n"  # repeated turns stay
+
+
+def test_best_run_is_the_best_of_all_runs():
+    draw = np.random.default_rng(8)
+    for n in (1, 5, 30):
+        for _ in range(40):
+            scores = draw.integers(-5, 6, n).astype(float).tolist()
+            first, last = main_text.best_run(scores)
+            sums = {(i, j): sum(scores[i:j + 1]) for i in range(n) for j in range(i, n)}
+            most = max(sums.values())
+            assert (first, last) == (0, -1) if most <= 0 else sums[first, last] == most
+
+
+@pytest.mark.parametrize("tag,expected", [
+    ('<p title="5" tall">', "kept words here"), ("<p title='5' tall'>", "kept words here"), ('<p class=a"b>', "kept words here"),
+    ('<p data-x="a > b">', "kept words here"), ("<p title='open>", "kept words here"),
+])
+def test_markup_never_becomes_text(tag, expected):
+    page = f"<body><article>{tag}kept words here</p></article><script>if (a<b && c==\"x\") d=1;</script></body>"
+    assert main_text.extract(page, main_text.Weights({}, {})) == expected
+
+
+def test_long_pages_take_time_in_proportion():
+    import time
+
+    weights = main_text.Weights({}, {})
+    many = 100_000
+    for page in ("<div>" * many + "end", "<div class='sidebar'>" * many + "end", '<div title="5" tall">w ' * many, "<p>a</b>" * many,
+                 "<" * many, "<a b='" * many, "<!--" * many):
+        start = time.perf_counter()
+        main_text.extract(page, weights)
+        assert time.perf_counter() - start < 20

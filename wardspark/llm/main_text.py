@@ -52,7 +52,8 @@ COMMENT = re.compile(r"(?:^|[_-])(?:comments?|disqus|replies|reply|respond)(?:$|
 IMPLIED = {"p": frozenset(("p",)), "li": frozenset(("li", "p")), "dt": frozenset(("dt", "dd", "p")), "dd": frozenset(("dt", "dd", "p")),
            "tr": frozenset(("tr", "td", "th", "p")), "td": frozenset(("td", "th", "p")), "th": frozenset(("td", "th", "p")),
            "option": frozenset(("option",))}
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r">|=\s*([\"'])")
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
@@ -68,12 +69,13 @@ class Piece(NamedTuple):
 
 
 class Hinted:
-    """An open or closed element whose names sound like boilerplate, with the words it holds."""
+    """An element whose names sound like boilerplate, with the words it holds; ``outer``: names that none around it has."""
 
-    def __init__(self, names: frozenset[str], inside_main: bool):
+    def __init__(self, names: frozenset[str], inside_main: bool, parent: Hinted | None, outer: frozenset[str]):
         found = {w for n in names for w in re.split("[_-]+", n) if HINT.search(w)}
         self.names, self.placed = names, inside_main and "<form>" not in names and found <= PLACE
-        self.words, self.linked = 0, 0
+        self.parent, self.outer = parent, outer
+        self.words, self.linked, self.marked, self.bad = 0, 0, 0, False
 
 
 def _boilerplate(name: str, attributes: str, inside_main: bool) -> bool | frozenset[str]:
@@ -103,109 +105,185 @@ def _boilerplate(name: str, attributes: str, inside_main: bool) -> bool | frozen
     return own
 
 
-def _spared(out: list[Piece], around: list[tuple[Hinted, ...]], hinted: list[Hinted]) -> set[int]:
-    """The hinted elements that are no boilerplate, by id().
+def _judge(out: list[Piece], around: list[Hinted | None], hinted: list[Hinted]) -> None:
+    """Mark the hinted elements that are boilerplate, or lie in one that is.
 
     A name is no hint on a page where its elements hold most of the words, or half of the words of article and
     main elements; an element is spared if one of its names is. Where an article lies elsewhere, words count only if they
     are ten times as many as the article's, and comments not at all. Inside an article, an element named after a place or a look is spared unless most of its words are links.
     """
-    words: Counter = Counter()
-    marked: Counter = Counter()
     everything = inside = 0
-    for piece, held in zip(out, around):
+    for piece, element in zip(out, around):
         if not piece.context:
             continue
         n = len(piece.text.split())
         everything += n
         inside += n if piece.main else 0
-        for element in held:
+        if element:
             element.words += n
             element.linked += n if piece.context == "a" else 0
-        for name in {x for element in held for x in element.names}:
-            words[name] += n
-            marked[name] += n if piece.main else 0
+            element.marked += n if piece.main else 0
+    words: Counter = Counter()
+    marked: Counter = Counter()
+    for element in reversed(hinted):  # inner elements come after those around them
+        if element.parent:
+            element.parent.words += element.words
+            element.parent.linked += element.linked
+            element.parent.marked += element.marked
+        for name in element.outer:
+            words[name] += element.words
+            marked[name] += element.marked
     good = {
         x for x in words
         if inside and 2 * marked[x] >= inside or 2 * words[x] > everything and (not inside or words[x] > 10 * inside and not COMMENT.search(x))
     }
-    return {id(e) for e in hinted if e.names & good or e.placed and 2 * e.linked < e.words}
+    for element in hinted:
+        spared = element.names & good or element.placed and 2 * element.linked < element.words
+        element.bad = not spared or element.parent is not None and element.parent.bad
+
+
+class Token(NamedTuple):
+    """A tag, or (without a name) a comment or declaration; ``ended`` is false where the page breaks off in it."""
+
+    start: int
+    end: int
+    closing: bool
+    name: str
+    attributes: str
+    ended: bool
+
+
+class Reader:
+    """The tags of a page one after another, each character looked at a bounded number of times.
+
+    A quote opens a value only after an equals sign, and only where it is closed again; any other quote is a character like
+    others. So a tag with a stray quote ends at its ``>``.
+    """
+
+    def __init__(self, html: str):
+        self.html, self.at = html, 0
+        self.last = {q: html.rfind(q) for q in "\"'"}
+
+    def next(self, raw: str) -> Token | None:
+        """The next token; within the raw text of an element (``raw``) its end tag and nothing else."""
+        html = self.html
+        if raw:
+            found = re.compile(f"</{re.escape(raw)}(?=[\\s/>]|$)", re.I).search(html, self.at)
+            if not found:
+                return None
+            return self._tag(_TAG.match(html, found.start()))
+        while (start := html.find("<", self.at)) >= 0:
+            for opening, closing in (("<!--", "-->"), ("<![CDATA[", "]]>"), ("<!", ">"), ("<?", ">")):
+                if html.startswith(opening, start):
+                    end = html.find(closing, start + len(opening))
+                    self.at = len(html) if end < 0 else end + len(closing)
+                    return Token(start, self.at, False, "", "", True)
+            if found := _TAG.match(html, start):
+                return self._tag(found)
+            self.at = start + 1
+        return None
+
+    def _tag(self, found: re.Match) -> Token:
+        html, at = self.html, found.end()
+        while stop := _STOP.search(html, at):
+            at = stop.end()
+            if not stop[1]:
+                self.at = at
+                return Token(found.start(), at, bool(found[1]), found[2].lower(), html[found.end():at - 1], True)
+            if at <= self.last[stop[1]]:
+                at = html.index(stop[1], at) + 1
+        self.at = len(html)
+        return Token(found.start(), self.at, bool(found[1]), found[2].lower(), "", False)
 
 
 def pieces(html: str) -> list[Piece]:
-    """The page's tags and texts in order, without what boilerplate elements hold; hinted ones are marked."""
+    """The page's tags and texts in order, without what boilerplate elements hold; hinted ones are marked.
+
+    The work is in proportion to the page, however deep its elements are nested and wherever it breaks off.
+    """
     out: list[Piece] = []
-    around: list[tuple[Hinted, ...]] = []  # hinted elements around each piece
+    around: list[Hinted | None] = []   # innermost hinted element around each piece
     hinted: list[Hinted] = []
-    hints: tuple[Hinted, ...] = ()
-    open_: list[tuple[str, int, tuple[Hinted, ...]]] = []  # name, article number and hinted elements around it
+    hint: Hinted | None = None
+    open_: list[tuple[str, int, Hinted | None]] = []  # name, article number and hinted element around it
+    names: Counter = Counter()         # open elements by name
+    blocks: list[str] = []             # open blocks
+    sounding: Counter = Counter()      # names of open hinted elements
     dropped = 0                        # depth of open elements inside a boilerplate element, 0 outside
     block, mains, main, at, raw = 0, 0, 0, 0, ""
+    reader = Reader(html)
 
     def add(piece: Piece) -> None:
         out.append(piece)
-        around.append(hints)
+        around.append(hint)
 
     def text(until: int) -> None:
         if not dropped and until > at and not raw:
             run = html[at:until]
             if run.strip():
-                context = "a" if any(n == "a" for n, *_ in open_) else next((n for n, *_ in reversed(open_) if n in BLOCK), "body")
+                context = "a" if names["a"] else blocks[-1] if blocks else "body"
                 add(Piece("", entities.unescape(run), block, main, context))
             elif run:
                 add(Piece("", " ", block, main, ""))
 
-    for token in _TOKEN.finditer(html):
-        name = (token[2] or "").lower()
-        if raw and not (token[1] and name == raw):
-            continue
-        text(token.start())
-        if raw:
-            raw = ""
-        at = token.end()
+    def close() -> str:
+        nonlocal main, hint, dropped
+        name, main, before = open_.pop()
+        names[name] -= 1
+        if name in BLOCK:
+            blocks.pop()
+        if hint is not before:
+            sounding.subtract(hint.names)
+        hint = before
+        dropped = max(0, dropped - 1)
+        return name
+
+    while token := reader.next(raw):
+        text(token.start)
+        raw = ""
+        at = token.end
+        name = token.name
         if not name:
             continue
-        unfinished = not token[0].endswith(">")
-        if unfinished:
+        if not token.ended:
             at = len(html)
             break
-        if not token[1]:
+        if not token.closing:
             ended = IMPLIED.get(name)
             while ended and open_ and open_[-1][0] in ended:
-                _, main, hints = open_.pop()
-                dropped = max(0, dropped - 1)
+                close()
             if name in BLOCK and open_ and open_[-1][0] == "p":
-                _, main, hints = open_.pop()
-                dropped = max(0, dropped - 1)
+                close()
             if name in BLOCK:
                 block += 1
-            judged = not dropped and _boilerplate(name, token[3], main > 0)
+            judged = not dropped and _boilerplate(name, token.attributes, main > 0)
             unwanted = judged is True
             if not dropped and not unwanted:
                 add(Piece(name, " " if name == "br" else "", block, main, ""))
-            if name in VOID or token[3].rstrip().endswith("/") and name not in BLOCK:
+            if name in VOID or token.attributes.rstrip().endswith("/") and name not in BLOCK:
                 continue
-            open_.append((name, main, hints))
+            open_.append((name, main, hint))
+            names[name] += 1
+            if name in BLOCK:
+                blocks.append(name)
             if dropped:
                 dropped += 1
             elif unwanted:
                 dropped = 1
             else:
                 if judged:
-                    hinted.append(Hinted(judged, main > 0))
-                    hints = (*hints, hinted[-1])
+                    hint = Hinted(judged, main > 0, hint, frozenset(n for n in judged if sounding[n] <= 0))
+                    hinted.append(hint)
+                    sounding.update(judged)
                 if name in MAIN:
                     mains += 1
                     main = mains
             if name in RAW:
                 raw = name
-        elif any(n == name for n, *_ in open_):
+        elif names[name] > 0:
             hidden = dropped > 0
-            while open_:
-                last, main, hints = open_.pop()
-                dropped = max(0, dropped - 1)
-                if last == name:
-                    break
+            while close() != name:
+                pass
             if name in BLOCK:
                 block += 1
             if not dropped and not hidden:
@@ -213,8 +291,8 @@ def pieces(html: str) -> list[Piece]:
     text(len(html))
     if not hinted:
         return out
-    spared = _spared(out, around, hinted)
-    return [p._replace(hinted=True) if any(id(e) not in spared for e in held) else p for p, held in zip(out, around)]
+    _judge(out, around, hinted)
+    return [p._replace(hinted=True) if e and e.bad else p for p, e in zip(out, around)]
 
 
 class Weights(NamedTuple):
