@@ -304,3 +304,61 @@ def test_long_pages_take_time_in_proportion():
         start = time.perf_counter()
         main_text.extract(page, weights)
         assert time.perf_counter() - start < 20
+
+
+def clustered(n, width=32, spread=0.5):
+    rng = np.random.default_rng(11)
+    centres = rng.standard_normal((12, width))
+    return centres[rng.integers(0, 12, n)] + spread * rng.standard_normal((n, width))
+
+
+def test_search_stops_early_and_finds_the_neighbours(spark, monkeypatch):
+    x = clustered(6000)
+    projection = neighbours.Projection(32, float((x * x).sum(axis=1).max()))
+    index = neighbours.Index(np.arange(6000), x, projection)
+    hits, asked = 0, range(0, 6000, 100)
+    for q in asked:
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        hits += len(set(np.argsort(-scores)[:20].tolist()) & set(index.search(q, x[q], 20)[0].tolist()))
+    assert hits >= 0.9 * 20 * len(asked)
+    assert index.verified < 0.6 * 6000 * len(asked)  # the stop fires
+
+
+def test_batches_come_in_projected_order_and_hold_every_row():
+    x = clustered(3000)
+    projection = neighbours.Projection(32, float((x * x).sum(axis=1).max()))
+    index = neighbours.Index(np.arange(3000), x, projection)
+    point = projection.queries(x[7:8])[0]
+    away = ((index.points - point) ** 2).sum(axis=1)
+    batches = list(index.neighbours(point))
+    order = np.concatenate([rows for _, rows in batches])
+    assert sorted(order.tolist()) == list(range(3000)) and (np.diff(away[order]) >= -1e-9).all()
+    assert all(abs(away[rows].min() - first) < 1e-9 for first, rows in batches)
+
+
+@pytest.mark.parametrize("block,query_block", [(200, 16), (1500, 1000)])
+def test_neighbours_over_several_cells(spark, monkeypatch, block, query_block):
+    monkeypatch.setattr(neighbours, "BLOCK", block)
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", query_block)
+    monkeypatch.setattr(neighbours, "LEAF", 16)
+    x = clustered(2400, 16)
+    x[500:1300] = x[500] + 1e-3 * np.random.default_rng(3).standard_normal((800, 16))  # a third of the rows in one cell
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in neighbours.nearest(table).collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    assert sorted(got) == list(range(0, 2400, 20))
+    hits = 0
+    for q, found in got.items():
+        scores = (x * x[q]).sum(axis=1)
+        best = [i for i in np.lexsort((np.arange(2400), -scores)).tolist() if i != q][:20]
+        assert [r for r, _, _ in sorted(found)] == list(range(1, 21)) and len({i for _, i, _ in found}) == 20
+        assert all(abs(scores[i] - s) < 1e-9 for _, i, s in found)
+        hits += len(set(best) & {i for _, i, _ in found})
+    assert hits >= 0.9 * 20 * len(got)
+
+
+def test_chi_square_quantiles():
+    for p, m, value in ((0.95, 8, 15.507), (0.9, 16, 23.542), (0.5, 4, 3.357)):
+        assert abs(neighbours.chi_square_quantile(p, m) - value) < 0.02 * value

@@ -2,14 +2,17 @@
 
 Vectors get one more component that makes all norms equal, so the largest inner product is the least distance.
 A few Gaussian projections then estimate distances: a projected squared distance over the true one is
-chi-square distributed. Per block of vectors a kd-tree over the projections yields leaves in the order of
-their projected distance; their vectors are verified exactly, until a vector as near as the worst of the best
-found would be that far away in projection only with a small probability.
+chi-square distributed. The projected space is cut into cells by a kd-tree; each cell is an index of its own whose
+kd-tree yields its vectors one after another in the order of their projected distance. They are verified exactly, until
+a vector as near as the worst of the best found would be that far away in projection only with a small
+probability. A query visits the cell it lies in first, and then, with the distance reached there, only cells that
+the same test leaves open.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -17,12 +20,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wardspark.session import ship_package, stage
 
-PROJECTIONS = 8
-CONFIDENCE = 0.95     # probability with which a true neighbour isn't passed over
-LEAF = 256            # vectors in a leaf of the kd-tree
-STEP = 4              # leaves that are verified between two stopping tests
-BLOCK = 16_384        # vectors in a block, with a kd-tree of their own
-QUERY_BLOCK = 4_096   # queries that meet a block in one task
+PROJECTIONS = 16
+CONFIDENCE = 0.85     # probability with which a neighbour at the distance of the worst found isn't passed over
+LEAF = 64             # vectors in a leaf of a cell's kd-tree
+OPEN = 16             # leaves opened first; then twice as many each time
+BATCH = 32            # vectors verified before the first stopping test; the batches double
+MOST = 512            # up to this
+BLOCK = 16_384        # vectors indexed together; a cell with more is cut by a hash of the id
+CELLS = 4_096         # cells, at most
+SAMPLE = 8_192        # vectors from which the cells' borders are taken, at most; all vectors are indexed
+QUERY_BLOCK = 1_024   # queries that meet a block in one task
 _SEED = 20240911
 
 
@@ -51,45 +58,106 @@ def kd_leaves(points: np.ndarray, leaf: int) -> list[np.ndarray]:
     return leaves
 
 
-class Index:
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, bound: float):
+class Projection:
+    """Vectors, made equal in norm, and queries in PROJECTIONS dimensions."""
+
+    def __init__(self, width: int, bound: float):
         """``bound``: the greatest squared norm of all vectors of the table."""
         self.bound = bound
-        extra = np.sqrt(np.maximum(bound - (vectors * vectors).sum(axis=1), 0))
-        self.directions = np.random.default_rng(_SEED).standard_normal((vectors.shape[1] + 1, PROJECTIONS))
-        points = vectors @ self.directions[:-1] + extra[:, None] * self.directions[-1]
+        self.directions = np.random.default_rng(_SEED).standard_normal((width + 1, PROJECTIONS))
+        self.stop = chi_square_quantile(CONFIDENCE, PROJECTIONS)
+
+    def vectors(self, vectors: np.ndarray) -> np.ndarray:
+        extra = np.sqrt(np.maximum(self.bound - (vectors * vectors).sum(axis=1), 0))
+        return vectors @ self.directions[:-1] + extra[:, None] * self.directions[-1]
+
+    def queries(self, queries: np.ndarray) -> np.ndarray:
+        return queries @ self.directions[:-1]
+
+    def reach(self, norm: float, worst: float) -> float:
+        """Projected squared distance beyond which a score of ``worst`` or more is unlikely; ``norm`` is the query's, squared."""
+        return self.stop * max(norm + self.bound - 2 * worst, 0.0)
+
+
+def box_distance(low: np.ndarray, high: np.ndarray, point: np.ndarray) -> np.ndarray:
+    away = np.maximum(np.maximum(low - point, point - high), 0)
+    return (away * away).sum(axis=1)
+
+
+class Cells:
+    """Borders of a kd-tree over a sample: inner node k has children 2k + 1 and 2k + 2, and the leaves are the cells."""
+
+    def __init__(self, points: np.ndarray, levels: int):
+        self.levels = levels
+        self.axes, self.cuts = np.zeros((1 << levels) - 1, dtype=np.int64), np.zeros((1 << levels) - 1)
+        held = {0: points}
+        for node in range(len(self.axes)):
+            part = held.pop(node)
+            if len(part):
+                self.axes[node] = axis = int(np.argmax(part.max(axis=0) - part.min(axis=0)))
+                self.cuts[node] = np.median(part[:, axis])
+            right = part[:, self.axes[node]] >= self.cuts[node]
+            held[2 * node + 1], held[2 * node + 2] = part[~right], part[right]
+
+    def of(self, points: np.ndarray) -> np.ndarray:
+        node = np.zeros(len(points), dtype=np.int64)
+        for _ in range(self.levels):
+            node = 2 * node + 1 + (points[np.arange(len(points)), self.axes[node]] >= self.cuts[node])
+        return node - ((1 << self.levels) - 1)
+
+
+class Index:
+    """The vectors of one block; ``verified`` counts the exact products that its searches took."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, projection: Projection):
+        self.projection, self.verified = projection, 0
+        points = projection.vectors(vectors)
         leaves = kd_leaves(points, LEAF)
         order = np.concatenate(leaves)
         self.starts = np.concatenate(([0], np.cumsum([len(x) for x in leaves])))
         self.low = np.stack([points[x].min(axis=0) for x in leaves])
         self.high = np.stack([points[x].max(axis=0) for x in leaves])
-        self.ids, self.vectors = ids[order], vectors[order]
-        self.stop = chi_square_quantile(CONFIDENCE, PROJECTIONS)
+        self.ids, self.vectors, self.points = ids[order], vectors[order], points[order]
 
-    def search(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k best found: ids and scores, best first, equal scores by id."""
-        point = query @ self.directions[:-1]
-        away = np.maximum(np.maximum(self.low - point, point - self.high), 0)
-        away = (away * away).sum(axis=1)
+    def neighbours(self, point: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
+        """Batches of rows in the order of their projected squared distance, each with the least of it."""
+        away = box_distance(self.low, self.high, point)
         order = np.argsort(away, kind="stable")
+        held, rows, at, size, leaves = np.empty(0), np.empty(0, dtype=np.int64), 0, BATCH, OPEN
+        while at < len(order) or len(held):
+            edge = away[order[at]] if at < len(order) else np.inf
+            ready = held <= edge
+            if at < len(order) and np.count_nonzero(ready) < size:
+                new = np.concatenate([np.arange(self.starts[k], self.starts[k + 1]) for k in order[at:at + leaves]])
+                gap = self.points[new] - point
+                held, rows = np.concatenate((held, np.einsum("ij,ij->i", gap, gap))), np.concatenate((rows, new))
+                at, leaves = at + leaves, 2 * leaves
+                continue
+            near, near_rows = held[ready], rows[ready]
+            held, rows = held[~ready], rows[~ready]
+            sort = np.argsort(near, kind="stable")
+            first = 0
+            while first < len(sort):
+                part = sort[first:first + size]
+                yield float(near[part[0]]), near_rows[part]
+                first, size = first + size, min(2 * size, MOST)
+
+    def search(self, own: int, query: np.ndarray, k: int, worst: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+        """The k best found: ids and scores, best first, equal scores by id; only those that reach ``worst``."""
         norm = float(query @ query)
-        held, scores, worst = np.empty(0, dtype=np.int64), np.empty(0), -np.inf
-        for at in range(0, len(order), STEP):
-            # A vector at the distance of the worst so far would be nearer than this in projection.
-            if away[order[at]] > self.stop * max(norm + self.bound - 2 * worst, 0.0):
+        held, scores = np.empty(0, dtype=np.int64), np.empty(0)
+        for distance, rows in self.neighbours(self.projection.queries(query[None])[0]):
+            if distance > self.projection.reach(norm, worst):
                 break
-            spans = [(self.starts[leaf], self.starts[leaf + 1]) for leaf in order[at:at + STEP]]
-            found = np.concatenate([self.vectors[a:b] @ query for a, b in spans])
+            self.verified += len(rows)
+            found = self.vectors[rows] @ query
             # What may still be among the best, with room for rounding in equal scores.
-            new = np.flatnonzero(found >= worst - 1e-9)
-            if not len(new):
+            new = (found >= worst - 1e-9) & (self.ids[rows] != own)
+            if not new.any():
                 continue
-            rows = np.concatenate([np.arange(a, b) for a, b in spans])[new]
-            others = self.ids[rows] != own
-            held = np.concatenate((held, rows[others]))
-            scores = np.concatenate((scores, found[new][others]))
-            if len(scores) > k:
-                worst = float(np.partition(scores, -k)[-k])
+            held, scores = np.concatenate((held, rows[new])), np.concatenate((scores, found[new]))
+            if len(scores) >= k:
+                worst = max(worst, float(np.partition(scores, -k)[-k]))
                 near = scores >= worst - 1e-9
                 held, scores = held[near], scores[near]
         if not len(held):
@@ -105,6 +173,39 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+_FOUND = "query_id bigint, vec_id bigint, score double"
+
+
+def _meet(placed: DataFrame, asking: DataFrame, sizes: dict[int, int], projection: Projection, k: int) -> DataFrame:
+    """Matches of ``asking`` (query_id, v, worst, cell), each query searching its cell in ``placed`` (vec_id, v, cell).
+
+    A cell is cut into parts of about BLOCK vectors and its queries into turns of about QUERY_BLOCK, so a hot
+    cell is many tasks. ``sizes``: vectors by cell, CELLS at most.
+    """
+    spark = placed.sparkSession
+    asked = {r["cell"]: r["count"] for r in asking.groupBy("cell").count().collect()}
+    rows = [(c, -(-n // BLOCK), -(-asked[c] // QUERY_BLOCK)) for c, n in sizes.items() if c in asked]
+    layout = F.broadcast(spark.createDataFrame(rows, "cell int, parts int, turns int"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    stored = placed.join(layout, "cell").select(
+        "vec_id", "v", "cell", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part"), every("turns").alias("turn"))
+    queries = asking.join(layout, "cell").select(
+        "query_id", "v", "worst", "cell", F.pmod(F.xxhash64("query_id"), F.col("turns")).cast("int").alias("turn"), every("parts").alias("part"))
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})]
+        if len(left) and len(right):
+            left = left.sort_values("vec_id")
+            index = Index(left["vec_id"].to_numpy(), np.stack(left["v"].to_list()), projection)
+            for own, query, worst in zip(right["query_id"], right["v"], right["worst"], strict=True):
+                ids, scores = index.search(own, np.asarray(query), k, worst)
+                out.append(pd.DataFrame({"query_id": np.full(len(ids), own), "vec_id": ids, "score": scores}))
+        return pd.concat(out)
+
+    keys = ("cell", "part", "turn")
+    return stored.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(run, _FOUND)
+
+
 def nearest(
     vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
@@ -116,40 +217,63 @@ def nearest(
     can be among the k best of any query, so no more are searched. A query id that repeats is asked once,
     with its least vector. Every other row is indexed. An empty table gives no rows.
 
-    Each query block meets each block of vectors once: this is a stated query set against all rows.
+    The cells' borders come from SAMPLE vectors of least id hash. This is a stated query set against all rows.
     """
     spark = vectors.sparkSession
     ship_package(spark)
     clean = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     clean = stage(clean.where(F.col("vec_id").isNotNull() & usable(F.col("v"))), "vectors")
     width = clean.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
-    schema = "query_id bigint, vec_id bigint, score double"
     if width is None:
-        return spark.createDataFrame([], schema).select("query_id", F.lit(0).alias("rank"), "vec_id", "score")
+        return spark.createDataFrame([], _FOUND).select("query_id", F.lit(0).alias("rank"), "vec_id", "score")
     clean = clean.where(F.size("v") == width["d"])
     alike = Window.partitionBy("v").orderBy("vec_id")
     kept = stage(clean.withColumn("_r", F.row_number().over(alike)).where(F.col("_r") <= k + 1).drop("_r"), "candidates")
-    asked = stage(clean.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
+    asked = clean.where(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("v"))
     norm = F.aggregate("v", F.lit(0.0), lambda total, x: total + x * x)
     many, bound = kept.agg(F.count("*"), F.max(norm)).first()
-    blocks = max(1, -(-many // BLOCK))
-    rounds = max(1, -(-asked.count() // QUERY_BLOCK))
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
-    turn = F.pmod(F.xxhash64("vec_id"), F.lit(rounds)).cast("int")
-    stored = kept.select("vec_id", "v", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("turn"))
-    asking = asked.select("vec_id", "v", turn.alias("turn"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-
-    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-        left = left.sort_values("vec_id")
-        index = Index(left["vec_id"].to_numpy(), np.stack(left["v"].to_list()), bound)
-        out = []
-        for own, query in zip(right["vec_id"], right["v"], strict=True):
-            ids, scores = index.search(own, np.asarray(query), k)
-            out.append(pd.DataFrame({"query_id": np.full(len(ids), own), "vec_id": ids, "score": scores}))
-        return pd.concat(out)
+    projection = Projection(width["d"], bound)
+    levels = min(max(0, math.ceil(math.log2(many / BLOCK))), CELLS.bit_length() - 1)
+    sample = [r["v"] for r in kept.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()] if levels else []
+    cells = Cells(projection.vectors(np.array(sample).reshape(-1, width["d"])), levels)
+
+    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            points = projection.vectors(np.stack(frame["v"].to_list())) if len(frame) else np.empty((0, PROJECTIONS))
+            yield frame.assign(p=list(points), cell=cells.of(points))
+
+    placed = stage(kept.mapInPandas(place, "vec_id bigint, v array<double>, p array<double>, cell int"), "placed")
+    ends = [f(F.get("p", F.lit(i))) for f in (F.min, F.max) for i in range(PROJECTIONS)]
+    boxes = {r[0]: r for r in placed.groupBy("cell").agg(F.count("*"), *ends).collect()}
+    names = np.array(sorted(boxes))
+    low = np.array([boxes[c][2:2 + PROJECTIONS] for c in names])
+    high = np.array([boxes[c][2 + PROJECTIONS:] for c in names])
+    sizes = {c: r[1] for c, r in boxes.items()}
+    placed = placed.drop("p")
+
+    def home(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            points = [projection.queries(np.asarray(v)[None])[0] for v in frame["v"]]
+            yield frame.assign(worst=-np.inf, cell=[names[np.argmin(box_distance(low, high, p))] for p in points])
+
+    def others(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            open_ = []
+            for v, worst, own in zip(frame["v"], frame["worst"], frame["cell"], strict=True):
+                query = np.asarray(v)
+                away = box_distance(low, high, projection.queries(query[None])[0])
+                open_.append(names[(away <= projection.reach(float(query @ query), worst)) & (names != own)])
+            yield frame.assign(cell=open_).explode("cell").dropna(subset="cell").astype({"cell": "int32"})
 
-    met = stored.groupBy("block", "turn").cogroup(asking.groupBy("block", "turn")).applyInPandas(meet, schema)
+    schema = "query_id bigint, v array<double>, worst double, cell int"
+    first = stage(asked.mapInPandas(home, schema), "queries")
+    met = stage(_meet(placed, first, sizes, projection, k), "first-cell")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    if len(names) > 1:
+        reached = ranked.where(F.col("rank") == k).select("query_id", F.col("score").alias("reached"))
+        again = first.join(reached, "query_id", "left").select(
+            "query_id", "v", F.coalesce("reached", "worst").alias("worst"), "cell")
+        more = _meet(placed, stage(again.mapInPandas(others, schema), "open-cells"), sizes, projection, k)
+        ranked = ranked.drop("rank").unionByName(more).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
