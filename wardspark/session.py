@@ -5,6 +5,8 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,9 +54,47 @@ def checkpoint_root(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_scopes: list[list[str]] = []
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    """The path and its file system."""
+    context = spark.sparkContext
+    found = context._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(context._jsc.hadoopConfiguration())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the application's folder in the shared one.
+
+    That folder goes when the application's driver ends, with all that was staged; a ``scratch_scope`` removes its paths earlier.
+    """
+    folder = f"{checkpoint_root(spark)}/wardspark-{spark.sparkContext.applicationId}"
+    where, system = _hadoop_path(spark, folder)
+    if not system.exists(where):
+        system.mkdirs(where)
+        system.deleteOnExit(where)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove what is staged inside once the block has succeeded; after a failure it stays until the application ends.
+
+    For steps whose result is written inside the block: a DataFrame that is still to be read may need its staged tables.
+    """
+    _scopes.append([])
+    try:
+        yield
+    except BaseException:
+        _scopes.pop()
+        raise
+    for path in _scopes.pop():
+        where, system = _hadoop_path(spark, path)
+        system.delete(where, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
