@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wardspark.llm import bpe, jaccard, mixing, quality, secret_scan
 from wardspark.llm.common import table
 from wardspark.llm.queries import RANKS
-from wardspark.session import scratch_path
+from wardspark.session import scratch_path, scratch_scope
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +50,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The encoded corpus of the documents at ``sf_dir``.
+
+    Documents with null or empty text, or too few words, go in the first stage; repeated ids are rows of their own and
+    repeated rows copies of each other; an empty table gives no rows; other columns stay until the last stage, whatever
+    their names. What a stage staged is removed once its own rows are written.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
