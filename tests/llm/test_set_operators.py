@@ -362,3 +362,60 @@ def test_neighbours_over_several_cells(spark, monkeypatch, block, query_block):
 def test_chi_square_quantiles():
     for p, m, value in ((0.95, 8, 15.507), (0.9, 16, 23.542), (0.5, 4, 3.357)):
         assert abs(neighbours.chi_square_quantile(p, m) - value) < 0.02 * value
+
+
+@pytest.mark.parametrize("shift", [3.0, -3.0])
+def test_slopes_are_the_numeric_gradient_of_the_stated_risk(shift):
+    draw = np.random.default_rng(4)
+    n, prior = 7, 0.3
+    logits = draw.standard_normal(30) + np.where(np.arange(30) < n, shift, -1.0)
+
+    def risk(z):
+        softplus = lambda x: np.log(1 + np.exp(x))
+        toxic = prior * softplus(-z[:n]).mean()
+        clean = softplus(z[n:]).mean() - prior * softplus(z[:n]).mean()
+        return toxic + clean if clean >= 0 else -clean
+
+    assert (toxicity.clean_risk(logits, n, prior) < 0) == (shift > 0)  # both branches are met
+    numeric = [(risk(logits + e) - risk(logits - e)) / 2e-6 for e in np.eye(30) * 1e-6]
+    assert np.allclose(toxicity.slopes(logits, n, prior), numeric, atol=1e-7)
+
+
+def test_toxicity_of_awkward_labels(spark):
+    docs = documents(spark)
+    labels = spark.createDataFrame([(None, None, 1, "z"), (1, 1, None, "z"), (2, 1, 0, "z")], "doc_id long, quality int, toxic int, text string")
+    for marked in (labels, labels.limit(0), labels.where("toxic is null")):
+        model = toxicity.fit(docs, marked)
+        got = toxicity.score(docs, model).collect()
+        assert len(got) == docs.count() and all(0 <= r.score < 0.5 and r.predicted == 0 for r in got)
+    long = spark.createDataFrame([(1, "word " * 300_000), (2, "word")], "doc_id long, text string")
+    a, b = toxicity.score(long, toxicity.Model({"word": 2.0}, -1.0)).collect()
+    assert a.score == b.score > 0.5
+
+
+def test_shards_equal_a_plain_assignment(spark):
+    docs = documents(spark)
+    got = {(r.doc_id, r["size"], r.text_crc32): r for r in sharding.assign(docs).collect()}
+    import math
+    import zlib
+
+    values = docs.collect()
+    cells = {}
+    for column in ("source", "lang"):
+        names = sorted({r[column] for r in values}, key=lambda v: (v is not None, v or ""))
+        cells[column] = {v: k * 32 // max(len(names), 32) for k, v in enumerate(names)}
+    plain = []
+    for r in values:
+        data = (r.text or "").encode()
+        size = len(data) + 1
+        cell = [cells["source"][r.source], cells["lang"][r.lang], min(math.floor(2 * math.log2(size)), 31)]
+        curve = int(sharding.hilbert_index(np.array([cell]), 5)[0])
+        plain.append((curve, -1 if r.doc_id is None else r.doc_id, size, zlib.crc32(data), r.doc_id))
+    plain.sort(key=lambda x: x[:4])
+    n = len(plain)
+    for place, (curve, _, size, crc, doc_id) in enumerate(plain):
+        shard = place * 8 // n
+        row = got[doc_id, size, crc]
+        assert row.curve == curve and row.shard == shard
+        if doc_id != 4:  # doc 4 is there twice, alike in all columns
+            assert row.slot == sum(p * 8 // n == shard for p in range(place))

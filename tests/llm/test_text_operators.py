@@ -193,3 +193,39 @@ def test_mix_of_awkward_rows(spark):
     blank = spark.createDataFrame([(1, "", "a"), (2, None, None)], "doc_id long, text string, source string")
     assert [r.taken for r in mixing.mix(blank).collect()] == [0, 0]
     assert mixing.mixed_documents(documents(spark)).columns == documents(spark).columns
+
+
+def test_posteriors_equal_a_plain_expectation_maximisation(spark):
+    draw = np.random.default_rng(6)
+    names = [rule.name for rule in quality.RULES]
+    good = draw.random(3000) < 0.7
+    votes = np.where(
+        good[:, None], draw.choice([-1, 0, 1], (3000, len(names)), p=[0.08, 0.12, 0.8]), draw.choice([-1, 0, 1], (3000, len(names)), p=[0.5, 0.2, 0.3]))
+    kinds, counts = np.unique(votes, axis=0, return_counts=True)
+    table = spark.createDataFrame([(*map(int, v), int(c)) for v, c in zip(kinds, counts, strict=True)], ", ".join(f"{n} int" for n in names) + ", n long")
+    model = quality.fit(table)
+    prior = quality.PRIOR
+    prob = np.array([[[quality.FIRST[y][v] for v in (-1, 0, 1)] for _ in names] for y in (0, 1)])
+    place = kinds + 1
+
+    def posterior():
+        like = [np.prod([prob[y][k][place[:, k]] for k in range(len(names))], axis=0) for y in (0, 1)]
+        return prior * like[1] / (prior * like[1] + (1 - prior) * like[0])
+
+    for _ in range(quality.ROUNDS):
+        p = posterior()
+        before, sums = prob.copy(), counts * p
+        old, prior = prior, min(max(sums.sum() / counts.sum(), 0.05), 0.95)
+        for k in range(len(names)):
+            for v in range(3):
+                here = place[:, k] == v
+                prob[1][k][v] = (sums[here].sum() + 0.5) / (sums.sum() + 1.5)
+                prob[0][k][v] = ((counts - sums)[here].sum() + 0.5) / ((counts - sums).sum() + 1.5)
+            if prob[0][k][0] < prob[1][k][0]:
+                prob[0][k] = prob[1][k]
+        if max(np.abs(prob - before).max(), abs(prior - old)) < quality.SETTLED:
+            break
+    got = {tuple(r[n] for n in names): r.p for r in table.select(*names, quality.posterior(model).alias("p")).collect()}
+    want = posterior()
+    assert max(abs(got[tuple(map(int, v))] - w) for v, w in zip(kinds, want, strict=True)) < 1e-5
+    assert 0.65 < model["prior"] < 0.75

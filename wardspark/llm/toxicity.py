@@ -47,6 +47,24 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
 
+def clean_risk(logits: np.ndarray, n: int, prior: float) -> float:
+    """Risk of clean texts: that of all unlabelled ones (from place ``n`` on) as clean, less the toxic share among them."""
+    return float(np.mean(np.logaddexp(0, logits[n:])) - prior * np.mean(np.logaddexp(0, logits[:n])))
+
+
+def slopes(logits: np.ndarray, n: int, prior: float) -> np.ndarray:
+    """Gradient by the logits of what a step descends: the whole risk, or less the clean risk where that is below zero."""
+    p = 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
+    slope = np.empty(len(logits))
+    if clean_risk(logits, n, prior) >= 0:
+        slope[:n] = prior * (p[:n] - 1) / n - prior * p[:n] / n
+        slope[n:] = p[n:] / (len(logits) - n)
+    else:
+        slope[:n] = prior * p[:n] / n
+        slope[n:] = -p[n:] / (len(logits) - n)
+    return slope
+
+
 def train(toxic: list[str], unlabelled: list[str], prior: float) -> Model:
     """Fit by full-batch steps of Adam on the non-negative risk with the logistic loss.
 
@@ -76,15 +94,7 @@ def train(toxic: list[str], unlabelled: list[str], prior: float) -> Model:
     first, second = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
     for step in range(1, STEPS + 1):
         logits = bias + np.bincount(rows, weights[cols], minlength=m)
-        p = 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
-        clean_risk = np.mean(np.logaddexp(0, logits[n:])) - prior * np.mean(np.logaddexp(0, logits[:n]))
-        slope = np.zeros(m)
-        if clean_risk >= 0:
-            slope[:n] = prior * (p[:n] - 1) / n - prior * p[:n] / n
-            slope[n:] = p[n:] / (m - n)
-        else:
-            slope[:n] = prior * p[:n] / n
-            slope[n:] = -p[n:] / (m - n)
+        slope = slopes(logits, n, prior)
         grad = np.append(np.bincount(cols, slope[rows], minlength=len(chosen)) + DECAY * weights, slope.sum())
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad * grad
@@ -97,13 +107,14 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
     """Train on the texts of least id hash outside the held-out fold, and on no label of that fold.
 
+    ``positives`` and ``unlabelled`` bound the texts of either kind that the driver trains on; all rows are candidates.
     The prior is the share of toxic texts among the labelled ones there. Conflicting labels of one id count as
-    toxic; null labels as none.
+    toxic; null labels, and labels without an id, as none. Other columns of ``labels`` are not read.
     """
-    marked = labels.where(F.col("toxic").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    marked = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     row = marked.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()
     prior = row[0] or 0.0
     texts = docs.where(~held_out()).select(
@@ -111,7 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     )
     narrow = texts.select("doc_id", "h").distinct()
     confirmed = narrow.join(marked.where("toxic = 1"), "doc_id")
-    return train(_sample(texts, confirmed, POSITIVES), _sample(texts, narrow, UNLABELLED), prior)
+    return train(_sample(texts, confirmed, positives), _sample(texts, narrow, unlabelled), prior)
 
 
 def _sample(texts: DataFrame, among: DataFrame, most: int) -> list[str]:
@@ -128,7 +139,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score and predicted of every whole text.
 
     Null and empty texts get the score of a text without known words; repeated rows get equal scores; an empty
-    table gives no rows.
+    table gives no rows. A text is its set of words, so a very long one weighs each of them once.
     """
     ship_package(docs.sparkSession)
     source = docs.select(text_of("text").alias("text"), "doc_id", held_out().alias("held_out"))
