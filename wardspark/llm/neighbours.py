@@ -12,7 +12,7 @@ the same test leaves open.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -119,18 +119,25 @@ class Index:
         self.high = np.stack([points[x].max(axis=0) for x in leaves])
         self.ids, self.vectors, self.points = ids[order], vectors[order], points[order]
 
-    def neighbours(self, point: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
-        """Batches of rows in the order of their projected squared distance, each with the least of it."""
+    def neighbours(self, point: np.ndarray, reach: Callable[[], float] = lambda: np.inf) -> Iterator[tuple[float, np.ndarray]]:
+        """Batches of rows in the order of their projected squared distance, each with the least of it.
+
+        ``reach`` is the distance beyond which rows are no longer asked for; it never grows.
+        """
         away = box_distance(self.low, self.high, point)
         order = np.argsort(away, kind="stable")
         held, rows, at, size, leaves = np.empty(0), np.empty(0, dtype=np.int64), 0, BATCH, OPEN
         while at < len(order) or len(held):
             edge = away[order[at]] if at < len(order) else np.inf
+            if not len(held) and edge < np.inf and edge > reach():
+                return
             ready = held <= edge
             if at < len(order) and np.count_nonzero(ready) < size:
                 new = np.concatenate([np.arange(self.starts[k], self.starts[k + 1]) for k in order[at:at + leaves]])
-                gap = self.points[new] - point
-                held, rows = np.concatenate((held, np.einsum("ij,ij->i", gap, gap))), np.concatenate((rows, new))
+                gap = self.points.take(new, axis=0) - point
+                distances = np.einsum("ij,ij->i", gap, gap)
+                wanted = distances <= reach()
+                held, rows = np.concatenate((held, distances[wanted])), np.concatenate((rows, new[wanted]))
                 at, leaves = at + leaves, 2 * leaves
                 continue
             near, near_rows = held[ready], rows[ready]
@@ -146,11 +153,13 @@ class Index:
         """The k best found: ids and scores, best first, equal scores by id; only those that reach ``worst``."""
         norm = float(query @ query)
         held, scores = np.empty(0, dtype=np.int64), np.empty(0)
-        for distance, rows in self.neighbours(self.projection.queries(query[None])[0]):
+        for distance, rows in self.neighbours(
+            self.projection.queries(query[None])[0], lambda: self.projection.reach(norm, worst)
+        ):
             if distance > self.projection.reach(norm, worst):
                 break
             self.verified += len(rows)
-            found = self.vectors[rows] @ query
+            found = self.vectors.take(rows, axis=0) @ query
             # What may still be among the best, with room for rounding in equal scores.
             new = (found >= worst - 1e-9) & (self.ids[rows] != own)
             if not new.any():
