@@ -61,10 +61,8 @@ def test_join_equals_brute_force(spark, monkeypatch, cell):
 @pytest.mark.parametrize("split", [False, True])
 def test_block_compares_pairs_without_a_common_node(split):
     texts = near_family(3, 60) + near_family(5, 9) + [prose(k, 60) for k in range(30, 40)]
-    forest = jaccard.Forest(jaccard.TREES, jaccard.depth_for())
-    nodes = [forest.nodes(jaccard.shingles(t)) if i % 3 else np.full(jaccard.TREES, i, np.uint64) for i, t in enumerate(texts)]
     names = [f"h{i:03}" for i in range(len(texts))]
-    block = pd.DataFrame({"hash": names, "text": texts, "copies": 1, "nodes": nodes, "side": [i % 2 for i in range(len(texts))], "split": split})
+    block = pd.DataFrame({"hash": names, "text": texts, "copies": 1, "side": [i % 2 for i in range(len(texts))], "split": split})
     links = {i: {j for j in held if not split or (i - j) % 2} for i, held in brute(texts).items()}
     for i, (name, n, other) in enumerate(jaccard._verify(block)):
         seen, todo = {i}, [i]
@@ -97,8 +95,66 @@ def test_join_of_awkward_rows(spark):
 
 
 def test_depth_meets_the_target_recall():
-    depth = jaccard.depth_for()
-    assert 1 - (1 - 0.8**depth) ** jaccard.TREES >= jaccard.RECALL > 1 - (1 - 0.8 ** (depth + 1)) ** jaccard.TREES
+    for recall in (jaccard.RECALL, jaccard.FULL):
+        depth = jaccard.depth_for(recall=recall)
+        assert 1 - (1 - 0.8**depth) ** jaccard.TREES >= recall > 1 - (1 - 0.8 ** (depth + 1)) ** jaccard.TREES
+    assert jaccard.depth_for(recall=jaccard.FULL) < jaccard.depth_for() < jaccard.DEPTH
+
+
+def plain_proposals(keys):
+    """Groups of texts by the nodes of plain dictionaries, prefixes shortened for texts without a candidate."""
+    deep, least = jaccard.depth_for(), jaccard.depth_for(recall=jaccard.FULL)
+    group, matched = {v: {v} for v in keys}, set()
+    for level in range(deep, least - 1, -1):
+        nodes = defaultdict(set)
+        for v, rows_ in keys.items():
+            for row in rows_:
+                nodes[row[:1 + 2 * level].tobytes()].add(v)
+        joined = [n for n in nodes.values() if len(n) > 1 and (level == deep or n - matched)]
+        for node in joined:
+            whole = set().union(*[group[v] for v in node])
+            for v in whole:
+                group[v] = whole
+        matched |= set().union(*joined)
+    return {frozenset(g) for g in group.values() if len(g) > 1}
+
+
+@pytest.mark.parametrize("batch", [10000, 3])
+def test_forest_proposes_the_nodes_of_plain_tries(spark, batch):
+    draw = np.random.default_rng(4)
+    keys = {}
+    for i in range(150):
+        rows_ = np.empty((jaccard.TREES, jaccard._KEY), np.uint8)
+        rows_[:, 0] = np.arange(jaccard.TREES)
+        rows_[:, 1:] = draw.integers(0, 256, rows_[:, 1:].shape)
+        for _ in range(int(draw.integers(0, 3)) if i else 0):  # some prefixes of earlier texts, of any length
+            other, tree, level = int(draw.integers(max(0, i - 40), i)), int(draw.integers(jaccard.TREES)), int(draw.integers(3, 9))
+            rows_[tree, :1 + 2 * level] = keys[f"{other:032x}"][tree, :1 + 2 * level]
+        keys[f"{i:032x}"] = rows_
+    for i in range(60):  # equal in all tries, over several batches and partitions
+        keys[f"{1000 + i:032x}"] = keys[f"{7:032x}"]
+    texts = spark.createDataFrame([(h, k.tobytes()) for h, k in keys.items()] + [("f" * 32, None)], "hash string, keys binary")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        groups = defaultdict(set)
+        for r in components(jaccard._proposals(texts)).collect():
+            groups[r.root].add(r.vertex)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert {frozenset(g) for g in groups.values()} == plain_proposals(keys)
+
+
+def test_keys_do_not_depend_on_the_order_or_chunks_of_shingles(monkeypatch):
+    runs = jaccard.shingles(prose(9, 3000))
+    whole = jaccard.Forest().keys(runs)
+    monkeypatch.setattr(jaccard, "_CHUNK", 17)
+    assert (jaccard.Forest().keys(runs[::-1]) == whole).all()
+    # The share of equal hashes is near the similarity of the sets.
+    other = jaccard.Forest().keys(runs[: len(runs) // 2])
+    first = [(whole[t, k:k + 2] == other[t, k:k + 2]).all() for t in range(jaccard.TREES) for k in range(1, jaccard._KEY, 2)]
+    assert 0.35 < np.mean(first) < 0.65
 
 
 def test_components(spark):

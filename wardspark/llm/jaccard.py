@@ -1,10 +1,11 @@
 """N-gram Jaccard join: a MinHash LSH forest proposes, exact verification decides.
 
-Texts are sets of runs of WIDTH words. Each of TREES tries holds the texts' minimum hashes as prefixes; a trie
-node at the working depth proposes its members. The depth starts at DEPTH hashes and is shortened until the
-tries together find a pair at the threshold with the target recall. Members of a node are joined to
-its first member only to form candidate groups, in a number of rows linear in the members; inside a
-group all pairs are then compared exactly.
+Texts are sets of runs of WIDTH words. Each of TREES tries is the texts' DEPTH minimum hashes in sorted order: one
+range-partitioned sort holds all tries, and the prefix a text shares with its neighbours in that order is its matched
+prefix. Every text's prefixes are first shortened to the depth at which the tries together find a pair at the threshold
+with probability RECALL. For texts that then have no candidate they are shortened level by level, until they have one or
+until that probability is FULL. A trie node proposes its members by links to one of them, in a number of rows
+linear in the members; inside a group of linked texts all pairs are then compared exactly.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window, functions as F
 
 from wardspark.llm.common import Sieve, packed
 from wardspark.llm.components import components
@@ -23,12 +25,16 @@ from wardspark.session import ship_package, stage
 WIDTH = 5
 THRESHOLD = 0.8
 TREES = 32
-DEPTH = 10
-RECALL = 0.999
+DEPTH = 8
+RECALL = 0.999    # of a pair at the threshold, for every text
+FULL = 0.99999    # and for texts that would have no candidate otherwise
 CELL = 512        # members of a group that are compared in one block; larger groups are a grid of blocks
 PACK = 1500       # members of small groups handled together
 PACK_BYTES = 24 << 20  # and their bytes of text; also those of a block's members
-_CHUNK = 1 << 15  # shingles whose hashes are computed at once
+_CHUNK = 1 << 10  # shingles whose hashes are computed at once
+_LEVEL = 2        # bytes of a minimum hash in a trie's key
+_KEY = 1 + DEPTH * _LEVEL  # bytes of a key: the tree, then its hashes
+_FIRST, _LAST = -1, -2     # marks of a sorted partition's first and last row
 _RARE = 6         # shingles of up to so many texts of a block are counted pair by pair
 _COLUMNS = 4096   # shingles in one product of matrices
 
@@ -56,48 +62,137 @@ def shingles(text: str, width: int = WIDTH) -> np.ndarray:
 
 
 class Forest:
-    def __init__(self, trees: int, depth: int):
+    def __init__(self, trees: int = TREES, depth: int = DEPTH):
         draw = np.random.default_rng(20240607)
         self.trees, self.depth = trees, depth
         self.factors = draw.integers(1, 1 << 63, trees * depth, dtype=np.uint64) | np.uint64(1)
-        self.mix = draw.integers(1, 1 << 63, depth, dtype=np.uint64) | np.uint64(1)
 
-    def nodes(self, runs: np.ndarray) -> np.ndarray:
-        """One 64-bit key per trie: the node that the set's prefix of ``depth`` minimum hashes leads to."""
+    def keys(self, runs: np.ndarray) -> np.ndarray:
+        """The set's place in every trie, one row of bytes each: the tree, then ``depth`` minimum hashes of two bytes."""
+        least = np.full(len(self.factors), np.iinfo(np.uint64).max)
+        small = runs ^ (runs >> np.uint64(31))
         with np.errstate(over="ignore"):
-            least = None
-            small = (runs ^ (runs >> np.uint64(31)))
             for at in range(0, len(runs), _CHUNK):
-                part = small[at:at + _CHUNK]
-                found = np.empty(len(self.factors), dtype=np.uint32)
-                for k, factor in enumerate(self.factors):
-                    found[k] = ((part * factor) >> np.uint64(32)).min()
-                least = found if least is None else np.minimum(least, found)
-            signature = least.reshape(self.trees, self.depth).astype(np.uint64)
-            keys = np.arange(1, self.trees + 1, dtype=np.uint64)
-            for k in range(self.depth):
-                keys = (keys ^ signature[:, k]) * self.mix[k]
-                keys ^= keys >> np.uint64(32)
-        return keys
-
-
-def _keys(docs: DataFrame, depth: int) -> DataFrame:
-    """doc_id, text hash, bytes and the trie nodes (array of longs, empty for texts without words) of every row."""
+                np.minimum(least, (self.factors[:, None] * small[None, at:at + _CHUNK]).min(axis=1), out=least)
+            # A minimum is a small number; a product spreads it before it is cut to two bytes.
+            short = ((least >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
+        out = np.empty((self.trees, 1 + self.depth * _LEVEL), dtype=np.uint8)
+        out[:, 0] = np.arange(self.trees)
+        out[:, 1:] = short.astype(">u2").view(np.uint8).reshape(self.trees, -1)
+        return out
+
+
+def _keys(docs: DataFrame) -> DataFrame:
+    """doc_id, text hash, bytes and the keys in all tries end to end (null for texts without words) of every row."""
     source = docs.select("text", "doc_id", F.md5("text").alias("hash"), F.octet_length("text").cast("long").alias("bytes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest = Forest(TREES, depth)
+        forest = Forest()
         for batch in batches:
-            nodes = []
+            keys = []
             for text in batch.column(0):
                 runs = shingles(text.as_py() or "")
-                nodes.append(forest.nodes(runs).view(np.int64) if len(runs) else np.empty(0, np.int64))
+                keys.append(forest.keys(runs).tobytes() if len(runs) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), batch.column(3), pa.array(nodes, pa.list_(pa.int64()))],
-                names=["doc_id", "hash", "bytes", "nodes"],
+                [batch.column(1), batch.column(2), batch.column(3), pa.array(keys, pa.binary())],
+                names=["doc_id", "hash", "bytes", "keys"],
             )
 
-    return source.mapInArrow(run, "doc_id bigint, hash string, bytes bigint, nodes array<bigint>")
+    return source.mapInArrow(run, "doc_id bigint, hash string, bytes bigint, keys binary")
+
+
+def _bytes(column: pa.Array, width: int) -> np.ndarray:
+    """A column of binary values of one width as rows of bytes."""
+    fixed = column.cast(pa.binary(width))
+    held = np.frombuffer(fixed.buffers()[1], dtype=np.uint8)
+    return held[fixed.offset * width:(fixed.offset + len(fixed)) * width].reshape(-1, width)
+
+
+def _walk(batches: Iterator[pa.RecordBatch], depth: int, shortest: int) -> Iterator[pa.RecordBatch]:
+    """Links between neighbours of one sorted partition of (key, vertex), by the length of their common prefix.
+
+    Rows that agree in ``depth`` levels are linked to the least vertex of their run inside a batch, and runs that go on
+    in the next batch by one link. Neighbours that agree in fewer levels, but ``shortest`` or more, are linked, with
+    the later one's key. The partition's first and last row are given with their keys, to meet those of the
+    partitions beside it.
+    """
+    place = TaskContext.get().partitionId()
+
+    def out(a: pa.Array, b: pa.Array, levels: pa.Array, node: pa.Array) -> pa.RecordBatch:
+        parts = pa.array(np.full(len(a), place, dtype=np.int32))
+        return pa.RecordBatch.from_arrays([a, b, levels.cast(pa.int32()), node, parts], names=["a", "b", "depth", "node", "part"])
+
+    def border(vertex: bytes, key: bytes, mark: int) -> pa.RecordBatch:
+        return out(pa.array([vertex]), pa.array([None], pa.binary()), pa.array([mark]), pa.array([key]))
+
+    key = vertex = lead = None  # of the last row, and the least vertex of its run
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held, vertices = batch.column(0), batch.column(1)
+        keys, ids = _bytes(held, _KEY), _bytes(vertices, 16)
+        if vertex is None:
+            yield border(vertices[0].as_py(), held[0].as_py(), _FIRST)
+        same = keys == np.vstack([keys[:1] if vertex is None else key, keys[:-1]])
+        levels = np.column_stack([same[:, 0], *[same[:, k:k + _LEVEL].all(axis=1) for k in range(1, _KEY, _LEVEL)]])
+        common = np.logical_and.accumulate(levels, axis=1).sum(axis=1) - 1
+        if vertex is None:
+            common[0] = -1
+        near = common >= depth
+        run = np.cumsum(~near)
+        run -= run[0]
+        order = np.lexsort((np.ascontiguousarray(ids[:, :8]).view(">u8")[:, 0].astype(np.uint64), run))
+        leads = order[np.r_[True, run[order][1:] != run[order][:-1]]]
+        linked = np.flatnonzero(leads[run] != np.arange(len(run)))
+        yield out(
+            vertices.take(pa.array(linked)), vertices.take(pa.array(leads[run[linked]])),
+            pa.array(np.full(len(linked), depth)), pa.nulls(len(linked), pa.binary()),
+        )
+        if near[0]:
+            yield out(vertices.take(pa.array(leads[:1])), pa.array([lead]), pa.array([depth]), pa.nulls(1, pa.binary()))
+        short = np.flatnonzero((common >= shortest) & ~near)
+        earlier = pa.concat_arrays([pa.array([vertex], vertices.type), vertices.slice(0, len(run) - 1)])
+        yield out(vertices.take(pa.array(short)), earlier.take(pa.array(short)), pa.array(common[short]), held.take(pa.array(short)))
+        if run[-1] or not near[0]:
+            lead = vertices[int(leads[-1])].as_py()
+        key, vertex = keys[-1:].copy(), vertices[-1].as_py()
+    if vertex is not None:
+        yield border(vertex, key.tobytes(), _LAST)
+
+
+def _proposals(texts: DataFrame) -> DataFrame:
+    """Links (a, b) of text hashes that connect the members of the trie nodes which propose candidates."""
+    depth, shortest = depth_for(), depth_for(recall=FULL)
+    places = texts.where("keys is not null").select(
+        F.unhex("hash").alias("vertex"), "keys", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
+    ).select(F.substring("keys", F.col("tree") * _KEY + 1, F.lit(_KEY)).alias("key"), "vertex")
+    # The vertex is part of the order, so that a node of any size is spread over partitions.
+    ordered = places.repartitionByRange("key", "vertex").sortWithinPartitions("key", "vertex")
+    links = stage(
+        ordered.mapInArrow(
+            lambda batches: _walk(batches, depth, shortest), "a binary, b binary, depth int, node binary, part int"
+        ),
+        "jaccard-prefixes",
+    )
+    # Two rows per partition meet in one task: the last row of one and the first of the next.
+    beside = Window.orderBy("part", F.desc("depth"))
+    prefix = lambda column, level: F.substring(column, 1, 1 + level * _LEVEL)
+    common = sum(
+        (prefix("node", level) == prefix("other", level)).cast("int") for level in range(1, DEPTH + 1)
+    )
+    borders = links.where(F.col("depth") < 0).select(
+        "a", F.lag("a").over(beside).alias("b"), "depth", "node", F.lag("node").over(beside).alias("other")
+    ).where((F.col("depth") == _FIRST) & F.col("b").isNotNull()).select("a", "b", common.alias("depth"), "node")
+    links = links.where(F.col("depth") >= shortest).select("a", "b", "depth", "node").union(borders)
+    kept = stage(links.where(F.col("depth") >= depth).select("a", "b").distinct(), "jaccard-star")
+    for level in range(depth - 1, shortest - 1, -1):
+        here = links.where((F.col("depth") >= level) & (F.col("depth") < depth)).withColumn("node", prefix("node", level))
+        ends = here.select("node", F.col("a").alias("vertex")).union(here.select("node", F.col("b").alias("vertex")))
+        matched = kept.select(F.col("a").alias("vertex")).union(kept.select("b")).distinct()
+        # Nodes that hold a text without a candidate propose all their members.
+        wanted = ends.join(matched, "vertex", "left_anti").select("node").distinct()
+        kept = stage(kept.union(here.join(wanted, "node", "left_semi").select("a", "b")).distinct(), "jaccard-star")
+    return kept.select(F.lower(F.hex("a")).alias("a"), F.lower(F.hex("b")).alias("b"))
 
 
 def _shared(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -176,26 +271,16 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     spark = docs.sparkSession
     ship_package(spark)
-    depth = depth_for()
-    rows = stage(_keys(docs, depth), "jaccard-rows")
+    rows = stage(_keys(docs), "jaccard-rows")
     texts = stage(
         rows.where("hash is not null").groupBy("hash").agg(
             F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("bytes").alias("bytes"),
-            F.first("nodes").alias("nodes"),
+            F.first("keys").alias("keys"),
         ),
         "jaccard-texts",
     )
-    # Candidate groups: members of a node are joined to the node's first member.
-    places = texts.select("hash", F.posexplode("nodes").alias("tree", "node"))
-    shared = places.groupBy("tree", "node").agg(F.min("hash").alias("lead"), F.count("*").alias("n")).where("n > 1")
-    star = stage(
-        stage(places, "jaccard-places").join(stage(shared.drop("n"), "jaccard-nodes"), ["tree", "node"]).where("hash <> lead").select(
-            F.col("hash").alias("a"), F.col("lead").alias("b")
-        ).distinct(),
-        "jaccard-star",
-    )
-    groups = components(star)
-    held = groups.join(texts.drop("nodes").withColumnRenamed("hash", "vertex"), "vertex")
+    groups = components(_proposals(texts))
+    held = groups.join(texts.drop("keys").withColumnRenamed("hash", "vertex"), "vertex")
     sizes = groups.join(texts.select(F.col("hash").alias("vertex"), "bytes"), "vertex").groupBy("root").agg(
         F.count("*").alias("size"), F.sum("bytes").alias("group_bytes")
     )
