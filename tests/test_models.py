@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from wardspark.catalog import models
+from wardspark.catalog.domain import Domain
 from wardspark.operators import evaluation as ev, features, symptoms, text
 from wardspark.plans import symptom_training
 from wardspark.schemas import MODEL_LABELS
@@ -162,3 +164,14 @@ def test_broken_report_gives_nulls(spark, tmp_path):
     (tmp_path / "r.json").write_text("{not json")
     assert files.read_training_report(spark, [str(tmp_path / "r.json")]).first().model_version is None
     assert files.read_training_report(spark, [str(tmp_path / "x.json")]) is None
+
+
+def test_scoring_alone_trains_and_stores_the_model(spark, tmp_path):
+    docs = [(i, "cough fever" if i % 2 else "healthy control visit") for i in range(40)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, i % 2, 0) for i in range(40)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    model = models._stored_model(Domain(spark, str(tmp_path)))
+    assert model.labels == ["neumonia", "sana"] and model.terms.count() == model.width
+    # The second call finds the stored one.
+    assert rows(models._stored_model(Domain(spark, str(tmp_path))).terms) == rows(model.terms)

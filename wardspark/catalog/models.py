@@ -263,8 +263,10 @@ def _stored_model(d: Domain, train: Callable[[], symptoms.SymptomModel] | None =
     path = f"{checkpoint_root(d.spark)}/models/symptoms"
     version = files.fingerprint(d.spark, [d.path("documents"), d.path("labels")])
     model = symptoms.SymptomModel.load(d.spark, path, version)
+    if model is None and train is None:
+        return _trained(d)[1]  # stored by then, and read from there: to save it again would overwrite what it reads
     if model is None:
-        (train() if train else _trained(d)[1]).save(path, version)
+        train().save(path, version)
         model = symptoms.SymptomModel.load(d.spark, path, version)
     return model
 
