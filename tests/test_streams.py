@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from wardspark.catalog import streams
 from wardspark.operators import arrivals as arr
 from wardspark.plans import log_sync
 from wardspark.streaming import flows
@@ -209,3 +210,11 @@ def test_windowed_alerts_threshold(spark, tmp_path):
     stream = flows.windowed_quality_alerts(flows.stream_table(spark, src), "1 minute", "1 second")
     flows.run_to_parquet(stream, out, state)
     assert rows(spark.read.parquet(out).select("duplicate", "severity")) == [(10, "warning")]
+
+
+def test_arrivals_are_cut_by_paths_alone(spark):
+    paths = spark.range(3000).select(F.format_string("%04d", F.col("id") * 7 % 3000).alias("file_path")).repartition(5)
+    low, high = streams._path_bounds(paths.unionByName(spark.sql("select cast(null as string) file_path")), 3)
+    assert low < high and 850 < int(low) < 1150 and 1850 < int(high) < 2150
+    assert streams._path_bounds(paths.limit(0), 3) == []
+    assert streams._path_bounds(spark.sql("select 'a' file_path from range(9)"), 3) == ["a"]

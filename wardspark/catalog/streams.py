@@ -18,6 +18,7 @@ from wardspark.streaming.log_tail import LogTail
 
 _MARKER = "(end of input)"
 ARRIVALS = 3  # batches in which files come
+RANGES = 32  # ranges of paths looked at for each of these batches
 
 
 class Streamed(Domain):
@@ -84,6 +85,22 @@ def stream_ingest(d: Domain) -> DataFrame:
     )
 
 
+def _path_bounds(paths: DataFrame, parts: int) -> list[str]:
+    """Paths that cut the table into ``parts`` of about as many rows; only paths are moved, into many small ranges.
+
+    The last path of every range, with its rows, is all that reaches the driver.
+    """
+    ranged = paths.repartitionByRange(parts * RANGES, "file_path").withColumn("_range", F.spark_partition_id())
+    ends = ranged.groupBy("_range").agg(F.max("file_path").alias("last"), F.count(F.lit(1)).alias("n"))
+    found = [r for r in ends.orderBy("_range").collect() if r["last"] is not None]
+    total, upto, bounds = sum(r["n"] for r in found), 0, []
+    for r in found:
+        upto += r["n"]
+        if len(bounds) < parts - 1 and upto * parts >= total * (len(bounds) + 1):
+            bounds.append(r["last"])
+    return bounds
+
+
 @register("stream_dedup", tables="classified", sql="""
 select file_path, content_hash from classified where reject_reason is null""")
 def stream_dedup(d: Domain) -> DataFrame:
@@ -92,8 +109,12 @@ def stream_dedup(d: Domain) -> DataFrame:
     A second stream, with a checkpoint of its own, finds all stored.
     """
     out, source, state = (scratch_path(d.spark, name) for name in ("contents", "arriving", "state"))
-    ranged = d.manifest().repartitionByRange(ARRIVALS, "file_path").withColumn("_part", F.spark_partition_id())
-    parts = stage(ranged, "arriving")
+    arriving = scratch_path(d.spark, "arriving-parts")
+    bounds = _path_bounds(d.manifest().select("file_path"), ARRIVALS)
+    part = sum((F.coalesce(F.col("file_path") > b, F.lit(False)).cast("int") for b in bounds), F.lit(0))
+    placed = d.manifest().withColumn("_part", part)
+    placed.write.partitionBy("_part").parquet(arriving)
+    parts = d.spark.read.schema(placed.schema).parquet(arriving)
     for number in range(ARRIVALS):
         parts.where(F.col("_part") == number).drop("_part").write.mode("append").parquet(source)
         flows.unique_contents(flows.stream_table(d.spark, source), out, state)
