@@ -175,3 +175,21 @@ def test_scoring_alone_trains_and_stores_the_model(spark, tmp_path):
     assert model.labels == ["neumonia", "sana"] and model.terms.count() == model.width
     # The second call finds the stored one.
     assert rows(models._stored_model(Domain(spark, str(tmp_path))).terms) == rows(model.terms)
+
+
+def test_terms_are_counted_where_the_texts_lie(spark):
+    texts = [("a", "tos seca tos seca"), ("a", "tos y fiebre alta"), ("b", "fiebre alta, tos seca"), ("c", None), ("d", "x"),
+             (None, "tos seca"), (None, "solo solo solo")]
+    docs = spark.createDataFrame(texts, "id string, t string")
+    tokens = text.document_tokens(docs, "id", "t")
+    vocab = text.ranked_vocabulary(tokens, max_terms=6, width=8)
+    counted = text.counted_terms(text.text_tokens(docs, "t"), vocab)
+    assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
+    counts = text.terms_by_document(text.stage(text.counted_terms(tokens, vocab), "counts"))
+    terms = text.inverse_frequencies(text.document_frequencies(vocab, counts), docs)
+    tf = text.term_frequencies(docs, "id", "t")
+    plain = text.inverse_frequencies(text.vocabulary(tf, max_terms=6), docs)
+    assert rows(terms.select("term", "corpus_count", "df", "idf")) == rows(plain)
+    found = text.unit_weights(counts, terms).select("doc", F.inline("terms")).join(terms, "place")
+    near = lambda df: {(d, t): round(w, 9) for d, t, w in rows(df)}
+    assert near(found.select("doc", "term", "w")) == near(text.tfidf(tf, plain))

@@ -231,11 +231,15 @@ select doc, count(*)::bigint terms, round(sum(weight), 6) weight_sum, round(max(
 from (select doc, term, w / sqrt(sum(w * w) over (partition by doc)) weight from raw) group by doc""")
 def tfidf_weights(d: Domain) -> DataFrame:
     records = d.clinical_records(diagnosed=False).select("record_id", "symptoms")
-    counts = stage(text.term_frequencies(records, "record_id", "symptoms"), "term-counts")
-    terms = text.inverse_frequencies(text.vocabulary(counts), records)
-    return text.tfidf(counts, terms).groupBy("doc").agg(
-        F.count(F.lit(1)).alias("terms"), F.round(F.sum("weight"), 6).alias("weight_sum"),
-        F.round(F.max("weight"), 6).alias("weight_max"),
+    tokens = text.document_tokens(records, "record_id", "symptoms")
+    vocab = text.ranked_vocabulary(tokens)
+    counts = text.terms_by_document(stage(text.counted_terms(tokens, vocab), "term-counts"))
+    terms = text.inverse_frequencies(text.document_frequencies(vocab, counts), records)
+    weight = F.transform("terms", lambda t: t["w"])
+    return text.unit_weights(counts.where(F.size("terms") > 0), terms).select(
+        "doc", F.size("terms").cast("bigint").alias("terms"),
+        F.round(F.aggregate(weight, F.lit(0.0), lambda total, w: total + w), 6).alias("weight_sum"),
+        F.round(F.array_max(weight), 6).alias("weight_max"),
     )
 
 
