@@ -7,14 +7,14 @@ from dataclasses import dataclass
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from wardspark.functions.clean import clamp_age, normal_sex, usable_symptoms
 from wardspark.operators.evaluation import class_weights
-from wardspark.operators.text import inverse_frequencies, term_frequencies, vocabulary
+from wardspark.operators import text
 from wardspark.schemas import SEXES
-from wardspark.session import scratch_path, stage
+from wardspark.session import scratch_path, spread_small, stage
 from wardspark.sources.files import exists
 
 MODEL_NAME = "symptoms_logreg"
@@ -67,39 +67,25 @@ class SymptomModel:
         return cls(terms, facts.width, facts.age_mean, facts.age_deviation, list(facts.labels),
                    LogisticRegressionModel.load(f"{folder}/classifier"))
 
-    def features(self, keyed: DataFrame, counts: DataFrame) -> DataFrame:
-        """Replace ``symptoms`` by ``features``: unit-length text weights, scaled age, one slot per known sex.
+    def features(self, counted: DataFrame) -> DataFrame:
+        """Replace the counts of ``terms`` by ``features``: unit-length text weights, scaled age, one slot per known sex.
 
-        ``keyed`` has a unique ``_row``, ``counts`` its term counts. Sparse vectors are written as the struct
-        that stores them and read back as vectors, so no row passes through Python. A document's
-        list has at most as many entries as there are terms.
+        Sparse vectors are written as the struct that stores them and read back as vectors, so no row passes through
+        Python, and no row is moved. A document's list has at most as many entries as there are terms.
         """
-        weights = counts.join(F.broadcast(self.terms), "term").select(
-            F.col("doc").alias("_row"), "place", ((F.log("tf") + 1) * F.col("idf")).alias("w")
-        ).groupBy("_row").agg(
-            F.sort_array(F.collect_list(F.struct("place", "w"))).alias("_terms"),
-            F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"),
-        )
-        none = F.array().cast("array<struct<place:int,w:double>>")
         person = self.person()
-        joined = keyed.drop("symptoms").join(weights, "_row", "left").withColumn("_terms", F.coalesce("_terms", none))
         size = self.width + len(person)
         vector = F.struct(
             F.lit(_SPARSE).cast("tinyint").alias("type"), F.lit(size).alias("size"),
-            F.concat(F.transform("_terms", lambda t: t["place"]), F.array(*[F.lit(i) for i in range(self.width, size)])).alias("indices"),
-            F.concat(F.transform("_terms", lambda t: t["w"] / F.col("_norm")), F.array(*person)).alias("values"),
+            F.concat(F.transform("terms", lambda t: t["place"]), F.array(*[F.lit(i) for i in range(self.width, size)])).alias("indices"),
+            F.concat(F.transform("terms", lambda t: t["w"]), F.array(*person)).alias("values"),
         )
-        stored = joined.withColumn("features", vector).drop("_terms", "_norm")
-        path = scratch_path(keyed.sparkSession, "symptom-features")
+        stored = text.unit_weights(counted, self.terms).withColumn("features", vector).drop("terms")
+        spark = counted.sparkSession
+        path = scratch_path(spark, "symptom-features")
         stored.write.parquet(path)
         fields = [StructField(f.name, VectorUDT()) if f.name == "features" else f for f in stored.schema]
-        return keyed.sparkSession.read.schema(StructType(fields)).parquet(path)
-
-
-def _keyed(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The records with a stored row number, and their term counts."""
-    keyed = stage(records.withColumn("_row", F.monotonically_increasing_id()), "symptom-rows")
-    return keyed, stage(term_frequencies(keyed, "_row", "symptoms"), "symptom-terms")
+        return spark.read.schema(StructType(fields)).parquet(path)
 
 
 def train(training: DataFrame, max_iter: int = 400) -> SymptomModel:
@@ -107,11 +93,12 @@ def train(training: DataFrame, max_iter: int = 400) -> SymptomModel:
 
     What reaches the driver is bounded by the model: one weight per class, and the coefficients.
     """
-    keyed, counts = _keyed(training.where(F.col("diagnosis").isNotNull()))
-    order = Window.orderBy(F.col("corpus_count").desc(), "term")  # over the 8000 terms at most
+    tokens = text.text_tokens(training.where(F.col("diagnosis").isNotNull()), "symptoms")
+    keyed = tokens.drop("words")
+    chosen = text.ranked_vocabulary(tokens)
+    counted = stage(text.counted_terms(tokens, chosen), "symptom-terms")
     terms = stage(
-        inverse_frequencies(vocabulary(counts), keyed)
-        .select("term", (F.row_number().over(order) - 1).cast("int").alias("place"), "idf"),
+        text.inverse_frequencies(text.document_frequencies(chosen, counted), keyed).select("term", "place", "idf"),
         "symptom-vocabulary",
     )
     stats = keyed.agg(F.avg("age").alias("m"), F.stddev_pop("age").alias("s")).first()
@@ -122,7 +109,7 @@ def train(training: DataFrame, max_iter: int = 400) -> SymptomModel:
     pairs = [x for label in labels for x in (F.lit(label), F.lit(weights[label]["weight"]))]
     order_of = F.array(*[F.lit(v) for v in labels])
     ready = (
-        model.features(keyed, counts)
+        model.features(counted)
         .withColumn("weight", F.element_at(F.create_map(*pairs), F.col("diagnosis")))
         .withColumn("target", (F.array_position(order_of, F.col("diagnosis")) - 1).cast("double"))
     )
@@ -136,7 +123,8 @@ def train(training: DataFrame, max_iter: int = 400) -> SymptomModel:
 
 def probabilities_of(records: DataFrame, model: SymptomModel) -> DataFrame:
     """The rows without their text, with the label -> probability map, for ages and sexes as they stand."""
-    scored = model.classifier.transform(model.features(*_keyed(records)))
+    tokens = spread_small(records).withColumn("words", text.words(F.col("symptoms"))).drop("symptoms")
+    scored = model.classifier.transform(model.features(text.counted_terms(tokens, model.terms)))
     labels = F.array(*[F.lit(v) for v in model.labels])
     return scored.select(
         *[c for c in records.columns if c != "symptoms"],
