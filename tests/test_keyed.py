@@ -74,3 +74,36 @@ def test_null_and_empty_keys(spark, tmp_path, key):
     assert rows(table.read()) == rows(df)
     table.upsert(spark.createDataFrame([("a", 5)], df.schema), ["v"])
     assert sorted(r.v for r in table.read().collect()) == [1, 5]
+
+
+def test_files_grow_with_buckets_not_with_buckets_times_partitions(spark, tmp_path):
+    path, base = str(tmp_path / "t"), people(spark, 0, 6000)
+    table = KeyedTable.create(base, path, "k", buckets=48, parts=32)
+    assert len(files_of(spark, path)) == 48
+    assert {r[0] for r in spark.table(table.name).select("key_part").distinct().collect()} == set(range(32))
+    batch = people(spark, 5000, 7000).withColumn("note", F.lit("new"))
+    assert table.upsert(batch, ["note"]) == list(range(32))
+    assert len(files_of(spark, path)) == 48
+    assert rows(table.read()) == rows(mutate.upsert(base, batch, "k", ["note"]))
+    assert table.delete(people(spark, 0, 6990)) and table.read().count() == 10
+    few = str(tmp_path / "few")
+    table = KeyedTable.create(base, few, "k", buckets=4, parts=16)
+    assert len(files_of(spark, few)) == 16 and len(table.touched(base)) == 16
+
+
+def test_keys_of_another_type_find_their_partition(spark, tmp_path):
+    base = spark.range(0, 500).selectExpr("cast(id as bigint) k", "id v")
+    table = KeyedTable.create(base, str(tmp_path / "t"), "k")
+    keys = spark.range(0, 500).selectExpr("cast(id as int) k")
+    assert table.touched(keys) == table.touched(base)
+    table.upsert(keys.where("k < 100").selectExpr("k", "cast(-k as bigint) v"), ["v"])
+    table.delete(keys.where("k >= 300").selectExpr("cast(k as decimal(12,2)) k"))
+    assert rows(table.read()) == sorted(((n, -n if n < 100 else n) for n in range(300)), key=repr)
+
+
+def test_open_refuses_other_numbers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    KeyedTable.create(people(spark, 0, 300), path, "k", parts=8)
+    with pytest.raises(ValueError, match="not written with"):
+        KeyedTable.open(spark, path, "k", buckets=4, parts=16)
+    assert KeyedTable.open(spark, path, "k", buckets=4, parts=8).read().count() == 300

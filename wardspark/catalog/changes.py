@@ -62,10 +62,10 @@ select study_id, coalesce(n.patient_id, o.patient_id) patient_id, coalesce(n.fil
 from studies o full join incoming n using (study_id)"""
 
 
-def _study_batch(d: Domain) -> DataFrame:
+def _study_batch(d: Domain, known: DataFrame) -> DataFrame:
     """A batch of new studies and of relabelled known ones."""
     latest = lookup.latest_predictions(d.predictions())
-    again = d.studies().select("study_id", "patient_id", "file_path").join(latest, "study_id").select(
+    again = known.select("study_id", "patient_id", "file_path").join(latest, "study_id").select(
         "study_id", "patient_id", "file_path", F.lit("train").alias("split"),
         F.col("predicted_label").alias("label"), F.lit("relabelled").alias("source_dataset"),
         F.lit("DX").alias("modality"), F.lit("chest").alias("body_part"),
@@ -80,14 +80,14 @@ def upsert_studies(d: Domain) -> DataFrame:
 
     Only the listed columns change on known studies: modality and object key stay.
     """
-    return mutate.upsert(d.studies(), _study_batch(d), "study_id", _STUDY_UPDATE)
+    return mutate.upsert(d.studies(), _study_batch(d, d.studies()), "study_id", _STUDY_UPDATE)
 
 
 @register("upsert_stored_studies", tables="studies manifest predictions", sql=_UPSERT_STUDIES)
 def upsert_stored_studies(d: Domain) -> DataFrame:
     """The same merge into a stored table, in place: known studies first, then the batch, in the partitions it touches."""
     table = KeyedTable.create(d.studies(), scratch_path(d.spark, "studies"), "study_id")
-    table.upsert(_study_batch(d), _STUDY_UPDATE)
+    table.upsert(_study_batch(d, table.read()), _STUDY_UPDATE)
     return table.detached()
 
 

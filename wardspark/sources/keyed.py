@@ -1,9 +1,10 @@
 """Keyed tables that change in place: Parquet in partitions and buckets of the key.
 
 A change reads and rewrites only the partitions its keys fall into. Inside them the rows are bucketed by the key, so the
-stored side of a join needs no shuffle; only the changes are moved. There are no versions and no log: the files of a
-partition are replaced when the job commits, and a change that is repeated gives the same rows. As with any folder of
-Parquet files, one writer at a time.
+stored side of a join needs no shuffle; only the changes are moved. A partition is a set of buckets, so a table has one file
+for each bucket (or one for each partition, where there are more of these), not one for each pair of both. There are no
+versions and no log: the files of a partition are replaced when the job commits, and a change that is repeated gives the same
+rows. As with any folder of Parquet files, one writer at a time.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from wardspark.sources.files import remove
 
 PARTITION = "key_part"
 PARTS = 32  # partitions; a change of few keys rewrites few of them
+_PROBED = 1000  # rows of an opened folder whose partitions are compared with its numbers
 
 
 class KeyedTable:
@@ -29,7 +31,7 @@ class KeyedTable:
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str, schema: StructType, buckets: int, parts: int):
-        self.spark, self.path, self.key, self.parts = spark, path.rstrip("/"), key, parts
+        self.spark, self.path, self.key, self.buckets, self.parts = spark, path.rstrip("/"), key, buckets, parts
         self.name = f"keyed_{uuid.uuid4().hex}"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         spark.sql(
@@ -37,6 +39,7 @@ class KeyedTable:
             f"clustered by (`{key}`) sorted by (`{key}`) into {buckets} buckets location '{self.path}'"
         )
         self.columns = [f.name for f in spark.table(self.name).schema if f.name != PARTITION]
+        self.key_type = spark.table(self.name).select(key).schema[0].dataType
 
     @classmethod
     def create(cls, df: DataFrame, path: str, key: str, buckets: int | None = None, parts: int = PARTS) -> KeyedTable:
@@ -49,14 +52,22 @@ class KeyedTable:
 
     @classmethod
     def open(cls, spark: SparkSession, path: str, key: str, buckets: int, parts: int = PARTS) -> KeyedTable:
-        """An existing folder, with the numbers it was created with."""
+        """An existing folder, with the numbers it was created with (``buckets`` and ``parts`` of the table); with others, or
+        if its partitions were numbered in another way, changes would miss rows, so that is an error."""
         schema = spark.read.parquet(path).drop(PARTITION).schema
         table = cls(spark, path, key, schema, buckets, parts)
         spark.sql(f"msck repair table {table.name}")
+        some = spark.table(table.name).select(key, PARTITION).limit(_PROBED)
+        if not some.where(table.part(F.col(key)) != F.col(PARTITION)).isEmpty():
+            table.drop_name()
+            raise ValueError(f"{path} was not written with {buckets} buckets and {parts} partitions of this layout")
         return table
 
     def part(self, key: Column) -> Column:
-        return F.pmod(F.xxhash64(F.coalesce(key.cast("string"), F.lit(""))), F.lit(self.parts)).cast("int")
+        """Partition of a key, from the hash that also gives its bucket: whole buckets share a partition, and only where there
+        are fewer buckets than partitions is a bucket cut."""
+        units = self.buckets * -(-self.parts // self.buckets)
+        return F.pmod(F.pmod(F.hash(key.try_cast(self.key_type)), F.lit(units)), F.lit(self.parts))
 
     def read(self, parts: list[int] | None = None) -> DataFrame:
         rows = self.spark.table(self.name)
